@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sessionrate import schema as S
 from sessionrate.functions.formatting import fmt3
+from sessionrate.functions.json import with_variant
 from sessionrate.operators.windows import WINDOW_END, WINDOW_START
 
 # ---------------------------------------------------------------------------
@@ -69,7 +70,7 @@ def feedback_checked(records: DataFrame, max_bytes: int = S.FEEDBACK_BUFFER_BYTE
     terminating byte would not fit ``max_bytes``.
     """
     records = records.withColumn("__text", F.col("value").cast("string"))
-    records = records.withColumn("__v", F.try_parse_json(F.col("__text")))
+    records = with_variant(records, "__text")
     text, v = F.col("__text"), F.col("__v")
     vt = _variant_type(v, "value")
     session = F.try_variant_get(v, "$.session", "string")

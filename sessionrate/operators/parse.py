@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionrate import schema as S
+from sessionrate.functions.json import with_variant
 
 CORRUPT = "_corrupt_record"
 EVENT_FIELDS = [f.name for f in S.EVENT.fields]
@@ -135,7 +136,7 @@ def parse_events(df: DataFrame, value_col: str = "value", defaults: str = "none"
     keep = [c for c in df.columns if c != value_col or keep_value]
     if defaults == "sentinel":
         # parse the text once into a column; every member below reads that variant
-        df = df.withColumn("__v", F.try_parse_json(value))
+        df = with_variant(df, value_col)
         event, corrupt = _sentinel_parse(value, F.col("__v"))
         if on_error == "fail":
             corrupt = F.when(corrupt.isNotNull(),
@@ -145,7 +146,9 @@ def parse_events(df: DataFrame, value_col: str = "value", defaults: str = "none"
         tmp = df.select(*keep, event.alias("__ev"), corrupt.alias(CORRUPT))
     else:
         parsed = _from_json(value, on_error)
-        tmp = df.select(*keep, parsed.alias("__ev"))
+        # one-element explode: the text is parsed once per row and no later filter
+        # (e.g. on actor.type) is pushed below the parse, which would re-parse it
+        tmp = df.select(*keep, F.explode(F.array(parsed)).alias("__ev"))
         if on_error == "reject":
             tmp = tmp.withColumn(CORRUPT, F.col("__ev").getField(CORRUPT))
         else:
@@ -270,7 +273,7 @@ def schema_violations(df: DataFrame, value_col: str = "value") -> DataFrame:
     Text that is not a JSON object gives the single violation ``/: expected object``.
     """
     cols = df.columns
-    parsed = df.withColumn("__v", F.try_parse_json(F.col(value_col)))
+    parsed = with_variant(df, value_col)
     v = F.col("__v")
     root_ok = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     viol = F.when(root_ok, _violations(v)).otherwise(F.array(F.lit("/: expected object")))

@@ -25,10 +25,18 @@ from sessionrate.sources.kafka import decode_envelope
 
 
 def decoded_events(records: DataFrame, defaults: str = "none", on_error: str = "reject",
-                   event_time: str = "record") -> DataFrame:
-    """Records -> parsed events (``key, timestamp, headers, event_time`` + event members)."""
-    return parse_events(decode_envelope(records, event_time), defaults=defaults,
-                        on_error=on_error)
+                   event_time: str = "record", watermark: str | None = None) -> DataFrame:
+    """Records -> parsed events (``key, timestamp, headers, event_time`` + event members).
+
+    ``watermark`` (a delay such as ``"0 seconds"``, streams only) is attached to the
+    records *before* parsing: the watermark then advances with every source record,
+    as at a source-level watermark, and no filter on event members (which cannot
+    move below the parse) is evaluated before it.
+    """
+    env = decode_envelope(records, event_time)
+    if watermark is not None:
+        env = env.withWatermark("event_time", watermark)
+    return parse_events(env, defaults=defaults, on_error=on_error)
 
 
 def kill_rate_job(records: DataFrame, event_type: str = R.KILLED, actor_type: str = R.PLAYER,

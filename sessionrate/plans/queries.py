@@ -299,10 +299,10 @@ def q_metric_feedback_rejects(spark, sf_dir):
 
 def _stream_events(spark, sf_dir, delay="0 seconds"):
     from sessionrate.sources.adapter import events_to_records
-    from sessionrate.streaming.runner import parquet_file_stream, with_event_time
+    from sessionrate.streaming.runner import parquet_file_stream
     ensure_utc(spark)
     stream = parquet_file_stream(spark, sf_dir, "events.parquet")
-    return with_event_time(J.decoded_events(events_to_records(stream)), delay)
+    return J.decoded_events(events_to_records(stream), watermark=delay)
 
 
 def _run(spark, df, name):

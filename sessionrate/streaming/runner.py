@@ -21,7 +21,12 @@ from sessionrate.session import scratch_path
 
 def with_event_time(df: DataFrame, delay: str = "0 seconds",
                     time_col: str = "event_time") -> DataFrame:
-    """Attach the watermark; ``delay`` is how late a row may be and still count."""
+    """Attach the watermark; ``delay`` is how late a row may be and still count.
+
+    Attach it to the source records (see ``jobs.decoded_events(watermark=...)``):
+    Catalyst pushes filters that do not read the event time below the watermark, so a
+    watermark put after a filter would only advance with the rows that pass it.
+    """
     return df.withWatermark(time_col, delay)
 
 

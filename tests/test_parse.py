@@ -1,0 +1,82 @@
+"""JSON parsing: the reference's deserializer tests and the malformed-input cases."""
+
+from sessionrate.operators.parse import (CORRUPT, empty_record_flags, parse_events,
+                                         schema_violations, split_rejects)
+from sessionrate.schema import INT_MAX, LONG_MAX
+
+MINIMAL = ('{"session":"abc123","counter":123,"type":"move","frame":{"tic":123,"millis":456},'
+           '"actor":{"type":"player","health":25,"armor":40,"id":4444}}')
+FULL = ('{"damage":10,"counter":479,"session":"7372d46f7d83f353d9e1c18f","type":"hit",'
+        '"frame":{"millis":11829,"tic":414},"actor":{"position":{"x":82759579,"y":186153129,"z":0,'
+        '"angle":3292528640,"subsector":140365466405016},"type":"player","health":100,"armor":0,'
+        '"id":140365466484344},"target":{"position":{"x":85983232,"y":213909504,"z":1048576,'
+        '"angle":1073741824,"subsector":140365466404840},"type":"barrel","health":10,'
+        '"id":140365466491112}}')
+MALFORMED = ["{bad", "", "null", '{"session":"a","actor":null}', '{"session":5,"counter":1.5}',
+             '{"counter":99999999999999999999}', '{"session":"a","counter":"12","frame":{"tic":1.0}}']
+
+
+def _df(spark, texts):
+    return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+
+
+def test_fields_present_and_optional_members_absent(spark):
+    r = parse_events(_df(spark, [MINIMAL])).collect()[0]
+    assert (r.session, r.counter, r.type) == ("abc123", 123, "move")
+    assert (r.frame.tic, r.frame.millis) == (123, 456)
+    assert (r.actor.type, r.actor.health, r.actor.armor, r.actor.id) == ("player", 25, 40, 4444)
+    assert r.actor.position is None and r.target is None and r[CORRUPT] is None
+
+
+def test_full_example_big_numbers(spark):
+    r = parse_events(_df(spark, [FULL])).collect()[0]
+    assert r.damage == 10 and r.actor.position.angle == 3292528640
+    assert r.target.position.subsector == 140365466404840 and r.target.id == 140365466491112
+
+
+def test_sentinel_profile_empty_position_and_actor(spark):
+    r = parse_events(_df(spark, [MINIMAL]), defaults="sentinel").collect()[0]
+    assert r.session == "abc123"
+    assert tuple(r.actor.position) == (LONG_MAX,) * 5
+    assert tuple(r.target.position) == (LONG_MAX,) * 5
+    assert (r.target.type, r.target.health, r.target.armor, r.target.id) == \
+        ("UNKNOWN_TYPE", INT_MAX, INT_MAX, LONG_MAX)
+    f = empty_record_flags(parse_events(_df(spark, [MINIMAL]), defaults="sentinel")).collect()[0]
+    assert f.target_empty and f.actor_position_empty and not f.actor_empty and not f.event_empty
+
+
+def test_sentinel_profile_null_versus_absent(spark):
+    rows = {r.i: r for r in parse_events(_df(spark, MALFORMED), defaults="sentinel").collect()}
+    assert rows[0][CORRUPT] == "{bad"                       # malformed -> reject
+    assert rows[1].session is None and rows[1][CORRUPT] is None   # empty text -> NULL event
+    assert rows[2].session is None and rows[2][CORRUPT] is None   # JSON null -> NULL event
+    assert rows[3].actor is None                             # explicit null object -> NULL
+    assert rows[3].target.type == "UNKNOWN_TYPE"             # absent object -> EMPTY
+    assert rows[3].counter == LONG_MAX                       # absent primitive -> sentinel
+
+
+def test_reject_mode_keeps_text_of_bad_rows(spark):
+    good, bad = split_rejects(parse_events(_df(spark, MALFORMED + [MINIMAL])))
+    bad_texts = sorted(r[CORRUPT] for r in bad.collect())
+    assert "{bad" in bad_texts and '{"session":5,"counter":1.5}' in bad_texts
+    assert '{"counter":99999999999999999999}' in bad_texts
+    assert MINIMAL not in bad_texts
+    goods = {r.i: r for r in good.collect()}
+    assert goods[7].session == "abc123"
+    assert goods[3].session == "a" and goods[3].actor is None
+
+
+def test_null_mode_and_schema_profile(spark):
+    rows = {r.i: r for r in parse_events(_df(spark, MALFORMED), on_error="null").collect()}
+    assert rows[0].session is None and rows[0][CORRUPT] is None
+    r = parse_events(_df(spark, [MINIMAL]), defaults="schema").collect()[0]
+    assert r.damage == 0 and r.target.type == "" and tuple(r.actor.position) == (0,) * 5
+
+
+def test_schema_violations(spark):
+    v = {r.i: r.violations for r in schema_violations(_df(spark, MALFORMED + [MINIMAL, FULL])).collect()}
+    assert v[7] == [] and v[8] == []
+    assert v[0] == ["/: expected object"]
+    assert "/actor: expected object" in v[3] and "/counter: required" in v[3]
+    assert "/session: expected string" in v[4] and "/counter: expected integer" in v[4]
+    assert "/frame/millis: required" in v[6] and "/counter: expected integer" in v[6]
