@@ -86,8 +86,12 @@ def feedback_checked(records: DataFrame, max_bytes: int = S.FEEDBACK_BUFFER_BYTE
               .when(F.coalesce(~vt.rlike(r"^(BIGINT|DOUBLE|DECIMAL|FLOAT)"), F.lit(True)), F.lit("value"))
               .when(F.octet_length(sentence) + 1 > F.lit(max_bytes), F.lit("too big")))
     cols = [c for c in records.columns if c not in ("value", "__text", "__v")]
-    return records.select(*cols, F.when(reason.isNull(), sentence).alias("sentence"),
-                          reason.alias("reject_reason"), session.alias("session"))
+    # sentence and reason are computed once per row (one-element explode), so the
+    # accept filter above does not re-evaluate them
+    out = records.select(*cols, F.explode(F.array(F.struct(
+        F.when(reason.isNull(), sentence).alias("sentence"),
+        reason.alias("reject_reason"), session.alias("session")))).alias("__r"))
+    return out.select(*cols, "__r.sentence", "__r.reject_reason", "__r.session")
 
 
 def metric_feedback(records: DataFrame, max_bytes: int = S.FEEDBACK_BUFFER_BYTES) -> DataFrame:

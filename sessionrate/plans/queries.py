@@ -301,7 +301,8 @@ def _stream_events(spark, sf_dir, delay="0 seconds"):
     from sessionrate.sources.adapter import events_to_records
     from sessionrate.streaming.runner import parquet_file_stream
     ensure_utc(spark)
-    stream = parquet_file_stream(spark, sf_dir, "events.parquet")
+    from sessionrate.sources.adapter import spread
+    stream = spread(parquet_file_stream(spark, sf_dir, "events.parquet"))
     return J.decoded_events(events_to_records(stream), watermark=delay)
 
 

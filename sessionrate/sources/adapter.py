@@ -102,8 +102,23 @@ def events_to_records(events: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
+    cluster's cores) when its source yields fewer splits -- e.g. one small file with
+    a single row group.  The per-row work after it (JSON, window expansion, partial
+    aggregation) then runs on every core.  A source that already has enough splits
+    (many files, large row groups) is left as it is: no shuffle is added at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming:
+        return df.repartition(want)
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def load_events(spark, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
 def game_records(spark, sf_dir: str) -> DataFrame:

@@ -54,7 +54,8 @@ def kafka_options(brokers: str = DEFAULT_BROKERS, topic: str | None = DEFAULT_TO
                   username: str | None = DEFAULT_USER, password: str | None = DEFAULT_PASSWORD,
                   mechanism: str | None = DEFAULT_MECHANISM, use_tls: bool = False,
                   for_writer: bool = False, starting_offsets: str = "latest",
-                  client_id_prefix: str | None = None) -> dict[str, str]:
+                  client_id_prefix: str | None = None,
+                  min_partitions: int | None = None) -> dict[str, str]:
     """Reader (``subscribe``) or writer (``topic``) options for ``format("kafka")``."""
     opts = {"kafka.bootstrap.servers": brokers,
             "kafka.security.protocol": security_protocol(use_tls, username)}
@@ -67,6 +68,10 @@ def kafka_options(brokers: str = DEFAULT_BROKERS, topic: str | None = DEFAULT_TO
     if not for_writer:
         opts["startingOffsets"] = starting_offsets
         opts["failOnDataLoss"] = "false"
+        # split each topic partition's offset range over several tasks when the topic
+        # has fewer partitions than the cluster has cores (the topic may have one)
+        if min_partitions:
+            opts["minPartitions"] = str(int(min_partitions))
         if client_id_prefix:
             opts["kafka.client.id"] = client_id_prefix
     return opts
