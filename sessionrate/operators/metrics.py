@@ -68,29 +68,38 @@ def feedback_checked(records: DataFrame, max_bytes: int = S.FEEDBACK_BUFFER_BYTE
     empty, not a JSON object, ``session``/``metric`` are not JSON strings, ``value``
     is not a JSON number, the text exceeds ``max_bytes`` bytes, or the sentence plus a
     terminating byte would not fit ``max_bytes``.
+
+    Plan: the text is parsed once (generator), the members and their JSON types are
+    extracted once (projection), the sentence is formatted once (projection), and
+    the verdict is a generator output so the accept filter cannot be pushed below it.
     """
-    records = records.withColumn("__text", F.col("value").cast("string"))
-    records = with_variant(records, "__text")
-    text, v = F.col("__text"), F.col("__v")
-    vt = _variant_type(v, "value")
-    session = F.try_variant_get(v, "$.session", "string")
-    metric = F.try_variant_get(v, "$.metric", "string")
-    number = F.try_variant_get(v, "$.value", "double")
-    sentence = F.concat(F.lit(SENTENCE_PREFIX), metric, F.lit(SENTENCE_MIDDLE),
-                        fmt3(number), F.lit(SENTENCE_SUFFIX))
+    cols = [c for c in records.columns if c != "value"]
+    r = with_variant(records.withColumn("__text", F.col("value").cast("string")), "__text")
+    v = F.col("__v")
+    r = r.select(*cols, "__text",
+                 F.schema_of_variant(v).alias("__root_t"),
+                 _variant_type(v, "session").alias("__session_t"),
+                 _variant_type(v, "metric").alias("__metric_t"),
+                 _variant_type(v, "value").alias("__value_t"),
+                 F.try_variant_get(v, "$.session", "string").alias("__session"),
+                 F.try_variant_get(v, "$.metric", "string").alias("__metric"),
+                 F.try_variant_get(v, "$.value", "double").alias("__number"))
+    r = r.withColumn("__sentence", F.concat(F.lit(SENTENCE_PREFIX), F.col("__metric"),
+                                            F.lit(SENTENCE_MIDDLE), fmt3(F.col("__number")),
+                                            F.lit(SENTENCE_SUFFIX)))
+    text = F.col("__text")
     reason = (F.when(text.isNull() | (F.octet_length(text) == 0), F.lit("empty"))
               .when(F.octet_length(text) > F.lit(max_bytes), F.lit("too big"))
-              .when(v.isNull() | ~F.schema_of_variant(v).startswith("OBJECT"), F.lit("not an object"))
-              .when(F.coalesce(_variant_type(v, "session") != "STRING", F.lit(True)), F.lit("session"))
-              .when(F.coalesce(_variant_type(v, "metric") != "STRING", F.lit(True)), F.lit("metric"))
-              .when(F.coalesce(~vt.rlike(r"^(BIGINT|DOUBLE|DECIMAL|FLOAT)"), F.lit(True)), F.lit("value"))
-              .when(F.octet_length(sentence) + 1 > F.lit(max_bytes), F.lit("too big")))
-    cols = [c for c in records.columns if c not in ("value", "__text", "__v")]
-    # sentence and reason are computed once per row (one-element explode), so the
-    # accept filter above does not re-evaluate them
-    out = records.select(*cols, F.explode(F.array(F.struct(
-        F.when(reason.isNull(), sentence).alias("sentence"),
-        reason.alias("reject_reason"), session.alias("session")))).alias("__r"))
+              .when(F.coalesce(~F.col("__root_t").startswith("OBJECT"), F.lit(True)),
+                    F.lit("not an object"))
+              .when(F.coalesce(F.col("__session_t") != "STRING", F.lit(True)), F.lit("session"))
+              .when(F.coalesce(F.col("__metric_t") != "STRING", F.lit(True)), F.lit("metric"))
+              .when(F.coalesce(~F.col("__value_t").rlike(r"^(BIGINT|DOUBLE|DECIMAL|FLOAT)"),
+                               F.lit(True)), F.lit("value"))
+              .when(F.octet_length(F.col("__sentence")) + 1 > F.lit(max_bytes), F.lit("too big")))
+    out = r.select(*cols, F.explode(F.array(F.struct(
+        F.when(reason.isNull(), F.col("__sentence")).alias("sentence"),
+        reason.alias("reject_reason"), F.col("__session").alias("session")))).alias("__r"))
     return out.select(*cols, "__r.sentence", "__r.reject_reason", "__r.session")
 
 
