@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionrate.functions.predicates import match_flag, type_is
-from sessionrate.operators.windows import (WINDOW_END, WINDOW_START, bounds_ms,
-                                           window_column, windowed_aggregate)
+from sessionrate.operators.windows import (WINDOW_END, WINDOW_START, expand_windows,
+                                           windowed_aggregate)
 
 # ---------------------------------------------------------------------------
 # Window widths / slides (ms) and names used by the jobs.
@@ -181,10 +181,10 @@ def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
     from sessionrate.operators.parse import EVENT_FIELDS  # local: avoid import cycle
 
     elem = element if element is not None else F.struct(*[F.col(c) for c in EVENT_FIELDS])
-    rows = events.select(F.col(key).alias(key), window_column(time_col, width_ms, slide_ms)
-                         .alias("window"), F.col("counter").alias("__order"),
-                         elem.alias("__ev"))
-    rows = rows.select(key, *bounds_ms("window"), "__order", "__ev")
+    rows = events.select(F.col(key).alias(key), F.col(time_col),
+                         F.col("counter").alias("__order"), elem.alias("__ev"))
+    rows = expand_windows(rows, width_ms, slide_ms, time_col).select(
+        key, WINDOW_START, WINDOW_END, "__order", "__ev")
     sizes = rows.groupBy(key, WINDOW_START).agg(F.count(F.lit(1)).alias("n_events"))
     cap = int(max_rows_per_part)
     dealt = (rows.join(sizes, [key, WINDOW_START])

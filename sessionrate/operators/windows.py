@@ -7,10 +7,11 @@ falls in it.
 
 Two plans compute the same result (batch):
 
-``direct``  ``window()`` expands each row into its ``ceil(width/slide)`` windows
-            (Catalyst ``Expand``), then one hash aggregate with map-side partial
-            aggregation and one shuffle on ``(key, window)``.  Also the only form
-            valid in streaming (the watermark is tracked through ``window()``).
+``direct``  each row is expanded into its ``ceil(width/slide)`` windows (integer
+            window starts in one generator when ``width % slide == 0``, else
+            ``window()``), then one hash aggregate with map-side partial aggregation
+            and one shuffle on ``(key, window)``.  Streams always use ``window()``:
+            the watermark is tracked through it.
 ``panes``   ("No Pane, No Gain"): first aggregate rows into slide-wide panes per key,
             then fan each *pane* out to the windows that contain it and re-aggregate.
             The fan-out multiplies panes instead of rows; pays when many rows share
@@ -86,10 +87,18 @@ def windowed_aggregate(df: DataFrame, keys: list[str], aggs: list[tuple[str, str
     ``keep_window`` also returns the ``window`` struct (needed by streaming sinks in
     append mode, where the watermark is tied to it).
     """
-    if plan == "panes" and width_ms % slide_ms == 0 and not df.isStreaming:
-        return _panes(df, keys, aggs, width_ms, slide_ms, time_col)
     if plan not in ("direct", "panes"):
         raise ValueError("plan must be 'direct' or 'panes'")
+    aligned = width_ms % slide_ms == 0 and not df.isStreaming and not keep_window
+    if plan == "panes" and aligned:
+        return _panes(df, keys, aggs, width_ms, slide_ms, time_col)
+    if aligned:
+        out = (expand_windows(df, width_ms, slide_ms, time_col)
+               .groupBy(*keys, WINDOW_START)
+               .agg(*[_partial(kind, c).alias(n) for n, kind, c in aggs]))
+        return out.select(*keys, WINDOW_START,
+                          (F.col(WINDOW_START) + F.lit(width_ms)).alias(WINDOW_END),
+                          *[n for n, _, _ in aggs])
     out = (df.groupBy(*[F.col(k) for k in keys],
                       window_column(time_col, width_ms, slide_ms).alias("window"))
              .agg(*[_partial(kind, c).alias(n) for n, kind, c in aggs]))
@@ -99,11 +108,36 @@ def windowed_aggregate(df: DataFrame, keys: list[str], aggs: list[tuple[str, str
     return out.select(*cols)
 
 
+def expand_windows(df: DataFrame, width_ms: int, slide_ms: int,
+                   time_col: str = "event_time") -> DataFrame:
+    """Each row once per window containing it, with ``window_start_ms``/``window_end_ms``.
+
+    Batch with ``width % slide == 0``: the windows of a row at ``t`` ms start at
+    ``p - k * slide`` for ``k < width / slide`` with ``p = t - t mod slide`` -- integer
+    arithmetic in one generator (about a third cheaper than ``window()``'s
+    timestamp projections and containment filter at fan-out 40).  Otherwise (streams,
+    other widths) Spark's ``window()``.
+    """
+    if width_ms % slide_ms == 0 and not df.isStreaming:
+        n = width_ms // slide_ms
+        ms = F.unix_millis(F.col(time_col))
+        pane = (ms - F.pmod(ms, F.lit(slide_ms))).alias("__pane")
+        k = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("__k")
+        start = F.col("__pane") - F.col("__k") * F.lit(slide_ms)
+        return (df.select("*", pane, k).where(F.col(time_col).isNotNull())
+                  .withColumn(WINDOW_START, start)
+                  .withColumn(WINDOW_END, start + F.lit(width_ms))
+                  .drop("__pane", "__k"))
+    w = df.withColumn("__window", window_column(time_col, width_ms, slide_ms))
+    return w.select("*", *bounds_ms("__window")).drop("__window")
+
+
 def _panes(df: DataFrame, keys, aggs, width_ms: int, slide_ms: int, time_col: str) -> DataFrame:
     n = width_ms // slide_ms
     ms = F.unix_millis(F.col(time_col))
-    pane = (F.floor(ms / F.lit(slide_ms)) * F.lit(slide_ms)).cast("long")
-    per_pane = (df.groupBy(*[F.col(k) for k in keys], pane.alias("__pane"))
+    pane = ms - F.pmod(ms, F.lit(slide_ms))
+    per_pane = (df.where(F.col(time_col).isNotNull())
+                  .groupBy(*[F.col(k) for k in keys], pane.alias("__pane"))
                   .agg(*[_partial(kind, c).alias(name) for name, kind, c in aggs]))
     k = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("__k")
     fanned = per_pane.select("*", k).withColumn(
