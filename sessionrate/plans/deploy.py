@@ -11,7 +11,7 @@ Kafka-shaped records made from the test tables).
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sessionrate.operators import metrics as M
@@ -21,14 +21,21 @@ from sessionrate.sources.kafka import kafka_options, read_kafka
 from sessionrate.streaming import sinks
 
 
-def start_kill_rate(spark: SparkSession, source: dict, sink_topic: str | None = None,
-                    sink: dict | None = None, event_type: str = "killed",
-                    actor_type: str = "player", watermark: str = "0 seconds",
-                    log: bool = True) -> StreamingQuery:
+def start_kill_rate(spark: SparkSession, source: dict | None = None,
+                    sink_topic: str | None = None, sink: dict | None = None,
+                    event_type: str = "killed", actor_type: str = "player",
+                    watermark: str = "0 seconds", log: bool = True,
+                    records: DataFrame | None = None, extra_writers: list | None = None,
+                    available_now: bool = False) -> StreamingQuery:
     """Metrics of ``event_type`` per second per player session, to the console and,
-    when ``sink_topic`` is not blank, to that topic (one query, fanned out)."""
+    when ``sink_topic`` is not blank, to that topic (one query, fanned out).
+
+    ``records`` replaces the Kafka source with any stream of Kafka-shaped records;
+    ``extra_writers`` (``fn(batch_df, batch_id)``) receive every metric batch too.
+    """
     ensure_utc(spark)
-    records = read_kafka(spark, source)
+    if records is None:
+        records = read_kafka(spark, source or kafka_options())
     metrics = J.kill_rate_job(None, event_type=event_type, actor_type=actor_type,
                               events=J.decoded_events(records, watermark=watermark))
     writers = []
@@ -37,17 +44,26 @@ def start_kill_rate(spark: SparkSession, source: dict, sink_topic: str | None =
     if sink_topic and sink_topic.strip():
         opts = dict(sink or {}, topic=sink_topic)
         writers.append(lambda b, i: sinks.write_kafka(M.to_kafka_record(b), opts))
+    writers.extend(extra_writers or [])
     if not writers:
         return sinks.to_noop(metrics, checkpoint=scratch_path(spark, "kill-rate-ckpt"))
-    return sinks.fan_out(metrics, writers, checkpoint=scratch_path(spark, "kill-rate-ckpt"))
+    return sinks.fan_out(metrics, writers, checkpoint=scratch_path(spark, "kill-rate-ckpt"),
+                         available_now=available_now)
 
 
-def start_feedback(spark: SparkSession, source: dict, sink: dict) -> StreamingQuery:
+def start_feedback(spark: SparkSession, source: dict | None = None, sink: dict | None = None,
+                   records: DataFrame | None = None, writer=None,
+                   available_now: bool = False) -> StreamingQuery:
     """Metric records of ``source`` -> feedback sentences on ``sink['topic']``, keys and
-    headers kept."""
-    records = read_kafka(spark, source, include_headers=True)
+    headers kept.  ``records`` replaces the Kafka source, ``writer`` the Kafka sink
+    (``fn(batch_df, batch_id)``)."""
+    if records is None:
+        records = read_kafka(spark, source or kafka_options(), include_headers=True)
     out = M.metric_feedback(records)
-    return sinks.write_kafka(out, sink, checkpoint=scratch_path(spark, "feedback-ckpt"))
+    ckpt = scratch_path(spark, "feedback-ckpt")
+    if writer is not None:
+        return sinks.fan_out(out, [writer], checkpoint=ckpt, available_now=available_now)
+    return sinks.write_kafka(out, sink, checkpoint=ckpt, available_now=available_now)
 
 
 def default_options(**overrides) -> dict:

@@ -61,3 +61,28 @@ def test_group_text_sink(spark):
 def test_echo_prefix(spark):
     df = spark.createDataFrame([("s", 1.5)], "session string, value double")
     assert sinks.echo(df, "kills: ").first().value == 'kills: {"session":"s","value":1.5}'
+
+
+def test_deploy_entry_points_on_a_file_stream(spark):
+    """The deployment wiring (source watermark, fan-out, echo) on a file stream, and the
+    feedback job reading the metric records the first one produced."""
+    from sessionrate.operators.metrics import to_kafka_record
+    from sessionrate.plans import deploy
+    from sessionrate.sources.adapter import events_to_records, spread
+    from sessionrate.streaming.runner import parquet_file_stream
+    stream = spread(parquet_file_stream(spark, "/root/testdata/sf0.001", "events.parquet"))
+    out = tempfile.mkdtemp(prefix="deploy-metrics-")
+    q = deploy.start_kill_rate(spark, records=events_to_records(stream), log=False,
+                               extra_writers=[lambda b, i: to_kafka_record(b).write.mode("append").parquet(out)],
+                               available_now=True)
+    q.awaitTermination()
+    n = spark.read.parquet(out).count()
+    assert n > 0
+    fb_out = tempfile.mkdtemp(prefix="deploy-feedback-")
+    metric_stream = spark.readStream.schema(spark.read.parquet(out).schema).parquet(out)
+    q2 = deploy.start_feedback(spark, records=metric_stream, available_now=True,
+                               writer=lambda b, i: b.write.mode("append").parquet(fb_out))
+    q2.awaitTermination()
+    sentences = spark.read.parquet(fb_out)
+    assert sentences.count() == n
+    assert sentences.first().value.decode().startswith("Your killed per second is ")
