@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionrate.functions.predicates import match_flag, type_is
-from sessionrate.operators.windows import (WINDOW_END, WINDOW_START, expand_windows,
-                                           windowed_aggregate)
+from sessionrate.operators.windows import (WINDOW_END, WINDOW_START, bounds_ms,
+                                           expand_windows, window_column, windowed_aggregate)
 
 # ---------------------------------------------------------------------------
 # Window widths / slides (ms) and names used by the jobs.
@@ -165,7 +165,7 @@ def window_summary(events: DataFrame, width_ms: int = FINE_WINDOW_MS,
 def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
                    slide_ms: int = GROUP_SLIDE_MS, key: str = "key",
                    time_col: str = "event_time", max_rows_per_part: int = 5000,
-                   element: Column | None = None) -> DataFrame:
+                   element: Column | None = None, stream_parts: int = 1) -> DataFrame:
     """All events of each (key, window) as lists ordered by ``counter`` (A6).
 
     A group is written as ``n_parts = ceil(n / max_rows_per_part)`` rows, so no task
@@ -177,10 +177,18 @@ def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
 
     The per-group count is joined back on ``(key, window)``; that join has as many
     rows per key as windows, and AQE's skew-join handling splits a hot partition.
+
+    Streaming input (watermark on ``time_col``): the group size is not known before the
+    window closes, so a group is dealt to a fixed ``stream_parts`` hash parts, each kept
+    as one state row (RocksDB) until the watermark passes the window end; ``n_events``
+    is then the size of the part.  ``stream_parts=1`` gives one list per window.
     """
     from sessionrate.operators.parse import EVENT_FIELDS  # local: avoid import cycle
 
     elem = element if element is not None else F.struct(*[F.col(c) for c in EVENT_FIELDS])
+    if events.isStreaming:
+        return _windowed_group_stream(events, width_ms, slide_ms, key, time_col, elem,
+                                      stream_parts)
     rows = events.select(F.col(key).alias(key), F.col(time_col),
                          F.col("counter").alias("__order"), elem.alias("__ev"))
     rows = expand_windows(rows, width_ms, slide_ms, time_col).select(
@@ -197,6 +205,21 @@ def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
                           F.transform("__l", lambda x: x["__ev"]).alias("events"))
 
 
+def _windowed_group_stream(events: DataFrame, width_ms: int, slide_ms: int, key: str,
+                           time_col: str, elem: Column, parts: int) -> DataFrame:
+    rows = events.select(F.col(key).alias(key), F.col(time_col), F.col("counter").alias("__order"),
+                         elem.alias("__ev"))
+    part = (F.lit(0) if parts <= 1
+            else F.pmod(F.xxhash64("__order", "__ev"), F.lit(parts)).cast("int"))
+    grouped = (rows.groupBy(F.col(key), window_column(time_col, width_ms, slide_ms).alias("window"),
+                            part.alias("part"))
+                   .agg(F.collect_list(F.struct("__order", "__ev")).alias("__l")))
+    return grouped.select(
+        key, *bounds_ms("window"), F.size("__l").cast("long").alias("n_events"), "part",
+        F.lit(max(parts, 1)).alias("n_parts"),
+        F.transform(F.sort_array("__l"), lambda x: x["__ev"]).alias("events"))
+
+
 def windowed_group_text(groups: DataFrame, key: str = "key") -> DataFrame:
     """One JSON line per group part: ``{"key":..,"window_start_ms":..,..,"events":[..]}``."""
     return groups.select(F.to_json(F.struct(

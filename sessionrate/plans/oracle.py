@@ -301,4 +301,5 @@ SELECT 'accepted' AS outcome, count(*) AS n_records FROM ({_kill_metric(*KILL).r
     "stream_move_count": _stream(_move_count(*FINE)),
     "stream_action_rate": _stream(_action_rate(*FINE)),
     "stream_metric_feedback": _stream(_feedback(*KILL)),
+    "stream_windowed_group": _stream(_groups(*GROUP)),
 }

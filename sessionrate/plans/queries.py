@@ -327,6 +327,14 @@ def q_stream_action_rate(spark, sf_dir):
     return _run(spark, J.move_rate_job(None, *SCALED["fine"], events=ev), "stream_action_rate")
 
 
+def q_stream_windowed_group(spark, sf_dir):
+    """Grouped event lists as a stream (one list per window, closed windows only)."""
+    g = J.grouped_job(None, *SCALED["group"], events=_stream_events(spark, sf_dir))
+    return _run(spark, g.select("key", WINDOW_START, WINDOW_END, "n_events", "part", "n_parts",
+                                F.to_json("events").alias("events_json")),
+                "stream_windowed_group")
+
+
 def q_stream_metric_feedback(spark, sf_dir):
     """Kill-rate metrics and their feedback sentences chained in one streaming query."""
     ev = _stream_events(spark, sf_dir)
@@ -380,4 +388,5 @@ QUERIES = {
     "stream_move_count": q_stream_move_count,
     "stream_action_rate": q_stream_action_rate,
     "stream_metric_feedback": q_stream_metric_feedback,
+    "stream_windowed_group": q_stream_windowed_group,
 }

@@ -27,3 +27,28 @@ def test_hot_group_split_into_bounded_parts(spark):
         assert cs == sorted(cs)                               # each part ordered
     cold = [r for r in rows if r.key != "hot"]
     assert all(r.n_parts == 1 and r.part == 0 and len(r.events) == 1 for r in cold)
+
+
+def test_stream_parts_reassemble_to_batch_groups(spark):
+    from sessionrate.plans import jobs as J
+    from sessionrate.plans.queries import SCALED, _events, _stream_events
+    from sessionrate.streaming.runner import start_stream
+    sf = "/root/testdata/sf0.001"
+    width, slide = SCALED["group"]
+    ev = R.filter_actor_type(_stream_events(spark, sf), "player", case_sensitive=True)
+    g = R.windowed_group(ev, width, slide, key="key", stream_parts=3)
+    q = start_stream(g.select("key", "window_start_ms", "part", "n_parts",
+                              F.transform("events", lambda e: e["counter"]).alias("c")),
+                     sink="memory", query_name="parts3", available_now=True)
+    q.awaitTermination()
+    got = {}
+    for r in spark.sql("SELECT * FROM parts3").collect():
+        assert r.n_parts == 3 and 0 <= r.part < 3 and r.c == sorted(r.c)
+        got.setdefault((r.key, r.window_start_ms), []).extend(r.c)
+    batch = J.grouped_job(None, width, slide, events=_events(spark, sf))
+    want = {(r.key, r.window_start_ms): [e.counter for e in r.events] for r in batch.collect()}
+    max_ms = spark.read.parquet(f"{sf}/events.parquet").select(
+        F.max(F.unix_millis(F.col("ts").cast("timestamp")))).first()[0]
+    closed = {k for k in want if k[1] + width <= max_ms}
+    assert set(got) == closed and closed
+    assert all(sorted(v) == want[k] for k, v in got.items())
