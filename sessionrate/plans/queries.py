@@ -22,7 +22,7 @@ from sessionrate.operators import parse as P
 from sessionrate.operators import rates as R
 from sessionrate.plans import jobs as J
 from sessionrate.session import ensure_utc
-from sessionrate.sources.adapter import game_records, load_events
+from sessionrate.sources.adapter import game_records
 from sessionrate.operators.windows import WINDOW_END, WINDOW_START
 
 HOUR = 3_600_000
