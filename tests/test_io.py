@@ -4,7 +4,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from sessionrate.plans import jobs as J
 from sessionrate.plans.queries import SCALED, _stream_events
