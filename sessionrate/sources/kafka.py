@@ -81,6 +81,12 @@ def read_kafka(spark: SparkSession, options: dict[str, str], streaming: bool = T
                include_headers: bool = False) -> DataFrame:
     """Raw Kafka records (needs the Spark Kafka connector on the class path)."""
     reader = spark.readStream if streaming else spark.read
+    options = dict(options)
+    if not streaming:
+        # a batch read is a bounded offset range: "latest" cannot be its start
+        if options.get("startingOffsets", "earliest") == "latest":
+            options["startingOffsets"] = "earliest"
+        options.setdefault("endingOffsets", "latest")
     reader = reader.format("kafka").options(**options)
     if include_headers:
         reader = reader.option("includeHeaders", "true")

@@ -85,6 +85,17 @@ def start_fan_out(df: DataFrame, writers: list, checkpoint: str | None = None,
     return w.start()
 
 
+def dropped_late_rows(query: StreamingQuery) -> int:
+    """Rows the watermark dropped as late, summed over the query's recent progress
+    (counted per state operator input, i.e. per (row, window) after partial
+    aggregation, not per source record)."""
+    total = 0
+    for progress in query.recentProgress:
+        for op in progress.get("stateOperators", []):
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total
+
+
 def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append") -> str:
     """Run a stream over everything available now into a parquet folder; return it.
 

@@ -85,3 +85,36 @@ def test_deploy_entry_points_on_a_file_stream(spark):
     sentences = spark.read.parquet(fb_out)
     assert sentences.count() == n
     assert sentences.first().value.decode().startswith("Your killed per second is ")
+
+
+def test_batch_kafka_read_bounds_offsets(spark, monkeypatch):
+    """A batch read turns the stream default 'latest' into earliest..latest."""
+    from sessionrate.sources import kafka as K
+    seen = {}
+
+    class Reader:
+        def format(self, f):
+            seen["format"] = f
+            return self
+
+        def options(self, **o):
+            seen.update(o)
+            return self
+
+        def option(self, k, v):
+            seen[k] = v
+            return self
+
+        def load(self):
+            return "loaded"
+
+    class FakeSpark:
+        read = Reader()
+        readStream = Reader()
+
+    assert K.read_kafka(FakeSpark(), kafka_options(), streaming=False) == "loaded"
+    assert seen["startingOffsets"] == "earliest" and seen["endingOffsets"] == "latest"
+    seen.clear()
+    K.read_kafka(FakeSpark(), kafka_options(), streaming=True, include_headers=True)
+    assert seen["startingOffsets"] == "latest" and "endingOffsets" not in seen
+    assert seen["includeHeaders"] == "true"

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sessionrate.operators import rates as R
 from sessionrate.plans import jobs as J
-from sessionrate.streaming.runner import start_stream
+from sessionrate.streaming.runner import dropped_late_rows, start_stream
 
 T0 = dt.datetime(2024, 1, 1)
 BATCHES = [
@@ -46,6 +46,7 @@ def _run(spark, delay):
     q.awaitTermination()
     rows = spark.sql(f"SELECT * FROM {name}").collect()
     base = 1704067200000
+    _run.dropped = dropped_late_rows(q)
     return {(r.session, r.window_end_ms - base): round(r.value * 3) for r in rows}
 
 
@@ -59,12 +60,14 @@ def test_late_row_dropped_only_for_closed_window(spark):
     assert {e: n for (s, e), n in got.items() if s == "a"} == expect_a
     assert {e: n for (s, e), n in got.items() if s == "b"} == expect_b
     assert not any(s == "z" for s, _ in got)
+    assert _run.dropped >= 1                       # the late kill, for its closed window
 
 
 def test_delay_keeps_late_row(spark):
     got = _run(spark, "5 seconds")
     assert len(got) == 25
     assert got[("a", 1000)] == 2
+    assert _run.dropped == 0
 
 
 def test_stream_equals_batch_on_closed_windows(spark):
@@ -81,3 +84,17 @@ def test_stream_equals_batch_on_closed_windows(spark):
     closed = batch.where(F.col("window_end_ms") <= max_ms)
     assert got.count() == closed.count() > 0
     assert got.exceptAll(closed).count() == 0
+
+
+def test_processing_time_event_time(spark):
+    """Event time = processing time: every record of a batch falls in the current windows."""
+    from sessionrate.sources.kafka import decode_envelope
+    recs = spark.createDataFrame([("k", '{"session":"s","type":"killed","actor":{"type":"player"}}',
+                                   T0)] * 3, "key string, value string, timestamp timestamp")
+    env = decode_envelope(recs, event_time="processing")
+    assert env.select(F.countDistinct("event_time")).first()[0] == 1
+    ev = J.decoded_events(recs, event_time="processing")
+    out = R.event_rate(ev, "killed", 3000, 500).collect()
+    assert len(out) == 6 and all(r.value == 1.0 for r in out)
+    now = dt.datetime.now(dt.timezone.utc).timestamp() * 1000
+    assert all(abs(r.window_end_ms - now) < 60_000 for r in out)
