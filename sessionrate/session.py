@@ -26,6 +26,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # mask SASL credentials (the JAAS line holds the password) wherever Spark prints
+    # data-source options: plans, UI, logs
+    "spark.sql.redaction.options.regex": "(?i)url|jaas|password|secret|token",
     # Streaming state lives in RocksDB (spills to disk, like the reference's state
     # backend) instead of the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
