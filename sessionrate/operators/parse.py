@@ -210,7 +210,7 @@ def empty_record_flags(parsed: DataFrame) -> DataFrame:
 def sentinels_to_null(parsed: DataFrame) -> DataFrame:
     """Turn sentinel-profile EMPTY members back into NULL (``nullif`` per struct)."""
     def clean(name, dtype, prefix):
-        c = F.col(name) if "." not in name else F.col(name)
+        c = F.col(name)
         return F.when(~_equals_literal(c, dtype, prefix), c)
 
     actor = clean("actor", S.ACTOR, "actor.")
@@ -232,9 +232,6 @@ def sentinels_to_null(parsed: DataFrame) -> DataFrame:
 # schema conformance (P11)
 # ---------------------------------------------------------------------------
 
-_JSON_TYPE = {T.LongType: "integer", T.IntegerType: "integer", T.StringType: "string"}
-
-
 def _type_check(v: Column, path: str, dtype) -> Column:
     """'<path>: expected <type>' when the member is present but of another JSON type."""
     got = F.schema_of_variant(F.try_variant_get(v, _vpath(path), "variant"))

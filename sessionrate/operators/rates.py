@@ -27,7 +27,6 @@ GROUP_WINDOW_MS, GROUP_SLIDE_MS = 1000, 250        # grouped event lists job
 PLAYER = "player"
 KILLED = "killed"
 MOVE = "move"
-PER_SECOND = " per second"
 # ---------------------------------------------------------------------------
 
 
@@ -183,9 +182,9 @@ def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
     as one state row (RocksDB) until the watermark passes the window end; ``n_events``
     is then the size of the part.  ``stream_parts=1`` gives one list per window.
     """
-    from sessionrate.operators.parse import EVENT_FIELDS  # local: avoid import cycle
+    from sessionrate.operators.parse import event_struct  # local: avoid import cycle
 
-    elem = element if element is not None else F.struct(*[F.col(c) for c in EVENT_FIELDS])
+    elem = element if element is not None else event_struct()
     if events.isStreaming:
         return _windowed_group_stream(events, width_ms, slide_ms, key, time_col, elem,
                                       stream_parts)

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sessionrate.schema import TICS_PER_SECOND
+
 # ---------------------------------------------------------------------------
 # Fixed values of the test adapter (chosen from the event schema's examples).
 # ---------------------------------------------------------------------------
@@ -57,7 +59,7 @@ def game_columns(events: DataFrame) -> DataFrame:
         F.when(eid % 7 == 0, F.upper(t)).otherwise(t).alias("type"),
         F.when(t == "hit", F.floor("value").cast("long")).alias("damage"),
         (ms - F.lit(EPOCH_2024_MS)).alias("millis"),
-        F.floor((ms - F.lit(EPOCH_2024_MS)) * 35 / 1000).cast("int").alias("tic"),
+        F.floor((ms - F.lit(EPOCH_2024_MS)) * TICS_PER_SECOND / 1000).cast("int").alias("tic"),
         F.when(eid % 10 == 1, F.lit(None).cast("string"))
          .when(eid % 10 == 0, F.lit("barrel"))
          .when(eid % 10 == 2, F.lit("PLAYER"))
