@@ -105,16 +105,20 @@ def events_to_records(events: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``min_partitions`` tasks (default: the
-    cluster's cores) when its source yields fewer splits -- e.g. one small file with
-    a single row group.  The per-row work after it (JSON, window expansion, partial
-    aggregation) then runs on every core.  A source that already has enough splits
-    (many files, large row groups) is left as it is: no shuffle is added at scale.
+    """Round-robin ``df`` over ``min_partitions`` tasks (default: the cluster's cores)
+    when its source would keep at most a quarter of them busy -- e.g. one small file
+    with a single row group.  The per-row work after it (JSON, window expansion,
+    partial aggregation) then runs on every core.
+
+    A source with more splits is left alone: re-shuffling raw input only to go from,
+    say, 5,000 to 8,000 tasks costs more than it saves, and at 100 TB a file source
+    has hundreds of thousands of splits anyway.  Streams are always spread (their
+    split count is only known per micro-batch); use it on few-file streams only.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming:
         return df.repartition(want)
-    if df.rdd.getNumPartitions() < want:
+    if df.rdd.getNumPartitions() * 4 <= want:
         return df.repartition(want)
     return df
 
