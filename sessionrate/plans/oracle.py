@@ -302,4 +302,6 @@ SELECT 'accepted' AS outcome, count(*) AS n_records FROM ({_kill_metric(*KILL).r
     "stream_action_rate": _stream(_action_rate(*FINE)),
     "stream_metric_feedback": _stream(_feedback(*KILL)),
     "stream_windowed_group": _stream(_groups(*GROUP)),
+    "stream_session_activity": _stream(_session_activity(*FINE)),
+    "stream_activity_span": _stream(_activity_span(*FINE)),
 }

@@ -327,6 +327,18 @@ def q_stream_action_rate(spark, sf_dir):
     return _run(spark, J.move_rate_job(None, *SCALED["fine"], events=ev), "stream_action_rate")
 
 
+def q_stream_session_activity(spark, sf_dir):
+    """Moves and kills/s of players, one streaming aggregation."""
+    ev = _stream_events(spark, sf_dir)
+    return _run(spark, J.fine_rates_job(None, *SCALED["fine"], events=ev),
+                "stream_session_activity")
+
+
+def q_stream_activity_span(spark, sf_dir):
+    players = R.filter_actor_type(_stream_events(spark, sf_dir), R.PLAYER)
+    return _run(spark, R.activity_span(players, *SCALED["fine"]), "stream_activity_span")
+
+
 def q_stream_windowed_group(spark, sf_dir):
     """Grouped event lists as a stream (one list per window, closed windows only)."""
     g = J.grouped_job(None, *SCALED["group"], events=_stream_events(spark, sf_dir))
@@ -389,4 +401,6 @@ QUERIES = {
     "stream_action_rate": q_stream_action_rate,
     "stream_metric_feedback": q_stream_metric_feedback,
     "stream_windowed_group": q_stream_windowed_group,
+    "stream_session_activity": q_stream_session_activity,
+    "stream_activity_span": q_stream_activity_span,
 }
