@@ -17,6 +17,7 @@ feedback_job    metric records -> feedback sentences
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sessionrate.operators import metrics as M
 from sessionrate.operators import rates as R
@@ -25,14 +26,26 @@ from sessionrate.sources.kafka import decode_envelope
 
 
 def decoded_events(records: DataFrame, defaults: str = "none", on_error: str = "reject",
-                   event_time: str = "record", watermark: str | None = None) -> DataFrame:
+                   event_time: str = "record", watermark: str | None = None,
+                   time_member: str = "frame.millis", time_base_ms: int = 0) -> DataFrame:
     """Records -> parsed events (``key, timestamp, headers, event_time`` + event members).
 
+    event_time: ``record`` (the record timestamp), ``processing`` (wall clock), or
+    ``column``: ``time_base_ms + <time_member>`` milliseconds of the parsed event
+    (``frame.millis`` is relative to the game session, hence the base).
+
     ``watermark`` (a delay such as ``"0 seconds"``, streams only) is attached to the
-    records *before* parsing: the watermark then advances with every source record,
-    as at a source-level watermark, and no filter on event members (which cannot
-    move below the parse) is evaluated before it.
+    records *before* parsing for record/processing time: it then advances with every
+    source record, as a source-level watermark does, and no filter on event members
+    (which cannot move below the parse) is evaluated before it.  For ``column`` time
+    it can only follow the parse.
     """
+    if event_time == "column":
+        env = decode_envelope(records, "record")
+        ev = parse_events(env, defaults=defaults, on_error=on_error)
+        ev = ev.withColumn("event_time", F.timestamp_millis(
+            F.lit(int(time_base_ms)) + F.col(time_member).cast("long")))
+        return ev.withWatermark("event_time", watermark) if watermark is not None else ev
     env = decode_envelope(records, event_time)
     if watermark is not None:
         env = env.withWatermark("event_time", watermark)

@@ -98,3 +98,14 @@ def test_processing_time_event_time(spark):
     assert len(out) == 6 and all(r.value == 1.0 for r in out)
     now = dt.datetime.now(dt.timezone.utc).timestamp() * 1000
     assert all(abs(r.window_end_ms - now) < 60_000 for r in out)
+
+
+def test_event_time_from_a_member_matches_record_time(spark):
+    """frame.millis + the adapter's base is the record time, so the rates agree."""
+    from sessionrate.sources.adapter import EPOCH_2024_MS, game_records
+    recs = game_records(spark, "/root/testdata/sf0.001")
+    by_record = J.kill_rate_job(None, events=J.decoded_events(recs))
+    by_member = J.kill_rate_job(None, events=J.decoded_events(
+        recs, event_time="column", time_member="frame.millis", time_base_ms=EPOCH_2024_MS))
+    assert by_record.count() == by_member.count() > 0
+    assert by_record.exceptAll(by_member).count() == 0
