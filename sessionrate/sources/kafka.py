@@ -55,8 +55,14 @@ def kafka_options(brokers: str = DEFAULT_BROKERS, topic: str | None = DEFAULT_TO
                   mechanism: str | None = DEFAULT_MECHANISM, use_tls: bool = False,
                   for_writer: bool = False, starting_offsets: str = "latest",
                   client_id_prefix: str | None = None,
-                  min_partitions: int | None = None) -> dict[str, str]:
-    """Reader (``subscribe``) or writer (``topic``) options for ``format("kafka")``."""
+                  min_partitions: int | None = None,
+                  group_id_prefix: str | None = None) -> dict[str, str]:
+    """Reader (``subscribe``) or writer (``topic``) options for ``format("kafka")``.
+
+    The consumer group: Spark tracks offsets in the query checkpoint and gives each
+    query its own group id; ``group_id_prefix`` names it (``groupIdPrefix``), so the
+    group shows up under the job's name on the broker.
+    """
     opts = {"kafka.bootstrap.servers": brokers,
             "kafka.security.protocol": security_protocol(use_tls, username)}
     if username:
@@ -74,6 +80,8 @@ def kafka_options(brokers: str = DEFAULT_BROKERS, topic: str | None = DEFAULT_TO
             opts["minPartitions"] = str(int(min_partitions))
         if client_id_prefix:
             opts["kafka.client.id"] = client_id_prefix
+        if group_id_prefix:
+            opts["groupIdPrefix"] = group_id_prefix
     return opts
 
 

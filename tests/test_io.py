@@ -25,6 +25,8 @@ def test_reader_and_writer_options():
     assert r["kafka.sasl.jaas.config"].startswith("org.apache.kafka.common.security.scram.ScramLoginModule required ")
     assert 'username="u" password="p";' in r["kafka.sasl.jaas.config"]
     assert r["startingOffsets"] == "latest" and r["minPartitions"] == "16"
+    g = kafka_options("b:9092", "events", group_id_prefix="kill-rate", client_id_prefix="kr")
+    assert g["groupIdPrefix"] == "kill-rate" and g["kafka.client.id"] == "kr"
     assert "group.instance.id" not in r and "auto.offset.reset" not in r
     w = kafka_options("b:9092", "out", None, None, for_writer=True)
     assert w == {"kafka.bootstrap.servers": "b:9092", "kafka.security.protocol": "PLAINTEXT", "topic": "out"}
