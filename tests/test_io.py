@@ -120,3 +120,16 @@ def test_batch_kafka_read_bounds_offsets(spark, monkeypatch):
     K.read_kafka(FakeSpark(), kafka_options(), streaming=True, include_headers=True)
     assert seen["startingOffsets"] == "latest" and "endingOffsets" not in seen
     assert seen["includeHeaders"] == "true"
+
+
+def test_stream_group_text_sink(spark):
+    """The grouped-events job end to end as a stream: one JSON text line per closed group."""
+    from sessionrate.operators import rates as R
+    g = J.grouped_job(None, *SCALED["group"], events=_stream_events(spark, "/root/testdata/sf0.001"))
+    path = os.path.join(tempfile.mkdtemp(prefix="stream-groups-"), "out")
+    q = sinks.write_text(R.windowed_group_text(g), path, available_now=True)
+    q.awaitTermination()
+    lines = spark.read.json(path)
+    assert lines.count() > 0
+    row = lines.orderBy("window_start_ms").first()
+    assert row["n_parts"] == 1 and row["part"] == 0 and len(row["events"]) >= 1
