@@ -52,7 +52,8 @@ def decoded_events(records: DataFrame, defaults: str = "none", on_error: str = "
     return parse_events(env, defaults=defaults, on_error=on_error)
 
 
-def kill_rate_job(records: DataFrame, event_type: str = R.KILLED, actor_type: str = R.PLAYER,
+def kill_rate_job(records: DataFrame | None = None, event_type: str = R.KILLED,
+                  actor_type: str = R.PLAYER,
                   width_ms: int = R.KILL_WINDOW_MS, slide_ms: int = R.KILL_SLIDE_MS,
                   unit_ms: int = 1000, plan: str = "direct", events: DataFrame | None = None
                   ) -> DataFrame:
@@ -63,7 +64,7 @@ def kill_rate_job(records: DataFrame, event_type: str = R.KILLED, actor_type: st
     return M.to_metric(rates, event_type)
 
 
-def fine_rates_job(records: DataFrame, width_ms: int = R.FINE_WINDOW_MS,
+def fine_rates_job(records: DataFrame | None = None, width_ms: int = R.FINE_WINDOW_MS,
                    slide_ms: int = R.FINE_SLIDE_MS, plan: str = "direct",
                    events: DataFrame | None = None) -> DataFrame:
     """Kills per second and move counts from one windowed stream of players' events."""
@@ -71,14 +72,14 @@ def fine_rates_job(records: DataFrame, width_ms: int = R.FINE_WINDOW_MS,
     return R.session_activity(R.filter_actor_type(ev, R.PLAYER), width_ms, slide_ms, plan=plan)
 
 
-def move_rate_job(records: DataFrame, width_ms: int = R.FINE_WINDOW_MS,
+def move_rate_job(records: DataFrame | None = None, width_ms: int = R.FINE_WINDOW_MS,
                   slide_ms: int = R.FINE_SLIDE_MS, plan: str = "direct",
                   events: DataFrame | None = None) -> DataFrame:
     ev = events if events is not None else decoded_events(records)
     return R.action_rate(ev, R.MOVE, width_ms, slide_ms, plan=plan)
 
 
-def grouped_job(records: DataFrame, width_ms: int = R.GROUP_WINDOW_MS,
+def grouped_job(records: DataFrame | None = None, width_ms: int = R.GROUP_WINDOW_MS,
                 slide_ms: int = R.GROUP_SLIDE_MS, max_rows_per_part: int = 5000,
                 events: DataFrame | None = None) -> DataFrame:
     """Players' events (exact-case ``player``) listed per Kafka key and window."""
