@@ -133,3 +133,12 @@ def test_stream_group_text_sink(spark):
     assert lines.count() > 0
     row = lines.orderBy("window_start_ms").first()
     assert row["n_parts"] == 1 and row["part"] == 0 and len(row["events"]) >= 1
+
+
+def test_bounded_run_stops_a_console_stream(spark):
+    """A stream with no end is stopped after the given seconds (bounded run)."""
+    ev = _stream_events(spark, "/root/testdata/sf0.001")
+    metrics = J.kill_rate_job(None, width_ms=SCALED["kill"][0], slide_ms=SCALED["kill"][1], events=ev)
+    q = sinks.to_console(metrics, prefix="kills: ")
+    sinks.run_for(q, 3)
+    assert not q.isActive
