@@ -9,10 +9,19 @@ inside whole-stage codegen, and no filter can be pushed below it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def with_variant(df: DataFrame, text_col: str, out_col: str = "__v") -> DataFrame:
     """``df`` plus ``out_col`` = ``try_parse_json(text_col)`` (NULL when malformed)."""
     return df.select("*", F.explode(F.array(F.try_parse_json(F.col(text_col)))).alias(out_col))
+
+
+def is_object(v: Column, path: str = "$") -> Column:
+    """The variant member at ``path`` is a JSON object (not absent, null, array, scalar).
+
+    Casting to a one-field struct succeeds only for objects; far cheaper than
+    ``schema_of_variant``, which renders the whole nested type as a string.
+    """
+    return F.try_variant_get(v, path, "struct<__probe: variant>").isNotNull()

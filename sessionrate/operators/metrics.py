@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sessionrate import schema as S
 from sessionrate.functions.formatting import fmt3
-from sessionrate.functions.json import with_variant
+from sessionrate.functions.json import is_object, with_variant
 from sessionrate.operators.windows import WINDOW_END, WINDOW_START
 
 # ---------------------------------------------------------------------------
@@ -77,7 +77,7 @@ def feedback_checked(records: DataFrame, max_bytes: int = S.FEEDBACK_BUFFER_BYTE
     r = with_variant(records.withColumn("__text", F.col("value").cast("string")), "__text")
     v = F.col("__v")
     r = r.select(*cols, "__text",
-                 F.schema_of_variant(v).alias("__root_t"),
+                 is_object(v).alias("__root_obj"),
                  _variant_type(v, "session").alias("__session_t"),
                  _variant_type(v, "metric").alias("__metric_t"),
                  _variant_type(v, "value").alias("__value_t"),
@@ -90,8 +90,7 @@ def feedback_checked(records: DataFrame, max_bytes: int = S.FEEDBACK_BUFFER_BYTE
     text = F.col("__text")
     reason = (F.when(text.isNull() | (F.octet_length(text) == 0), F.lit("empty"))
               .when(F.octet_length(text) > F.lit(max_bytes), F.lit("too big"))
-              .when(F.coalesce(~F.col("__root_t").startswith("OBJECT"), F.lit(True)),
-                    F.lit("not an object"))
+              .when(~F.col("__root_obj"), F.lit("not an object"))
               .when(F.coalesce(F.col("__session_t") != "STRING", F.lit(True)), F.lit("session"))
               .when(F.coalesce(F.col("__metric_t") != "STRING", F.lit(True)), F.lit("metric"))
               .when(F.coalesce(~F.col("__value_t").rlike(r"^(BIGINT|DOUBLE|DECIMAL|FLOAT)"),

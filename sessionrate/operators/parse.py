@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionrate import schema as S
-from sessionrate.functions.json import with_variant
+from sessionrate.functions.json import is_object, with_variant
 
 CORRUPT = "_corrupt_record"
 EVENT_FIELDS = [f.name for f in S.EVENT.fields]
@@ -112,8 +112,7 @@ def _sentinel_struct(v: Column, dtype: T.StructType, prefix: str = "") -> Column
 
 
 def _sentinel_parse(value: Column, v: Column) -> tuple[Column, Column]:
-    is_object = F.schema_of_variant(v).startswith("OBJECT")
-    event = F.when(is_object, _sentinel_struct(v, S.EVENT))
+    event = F.when(is_object(v), _sentinel_struct(v, S.EVENT))
     # malformed text is a reject; empty text and a JSON 'null' are a NULL event
     corrupt = F.when(v.isNull() & (F.trim(value) != ""), value)
     return event, corrupt
@@ -234,10 +233,11 @@ def sentinels_to_null(parsed: DataFrame) -> DataFrame:
 
 def _type_check(v: Column, path: str, dtype) -> Column:
     """'<path>: expected <type>' when the member is present but of another JSON type."""
-    got = F.schema_of_variant(F.try_variant_get(v, _vpath(path), "variant"))
     if isinstance(dtype, T.StructType):
-        ok, want = got.startswith("OBJECT"), "object"
-    elif isinstance(dtype, T.StringType):
+        return F.when(~_is_absent(v, path) & ~is_object(v, _vpath(path)),
+                      F.lit(f"/{path.replace('.', '/')}: expected object"))
+    got = F.schema_of_variant(F.try_variant_get(v, _vpath(path), "variant"))
+    if isinstance(dtype, T.StringType):
         ok, want = got == "STRING", "string"
     else:
         # JSON Schema "integer": a whole number (decimal with zero scale included)
@@ -250,9 +250,7 @@ def _violations(v: Column) -> Column:
     for obj, members in S.REQUIRED_MEMBERS.items():
         for m in members:
             path = f"{obj}.{m}" if obj else m
-            present_parent = (F.lit(True) if not obj else
-                              F.schema_of_variant(F.try_variant_get(v, _vpath(obj), "variant"))
-                              .startswith("OBJECT"))
+            present_parent = F.lit(True) if not obj else is_object(v, _vpath(obj))
             checks.append(F.when(present_parent & _is_absent(v, path),
                                  F.lit(f"/{path.replace('.', '/')}: required")))
     for path, dtype in S.leaf_paths(S.EVENT):
@@ -272,7 +270,7 @@ def schema_violations(df: DataFrame, value_col: str = "value") -> DataFrame:
     cols = df.columns
     parsed = with_variant(df, value_col)
     v = F.col("__v")
-    root_ok = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    root_ok = is_object(v)
     viol = F.when(root_ok, _violations(v)).otherwise(F.array(F.lit("/: expected object")))
     return parsed.select(*cols, viol.alias("violations"))
 
