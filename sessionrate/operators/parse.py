@@ -95,9 +95,10 @@ def _sentinel_struct(v: Column, dtype: T.StructType, prefix: str = "") -> Column
     for f in dtype.fields:
         path = f"{prefix}{f.name}"
         if isinstance(f.dataType, T.StructType):
-            val = (F.when(_is_absent(v, path), _literal_struct(f.dataType, S.sentinel_value, path + "."))
+            # object -> its members; JSON null -> NULL; absent (or not an object) -> EMPTY
+            val = (F.when(is_object(v, _vpath(path)), _sentinel_struct(v, f.dataType, path + "."))
                    .when(_is_json_null(v, path), F.lit(None).cast(f.dataType))
-                   .otherwise(_sentinel_struct(v, f.dataType, path + ".")))
+                   .otherwise(_literal_struct(f.dataType, S.sentinel_value, path + ".")))
         elif isinstance(f.dataType, T.StringType):
             val = (F.when(_is_absent(v, path), F.lit(S.sentinel_value(path, f.dataType)))
                    .otherwise(F.try_variant_get(v, _vpath(path), "string")))
