@@ -235,7 +235,8 @@ def sentinels_to_null(parsed: DataFrame) -> DataFrame:
 def _type_check(v: Column, path: str, dtype) -> Column:
     """'<path>: expected <type>' when the member is present but of another JSON type."""
     if isinstance(dtype, T.StructType):
-        return F.when(~_is_absent(v, path) & ~is_object(v, _vpath(path)),
+        # the (copying) presence test runs only when the cheap object probe fails
+        return F.when(~is_object(v, _vpath(path)) & ~_is_absent(v, path),
                       F.lit(f"/{path.replace('.', '/')}: expected object"))
     got = F.schema_of_variant(F.try_variant_get(v, _vpath(path), "variant"))
     if isinstance(dtype, T.StringType):
@@ -246,13 +247,19 @@ def _type_check(v: Column, path: str, dtype) -> Column:
     return F.when(got.isNotNull() & ~ok, F.lit(f"/{path.replace('.', '/')}: expected {want}"))
 
 
+_OBJECT_PATHS = frozenset(S.object_paths(S.EVENT))
+
+
 def _violations(v: Column) -> Column:
     checks = []
     for obj, members in S.REQUIRED_MEMBERS.items():
         for m in members:
             path = f"{obj}.{m}" if obj else m
             present_parent = F.lit(True) if not obj else is_object(v, _vpath(obj))
-            checks.append(F.when(present_parent & _is_absent(v, path),
+            absent = _is_absent(v, path)
+            if path in _OBJECT_PATHS:     # an object member: probe before copying it
+                absent = ~is_object(v, _vpath(path)) & absent
+            checks.append(F.when(present_parent & absent,
                                  F.lit(f"/{path.replace('.', '/')}: required")))
     for path, dtype in S.leaf_paths(S.EVENT):
         checks.append(_type_check(v, path, dtype))
