@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionrate.functions.predicates import match_flag, type_is
+from sessionrate.session import checkpoint_root
 from sessionrate.operators.windows import (WINDOW_END, WINDOW_START, bounds_ms,
                                            expand_windows, window_column, windowed_aggregate)
 
@@ -164,7 +165,8 @@ def window_summary(events: DataFrame, width_ms: int = FINE_WINDOW_MS,
 def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
                    slide_ms: int = GROUP_SLIDE_MS, key: str = "key",
                    time_col: str = "event_time", max_rows_per_part: int = 5000,
-                   element: Column | None = None, stream_parts: int = 1) -> DataFrame:
+                   element: Column | None = None, stream_parts: int = 1,
+                   reuse: str = "recompute") -> DataFrame:
     """All events of each (key, window) as lists ordered by ``counter`` (A6).
 
     A group is written as ``n_parts = ceil(n / max_rows_per_part)`` rows, so no task
@@ -177,6 +179,12 @@ def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
     The per-group count is joined back on ``(key, window)``; that join has as many
     rows per key as windows, and AQE's skew-join handling splits a hot partition.
 
+    The rows feed two branches (sizes and lists).  ``reuse="recompute"`` (default)
+    evaluates the input twice; ``reuse="checkpoint"`` first writes the projected rows
+    (key, time, order, event) once to the shared checkpoint folder with a reliable
+    ``checkpoint()`` -- cheaper when the input is expensive to produce (re-reading and
+    re-parsing JSON at 100 TB), and the lineage is cut there.  Runs a job when called.
+
     Streaming input (watermark on ``time_col``): the group size is not known before the
     window closes, so a group is dealt to a fixed ``stream_parts`` hash parts, each kept
     as one state row (RocksDB) until the watermark passes the window end; ``n_events``
@@ -190,6 +198,11 @@ def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
                                       stream_parts)
     rows = events.select(F.col(key).alias(key), F.col(time_col),
                          F.col("counter").alias("__order"), elem.alias("__ev"))
+    if reuse == "checkpoint":
+        checkpoint_root(events.sparkSession)      # the shared folder (set only if unset)
+        rows = rows.checkpoint(eager=True)
+    elif reuse != "recompute":
+        raise ValueError("reuse must be 'recompute' or 'checkpoint'")
     rows = expand_windows(rows, width_ms, slide_ms, time_col).select(
         key, WINDOW_START, WINDOW_END, "__order", "__ev")
     sizes = rows.groupBy(key, WINDOW_START).agg(F.count(F.lit(1)).alias("n_events"))

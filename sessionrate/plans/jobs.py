@@ -81,12 +81,14 @@ def move_rate_job(records: DataFrame | None = None, width_ms: int = R.FINE_WINDO
 
 def grouped_job(records: DataFrame | None = None, width_ms: int = R.GROUP_WINDOW_MS,
                 slide_ms: int = R.GROUP_SLIDE_MS, max_rows_per_part: int = 5000,
-                events: DataFrame | None = None) -> DataFrame:
+                events: DataFrame | None = None, reuse: str = "recompute",
+                stream_parts: int = 1) -> DataFrame:
     """Players' events (exact-case ``player``) listed per Kafka key and window."""
     ev = events if events is not None else decoded_events(records)
     players = R.filter_actor_type(ev, R.PLAYER, case_sensitive=True)
     return R.windowed_group(players, width_ms, slide_ms, key="key",
-                            max_rows_per_part=max_rows_per_part)
+                            max_rows_per_part=max_rows_per_part, reuse=reuse,
+                            stream_parts=stream_parts)
 
 
 def feedback_job(metric_records: DataFrame) -> DataFrame:

@@ -52,3 +52,14 @@ def test_stream_parts_reassemble_to_batch_groups(spark):
     closed = {k for k in want if k[1] + width <= max_ms}
     assert set(got) == closed and closed
     assert all(sorted(v) == want[k] for k, v in got.items())
+
+
+def test_checkpointed_rows_give_the_same_groups(spark):
+    from sessionrate.plans.queries import SCALED, _events
+    ev = R.filter_actor_type(_events(spark, "/root/testdata/sf0.001"), "player", case_sensitive=True)
+    a = R.windowed_group(ev, *SCALED["group"], key="key")
+    b = R.windowed_group(ev, *SCALED["group"], key="key", reuse="checkpoint")
+    ja = a.select("key", "window_start_ms", "part", F.to_json("events").alias("j"))
+    jb = b.select("key", "window_start_ms", "part", F.to_json("events").alias("j"))
+    assert ja.count() == jb.count() > 0
+    assert ja.exceptAll(jb).count() == 0 and jb.exceptAll(ja).count() == 0
