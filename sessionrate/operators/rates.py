@@ -205,9 +205,12 @@ def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
         raise ValueError("reuse must be 'recompute' or 'checkpoint'")
     rows = expand_windows(rows, width_ms, slide_ms, time_col).select(
         key, WINDOW_START, WINDOW_END, "__order", "__ev")
-    sizes = rows.groupBy(key, WINDOW_START).agg(F.count(F.lit(1)).alias("n_events"))
+    sizes = (rows.groupBy(key, WINDOW_START).agg(F.count(F.lit(1)).alias("n_events"))
+                 .withColumnRenamed(key, "__sk").withColumnRenamed(WINDOW_START, "__sws"))
     cap = int(max_rows_per_part)
-    dealt = (rows.join(sizes, [key, WINDOW_START])
+    # null-safe on the key: records without a Kafka key form a group too
+    on = F.col(key).eqNullSafe(F.col("__sk")) & (F.col(WINDOW_START) == F.col("__sws"))
+    dealt = (rows.join(sizes, on).drop("__sk", "__sws")
                  .withColumn("n_parts", F.ceil(F.col("n_events") / F.lit(cap)).cast("int"))
                  .withColumn("part", F.when(F.col("n_parts") <= 1, F.lit(0)).otherwise(
                      F.pmod(F.xxhash64("__order", "__ev"), F.col("n_parts")).cast("int"))))

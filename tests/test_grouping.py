@@ -63,3 +63,11 @@ def test_checkpointed_rows_give_the_same_groups(spark):
     jb = b.select("key", "window_start_ms", "part", F.to_json("events").alias("j"))
     assert ja.count() == jb.count() > 0
     assert ja.exceptAll(jb).count() == 0 and jb.exceptAll(ja).count() == 0
+
+
+def test_records_without_key_form_a_group(spark):
+    data = [(None, 1, T0), (None, 2, T0 + dt.timedelta(milliseconds=10)), ("k", 3, T0)]
+    df = spark.createDataFrame(data, "key string, counter long, event_time timestamp")
+    g = R.windowed_group(df, 1000, 1000, key="key", element=F.struct(F.col("counter")))
+    got = {r.key: [e.counter for e in r.events] for r in g.collect()}
+    assert got == {None: [1, 2], "k": [3]}
