@@ -142,3 +142,15 @@ def test_bounded_run_stops_a_console_stream(spark):
     q = sinks.to_console(metrics, prefix="kills: ")
     sinks.run_for(q, 3)
     assert not q.isActive
+
+
+def test_batch_fan_out_and_noop(spark):
+    from sessionrate.plans.queries import _events
+    metrics = J.kill_rate_job(None, width_ms=SCALED["kill"][0], slide_ms=SCALED["kill"][1],
+                              events=_events(spark, "/root/testdata/sf0.001"))
+    seen = []
+    sinks.fan_out(metrics, [lambda df, i: seen.append((i, df.count())),
+                            lambda df, i: seen.append((i, df.select("session").distinct().count()))])
+    assert seen[0][0] == 0 and seen[0][1] == metrics.count() and 0 < seen[1][1] <= seen[0][1]
+    assert not metrics.is_cached
+    assert sinks.to_noop(metrics) is None
