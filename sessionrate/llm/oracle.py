@@ -14,15 +14,13 @@ _TABLE = """
   SELECT i, list((start_at + j * stride) % {size} ORDER BY j) AS slots
   FROM {name}_pref, range({size}) t(j) GROUP BY i),
 {name}_turn AS (
-  SELECT 0 AS step, CAST([] AS BIGINT[]) AS claimed, CAST([] AS BIGINT[]) AS owner
+  SELECT 0 AS step, list_transform(range({size}), lambda x: CAST(-1 AS BIGINT)) AS owner
   UNION ALL
-  SELECT step + 1,
-         list_append(claimed, list_filter(slots, lambda s: NOT list_contains(claimed, s))[1]),
-         list_append(owner, i)
-  FROM {name}_turn JOIN {name}_perm ON i = step % {n}
-  WHERE step < {size}),
+  SELECT step + 1, owner[1:slot] || [CAST(i AS BIGINT)] || owner[slot + 2:]
+  FROM (SELECT step, owner, i, list_filter(slots, lambda s: owner[s + 1] = -1)[1] AS slot
+        FROM {name}_turn JOIN {name}_perm ON i = step % {n} WHERE step < {size}) q),
 {name} AS (
-  SELECT unnest(claimed) AS slot, 'shard-' || lpad(CAST(unnest(owner) AS VARCHAR), 2, '0') AS shard
+  SELECT unnest(range({size})) AS slot, 'shard-' || lpad(CAST(unnest(owner) AS VARCHAR), 2, '0') AS shard
   FROM {name}_turn WHERE step = {size})
 """
 
@@ -38,6 +36,16 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM d LEFT JOIN newest USING (strong)
 """
 
+OP1 = "WITH RECURSIVE " + ",".join(
+    _TABLE.format(name=name, n=n, size=sharding.TABLE_SIZE)
+    for name, n in (("t_all", len(sharding.SHARDS)), ("t_fewer", len(sharding.SHARDS) - 1))) + f"""
+SELECT doc_id, d.slot, t_all.shard AS shard, t_fewer.shard AS shard_with_one_fewer
+FROM (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT)
+             % {sharding.TABLE_SIZE} AS slot FROM documents) d
+JOIN t_all USING (slot) JOIN t_fewer USING (slot)
+"""
+
 ORACLE = {
+    "op1_permutation_table_sharding": OP1,
     "op7_content_addressed_warc": OP7,
 }

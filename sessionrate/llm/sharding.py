@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: prime, over 100 slots per shard (shares then differ by under one per cent)
-TABLE_SIZE = 4099
+TABLE_SIZE = 3203
 SHARDS = tuple(f"shard-{i:02d}" for i in range(32))
 
 
