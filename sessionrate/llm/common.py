@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sessionrate.session import ensure_utc, scratch_path
 
@@ -49,3 +51,37 @@ def hash01(*cols: Column | str, seed: int = 0) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def map_text(df: DataFrame, fn, fields: str, text: str = "text", drop: tuple = ()) -> DataFrame:
+    """Add columns computed from the text column, one Arrow batch at a time.
+
+    ``fn(texts)`` takes a list of ``str | None`` and returns a dict of equally long lists
+    (or Arrow arrays), one per member of ``fields`` (a DDL string).  Input columns named
+    like a new one (in any case) are replaced; ``drop`` names columns that are not carried.
+    """
+    new = T.StructType.fromDDL(fields)
+    gone = {f.name.lower() for f in new} | {c.lower() for c in drop}
+    kept = [c for c in df.columns if c.lower() not in gone]
+    source = "_text_in"
+    rows = df.select(*kept, F.col(text).alias(source))
+    out = T.StructType([f for f in rows.schema if f.name != source] + list(new))
+    kinds = to_arrow_schema(new)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = batch.schema.get_field_index(source)
+            got = fn(batch.column(at).to_pylist())
+            cols = [c for i, c in enumerate(batch.columns) if i != at]
+            names = [n for i, n in enumerate(batch.schema.names) if i != at]
+            for f in kinds:
+                x = got[f.name]
+                cols.append(x if isinstance(x, pa.Array) else pa.array(x, type=f.type))
+                names.append(f.name)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return rows.mapInArrow(run, out)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sessionrate.llm import sharding
+from sessionrate.llm import quality, sharding
 
 # the shards take turns: one recursion step per claim, the table as a list
 _TABLE = """
@@ -45,7 +45,49 @@ FROM (SELECT doc_id, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '
 JOIN t_all USING (slot) JOIN t_fewer USING (slot)
 """
 
+_W = r"[^\x20\x09-\x0D]+"
+_STOCK = " OR ".join(f"contains(lower(line), '{x.decode()}')" for x in quality.BOILERPLATE)
+_SEPARATORS = ", ".join(f"'{x.decode()}'" for x in sorted(quality.SEPARATORS))
+OP3 = rf"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS txt FROM documents),
+b AS (SELECT r, doc_id, regexp_extract_all(txt, '{_W}') AS words,
+             length(regexp_replace(txt, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+             length(txt) - length(regexp_replace(txt, '[#*$%&|<>]', '', 'g')) AS n_symbols FROM t),
+win AS (SELECT r, i, words[i:i + 7] AS w FROM b, unnest(range(1, len(words) - 6)) u(i) WHERE len(words) >= 8),
+again AS (SELECT r, i, count(*) OVER (PARTITION BY r, w) AS n FROM win),
+rep AS (SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM again, range(8) q(k) WHERE n > 1 GROUP BY r),
+ln AS (SELECT r, unnest(string_split(txt, chr(10))) AS line,
+              unnest(range(len(string_split(txt, chr(10))))) AS i FROM t),
+lw AS (SELECT r, i, line, regexp_extract_all(line, '{_W}') AS w,
+              row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again FROM ln
+       WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+fault AS (
+  SELECT r, len(w) AS n, again, CASE
+    WHEN 100 * len(list_filter(w, lambda x: x IN ({_SEPARATORS}))) >= 20 * len(w) THEN 'nav'
+    WHEN 100 * (length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g'))) > 30 * len(w) THEN 'symbols'
+    WHEN len(w) >= 3 AND 100 * len(list_filter(w, lambda x:
+           regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) > 60 * len(w) THEN 'caps'
+    WHEN NOT regexp_matches(line, '[.!?:;…。]["'')\]]*([ \t\x0b\x0c\r]|$)') THEN 'punct'
+    WHEN {_STOCK} THEN 'boilerplate'
+    WHEN len(w) >= 5 AND 100 * len(list_filter(range(2, len(w) + 1), lambda j: w[j] = w[j - 1])) > 50 * len(w)
+      OR again THEN 'repeated' END AS rule
+  FROM lw),
+f AS (SELECT r, count(*) FILTER (again) AS n_dup_lines, coalesce(sum(n) FILTER (rule IS NOT NULL), 0) AS words_lost,
+             {", ".join(f"count(*) FILTER (rule = '{x}') AS lines_{x}" for x in quality.RULES)}
+      FROM fault GROUP BY r),
+a AS (SELECT doc_id, len(words) AS n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+             coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(words_lost, 0) AS words_lost,
+             {", ".join(f"coalesce(lines_{x}, 0) AS lines_{x}" for x in quality.RULES)}
+      FROM b LEFT JOIN rep USING (r) LEFT JOIN f USING (r)),
+v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM a)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND 100 * words_lost <= 40 * n_words AS kept, CAST(words_lost AS BIGINT) AS words_lost,
+       {", ".join(f"lines_{x}" for x in quality.RULES)}
+FROM v
+"""
+
 ORACLE = {
+    "op3_line_first_quality": OP3,
     "op1_permutation_table_sharding": OP1,
     "op7_content_addressed_warc": OP7,
 }

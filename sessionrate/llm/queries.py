@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sessionrate.llm import mixing, sharding, warc
+from sessionrate.llm import mixing, quality, sharding, warc
 from sessionrate.llm.common import read_table, scratch_path
 
 
@@ -15,6 +15,10 @@ def q_op1(spark, sf_dir):
     return sharding.place(docs, shards=names, also={"shard_with_one_fewer": names[:-1]})
 
 
+def q_op3(spark, sf_dir):
+    return quality.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def q_op7(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
     path = scratch_path(spark, "warc")
@@ -32,6 +36,7 @@ def q_op8(spark, sf_dir):
 
 QUERIES = {
     "op1_permutation_table_sharding": q_op1,
+    "op3_line_first_quality": q_op3,
     "op7_content_addressed_warc": q_op7,
     "op8_temperature_mixing": q_op8,
 }
