@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 MIN_REVISIT = 1000
 CRLF = "\r\n"
+NO_PAGE = -(1 << 63)      # stands for a NULL page_id in keys
 ARCHIVE_DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -84,10 +85,11 @@ def typed_headers(rows: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
 def write_archive(pages: DataFrame, path: str, min_revisit: int = MIN_REVISIT, **names) -> None:
     """Write ``path/payloads`` and ``path/headers``."""
     rows = payload_rows(pages, **names)
-    keep = rows.groupBy(F.col("digest").alias("_digest")).agg(F.max("page_id").alias("_page"))
-    same = (F.col("digest") == F.col("_digest")) & F.col("page_id").eqNullSafe(F.col("_page"))
-    once = (rows.join(keep, same, "left_semi")
-                .dropDuplicates(["digest", "page_id"]).select("digest", "payload"))
+    # plain equality on both keys: the join's partitioning then serves the grouping too
+    held = rows.select("digest", F.coalesce("page_id", F.lit(NO_PAGE)).alias("page"), "payload")
+    keep = held.groupBy("digest").agg(F.max("page").alias("page"))
+    once = (held.join(keep, ["digest", "page"], "left_semi")
+                .dropDuplicates(["digest", "page"]).select("digest", "payload"))
     once.write.parquet(f"{path}/payloads")
     (typed_headers(rows, min_revisit)
      .select("digest", header_bytes().alias("header")).write.parquet(f"{path}/headers"))
@@ -118,9 +120,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         "_sha1": F.regexp_extract(_field("WARC-Payload-Digest"), r"sha1:(\w+)", 1),
         "_length": _field("Content-Length").cast("long")})
     out = heads.join(store, "digest", "left")
-    body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
+    response = F.col("record_type") == "response"
+    body = F.when(response, F.col("payload")).otherwise(F.lit(b""))
+    # from the stored payload's checked length: bytes are joined only if `record` is read
     good = (F.col("_sha1").eqNullSafe(F.col("payload_digest"))
-            & F.octet_length(body).eqNullSafe(F.col("_length")))
+            & F.when(response, F.col("payload_bytes")).otherwise(0).eqNullSafe(F.col("_length")))
     tail = F.lit((CRLF + CRLF).encode())
     number = lambda c: F.when(F.col(c) != "", F.col(c).cast("long"))
     return out.select(
