@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sessionrate.llm import mixing, quality, sharding, warc
+from sessionrate.llm import mixing, pii, quality, sharding, simhash, warc
 from sessionrate.llm.common import read_table, scratch_path
 
 
@@ -15,10 +15,22 @@ def q_op1(spark, sf_dir):
     return sharding.place(docs, shards=names, also={"shard_with_one_fewer": names[:-1]})
 
 
+def q_op2(spark, sf_dir):
+    out = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.hex_fp().alias("fingerprint"),
+                      F.col("component").alias("component_id"))
+
+
 def q_op3(spark, sf_dir):
     return quality.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def q_op6(spark, sf_dir):
+    """Every document's text with validated personal values replaced."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs)
+
+
 def q_op7(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages")
     path = scratch_path(spark, "warc")
@@ -36,7 +48,9 @@ def q_op8(spark, sf_dir):
 
 QUERIES = {
     "op1_permutation_table_sharding": q_op1,
+    "op2_simhash_pigeonhole": q_op2,
     "op3_line_first_quality": q_op3,
+    "op6_feistel_pseudonyms": q_op6,
     "op7_content_addressed_warc": q_op7,
     "op8_temperature_mixing": q_op8,
 }
