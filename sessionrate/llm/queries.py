@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sessionrate.llm import mixing, pii, quality, sharding, simhash, warc
+from sessionrate.llm import lz, mixing, pii, quality, sharding, simhash, warc
 from sessionrate.llm.common import read_table, scratch_path
 
 
@@ -25,6 +25,10 @@ def q_op3(spark, sf_dir):
     return quality.score(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def q_op4(spark, sf_dir):
+    return lz.edited_likeness(read_table(spark, sf_dir, "documents"))
+
+
 def q_op6(spark, sf_dir):
     """Every document's text with validated personal values replaced."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,6 +54,7 @@ QUERIES = {
     "op1_permutation_table_sharding": q_op1,
     "op2_simhash_pigeonhole": q_op2,
     "op3_line_first_quality": q_op3,
+    "op4_lz_phrase_fingerprint": q_op4,
     "op6_feistel_pseudonyms": q_op6,
     "op7_content_addressed_warc": q_op7,
     "op8_temperature_mixing": q_op8,
