@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sessionrate.llm import lz, mixing, pii, quality, sharding, simhash, warc
+from sessionrate.llm import langid, lz, mixing, pii, quality, sharding, simhash, warc
 from sessionrate.llm.common import read_table, scratch_path
 
 
@@ -29,6 +29,13 @@ def q_op4(spark, sf_dir):
     return lz.edited_likeness(read_table(spark, sf_dir, "documents"))
 
 
+def q_op5(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    net = langid.train(langid.training_sample(docs))
+    rows = docs.select("doc_id", langid.held_out().alias("held_out"), "text")
+    return langid.identify(rows, net, drop=("text",))
+
+
 def q_op6(spark, sf_dir):
     """Every document's text with validated personal values replaced."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -55,6 +62,7 @@ QUERIES = {
     "op2_simhash_pigeonhole": q_op2,
     "op3_line_first_quality": q_op3,
     "op4_lz_phrase_fingerprint": q_op4,
+    "op5_byte_bigru_langid": q_op5,
     "op6_feistel_pseudonyms": q_op6,
     "op7_content_addressed_warc": q_op7,
     "op8_temperature_mixing": q_op8,
