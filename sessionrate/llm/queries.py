@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sessionrate.llm import langid, lz, mixing, pii, quality, sharding, simhash, warc
+from sessionrate.llm import langid, lz, mixing, pii, quality, sentencepieces, sharding, simhash, warc
 from sessionrate.llm.common import read_table, scratch_path
 
 
@@ -57,6 +57,12 @@ def q_op8(spark, sf_dir):
                       "copies")
 
 
+def q_op10(spark, sf_dir):
+    """Every document's piece ids, and whether they decode to its text."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepieces.with_ids(docs, sentencepieces.read_model(), check=True, drop=("text",))
+
+
 QUERIES = {
     "op1_permutation_table_sharding": q_op1,
     "op2_simhash_pigeonhole": q_op2,
@@ -66,4 +72,5 @@ QUERIES = {
     "op6_feistel_pseudonyms": q_op6,
     "op7_content_addressed_warc": q_op7,
     "op8_temperature_mixing": q_op8,
+    "op10_sentencepiece_viterbi": q_op10,
 }
