@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sessionrate.llm import langid, lz, mixing, pii, quality, sentencepieces, sharding, simhash, warc
+from sessionrate.llm import classlm, langid, lz, mixing, pii, quality, sentencepieces, sharding, simhash, warc
 from sessionrate.llm.common import read_table, scratch_path
 
 
@@ -57,6 +57,10 @@ def q_op8(spark, sf_dir):
                       "copies")
 
 
+def q_op9(spark, sf_dir):
+    return classlm.score(read_table(spark, sf_dir, "documents"))
+
+
 def q_op10(spark, sf_dir):
     """Every document's piece ids, and whether they decode to its text."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -72,5 +76,6 @@ QUERIES = {
     "op6_feistel_pseudonyms": q_op6,
     "op7_content_addressed_warc": q_op7,
     "op8_temperature_mixing": q_op8,
+    "op9_brown_class_lm": q_op9,
     "op10_sentencepiece_viterbi": q_op10,
 }
