@@ -298,14 +298,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group, one row that has the
     smallest key (of several rows with that key, the one of the smallest row hash)."""
-    cols = docs.columns
-    mark = F.xxhash64(*[F.col(c) for c in cols])
-    slim = docs.select(F.col(key), F.col(text), mark.alias("_mark"))
-    fps = materialize(with_fingerprint(slim, text, drop=(text,)), "simhash-fps")
-    of = materialize(groups(fps, key).withColumnRenamed("fp", "_fp"), "simhash-groups")
-    best = (fps.join(of, F.col("fp") == F.col("_fp"))
-               .groupBy("component").agg(F.min(F.struct(F.col(key).isNull(), F.col(key), F.col("_mark"))).alias("b"))
-               .select(F.col(f"b.{key}").alias("_k"), F.col("b._mark").alias("_m")).distinct())
-    rows = docs.withColumn("_mark", mark)
-    same = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_mark") == F.col("_m"))
-    return rows.join(best, same, "left_semi").dropDuplicates([key, "_mark"]).select(*cols)
+    cols = [F.col(c) for c in docs.columns]
+    rows = docs.select(F.struct(*cols).alias("_row"), F.col(key).alias("_key"), F.col(text).alias("_text"),
+                       F.xxhash64(*cols).alias("_mark"))
+    fps = materialize(with_fingerprint(rows.select("_key", "_mark", "_text"), "_text", drop=("_text",)), "simhash-fps")
+    of = groups(fps, "_key").withColumnRenamed("fp", "_fp")
+    first = F.min(F.struct(F.col("_key").isNull().alias("late"), "_key", "_mark"))
+    best = (fps.join(of, F.col("fp") == F.col("_fp")).groupBy("component").agg(first.alias("b"))
+               .select(F.col("b._key").alias("_k"), F.col("b._mark").alias("_m")).distinct())
+    same = F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_mark") == F.col("_m"))
+    return rows.join(best, same, "left_semi").dropDuplicates(["_key", "_mark"]).select("_row.*")
