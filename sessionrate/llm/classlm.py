@@ -161,7 +161,7 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
             n[here] -= row
             n[:, here] -= col
             n[here, here] -= self_
-            right, left = n.sum(axis=1), n.sum(axis=0)
+            right, left = n.sum(axis=1) + col, n.sum(axis=0) + row     # the word's neighbours stay
             gain = np.empty(classes)
             for c in range(classes):
                 r, k = n[c] + row, n[:, c] + col

@@ -220,7 +220,7 @@ class Reader:
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         good = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
         langs, scores = [UND] * len(texts), [0.0] * len(texts)
-        pooled = self.pool([texts[i] for i in good])
+        pooled = self.pool([texts[i] for i in good]).round(5)      # drops the noise of batching
         for i, p in zip(good, pooled):
             k = int(p.argmax())
             langs[i], scores[i] = self.net.langs[k], float(min(1.0, p[k]))

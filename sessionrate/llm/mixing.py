@@ -143,10 +143,13 @@ def plan(docs: DataFrame, source="source", text="text", key="doc_id",
     share = F.col("tokens") / F.lit(float(total or 1))
     weight = F.pow(share, F.lit(mix.exponent)) / F.lit(z)
     empty = F.col("tokens") == 0
+    quota = F.round(F.col("weight") * F.lit(float(mix.budget))).cast("long")
+    if budget == "cover":
+        quota = F.greatest(quota, F.col("tokens"))      # rounding must not cost a document
     full = F.when(empty, 1).otherwise(F.floor(F.col("quota") / F.col("tokens"))).cast("long")
     sources = (sources
                .withColumn("weight", F.when(empty, 0.0).otherwise(weight))
-               .withColumn("quota", F.round(F.col("weight") * F.lit(float(mix.budget))).cast("long"))
+               .withColumn("quota", quota)
                .withColumn("full", full)
                .withColumn("rest", F.col("quota") - F.when(empty, 0).otherwise(F.col("full") * F.col("tokens")))
                .withColumn("blocks", F.ceil(F.col("rows") / F.lit(block_rows)).cast("long")))

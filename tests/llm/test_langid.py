@@ -1,0 +1,86 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from sessionrate.llm import langid as L
+
+from .conftest import edge_rows
+
+SYLLABLES = {"xx": "ka to mi ru sa ne".split(), "yy": "bre lon dur gim pest ald".split(),
+             "zz": "äs öt ür ßin él ñu".split()}
+
+
+def text_of(lang, seed, n=60):
+    rng = random.Random(f"{lang}{seed}")
+    return " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def net():
+    return L.train([(text_of(k, i), k) for k in SYLLABLES for i in range(20)], steps=150)
+
+
+def test_gradients_against_differences():
+    net = L.Net.fresh(["a", "b", "c"], 1, 4)
+    net.params = {k: v.astype(np.float64) for k, v in net.params.items()}
+    rng = np.random.default_rng(0)
+    seq, label = rng.integers(0, 256, (5, 4)).astype(np.uint8), rng.integers(0, 3, 5)
+    _, grads = net.gradients(seq, label)
+    for k, p in net.params.items():
+        at = np.unravel_index(np.argmax(np.abs(grads[k])), p.shape)
+        own, losses = p[at], []
+        for step in (1e-3, -1e-3):
+            p[at] = own + step
+            losses.append(net.gradients(seq, label)[0])
+        p[at] = own
+        assert grads[k][at] == pytest.approx((losses[0] - losses[1]) / 2e-3, rel=1e-2, abs=1e-5)
+
+
+def test_every_position_has_probabilities_and_both_directions_count(net):
+    seq = np.frombuffer(b"lonka lonto ", dtype=np.uint8).reshape(2, 6)
+    prob, _ = net.positions(seq)
+    assert prob.shape == (6, 2, 3) and np.allclose(prob.sum(axis=2), 1, atol=1e-5)
+    assert not np.allclose(prob[0, 0], prob[0, 1])          # the first byte sees the last ones
+
+
+def test_held_out_accuracy(net):
+    reader = L.Reader(net)
+    texts = [(text_of(k, i, 30), k) for k in SYLLABLES for i in range(1000, 1050)]
+    got, scores = reader.predict([t for t, _ in texts])
+    assert np.mean([g == k for g, (_, k) in zip(got, texts)]) > 0.97
+    assert all(0 <= s <= 1 for s in scores)
+
+
+def test_pooling_against_plain_code(net, monkeypatch):
+    monkeypatch.setattr(L, "CACHE_WORDS", 5)
+    reader = L.Reader(net)
+    for text in ["kato bre", "x" * 100 + " ka ka", text_of("zz", 1)]:
+        probs = [net.positions(np.frombuffer(p, dtype=np.uint8)[None])[0][:, 0]
+                 for w in text.encode().split() for p in L.pieces(w)]
+        assert np.allclose(reader.pool([text])[0], np.concatenate(probs).mean(axis=0), atol=1e-5)
+
+
+def test_sample_is_bounded_and_without_held_out_rows(spark):
+    rows = [(i, text_of("xx", i, 5), "xx" if i % 10 else "yy") for i in range(2000)] + [(5000, None, "xx"), (5001, "a", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = L.training_sample(df, limit=30)
+    assert sorted({k for _, k in got}) == ["xx", "yy"] and max(sum(k == x for _, k in got) for x in ("xx", "yy")) == 30
+    held = {t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert not held & {t for t, _ in got} and got == L.training_sample(df.repartition(3), limit=30)
+
+
+def test_awkward_rows(edge, nothing, net):
+    out = L.identify(edge, net)
+    assert out.columns == [c for c in edge.columns if c not in ("lang_pred", "Score")] + ["lang_pred", "score"]
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.text, set()).add((r.lang_pred, r.score))
+    assert all(len(v) == 1 for v in got.values())
+    for text in (None, "", " \t\n ", "4111111111111111 #%&"):
+        assert got[text] == {("und", 0.0)}
+    assert got["x" * 3000] != {("und", 0.0)} and len(out.collect()) == len(edge_rows())
+    assert L.identify(nothing, net).count() == 0
+    assert L.training_sample(nothing) == [] and L.train([]) is None and L.train([("", "a")]) is None
+    assert {r.lang_pred for r in L.identify(edge, None).collect()} == {"und"}

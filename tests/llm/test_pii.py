@@ -1,0 +1,104 @@
+import datetime as dt
+import re
+from collections import Counter
+
+import pytest
+
+from sessionrate.llm import pii
+
+from .conftest import edge_rows
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (2 if i % 2 else 1)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def mod97(iban):
+    flat = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in flat[4:] + flat[:4])) % 97
+
+
+@pytest.fixture(scope="module")
+def run(spark):
+    def of(texts, key=pii.KEY):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        return [(r.text, r.n_pseudonyms) for r in pii.pseudonymise(df, key=key).orderBy("doc_id").collect()]
+    return of
+
+
+def test_cards_keep_format_check_and_links(run):
+    numbers = ["4111111111111111", "5500005555555559", "378282246310005", "4929348385146306"]
+    out = run(numbers + ["a 4111 1111 1111 1111, 4111-1111-1111-1111!"])
+    for old, (new, n) in zip(numbers, out):
+        assert n == 1 and new != old and len(new) == len(old) and luhn(new)
+    spaced = re.findall(r"\d[\d -]{17}\d", out[-1][0])
+    assert [re.sub(r"\D", "", s) for s in spaced] == [out[0][0]] * 2 and spaced[0][4] == " " and spaced[1][4] == "-"
+
+
+def test_numbers_that_fail_their_check_are_left_alone(run):
+    texts = ["9807915762804490", "0000000000000000", "2023-02-30", "DE00370400440532013000", "666-12-3456",
+             "123-00-4567", "300.1.1.1", "1.2.3.4.5", "12345", "no value", "41111111111111112222222", "a@b"]
+    assert run(texts) == [(t, 0) for t in texts]
+
+
+def test_other_kinds(run):
+    texts = ["DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "123-45-6789", "+1 (017) 555-7713", "97.51.17.173",
+             "1999-12-31", "31.12.1999", "1999/12/31", "the.55@mail4.example.com",
+             'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"']
+    out = run(texts)
+    assert all(n == 1 and new != old for old, (new, n) in zip(texts, out))
+    new = [t for t, _ in out]
+    assert mod97(new[0]) == 1 and mod97(new[1]) == 1 and new[1][:2] == "GB" and re.fullmatch(r"[A-Z]{2}\d\d( [A-Z]{4})( \d{4}){3} \d\d", new[1])
+    a, g, s = map(int, new[2].split("-"))
+    assert 0 < a < 900 and a != 666 and g and s
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", new[3])
+    assert all(0 <= int(x) < 256 for x in new[4].split("."))
+    day = dt.date.fromisoformat(new[5])
+    assert new[6] == day.strftime("%d.%m.") + f"{day.year:04d}" and new[7] == new[5].replace("-", "/")
+    assert re.fullmatch(r"[a-z]{3}\.\d\d@mail4\.example\.com", new[8])
+    assert re.fullmatch(r'token = "[0-9a-z]{40}"', new[9])
+
+
+def test_values_beside_marks_and_each_other(run):
+    out, n = run(["(4111111111111111) 4111111111111111***, x@y.org; 4111111111111111"])[0]
+    assert n == 4 and len(set(re.findall(r"\d{16}", out))) == 1 and out.startswith("(") and "***, " in out
+
+
+@pytest.mark.parametrize("pair", [(898, 97), (189, 773), (7, 5)])
+def test_pairs_are_permuted(spark, pair):
+    a, b = pair
+    df = spark.range(a * b).selectExpr(f"id div {b} as a", f"id % {b} as b")
+    out = df.select(pii.permute_pair(df.a, df.b, a, b, "k", "t").alias("p")).select("p.*").distinct()
+    assert out.count() == a * b
+    assert out.filter(f"a < 0 or a >= {a} or b < 0 or b >= {b}").count() == 0
+
+
+def test_strings_are_permuted_within_their_format(spark):
+    df = spark.range(10_000).selectExpr("lpad(id, 4, '0') as v")
+    out = [r.p for r in df.select(pii.permute_text(df.v, "k", "t").alias("p")).collect()]
+    assert sorted(out) == [f"{i:04d}" for i in range(10_000)]
+    mixed = spark.createDataFrame([("aZ9-é" * 20,)], "v string")
+    new = mixed.select(pii.permute_text(mixed.v, "k", "t").alias("p")).first().p
+    assert re.fullmatch(r"(?:[a-z][A-Z]\d-é){20}", new)
+
+
+def test_key_matters(run):
+    assert run(["4111111111111111"], key="a") != run(["4111111111111111"], key="b")
+
+
+def test_awkward_rows_and_plan(edge, nothing):
+    out = pii.pseudonymise(edge)
+    assert out.columns == [c for c in edge.columns if c != "n_pseudonyms"] + ["n_pseudonyms"]
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    for r in edge_rows():
+        if r[0] != 12:
+            assert got[r[0], r[1]] >= 1
+    r = out.filter("doc_id = 12").first()
+    assert r.n_pseudonyms == 1 and luhn(r.text[:16]) and r.text[16:] == " #%&" and r.fp == "fp"
+    assert pii.pseudonymise(nothing).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

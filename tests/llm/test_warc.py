@@ -1,0 +1,72 @@
+import hashlib
+from collections import Counter
+
+import pytest
+
+from sessionrate.llm import warc as W
+
+BIG, BIG2, SMALL = "<p>" + "x" * 1200, "é" * 600, "<p>small"
+SCHEMA = "page_id long, url string, html string, digest string, payload string"
+ROWS = [(i, f"http://a/{i}", h, "d", "p") for i, h in
+        [(1, BIG), (2, BIG), (9, BIG), (4, SMALL), (5, SMALL), (6, None), (7, ""), (8, BIG2), (3, BIG2),
+         (10, "y" * 1000), (11, "y" * 1000), (12, "z" * 999), (13, "z" * 999)]]
+ROWS += [(9, "http://a/9", BIG, "d", "p"), (None, None, BIG, "d", "p"), (14, "http://a\r\nX: y", "u", "d", "p")]
+
+
+def want(rows):
+    newest = {}
+    for page, _, html, *_ in rows:
+        body = (html or "").encode()
+        if page is not None and len(body) >= 1000:
+            newest[body] = max(newest.get(body, page), page)
+    out = Counter()
+    for page, _, html, *_ in rows:
+        body = (html or "").encode()
+        of = newest.get(body)
+        revisit = of is not None and of != page
+        out[page, len(body), hashlib.sha1(body).hexdigest(), "revisit" if revisit else "response", of if revisit else None] += 1
+    return out
+
+
+def archive(spark, rows, path):
+    W.write_archive(spark.createDataFrame(rows, SCHEMA).repartition(4), path)
+    return W.read_records(spark, path)
+
+
+def test_round_trip(spark, tmp_path):
+    got = archive(spark, ROWS, str(tmp_path / "a")).collect()
+    key = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert Counter(tuple(r[k] for k in key) for r in got) == want(ROWS)
+    for r in got:
+        head, _, body = bytes(r.record).partition(b"\r\n\r\n")
+        fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+        assert head.startswith(b"WARC/1.1\r\n") and body.endswith(b"\r\n\r\n")
+        assert int(fields["Content-Length"]) == len(body) - 4
+        assert fields["WARC-Payload-Digest"] == "sha1:" + r.payload_digest
+        if r.record_type == "response":
+            assert hashlib.sha1(body[:-4]).hexdigest() == r.payload_digest
+        else:
+            assert body == b"\r\n\r\n" and fields["WARC-Refers-To"] == f"<urn:x-page:{r.refers_to}>"
+    odd = next(bytes(r.record) for r in got if r.page_id == 14)
+    assert b"WARC-Target-URI: http://a%0D%0AX: y\r\n" in odd
+
+
+def test_payloads_are_stored_once(spark, tmp_path):
+    archive(spark, ROWS * 3, str(tmp_path / "a"))
+    store = spark.read.parquet(str(tmp_path / "a/payloads"))
+    bodies = {(r[2] or "").encode() for r in ROWS}
+    assert store.count() == len(bodies) and {bytes(r.payload) for r in store.collect()} == bodies
+
+
+def test_changed_payloads_are_noticed(spark, tmp_path):
+    W.write_archive(spark.createDataFrame(ROWS, SCHEMA), str(tmp_path / "a"))
+    store = spark.read.parquet(str(tmp_path / "a/payloads"))
+    (store.selectExpr("digest", "cast(concat(cast(payload as string), '!') as binary) as payload")
+     .write.parquet(str(tmp_path / "b/payloads")))
+    spark.read.parquet(str(tmp_path / "a/headers")).write.parquet(str(tmp_path / "b/headers"))
+    with pytest.raises(Exception, match="does not match its digest"):
+        W.read_records(spark, str(tmp_path / "b")).collect()
+
+
+def test_no_pages(spark, tmp_path):
+    assert archive(spark, [], str(tmp_path / "a")).count() == 0
