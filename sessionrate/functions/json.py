@@ -13,12 +13,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: path of the text itself in the variant of :func:`with_variant`
+EVENT_ROOT = "$.e"
+
+
+def wrapped(text: Column) -> Column:
+    """``{"e": <text>, "end": 1}``: valid JSON with both members exactly if ``text`` is one JSON
+    value.  (Spark's JSON readers stop after the first value and ignore what follows.)"""
+    return F.concat(F.lit('{"e":'), text, F.lit('\n,"end":1}'))
+
+
 def with_variant(df: DataFrame, text_col: str, out_col: str = "__v") -> DataFrame:
-    """``df`` plus ``out_col`` = ``try_parse_json(text_col)`` (NULL when malformed)."""
-    return df.select("*", F.explode(F.array(F.try_parse_json(F.col(text_col)))).alias(out_col))
+    """``df`` plus ``out_col``: the variant of the wrapped text (NULL when malformed or
+    followed by more text), with the text's value at ``EVENT_ROOT``."""
+    v = F.try_parse_json(wrapped(F.col(text_col)))
+    parsed = df.select("*", F.explode(F.array(v)).alias(out_col))
+    one = F.try_variant_get(F.col(out_col), "$.end", "int") == 1
+    return parsed.withColumn(out_col, F.when(one, F.col(out_col)))
 
 
-def is_object(v: Column, path: str = "$") -> Column:
+def is_object(v: Column, path: str = EVENT_ROOT) -> Column:
     """The variant member at ``path`` is a JSON object (not absent, null, array, scalar).
 
     Casting to a one-field struct succeeds only for objects; far cheaper than

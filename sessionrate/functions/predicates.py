@@ -30,9 +30,9 @@ def type_is(col, value: str, case_sensitive: bool = False,
     return F.lower(c) == F.lower(F.lit(value))
 
 
-def is_blank(col) -> Column:
-    """NULL, empty or only whitespace (Java ``String.isBlank`` semantics)."""
-    return F.coalesce(_col(col), F.lit("")).rlike(r"^\s*$")
+def is_blank_text(text: str | None) -> bool:
+    """A setting that is missing, empty or only white space."""
+    return not (text or "").strip()
 
 
 def match_flag(col, value: str, case_sensitive: bool = False) -> Column:

@@ -1,15 +1,22 @@
 """JSON text -> typed game events, plus the record-level checks around it.
 
-All parsing is done by Spark's own JSON readers inside the JVM:
-
-* ``from_json`` for the ``none`` and ``schema`` default profiles (one pass straight
-  into the nested struct);
-* ``try_parse_json`` (VARIANT) + ``try_variant_get`` for the ``sentinel`` profile and
-  the schema checks, because only the variant keeps *absent* and *JSON null* apart.
+One rule for all default profiles.  A record is a *reject* when its text is not one JSON
+object -- malformed, cut, or followed by more text; an array or a scalar -- or when a member
+of the schema has the wrong type: a number member that is not a whole JSON number in range
+(``"12"``, ``1.5``, ``true`` and 99999999999 for an INT are wrong), an object member that is
+not an object.  A string member takes any other JSON value as its text.  Of a repeated
+member name the last one counts.  JSON ``null``, blank and missing text is a NULL event, not
+a reject; a JSON null member is a NULL (``sentinel``: see below).
+
+The text is parsed once by ``from_json`` into the nested struct.  It is wrapped first,
+``{"e": <text>, "end": 1}``, so text after the object breaks the parse or hides ``end``.
+``try_parse_json`` (VARIANT) is used besides only where *absent* and *JSON null* must be
+told apart: the ``sentinel`` profile and the schema checks.
 
 Output of :func:`parse_events`: the input columns except the raw text, the event's
 members as top-level columns (``session, counter, type, damage, frame, actor,
-target``) and ``_corrupt_record`` (the raw text of a malformed row, else NULL).
+target``) and ``_corrupt_record`` (the raw text of a rejected row, else NULL; the
+members of a rejected row are NULL).
 """
 
 from __future__ import annotations
@@ -19,26 +26,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionrate import schema as S
-from sessionrate.functions.json import is_object, with_variant
+from sessionrate.functions.json import EVENT_ROOT, is_object, with_variant, wrapped
 
 CORRUPT = "_corrupt_record"
 EVENT_FIELDS = [f.name for f in S.EVENT.fields]
 
 
 # ---------------------------------------------------------------------------
-# from_json based parsing
+# parsing
 # ---------------------------------------------------------------------------
 
-def _from_json(value: Column, on_error: str) -> Column:
-    if on_error == "reject":
-        sch = T.StructType(S.EVENT.fields + [T.StructField(CORRUPT, T.StringType())])
-        return F.from_json(value, sch, {"mode": "PERMISSIVE",
-                                        "columnNameOfCorruptRecord": CORRUPT})
-    if on_error == "fail":
-        return F.from_json(value, S.EVENT, {"mode": "FAILFAST"})
-    if on_error == "null":
-        return F.from_json(value, S.EVENT, {"mode": "PERMISSIVE"})
-    raise ValueError("on_error must be 'reject', 'null' or 'fail'")
+_WRAPPED = T.StructType([T.StructField("e", S.EVENT), T.StructField("end", T.IntegerType()),
+                         T.StructField(CORRUPT, T.StringType())])
+_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
+
+
+def _with_event(df: DataFrame, value_col: str) -> DataFrame:
+    """``df`` plus ``__ev`` (typed event, NULL for rejects) and ``__bad`` (rejected).
+
+    One-element explode: the text is parsed once per row and no later filter (e.g. on
+    actor.type) is pushed below the parse, which would re-parse it.
+    """
+    parsed = F.from_json(wrapped(F.col(value_col)), _WRAPPED, _OPTIONS)
+    df = df.select("*", F.explode(F.array(parsed)).alias("__p"))
+    p = F.col("__p")
+    blank = F.coalesce(F.trim(F.col(value_col)) == "", F.lit(True))
+    bad = ~blank & (p[CORRUPT].isNotNull() | ~F.coalesce(p["end"] == 1, F.lit(False)))
+    return df.select("*", bad.alias("__bad"), F.when(~bad, p["e"]).alias("__ev")).drop("__p")
 
 
 def _literal_struct(dtype: T.StructType, leaf_value, prefix: str = "") -> Column:
@@ -69,56 +83,38 @@ def _fill_schema_defaults(col: Column, dtype: T.StructType, prefix: str = "") ->
     return F.struct(*parts)
 
 
-# ---------------------------------------------------------------------------
-# variant based parsing (sentinel profile)
-# ---------------------------------------------------------------------------
-
 def _vpath(path: str) -> str:
-    return "$." + path
+    return f"{EVENT_ROOT}.{path}"
 
 
 def _is_absent(v: Column, path: str) -> Column:
     return F.try_variant_get(v, _vpath(path), "variant").isNull()
 
 
-def _is_json_null(v: Column, path: str) -> Column:
-    return F.is_variant_null(F.try_variant_get(v, _vpath(path), "variant"))
-
-
-def _sentinel_struct(v: Column, dtype: T.StructType, prefix: str = "") -> Column:
-    """Members of the object at ``prefix`` with the Java model's fill rules.
+def _fill_sentinels(ev: Column, v: Column, dtype: T.StructType, prefix: str = "") -> Column:
+    """The typed members with the Java model's fill rules.
 
     absent member -> sentinel; JSON null -> NULL for objects and strings, sentinel
-    for numbers (a primitive field cannot hold null); else the typed value.
+    for numbers (a primitive field cannot hold null); else the typed value.  (Where the
+    variant is NULL, a NULL member counts as absent.)
     """
     parts = []
     for f in dtype.fields:
-        path = f"{prefix}{f.name}"
+        path, child = f"{prefix}{f.name}", ev.getField(f.name)
         if isinstance(f.dataType, T.StructType):
-            # object -> its members; JSON null -> NULL; absent (or not an object) -> EMPTY
-            val = (F.when(is_object(v, _vpath(path)), _sentinel_struct(v, f.dataType, path + "."))
-                   .when(_is_json_null(v, path), F.lit(None).cast(f.dataType))
-                   .otherwise(_literal_struct(f.dataType, S.sentinel_value, path + ".")))
+            val = (F.when(child.isNotNull(), _fill_sentinels(child, v, f.dataType, path + "."))
+                   .when(_is_absent(v, path), _literal_struct(f.dataType, S.sentinel_value, path + ".")))
         elif isinstance(f.dataType, T.StringType):
-            val = (F.when(_is_absent(v, path), F.lit(S.sentinel_value(path, f.dataType)))
-                   .otherwise(F.try_variant_get(v, _vpath(path), "string")))
+            val = F.when(child.isNull() & _is_absent(v, path),
+                         F.lit(S.sentinel_value(path, f.dataType))).otherwise(child)
         elif path == "damage":
-            # not a member of the Java model: no sentinel, kept as parsed
-            val = F.try_variant_get(v, _vpath(path), f.dataType.simpleString())
+            val = child          # not a member of the Java model: no sentinel, kept as parsed
         else:
-            val = F.coalesce(F.try_variant_get(v, _vpath(path), f.dataType.simpleString()),
-                             F.lit(S.sentinel_value(path, f.dataType)).cast(f.dataType))
+            val = F.coalesce(child, F.lit(S.sentinel_value(path, f.dataType)).cast(f.dataType))
         parts.append(val.alias(f.name))
     return F.struct(*parts)
 
 
-def _sentinel_parse(value: Column, v: Column) -> tuple[Column, Column]:
-    event = F.when(is_object(v), _sentinel_struct(v, S.EVENT))
-    # malformed text is a reject; empty text and a JSON 'null' are a NULL event
-    corrupt = F.when(v.isNull() & (F.trim(value) != ""), value)
-    return event, corrupt
-
-
 # ---------------------------------------------------------------------------
 # public operators
 # ---------------------------------------------------------------------------
@@ -129,38 +125,27 @@ def parse_events(df: DataFrame, value_col: str = "value", defaults: str = "none"
 
     defaults: ``none`` (absent member -> NULL), ``sentinel`` (the Java model's
     sentinels, absent and JSON null told apart), ``schema`` (JSON Schema defaults).
-    on_error: ``reject`` (raw text kept in ``_corrupt_record``), ``null`` (a row of
-    NULLs), ``fail`` (raise on the first malformed row).
+    on_error, for rejects: ``reject`` (raw text kept in ``_corrupt_record``), ``null``
+    (a row of NULLs), ``fail`` (raise on the first one).
     """
-    value = F.col(value_col)
+    if defaults not in ("none", "sentinel", "schema"):
+        raise ValueError("defaults must be 'none', 'sentinel' or 'schema'")
+    if on_error not in ("reject", "null", "fail"):
+        raise ValueError("on_error must be 'reject', 'null' or 'fail'")
     keep = [c for c in df.columns if c != value_col or keep_value]
+    rows = with_variant(df, value_col) if defaults == "sentinel" else df
+    rows = _with_event(rows, value_col)
+    event, corrupt = F.col("__ev"), F.when(F.col("__bad"), F.col(value_col))
     if defaults == "sentinel":
-        # parse the text once into a column; every member below reads that variant
-        df = with_variant(df, value_col)
-        event, corrupt = _sentinel_parse(value, F.col("__v"))
-        if on_error == "fail":
-            corrupt = F.when(corrupt.isNotNull(),
-                             F.raise_error(F.concat(F.lit("malformed event: "), corrupt)))
-        elif on_error == "null":
-            corrupt = F.lit(None).cast("string")
-        tmp = df.select(*keep, event.alias("__ev"), corrupt.alias(CORRUPT))
-    else:
-        parsed = _from_json(value, on_error)
-        # one-element explode: the text is parsed once per row and no later filter
-        # (e.g. on actor.type) is pushed below the parse, which would re-parse it
-        tmp = df.select(*keep, F.explode(F.array(parsed)).alias("__ev"))
-        if on_error == "reject":
-            tmp = tmp.withColumn(CORRUPT, F.col("__ev").getField(CORRUPT))
-        else:
-            tmp = tmp.withColumn(CORRUPT, F.lit(None).cast("string"))
-        if defaults == "schema":
-            ev = F.col("__ev")
-            as_parsed = F.when(ev.isNotNull(), F.struct(*[ev.getField(n).alias(n) for n in EVENT_FIELDS]))
-            tmp = tmp.withColumn("__ev", F.when(
-                ev.isNotNull() & F.col(CORRUPT).isNull(),
-                _fill_schema_defaults(ev, S.EVENT)).otherwise(as_parsed))
-        elif defaults != "none":
-            raise ValueError("defaults must be 'none', 'sentinel' or 'schema'")
+        event = F.when(event.isNotNull(), _fill_sentinels(event, F.col("__v"), S.EVENT))
+    elif defaults == "schema":
+        event = F.when(event.isNotNull(), _fill_schema_defaults(event, S.EVENT))
+    if on_error == "fail":
+        corrupt = F.when(corrupt.isNotNull(),
+                         F.raise_error(F.concat(F.lit("malformed event: "), corrupt)))
+    elif on_error == "null":
+        corrupt = F.lit(None).cast("string")
+    tmp = rows.select(*keep, event.alias("__ev"), corrupt.alias(CORRUPT))
     return tmp.select(*keep, *[F.col("__ev").getField(n).alias(n) for n in EVENT_FIELDS],
                       F.col(CORRUPT))
 
@@ -176,11 +161,6 @@ def event_struct() -> Column:
     return F.struct(*[F.col(n) for n in EVENT_FIELDS])
 
 
-def event_to_json() -> Column:
-    """Event members -> JSON text (NULL members omitted, like the Java serializer)."""
-    return F.to_json(event_struct())
-
-
 # ---------------------------------------------------------------------------
 # empty-record test (P10) and sentinel clean-up
 # ---------------------------------------------------------------------------
@@ -207,25 +187,31 @@ def empty_record_flags(parsed: DataFrame) -> DataFrame:
     )
 
 
+def _nullif_sentinels(col: Column, dtype: T.StructType, prefix: str) -> Column:
+    """Members equal to their sentinel -> NULL; an object left without members -> NULL."""
+    parts = []
+    for f in dtype.fields:
+        path, child = f"{prefix}{f.name}", col.getField(f.name)
+        if isinstance(f.dataType, T.StructType):
+            parts.append(_nullif_sentinels(child, f.dataType, path + ".").alias(f.name))
+        else:
+            gone = F.lit(S.sentinel_value(path, f.dataType)).cast(f.dataType)
+            parts.append(F.nullif(child, gone).alias(f.name))
+    cleaned = F.struct(*parts)
+    some = F.coalesce(*[F.when(cleaned.getField(f.name).isNotNull(), F.lit(True)) for f in dtype.fields])
+    return F.when(some, cleaned)
+
+
 def sentinels_to_null(parsed: DataFrame) -> DataFrame:
-    """Turn sentinel-profile EMPTY members back into NULL (``nullif`` per struct)."""
-    def clean(name, dtype, prefix):
-        c = F.col(name)
-        return F.when(~_equals_literal(c, dtype, prefix), c)
-
-    actor = clean("actor", S.ACTOR, "actor.")
-    actor = F.when(actor.isNotNull(), actor.withField(
-        "position", F.when(~_equals_literal(F.col("actor.position"), S.POSITION,
-                                            "actor.position."), F.col("actor.position"))))
-    target = clean("target", S.ACTOR, "target.")
-    target = F.when(target.isNotNull(), target.withField(
-        "position", F.when(~_equals_literal(F.col("target.position"), S.POSITION,
-                                            "target.position."), F.col("target.position"))))
-    return parsed.withColumns({
-        "frame": clean("frame", S.FRAME, "frame."),
-        "actor": actor,
-        "target": target,
-    })
+    """Undo the sentinel fill: every member that holds its sentinel becomes NULL (strings and
+    numbers too), and an object of which nothing is left becomes NULL."""
+    out = {}
+    for f in S.EVENT.fields:
+        if isinstance(f.dataType, T.StructType):
+            out[f.name] = _nullif_sentinels(F.col(f.name), f.dataType, f.name + ".")
+        elif f.name != "damage":          # has no sentinel
+            out[f.name] = F.nullif(F.col(f.name), F.lit(S.sentinel_value(f.name, f.dataType)))
+    return parsed.withColumns(out)
 
 
 # ---------------------------------------------------------------------------
@@ -273,12 +259,13 @@ def schema_violations(df: DataFrame, value_col: str = "value") -> DataFrame:
 
     Checks the required members of every object (an absent optional object is not
     looked into) and the JSON type (integer / string / object) of every member.
-    Text that is not a JSON object gives the single violation ``/: expected object``.
+    Text that is not one JSON object (see the module's rule) gives the single violation
+    ``/: expected object``.
     """
     cols = df.columns
     parsed = with_variant(df, value_col)
     v = F.col("__v")
-    root_ok = is_object(v)
+    root_ok = is_object(v, EVENT_ROOT)
     viol = F.when(root_ok, _violations(v)).otherwise(F.array(F.lit("/: expected object")))
     return parsed.select(*cols, viol.alias("violations"))
 

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionrate.functions.predicates import match_flag, type_is
-from sessionrate.session import checkpoint_root
 from sessionrate.operators.windows import (WINDOW_END, WINDOW_START, bounds_ms,
                                            expand_windows, window_column, windowed_aggregate)
 
@@ -28,6 +27,7 @@ GROUP_WINDOW_MS, GROUP_SLIDE_MS = 1000, 250        # grouped event lists job
 PLAYER = "player"
 KILLED = "killed"
 MOVE = "move"
+SUMMARY = "(key: %s, sz: %d, start: %d, end: %d)"  # log line of a window
 # ---------------------------------------------------------------------------
 
 
@@ -53,8 +53,8 @@ def filter_event_type(df: DataFrame, event_type: str, case_sensitive: bool = Fal
 
 def event_rate(events: DataFrame, event_type: str = KILLED, width_ms: int = KILL_WINDOW_MS,
                slide_ms: int = KILL_SLIDE_MS, unit_ms: int = 1000, key: str = "session",
-               formula: str = "scaled", time_col: str = "event_time", plan: str = "direct",
-               keep_window: bool = False) -> DataFrame:
+               formula: str = "scaled", time_col: str = "event_time",
+               plan: str = "direct") -> DataFrame:
     """Rate of ``event_type`` events per ``unit_ms`` in each (key, window) (A1/A2).
 
     Every row of the input counts towards the window's existence, only matching rows
@@ -65,7 +65,7 @@ def event_rate(events: DataFrame, event_type: str = KILLED, width_ms: int = KILL
     """
     flagged = events.withColumn("__hit", match_flag(F.col("type"), event_type))
     out = windowed_aggregate(flagged, [key], [("__n", "count_if", F.col("__hit"))],
-                             width_ms, slide_ms, time_col, plan, keep_window)
+                             width_ms, slide_ms, time_col, plan)
     n = F.col("__n")
     if formula == "scaled":
         value = (F.lit(float(unit_ms)) * n) / F.lit(width_ms)
@@ -74,24 +74,21 @@ def event_rate(events: DataFrame, event_type: str = KILLED, width_ms: int = KILL
             ((n * F.lit(1.0)) / F.lit(width_ms)) * F.lit(1000.0))
     else:
         raise ValueError("formula must be 'scaled' or 'per_width'")
-    extra = ["window"] if keep_window else []
-    return out.select(key, WINDOW_START, WINDOW_END, value.alias("value"), *extra)
+    return out.select(key, WINDOW_START, WINDOW_END, value.alias("value"))
 
 
 def event_count(events: DataFrame, event_type: str = MOVE, width_ms: int = FINE_WINDOW_MS,
                 slide_ms: int = FINE_SLIDE_MS, key: str = "session",
-                time_col: str = "event_time", plan: str = "direct",
-                keep_window: bool = False) -> DataFrame:
+                time_col: str = "event_time", plan: str = "direct") -> DataFrame:
     """Number of ``event_type`` events per (key, window); no zero rows (A3)."""
     matching = filter_event_type(events, event_type)
-    out = windowed_aggregate(matching, [key], [("count", "count", None)],
-                             width_ms, slide_ms, time_col, plan, keep_window)
-    return out
+    return windowed_aggregate(matching, [key], [("count", "count", None)],
+                              width_ms, slide_ms, time_col, plan)
 
 
 def action_rate(events: DataFrame, action: str = MOVE, width_ms: int = FINE_WINDOW_MS,
                 slide_ms: int = FINE_SLIDE_MS, time_col: str = "event_time",
-                plan: str = "direct", keep_window: bool = False) -> DataFrame:
+                plan: str = "direct") -> DataFrame:
     """Python job's rate: exact-case type match, no actor filter, FLOAT value (A4).
 
     Output ``session, window_start_ms, window_end_ms, value FLOAT, max_timestamp, action``
@@ -100,14 +97,13 @@ def action_rate(events: DataFrame, action: str = MOVE, width_ms: int = FINE_WIND
     matching = (filter_event_type(events, action, case_sensitive=True, missing_as_empty=True)
                 .withColumn("session", F.coalesce(F.col("session"), F.lit(""))))
     out = windowed_aggregate(matching, ["session"], [("__n", "count", None)],
-                             width_ms, slide_ms, time_col, plan, keep_window)
+                             width_ms, slide_ms, time_col, plan)
     seconds = (F.col(WINDOW_END) - F.col(WINDOW_START)) / F.lit(1000.0)
-    extra = ["window"] if keep_window else []
     return out.select(
         "session", WINDOW_START, WINDOW_END,
         (F.col("__n").cast("double") / seconds).cast("float").alias("value"),
         (F.col(WINDOW_END) - 1).alias("max_timestamp"),
-        F.lit(action).alias("action"), *extra)
+        F.lit(action).alias("action"))
 
 
 def session_activity(events: DataFrame, width_ms: int = FINE_WINDOW_MS,
@@ -153,7 +149,7 @@ def window_summary(events: DataFrame, width_ms: int = FINE_WINDOW_MS,
     """One log line ``(key: k, sz: n, start: s, end: e)`` per (key, window) (A5)."""
     out = windowed_aggregate(events, [key], [("size", "count", None)],
                              width_ms, slide_ms, time_col, plan)
-    text = F.format_string("(key: %s, sz: %d, start: %d, end: %d)", F.col(key),
+    text = F.format_string(SUMMARY, F.col(key),
                            F.col("size"), F.col(WINDOW_START), F.col(WINDOW_END))
     return out.select(key, WINDOW_START, WINDOW_END, "size", text.alias("summary"))
 
@@ -162,76 +158,47 @@ def window_summary(events: DataFrame, width_ms: int = FINE_WINDOW_MS,
 # grouped event lists (A6)
 # ---------------------------------------------------------------------------
 
+#: parts that every (key, window) group is dealt to
+GROUP_PARTS = 8
+
+
 def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
                    slide_ms: int = GROUP_SLIDE_MS, key: str = "key",
-                   time_col: str = "event_time", max_rows_per_part: int = 5000,
-                   element: Column | None = None, stream_parts: int = 1,
-                   reuse: str = "recompute") -> DataFrame:
+                   time_col: str = "event_time", parts: int = GROUP_PARTS,
+                   deal_by: str | None = None, element: Column | None = None) -> DataFrame:
     """All events of each (key, window) as lists ordered by ``counter`` (A6).
 
-    A group is written as ``n_parts = ceil(n / max_rows_per_part)`` rows, so no task
-    ever holds more than about ``max_rows_per_part`` events of one group, however hot
-    the key: rows are dealt to parts by a hash of the event, each part is sorted on
-    its own.  Concatenating the parts of a group and ordering by ``counter`` restores
-    the full list; nothing is dropped.  Output: ``key, window_start_ms, window_end_ms,
-    n_events, part, n_parts, events`` (array of event structs).
-
-    The per-group count is joined back on ``(key, window)``; that join has as many
-    rows per key as windows, and AQE's skew-join handling splits a hot partition.
-
-    The rows feed two branches (sizes and lists).  ``reuse="recompute"`` (default)
-    evaluates the input twice; ``reuse="checkpoint"`` first writes the projected rows
-    (key, time, order, event) once to the shared checkpoint folder with a reliable
-    ``checkpoint()`` -- cheaper when the input is expensive to produce (re-reading and
-    re-parsing JSON at 100 TB), and the lineage is cut there.  Runs a job when called.
-
-    Streaming input (watermark on ``time_col``): the group size is not known before the
-    window closes, so a group is dealt to a fixed ``stream_parts`` hash parts, each kept
-    as one state row (RocksDB) until the watermark passes the window end; ``n_events``
-    is then the size of the part.  ``stream_parts=1`` gives one list per window.
+    A group is written as up to ``parts`` rows, so no task holds more than about
+    ``1 / parts`` of a group, however hot the key: a row goes to part ``deal_by mod
+    parts``, whatever the size of its group.  ``deal_by`` is the record's ``offset`` where
+    there is one (consecutive records of a topic partition take turns, equal ones too),
+    else ``counter``.  Each part is sorted on its own (by counter, then the event); the
+    parts of a group together, ordered by ``counter``, are the full list; nothing is
+    dropped, and ``parts=1`` gives one row per group.  Output: ``key, window_start_ms,
+    window_end_ms, n_events`` (in this part), ``part, n_parts, events`` (array of structs);
+    parts without events have no row.
+
+    One parse and one shuffle, on (key, window, part), of the projected rows.  The same
+    for batch and streaming input (watermark on ``time_col``), where each part is a state
+    row (RocksDB) until the watermark passes the window's end.
     """
     from sessionrate.operators.parse import event_struct  # local: avoid import cycle
 
     elem = element if element is not None else event_struct()
+    deal = F.col(deal_by or ("offset" if "offset" in events.columns else "counter"))
+    part = F.pmod(F.coalesce(deal, F.lit(0)), F.lit(int(parts))).cast("int").alias("part")
+    rows = events.select(F.col(key).alias(key), F.col(time_col), part,
+                         F.struct(F.col("counter").alias("__order"), elem.alias("__ev")).alias("__row"))
     if events.isStreaming:
-        return _windowed_group_stream(events, width_ms, slide_ms, key, time_col, elem,
-                                      stream_parts)
-    rows = events.select(F.col(key).alias(key), F.col(time_col),
-                         F.col("counter").alias("__order"), elem.alias("__ev"))
-    if reuse == "checkpoint":
-        checkpoint_root(events.sparkSession)      # the shared folder (set only if unset)
-        rows = rows.checkpoint(eager=True)
-    elif reuse != "recompute":
-        raise ValueError("reuse must be 'recompute' or 'checkpoint'")
-    rows = expand_windows(rows, width_ms, slide_ms, time_col).select(
-        key, WINDOW_START, WINDOW_END, "__order", "__ev")
-    sizes = (rows.groupBy(key, WINDOW_START).agg(F.count(F.lit(1)).alias("n_events"))
-                 .withColumnRenamed(key, "__sk").withColumnRenamed(WINDOW_START, "__sws"))
-    cap = int(max_rows_per_part)
-    # null-safe on the key: records without a Kafka key form a group too
-    on = F.col(key).eqNullSafe(F.col("__sk")) & (F.col(WINDOW_START) == F.col("__sws"))
-    dealt = (rows.join(sizes, on).drop("__sk", "__sws")
-                 .withColumn("n_parts", F.ceil(F.col("n_events") / F.lit(cap)).cast("int"))
-                 .withColumn("part", F.when(F.col("n_parts") <= 1, F.lit(0)).otherwise(
-                     F.pmod(F.xxhash64("__order", "__ev"), F.col("n_parts")).cast("int"))))
-    grouped = (dealt.groupBy(key, WINDOW_START, WINDOW_END, "n_events", "part", "n_parts")
-                    .agg(F.sort_array(F.collect_list(F.struct("__order", "__ev"))).alias("__l")))
-    return grouped.select(key, WINDOW_START, WINDOW_END, "n_events", "part", "n_parts",
-                          F.transform("__l", lambda x: x["__ev"]).alias("events"))
-
-
-def _windowed_group_stream(events: DataFrame, width_ms: int, slide_ms: int, key: str,
-                           time_col: str, elem: Column, parts: int) -> DataFrame:
-    rows = events.select(F.col(key).alias(key), F.col(time_col), F.col("counter").alias("__order"),
-                         elem.alias("__ev"))
-    part = (F.lit(0) if parts <= 1
-            else F.pmod(F.xxhash64("__order", "__ev"), F.lit(parts)).cast("int"))
-    grouped = (rows.groupBy(F.col(key), window_column(time_col, width_ms, slide_ms).alias("window"),
-                            part.alias("part"))
-                   .agg(F.collect_list(F.struct("__order", "__ev")).alias("__l")))
+        rows = rows.withColumn("window", window_column(time_col, width_ms, slide_ms))
+        by, bounds = ["window"], bounds_ms("window")
+    else:
+        rows = expand_windows(rows, width_ms, slide_ms, time_col)
+        by, bounds = [WINDOW_START, WINDOW_END], [WINDOW_START, WINDOW_END]
+    grouped = rows.groupBy(key, *by, "part").agg(F.collect_list("__row").alias("__l"))
     return grouped.select(
-        key, *bounds_ms("window"), F.size("__l").cast("long").alias("n_events"), "part",
-        F.lit(max(parts, 1)).alias("n_parts"),
+        key, *bounds, F.size("__l").cast("long").alias("n_events"), "part",
+        F.lit(int(parts)).alias("n_parts"),
         F.transform(F.sort_array("__l"), lambda x: x["__ev"]).alias("events"))
 
 

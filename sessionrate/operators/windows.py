@@ -5,17 +5,24 @@ multiple of ``slide`` -- the same windows as the reference's sliding event-time
 windows and Spark's ``window()``.  A key has a window only if at least one of its rows
 falls in it.
 
-Two plans compute the same result (batch):
+Three plans compute the same result:
 
 ``direct``  each row is expanded into its ``ceil(width/slide)`` windows (integer
             window starts in one generator when ``width % slide == 0``, else
             ``window()``), then one hash aggregate with map-side partial aggregation
             and one shuffle on ``(key, window)``.  Streams always use ``window()``:
-            the watermark is tracked through it.
+            the watermark is tracked through it.  The only plan for streams and for
+            widths that are no multiple of the slide; asking for another one there is
+            an error.
 ``panes``   ("No Pane, No Gain"): first aggregate rows into slide-wide panes per key,
             then fan each *pane* out to the windows that contain it and re-aggregate.
             The fan-out multiplies panes instead of rows; pays when many rows share
-            a pane.  Needs ``width % slide == 0`` and decomposable aggregates.
+            a pane.
+``bucketed``  for large fan-outs with few rows per window, where partial aggregation before
+            the shuffle removes nothing and ``direct`` shuffles ``width/slide`` rows per
+            row: windows are dealt to time buckets of ``BUCKET_WIDTHS`` window widths, each
+            row is shuffled once (twice at a bucket's border) on ``(key, bucket)``, and the
+            fan-out happens after the shuffle.  Less shuffle, more work behind it.
 
 Aggregates are declared as ``(name, kind, column)`` with ``kind`` in ``count``,
 ``count_if``, ``sum``, ``min``, ``max`` so both plans can merge partial results.
@@ -35,6 +42,10 @@ from pyspark.sql import functions as F
 
 WINDOW_START = "window_start_ms"
 WINDOW_END = "window_end_ms"
+#: time bucket of the ``bucketed`` plan, in window widths: a row is sent twice once per bucket
+#: of this many widths, and a hot key's rows spread over as many tasks as it has buckets
+BUCKET_WIDTHS = 64
+PLANS = ("direct", "panes", "bucketed")
 
 
 def fan_out(width_ms: int, slide_ms: int) -> int:
@@ -81,17 +92,16 @@ def _merge(kind: str, name: str) -> Column:
 
 def windowed_aggregate(df: DataFrame, keys: list[str], aggs: list[tuple[str, str, Column | None]],
                        width_ms: int, slide_ms: int, time_col: str = "event_time",
-                       plan: str = "direct", keep_window: bool = False) -> DataFrame:
-    """``keys + [window_start_ms, window_end_ms] + agg names`` per key and window.
-
-    ``keep_window`` also returns the ``window`` struct (needed by streaming sinks in
-    append mode, where the watermark is tied to it).
-    """
-    if plan not in ("direct", "panes"):
-        raise ValueError("plan must be 'direct' or 'panes'")
-    aligned = width_ms % slide_ms == 0 and not df.isStreaming and not keep_window
-    if plan == "panes" and aligned:
-        return _panes(df, keys, aggs, width_ms, slide_ms, time_col)
+                       plan: str = "direct") -> DataFrame:
+    """``keys + [window_start_ms, window_end_ms] + agg names`` per key and window."""
+    if plan not in PLANS:
+        raise ValueError(f"plan must be one of {PLANS}")
+    aligned = width_ms % slide_ms == 0 and not df.isStreaming
+    if plan != "direct":
+        if not aligned:
+            raise ValueError(f"the {plan} plan needs a batch input and a width that is a multiple of the slide")
+        make = _panes if plan == "panes" else _bucketed
+        return make(df, keys, aggs, width_ms, slide_ms, time_col)
     if aligned:
         out = (expand_windows(df, width_ms, slide_ms, time_col)
                .groupBy(*keys, WINDOW_START)
@@ -102,10 +112,7 @@ def windowed_aggregate(df: DataFrame, keys: list[str], aggs: list[tuple[str, str
     out = (df.groupBy(*[F.col(k) for k in keys],
                       window_column(time_col, width_ms, slide_ms).alias("window"))
              .agg(*[_partial(kind, c).alias(n) for n, kind, c in aggs]))
-    cols = [*keys, *bounds_ms("window"), *[n for n, _, _ in aggs]]
-    if keep_window:
-        cols.append("window")
-    return out.select(*cols)
+    return out.select(*keys, *bounds_ms("window"), *[n for n, _, _ in aggs])
 
 
 def expand_windows(df: DataFrame, width_ms: int, slide_ms: int,
@@ -133,17 +140,47 @@ def expand_windows(df: DataFrame, width_ms: int, slide_ms: int,
 
 
 def _panes(df: DataFrame, keys, aggs, width_ms: int, slide_ms: int, time_col: str) -> DataFrame:
-    n = width_ms // slide_ms
     ms = F.unix_millis(F.col(time_col))
     pane = ms - F.pmod(ms, F.lit(slide_ms))
     per_pane = (df.where(F.col(time_col).isNotNull())
                   .groupBy(*[F.col(k) for k in keys], pane.alias("__pane"))
                   .agg(*[_partial(kind, c).alias(name) for name, kind, c in aggs]))
+    return _windows_of_panes(per_pane, keys, aggs, width_ms, slide_ms)
+
+
+def _windows_of_panes(per_pane: DataFrame, keys, aggs, width_ms: int, slide_ms: int,
+                      bucket: Column | None = None) -> DataFrame:
+    """Fan each pane out to its windows and merge; with ``bucket`` (of a window start) only
+    the windows of the pane row's own bucket."""
+    n = width_ms // slide_ms
     k = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("__k")
     fanned = per_pane.select("*", k).withColumn(
         WINDOW_START, F.col("__pane") - F.col("__k") * F.lit(slide_ms))
-    return (fanned.groupBy(*keys, WINDOW_START)
+    by = [*keys, WINDOW_START]
+    if bucket is not None:
+        fanned = fanned.where(bucket == F.col("__bucket"))
+        by.append("__bucket")
+    return (fanned.groupBy(*by)
                   .agg(*[_merge(kind, name).alias(name) for name, kind, _ in aggs])
                   .select(*keys, WINDOW_START,
                           (F.col(WINDOW_START) + F.lit(width_ms)).alias(WINDOW_END),
                           *[name for name, _, _ in aggs]))
+
+
+def _bucketed(df: DataFrame, keys, aggs, width_ms: int, slide_ms: int, time_col: str) -> DataFrame:
+    size = F.lit(width_ms * BUCKET_WIDTHS)
+
+    def bucket(ms: Column) -> Column:
+        return ms - F.pmod(ms, size)
+
+    ms = F.unix_millis(F.col(time_col))
+    pane = F.col("__pane")
+    first = bucket(pane - F.lit(width_ms - slide_ms))          # of the pane's earliest window
+    rows = (df.where(F.col(time_col).isNotNull())
+              .withColumn("__pane", ms - F.pmod(ms, F.lit(slide_ms)))
+              .withColumn("__bucket", F.explode(F.when(first < bucket(pane), F.array(first, bucket(pane)))
+                                                .otherwise(F.array(bucket(pane))))))
+    # the one shuffle: both groupings below are finer than its keys
+    per_pane = (rows.repartition(*keys, "__bucket").groupBy(*keys, "__bucket", "__pane")
+                    .agg(*[_partial(kind, c).alias(name) for name, kind, c in aggs]))
+    return _windows_of_panes(per_pane, keys, aggs, width_ms, slide_ms, bucket(F.col(WINDOW_START)))

@@ -4,68 +4,154 @@ Each returns the started :class:`StreamingQuery` handle (``awaitTermination()``
 like a synchronous run, or keep the handle like an asynchronous one).  The jobs
 themselves are the DataFrame functions in :mod:`sessionrate.plans.jobs`.
 
-These need Spark's Kafka connector on the class path; the container these were built
-in has none, so only the DataFrame parts below the source are tested (on
-Kafka-shaped records made from the test tables).
+Every start needs a ``checkpoint``: a folder of the job's own on shared storage, the same
+at every start.  It holds the offsets read and the open windows, so a restarted job goes
+on where it stopped (on the first start, at the source's ``startingOffsets``).  Every
+windowed job needs a ``watermark``: how late a record may be, which must cover the lag
+between topic partitions (``"0 seconds"`` only suits a single ordered one).
+
+Records that parsing or the feedback checks reject are not in any job's result;
+:func:`start_rejects` and :func:`start_feedback_rejects` route them to a topic or folder.
+
+The Kafka parts need Spark's connector on the class path; the container these were built
+in has none, so the tests pass ``records`` (any stream of Kafka-shaped records) and
+writers instead.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sessionrate.functions.predicates import is_blank_text
 from sessionrate.operators import metrics as M
+from sessionrate.operators import rates as R
 from sessionrate.plans import jobs as J
-from sessionrate.session import ensure_utc, scratch_path
-from sessionrate.sources.kafka import kafka_options, read_kafka
+from sessionrate.session import ensure_utc
+from sessionrate.sources import kafka as K
 from sessionrate.streaming import sinks
 
 
-def start_kill_rate(spark: SparkSession, source: dict | None = None,
+def _records(spark: SparkSession, source: dict | None, records: DataFrame | None,
+             headers: bool = False) -> DataFrame:
+    ensure_utc(spark)
+    if records is not None:
+        return records
+    return K.read_kafka(spark, source or K.kafka_options(), include_headers=headers)
+
+
+def _sink_options(sink: dict | None, topic: str | None, default_topic: str) -> dict:
+    """Writer options: those given, on top of the default brokers and topic."""
+    out = K.kafka_options(topic=default_topic, for_writer=True)
+    out.update(sink or {})
+    if topic:
+        out["topic"] = topic
+    return out
+
+
+def _log_writer(log: bool, log_path: str | None, prefix: str = "") -> list:
+    if not log and not log_path:
+        return []
+    return [lambda b, i: sinks.log_lines(b, prefix, log_path)]
+
+
+def _start(df: DataFrame, writers: list, checkpoint: str, available_now: bool) -> StreamingQuery:
+    """One query for all writers; computed and discarded where there is none."""
+    discard = [lambda b, i: b.write.format("noop").mode("overwrite").save()]
+    return sinks.fan_out(df, writers or discard, checkpoint=checkpoint, available_now=available_now)
+
+
+def start_kill_rate(spark: SparkSession, checkpoint: str, watermark: str, source: dict | None = None,
                     sink_topic: str | None = None, sink: dict | None = None,
                     event_type: str = "killed", actor_type: str = "player",
-                    watermark: str = "0 seconds", log: bool = True,
+                    log: bool = True, log_path: str | None = None,
                     records: DataFrame | None = None, extra_writers: list | None = None,
                     available_now: bool = False) -> StreamingQuery:
-    """Metrics of ``event_type`` per second per player session, to the console and,
-    when ``sink_topic`` is not blank, to that topic (one query, fanned out).
+    """Metrics of ``event_type`` per second per player session, every one logged and, when
+    ``sink_topic`` is not blank or ``sink`` is given, written to that topic with one writer
+    per session in window order (one query, fanned out).
 
     ``records`` replaces the Kafka source with any stream of Kafka-shaped records;
     ``extra_writers`` (``fn(batch_df, batch_id)``) receive every metric batch too.
     """
-    ensure_utc(spark)
-    if records is None:
-        records = read_kafka(spark, source or kafka_options())
+    records = _records(spark, source, records)
     metrics = J.kill_rate_job(None, event_type=event_type, actor_type=actor_type,
                               events=J.decoded_events(records, watermark=watermark))
-    writers = []
-    if log:
-        writers.append(lambda b, i: sinks.echo(b, "").show(truncate=False))
-    if sink_topic and sink_topic.strip():
-        opts = dict(sink or {}, topic=sink_topic)
-        writers.append(lambda b, i: sinks.write_kafka(M.to_kafka_record(b), opts))
-    writers.extend(extra_writers or [])
-    if not writers:
-        return sinks.to_noop(metrics, checkpoint=scratch_path(spark, "kill-rate-ckpt"))
-    return sinks.fan_out(metrics, writers, checkpoint=scratch_path(spark, "kill-rate-ckpt"),
-                         available_now=available_now)
-
-
-def start_feedback(spark: SparkSession, source: dict | None = None, sink: dict | None = None,
+    writers = _log_writer(log, log_path)
+    if sink or not is_blank_text(sink_topic):
+        opts = _sink_options(sink, sink_topic, K.METRICS_TOPIC)
+        writers.append(lambda b, i: sinks.write_kafka(M.to_kafka_record(M.in_session_order(b)), opts))
+    return _start(metrics, writers + (extra_writers or []), checkpoint, available_now)
+
+
+def start_fine_rates(spark: SparkSession, checkpoint: str, watermark: str, source: dict | None = None,
+                     log: bool = True, log_path: str | None = None, records: DataFrame | None = None,
+                     extra_writers: list | None = None, width_ms: int = R.FINE_WINDOW_MS,
+                     slide_ms: int = R.FINE_SLIDE_MS, available_now: bool = False) -> StreamingQuery:
+    """Players' kills per second and moves per session and window, logged and given to
+    ``extra_writers``; computed and discarded without either."""
+    events = J.decoded_events(_records(spark, source, records), watermark=watermark)
+    rates = J.fine_rates_job(None, width_ms, slide_ms, events=events)
+    return _start(rates, _log_writer(log, log_path) + (extra_writers or []), checkpoint, available_now)
+
+
+def start_move_rate(spark: SparkSession, checkpoint: str, watermark: str, source: dict | None = None,
+                    log: bool = True, log_path: str | None = None, records: DataFrame | None = None,
+                    extra_writers: list | None = None, width_ms: int = R.FINE_WINDOW_MS,
+                    slide_ms: int = R.FINE_SLIDE_MS, available_now: bool = False) -> StreamingQuery:
+    """Moves per second per session and window, logged and given to ``extra_writers``."""
+    events = J.decoded_events(_records(spark, source, records), watermark=watermark)
+    rates = J.move_rate_job(None, width_ms, slide_ms, events=events)
+    return _start(rates, _log_writer(log, log_path) + (extra_writers or []), checkpoint, available_now)
+
+
+def start_groups(spark: SparkSession, path: str, checkpoint: str, watermark: str,
+                 source: dict | None = None, records: DataFrame | None = None,
+                 width_ms: int = R.GROUP_WINDOW_MS, slide_ms: int = R.GROUP_SLIDE_MS,
+                 parts: int = R.GROUP_PARTS, available_now: bool = False) -> StreamingQuery:
+    """Players' events listed per Kafka key and window, as JSON lines in text files."""
+    events = J.decoded_events(_records(spark, source, records), watermark=watermark)
+    groups = J.grouped_job(None, width_ms, slide_ms, parts=parts, events=events)
+    return sinks.write_text(R.windowed_group_text(groups), path, checkpoint, available_now)
+
+
+def start_feedback(spark: SparkSession, checkpoint: str, source: dict | None = None,
+                   sink: dict | None = None, sink_topic: str | None = None,
                    records: DataFrame | None = None, writer=None,
                    available_now: bool = False) -> StreamingQuery:
-    """Metric records of ``source`` -> feedback sentences on ``sink['topic']``, keys and
-    headers kept.  ``records`` replaces the Kafka source, ``writer`` the Kafka sink
-    (``fn(batch_df, batch_id)``)."""
-    if records is None:
-        records = read_kafka(spark, source or kafka_options(), include_headers=True)
-    out = M.metric_feedback(records)
-    ckpt = scratch_path(spark, "feedback-ckpt")
+    """Metric records of ``source`` (default: the metrics topic) -> feedback sentences on
+    the sink topic, keys and headers kept.  ``records`` replaces the Kafka source, ``writer``
+    the Kafka sink (``fn(batch_df, batch_id)``)."""
+    source = source or K.kafka_options(topic=K.METRICS_TOPIC)
+    out = M.metric_feedback(_records(spark, source, records, headers=True))
     if writer is not None:
-        return sinks.fan_out(out, [writer], checkpoint=ckpt, available_now=available_now)
-    return sinks.write_kafka(out, sink, checkpoint=ckpt, available_now=available_now)
+        return _start(out, [writer], checkpoint, available_now)
+    return sinks.write_kafka(out, _sink_options(sink, sink_topic, K.FEEDBACK_TOPIC),
+                             checkpoint=checkpoint, available_now=available_now)
+
+
+def _route(rows: DataFrame, path: str | None, sink: dict | None, checkpoint: str,
+           available_now: bool) -> StreamingQuery:
+    if path:
+        return sinks.write_text(sinks.echo(rows), path, checkpoint, available_now)
+    return sinks.write_kafka(rows, _sink_options(sink, None, K.REJECTS_TOPIC), checkpoint, available_now)
+
+
+def start_rejects(spark: SparkSession, checkpoint: str, path: str | None = None, source: dict | None = None,
+                  sink: dict | None = None, records: DataFrame | None = None,
+                  available_now: bool = False) -> StreamingQuery:
+    """The records of a job's source that parsing rejects, as they came: JSON lines below
+    ``path``, else records on the sink topic.  Run beside the job, on the same source."""
+    bad = J.rejected_records(_records(spark, source, records))
+    return _route(bad, path, sink, checkpoint, available_now)
 
 
-def default_options(**overrides) -> dict:
-    """Reader options from :func:`kafka_options` (overrides passed through)."""
-    return kafka_options(**overrides)
+def start_feedback_rejects(spark: SparkSession, checkpoint: str, path: str | None = None,
+                           source: dict | None = None, sink: dict | None = None,
+                           records: DataFrame | None = None, available_now: bool = False) -> StreamingQuery:
+    """The metric records that get no sentence, with the reason."""
+    source = source or K.kafka_options(topic=K.METRICS_TOPIC)
+    bad = M.feedback_rejects(_records(spark, source, records, headers=True))
+    bad = bad.withColumns({c: F.col(c).cast("string") for c in ("key", "value") if path})
+    return _route(bad, path, sink, checkpoint, available_now)

@@ -21,15 +21,20 @@ from pyspark.sql import functions as F
 
 from sessionrate.operators import metrics as M
 from sessionrate.operators import rates as R
-from sessionrate.operators.parse import parse_events
+from sessionrate.operators.parse import CORRUPT, parse_events, split_rejects
 from sessionrate.sources.kafka import decode_envelope
 
 
 def decoded_events(records: DataFrame, defaults: str = "none", on_error: str = "reject",
                    event_time: str = "record", watermark: str | None = None,
-                   time_member: str = "frame.millis", time_base_ms: int = 0) -> DataFrame:
+                   time_member: str = "frame.millis", time_base_ms: int = 0,
+                   keep_rejects: bool = False) -> DataFrame:
     """Records -> parsed events (``key, timestamp, headers, event_time`` + event members).
 
+    Rejected records (see :mod:`sessionrate.operators.parse`) are left out, so no rate counts
+    them; :func:`rejected_records` gives them, and ``keep_rejects`` keeps them here, told by
+    ``_corrupt_record``.
+
     event_time: ``record`` (the record timestamp), ``processing`` (wall clock), or
     ``column``: ``time_base_ms + <time_member>`` milliseconds of the parsed event
     (``frame.millis`` is relative to the game session, hence the base).
@@ -42,14 +47,26 @@ def decoded_events(records: DataFrame, defaults: str = "none", on_error: str = "
     """
     if event_time == "column":
         env = decode_envelope(records, "record")
-        ev = parse_events(env, defaults=defaults, on_error=on_error)
+        ev = _good(parse_events(env, defaults=defaults, on_error=on_error), keep_rejects)
         ev = ev.withColumn("event_time", F.timestamp_millis(
             F.lit(int(time_base_ms)) + F.col(time_member).cast("long")))
         return ev.withWatermark("event_time", watermark) if watermark is not None else ev
     env = decode_envelope(records, event_time)
     if watermark is not None:
         env = env.withWatermark("event_time", watermark)
-    return parse_events(env, defaults=defaults, on_error=on_error)
+    return _good(parse_events(env, defaults=defaults, on_error=on_error), keep_rejects)
+
+
+def _good(parsed: DataFrame, keep_rejects: bool) -> DataFrame:
+    return parsed if keep_rejects else split_rejects(parsed)[0].drop(CORRUPT)
+
+
+def rejected_records(records: DataFrame) -> DataFrame:
+    """The records that parsing rejects, as they came (``key, value`` text, ``timestamp,
+    headers, [partition, offset]``)."""
+    env = decode_envelope(records).drop("event_time")
+    bad = split_rejects(parse_events(env, keep_value=True))[1]
+    return bad.select(*env.columns)
 
 
 def kill_rate_job(records: DataFrame | None = None, event_type: str = R.KILLED,
@@ -57,11 +74,11 @@ def kill_rate_job(records: DataFrame | None = None, event_type: str = R.KILLED,
                   width_ms: int = R.KILL_WINDOW_MS, slide_ms: int = R.KILL_SLIDE_MS,
                   unit_ms: int = 1000, plan: str = "direct", events: DataFrame | None = None
                   ) -> DataFrame:
-    """Metric per (session, window): ``<event_type> per second`` over players' events."""
+    """Metric per (session, window): ``<event_type> per <unit>`` over players' events."""
     ev = events if events is not None else decoded_events(records)
     players = R.filter_actor_type(ev, actor_type)
     rates = R.event_rate(players, event_type, width_ms, slide_ms, unit_ms, plan=plan)
-    return M.to_metric(rates, event_type)
+    return M.to_metric(rates, event_type, unit_ms)
 
 
 def fine_rates_job(records: DataFrame | None = None, width_ms: int = R.FINE_WINDOW_MS,
@@ -80,15 +97,12 @@ def move_rate_job(records: DataFrame | None = None, width_ms: int = R.FINE_WINDO
 
 
 def grouped_job(records: DataFrame | None = None, width_ms: int = R.GROUP_WINDOW_MS,
-                slide_ms: int = R.GROUP_SLIDE_MS, max_rows_per_part: int = 5000,
-                events: DataFrame | None = None, reuse: str = "recompute",
-                stream_parts: int = 1) -> DataFrame:
+                slide_ms: int = R.GROUP_SLIDE_MS, parts: int = R.GROUP_PARTS,
+                events: DataFrame | None = None) -> DataFrame:
     """Players' events (exact-case ``player``) listed per Kafka key and window."""
     ev = events if events is not None else decoded_events(records)
     players = R.filter_actor_type(ev, R.PLAYER, case_sensitive=True)
-    return R.windowed_group(players, width_ms, slide_ms, key="key",
-                            max_rows_per_part=max_rows_per_part, reuse=reuse,
-                            stream_parts=stream_parts)
+    return R.windowed_group(players, width_ms, slide_ms, key="key", parts=parts)
 
 
 def feedback_job(metric_records: DataFrame) -> DataFrame:

@@ -58,6 +58,65 @@ gj AS (
 )
 """
 
+# the records with faults (by counter % 40): their texts, and what parsing makes of them
+FAULTY = GAME.rstrip() + """,
+gt AS (
+  SELECT gj.*, CASE counter % 40
+    WHEN 1 THEN substr(json, 1, 40)
+    WHEN 3 THEN json || ' trailing'
+    WHEN 5 THEN json || json
+    WHEN 7 THEN '[' || json || ']'
+    WHEN 9 THEN '{"session":"' || session || '","counter":"' || CAST(counter AS VARCHAR) || '"}'
+    WHEN 11 THEN '{"session":"' || session || '","counter":' || CAST(counter AS VARCHAR) || '.5}'
+    WHEN 13 THEN '{"counter":' || CAST(counter AS VARCHAR) || ',"frame":{"millis":1,"tic":99999999999}}'
+    WHEN 15 THEN '{"session":"' || session || '","counter":' || CAST(counter AS VARCHAR) || ',"actor":"x"}'
+    WHEN 17 THEN 'null'
+    WHEN 19 THEN ' '
+    WHEN 21 THEN '{}'
+    ELSE json END AS text,
+    counter % 40 IN (1, 3, 5, 7, 9, 11, 13, 15) AS rejected,
+    counter % 40 IN (1, 3, 5, 7, 9, 11, 13, 15, 17, 19) AS no_event,
+    counter % 40 = 21 AS no_member, counter % 40 = 25 AS no_session
+  FROM gj
+),
+gf AS (
+  SELECT counter, ts_ms, type, actor_type,
+         CASE WHEN NOT no_session THEN session END AS session
+  FROM gt WHERE NOT no_event AND NOT no_member
+)
+"""
+
+
+def _verdicts(session: str, number: str, text: str) -> str:
+    """Outcome per record with faults; the arguments stand for members that are absent."""
+    def member(value, absent, extra="FALSE"):
+        return f"CASE WHEN no_event THEN NULL WHEN no_member OR {extra} THEN {absent} ELSE {value} END"
+    imax = IMAX if number == LMAX else number
+    return FAULTY + f"""
+SELECT counter AS record_offset, rejected,
+       {member("session", session, "no_session")} AS session,
+       CAST({member("counter", number)} AS BIGINT) AS counter,
+       CAST({member("tic", imax)} AS INTEGER) AS frame_tic,
+       {member("actor_type", text, "actor_type IS NULL")} AS actor_type
+FROM gt"""
+
+
+def _violations() -> str:
+    lost = "CASE WHEN actor_type IS NULL THEN ['/actor: required'] ELSE [] END"
+    return FAULTY + f""",
+viol AS (
+  SELECT counter, CASE
+    WHEN counter % 40 IN (1, 3, 5, 7, 17, 19) THEN ['/: expected object']
+    WHEN counter % 40 IN (9, 11) THEN ['/type: required', '/frame: required', '/actor: required', '/counter: expected integer']
+    WHEN counter % 40 = 13 THEN ['/session: required', '/type: required', '/actor: required']
+    WHEN counter % 40 = 15 THEN ['/type: required', '/frame: required', '/actor: expected object']
+    WHEN counter % 40 = 21 THEN ['/counter: required', '/session: required', '/type: required', '/frame: required', '/actor: required']
+    WHEN counter % 40 = 25 THEN ['/session: required'] || {lost}
+    ELSE {lost} END AS v
+  FROM gt
+)"""
+
+
 LMAX = "9223372036854775807"
 IMAX = "2147483647"
 
@@ -108,10 +167,8 @@ def _flat(prof: str) -> str:
                   "id": "CASE WHEN has_target THEN 140365466491112 ELSE 0 END"}
         tpos = {c: "0" for c in ("x", "y", "z", "angle", "subsector")}
         damage = "coalesce(damage, 0)"
-    elif prof == "cleaned":  # sentinel profile with EMPTY members turned back into NULL
-        return _flat("none").replace(
-            "CAST(NULL AS INTEGER) AS target_armor",
-            f"CAST(CASE WHEN has_target THEN {IMAX} END AS INTEGER) AS target_armor")
+    elif prof == "cleaned":  # sentinel profile with every sentinel turned back into NULL
+        return _flat("none")
     else:
         raise ValueError(prof)
     cols = [
@@ -133,19 +190,12 @@ def _filtered(where: str) -> str:
     return GAME + f"SELECT counter, session, type, actor_type FROM g WHERE {where}"
 
 
-def _kill_metric(width: int, slide: int) -> str:
-    return GAME + f"""
-SELECT session, window_start_ms, window_end_ms, 'killed per second' AS metric,
-       (1000.0::DOUBLE * count(*) FILTER (WHERE lower(type) = 'killed')) / {width} AS value
-FROM {_win(width, slide, "lower(actor_type) = 'player'")} w
-GROUP BY session, window_start_ms, window_end_ms"""
-
-
-def _kill_rate(width: int, slide: int, unit: int) -> str:
-    return GAME + f"""
-SELECT session, window_start_ms, window_end_ms,
+def _kill_metric(width: int, slide: int, unit: int = 1000, name: str = "second", ctes: str = GAME,
+                 src: str = "g") -> str:
+    return ctes + f"""
+SELECT session, window_start_ms, window_end_ms, 'killed per {name}' AS metric,
        ({float(unit)}::DOUBLE * count(*) FILTER (WHERE lower(type) = 'killed')) / {width} AS value
-FROM {_win(width, slide, "lower(actor_type) = 'player'")} w
+FROM {_win(width, slide, "lower(actor_type) = 'player'", src)} w
 GROUP BY session, window_start_ms, window_end_ms"""
 
 
@@ -195,22 +245,26 @@ FROM {_win(width, slide, "lower(actor_type) = 'player'")} w
 GROUP BY session, window_start_ms, window_end_ms"""
 
 
+PARTS = 8
+
+
 def _groups(width: int, slide: int) -> str:
     return GAME + f"""
 SELECT kafka_key AS key, window_start_ms, window_end_ms, count(*) AS n_events,
-       0 AS part, 1 AS n_parts,
+       CAST(counter % {PARTS} AS INTEGER) AS part, {PARTS} AS n_parts,
        '[' || string_agg(json, ',' ORDER BY counter) || ']' AS events_json
 FROM {_win(width, slide, "actor_type = 'player'", "gj")} w
-GROUP BY kafka_key, window_start_ms, window_end_ms"""
+GROUP BY kafka_key, window_start_ms, window_end_ms, counter % {PARTS}"""
 
 
 def _group_text(width: int, slide: int) -> str:
     return GAME + f"""
 SELECT '{{"key":"' || kafka_key || '","window_start_ms":' || CAST(window_start_ms AS VARCHAR)
-       || ',"window_end_ms":' || CAST(window_end_ms AS VARCHAR) || ',"part":0,"n_parts":1,"events":['
+       || ',"window_end_ms":' || CAST(window_end_ms AS VARCHAR) || ',"part":'
+       || CAST(counter % {PARTS} AS VARCHAR) || ',"n_parts":{PARTS},"events":['
        || string_agg(json, ',' ORDER BY counter) || ']}}' AS value
 FROM {_win(width, slide, "actor_type = 'player'", "gj")} w
-GROUP BY kafka_key, window_start_ms, window_end_ms"""
+GROUP BY kafka_key, window_start_ms, window_end_ms, counter % {PARTS}"""
 
 
 def _metric_records(width: int, slide: int) -> str:
@@ -252,18 +306,21 @@ ORACLE = {
     "parse_events_schema": _flat("schema"),
     "sentinels_to_null": _flat("cleaned"),
     "kafka_envelope_decode": GAME + "SELECT kafka_key AS key, json AS value, ts_ms AS timestamp_ms FROM gj",
-    "empty_record_flags": GAME + """
-SELECT counter, FALSE AS event_empty, FALSE AS frame_empty,
-       actor_type IS NULL AS actor_empty,
-       actor_type IS NULL OR NOT has_position AS actor_position_empty,
-       NOT has_target AS target_empty
-FROM g""",
-    "schema_violations": GAME + """
-SELECT counter, CASE WHEN actor_type IS NULL THEN 1 ELSE 0 END AS n_violations,
-       CASE WHEN actor_type IS NULL THEN '/actor: required' ELSE '' END AS violations
-FROM g""",
-    "schema_violation_counts": GAME + """
-SELECT '/actor: required' AS violation, count(*) AS n_records FROM g WHERE actor_type IS NULL""",
+    "empty_record_flags": FAULTY + """
+SELECT counter AS record_offset, no_member AS event_empty, no_member AS frame_empty,
+       NOT no_event AND (no_member OR actor_type IS NULL) AS actor_empty,
+       NOT no_event AND (no_member OR actor_type IS NULL OR NOT has_position) AS actor_position_empty,
+       NOT no_event AND (no_member OR NOT has_target) AS target_empty
+FROM gt""",
+    "parse_rejects": FAULTY + "SELECT counter AS record_offset, kafka_key AS key, text AS value FROM gt WHERE rejected",
+    "none_rejects": _verdicts("NULL", "NULL", "NULL"),
+    "sentinel_rejects": _verdicts("'UNKNOWN_SESSION'", LMAX, "'UNKNOWN_TYPE'"),
+    "schema_rejects": _verdicts("''", "0", "''"),
+    "schema_violations": _violations() + """
+SELECT counter AS record_offset, CAST(len(v) AS INTEGER) AS n_violations, array_to_string(v, '|') AS violations
+FROM viol""",
+    "schema_violation_counts": _violations() + """
+SELECT violation, count(*) AS n_records FROM (SELECT unnest(v) AS violation FROM viol) u GROUP BY violation""",
     "filter_actor_type": _filtered("lower(actor_type) = 'player'"),
     "filter_actor_type_exact": _filtered("actor_type = 'player'"),
     "filter_event_type": _filtered("lower(type) = 'move'"),
@@ -271,8 +328,9 @@ SELECT '/actor: required' AS violation, count(*) AS n_records FROM g WHERE actor
     "kill_rate": _kill_metric(3000, 500),
     "kill_rate_scaled": _kill_metric(*KILL),
     "kill_rate_panes": _kill_metric(*KILL),
-    "kill_rate_per_minute": _kill_rate(3000, 500, 60_000),
-    "kill_rate_metric": _kill_metric(3000, 500),
+    "kill_rate_per_minute": _kill_metric(3000, 500, 60_000, "minute"),
+    "kill_rate_with_rejects": _kill_metric(*KILL, ctes=FAULTY, src="gf"),
+    "kill_rate_fine_bucketed": _fine_kills(1000, 25),
     "kill_rate_fine": _fine_kills(1000, 25),
     "kill_rate_fine_scaled": _fine_kills(*FINE),
     "kill_rate_fine_panes": _fine_kills(1000, 25),
@@ -296,7 +354,14 @@ GROUP BY session, window_start_ms, window_end_ms""",
     "metric_to_kafka_record": _metric_records(*KILL),
     "metric_feedback": _feedback(*KILL),
     "metric_feedback_rejects": GAME + f"""
-SELECT 'accepted' AS outcome, count(*) AS n_records FROM ({_kill_metric(*KILL).replace(GAME, '')}) m""",
+SELECT CASE (window_start_ms // {HOUR} + CAST(session AS BIGINT)) % 16
+         WHEN 0 THEN 'value' WHEN 1 THEN 'metric' WHEN 2 THEN 'session' WHEN 3 THEN 'not an object'
+         WHEN 4 THEN 'empty' WHEN 5 THEN 'value' WHEN 7 THEN 'value' WHEN 8 THEN 'not an object'
+         WHEN 9 THEN 'not an object' ELSE 'accepted' END AS outcome, count(*) AS n_records
+FROM ({_kill_metric(*KILL).replace(GAME, '')}) m GROUP BY 1""",
+    "metric_session_order": GAME + f"""
+SELECT session, 1 AS n_writers, count(*) AS n_records, 0 AS n_out_of_order
+FROM ({_kill_metric(*KILL).replace(GAME, '')}) m GROUP BY session""",
     "stream_kill_rate": _stream(_kill_metric(*KILL)),
     "stream_move_count": _stream(_move_count(*FINE)),
     "stream_action_rate": _stream(_action_rate(*FINE)),

@@ -12,7 +12,7 @@ the test events are hours apart and reference widths hold one event per window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +29,11 @@ HOUR = 3_600_000
 SCALED = {"kill": (6 * HOUR, HOUR), "fine": (40 * HOUR, HOUR), "group": (4 * HOUR, HOUR)}
 
 
-def _events(spark: SparkSession, sf_dir: str, defaults: str = "none") -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, defaults: str = "none", faults: bool = False,
+            keep_rejects: bool = False) -> DataFrame:
     ensure_utc(spark)
-    return J.decoded_events(game_records(spark, sf_dir), defaults=defaults)
+    return J.decoded_events(game_records(spark, sf_dir, faults), defaults=defaults,
+                            keep_rejects=keep_rejects)
 
 
 def flatten(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -57,15 +59,15 @@ def _parsed_flat(ev: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def q_parse_events(spark, sf_dir):
-    return _parsed_flat(_events(spark, sf_dir, "none"))
+    return _parsed_flat(_events(spark, sf_dir, "none", keep_rejects=True))
 
 
 def q_parse_events_sentinel(spark, sf_dir):
-    return _parsed_flat(_events(spark, sf_dir, "sentinel"))
+    return _parsed_flat(_events(spark, sf_dir, "sentinel", keep_rejects=True))
 
 
 def q_parse_events_schema(spark, sf_dir):
-    return _parsed_flat(_events(spark, sf_dir, "schema"))
+    return _parsed_flat(_events(spark, sf_dir, "schema", keep_rejects=True))
 
 
 def q_kafka_envelope_decode(spark, sf_dir):
@@ -76,25 +78,52 @@ def q_kafka_envelope_decode(spark, sf_dir):
 
 
 def q_empty_record_flags(spark, sf_dir):
-    flags = P.empty_record_flags(_events(spark, sf_dir, "sentinel"))
-    return flags.select("counter", "event_empty", "frame_empty", "actor_empty",
-                        "actor_position_empty", "target_empty")
+    """On records with faults (see the adapter): some events are empty, some are NULL."""
+    flags = P.empty_record_flags(_events(spark, sf_dir, "sentinel", faults=True, keep_rejects=True))
+    return flags.select(F.col("offset").alias("record_offset"), "event_empty", "frame_empty",
+                        "actor_empty", "actor_position_empty", "target_empty")
+
+
+def q_parse_rejects(spark, sf_dir):
+    """The rejected ones of records with faults, as they came."""
+    ensure_utc(spark)
+    bad = J.rejected_records(game_records(spark, sf_dir, faults=True))
+    return bad.select(F.col("offset").alias("record_offset"), "key", "value")
+
+
+def _verdicts(spark, sf_dir, defaults):
+    ev = _events(spark, sf_dir, defaults, faults=True, keep_rejects=True)
+    return ev.select(F.col("offset").alias("record_offset"), F.col(P.CORRUPT).isNotNull().alias("rejected"),
+                     "session", "counter", F.col("frame.tic").alias("frame_tic"),
+                     F.col("actor.type").alias("actor_type"))
+
+
+def q_none_rejects(spark, sf_dir):
+    return _verdicts(spark, sf_dir, "none")
+
+
+def q_sentinel_rejects(spark, sf_dir):
+    return _verdicts(spark, sf_dir, "sentinel")
+
+
+def q_schema_rejects(spark, sf_dir):
+    return _verdicts(spark, sf_dir, "schema")
 
 
 def q_sentinels_to_null(spark, sf_dir):
-    return _parsed_flat(P.sentinels_to_null(_events(spark, sf_dir, "sentinel")))
+    return _parsed_flat(P.sentinels_to_null(_events(spark, sf_dir, "sentinel", keep_rejects=True)))
 
 
 def _violations(spark, sf_dir):
     ensure_utc(spark)
     from sessionrate.sources.kafka import decode_envelope
-    env = decode_envelope(game_records(spark, sf_dir))
+    env = decode_envelope(game_records(spark, sf_dir, faults=True))
     return P.schema_violations(env)
 
 
 def q_schema_violations(spark, sf_dir):
     v = _violations(spark, sf_dir)
-    return v.select(F.get_json_object("value", "$.counter").cast("long").alias("counter"),
+    return v.select(F.col("offset").alias("record_offset"),
                     F.size("violations").alias("n_violations"),
                     F.array_join("violations", "|").alias("violations"))
 
@@ -151,8 +180,13 @@ def q_kill_rate_panes(spark, sf_dir):
 
 
 def q_kill_rate_per_minute(spark, sf_dir):
-    players = R.filter_actor_type(_events(spark, sf_dir), R.PLAYER)
-    return R.event_rate(players, R.KILLED, R.KILL_WINDOW_MS, R.KILL_SLIDE_MS, unit_ms=60_000)
+    return _kill_metrics(spark, sf_dir, R.KILL_WINDOW_MS, R.KILL_SLIDE_MS, unit_ms=60_000)
+
+
+def q_kill_rate_with_rejects(spark, sf_dir):
+    """Kill rates from records of which some are rejects: those count nowhere."""
+    ev = _events(spark, sf_dir, faults=True)
+    return J.kill_rate_job(None, width_ms=SCALED["kill"][0], slide_ms=SCALED["kill"][1], events=ev)
 
 
 def _fine_kills(spark, sf_dir, width, slide, plan="direct"):
@@ -168,6 +202,10 @@ def q_kill_rate_fine_scaled(spark, sf_dir):
     return _fine_kills(spark, sf_dir, *SCALED["fine"])
 
 
+def q_kill_rate_fine_bucketed(spark, sf_dir):
+    return _fine_kills(spark, sf_dir, R.FINE_WINDOW_MS, R.FINE_SLIDE_MS, plan="bucketed")
+
+
 def q_kill_rate_fine_panes(spark, sf_dir):
     return _fine_kills(spark, sf_dir, R.FINE_WINDOW_MS, R.FINE_SLIDE_MS, plan="panes")
 
@@ -247,10 +285,6 @@ def q_windowed_group_text(spark, sf_dir):
 # metrics, Kafka records, feedback
 # ---------------------------------------------------------------------------
 
-def q_kill_rate_metric(spark, sf_dir):
-    return q_kill_rate(spark, sf_dir)
-
-
 def _metric_records(spark, sf_dir, width, slide, window_headers=True):
     return M.to_kafka_record(_kill_metrics(spark, sf_dir, width, slide), window_headers)
 
@@ -286,13 +320,53 @@ def q_metric_feedback(spark, sf_dir):
                       _header("window_end_ms").alias("window_end_ms"))
 
 
+def _faulty_metric_records(spark, sf_dir):
+    """Metric records of which 10 in 16 are spoiled (by hour of the window and session):
+    0 value as text, 1 no metric, 2 session a number, 3 cut, 4 empty, 5 a number no double
+    holds, 6 a long extra member (no fault), 7 value null, 8 an array, 9 followed by text."""
+    m = _kill_metrics(spark, sf_dir, *SCALED["kill"])
+    rec = m.select("session", WINDOW_START, "metric", F.to_json(F.struct("session", "metric", "value")).alias("t"))
+    kind = (F.expr(f"{WINDOW_START} div {HOUR}") + F.col("session").cast("long")) % 16
+    s = F.col("session")
+    named = F.concat(F.lit('{"session":"'), s, F.lit('","metric":"m","value":'))
+    texts = {
+        0: F.concat(named, F.lit('"1.5"}')),
+        1: F.concat(F.lit('{"session":"'), s, F.lit('","value":1}')),
+        2: F.concat(F.lit('{"session":'), s, F.lit(',"metric":"m","value":1}')),
+        3: F.substring("t", 1, 20),
+        4: F.lit(""),
+        5: F.concat(named, F.lit("1e400}")),
+        6: F.concat(named, F.lit('1,"note":"' + "x" * 5000 + '"}')),
+        7: F.concat(named, F.lit("null}")),
+        8: F.concat(F.lit("["), F.col("t"), F.lit("]")),
+        9: F.concat(F.col("t"), F.lit("x")),
+    }
+    text = F.col("t")
+    for k, bad in texts.items():
+        text = F.when(kind == k, bad).otherwise(text)
+    return rec.select(F.encode(s, "UTF-8").alias("key"), F.encode(text, "UTF-8").alias("value"))
+
+
 def q_metric_feedback_rejects(spark, sf_dir):
-    """Reject reasons counted over the metric records (all accepted on test data)."""
-    checked = M.feedback_checked(_metric_records(spark, sf_dir, *SCALED["kill"]))
+    """Outcomes counted over metric records with faults."""
+    checked = M.feedback_checked(_faulty_metric_records(spark, sf_dir))
     return (checked.groupBy(F.coalesce("reject_reason", F.lit("accepted")).alias("outcome"))
                    .agg(F.count(F.lit(1)).alias("n_records")))
 
 
+def q_metric_session_order(spark, sf_dir):
+    """Per session: how many writer tasks its metrics are dealt to (1) and how often one is
+    handed to its writer before an earlier window's (never)."""
+    dealt = M.in_session_order(_kill_metrics(spark, sf_dir, *SCALED["kill"]))
+    seen = dealt.select("session", WINDOW_START, F.spark_partition_id().alias("writer"),
+                        F.monotonically_increasing_id().alias("place"))
+    before = F.lag(WINDOW_START).over(Window.partitionBy("session").orderBy("place"))
+    return (seen.withColumn("late", F.coalesce(before > F.col(WINDOW_START), F.lit(False)))
+                .groupBy("session").agg(F.count_distinct("writer").alias("n_writers"),
+                                        F.count(F.lit(1)).alias("n_records"),
+                                        F.count_if("late").alias("n_out_of_order")))
+
+
 # ---------------------------------------------------------------------------
 # streaming twins (availableNow over the events file, result read back)
 # ---------------------------------------------------------------------------
@@ -301,8 +375,7 @@ def _stream_events(spark, sf_dir, delay="0 seconds"):
     from sessionrate.sources.adapter import events_to_records
     from sessionrate.streaming.runner import parquet_file_stream
     ensure_utc(spark)
-    from sessionrate.sources.adapter import spread
-    stream = spread(parquet_file_stream(spark, sf_dir, "events.parquet"))
+    stream = parquet_file_stream(spark, sf_dir, "events.parquet")
     return J.decoded_events(events_to_records(stream), watermark=delay)
 
 
@@ -340,7 +413,7 @@ def q_stream_activity_span(spark, sf_dir):
 
 
 def q_stream_windowed_group(spark, sf_dir):
-    """Grouped event lists as a stream (one list per window, closed windows only)."""
+    """Grouped event lists as a stream (closed windows only)."""
     g = J.grouped_job(None, *SCALED["group"], events=_stream_events(spark, sf_dir))
     return _run(spark, g.select("key", WINDOW_START, WINDOW_END, "n_events", "part", "n_parts",
                                 F.to_json("events").alias("events_json")),
@@ -366,6 +439,10 @@ QUERIES = {
     "parse_events_schema": q_parse_events_schema,
     "kafka_envelope_decode": q_kafka_envelope_decode,
     "empty_record_flags": q_empty_record_flags,
+    "parse_rejects": q_parse_rejects,
+    "none_rejects": q_none_rejects,
+    "sentinel_rejects": q_sentinel_rejects,
+    "schema_rejects": q_schema_rejects,
     "sentinels_to_null": q_sentinels_to_null,
     "schema_violations": q_schema_violations,
     "schema_violation_counts": q_schema_violation_counts,
@@ -377,7 +454,8 @@ QUERIES = {
     "kill_rate_scaled": q_kill_rate_scaled,
     "kill_rate_panes": q_kill_rate_panes,
     "kill_rate_per_minute": q_kill_rate_per_minute,
-    "kill_rate_metric": q_kill_rate_metric,
+    "kill_rate_with_rejects": q_kill_rate_with_rejects,
+    "kill_rate_fine_bucketed": q_kill_rate_fine_bucketed,
     "kill_rate_fine": q_kill_rate_fine,
     "kill_rate_fine_scaled": q_kill_rate_fine_scaled,
     "kill_rate_fine_panes": q_kill_rate_fine_panes,
@@ -394,6 +472,7 @@ QUERIES = {
     "windowed_group_scaled": q_windowed_group_scaled,
     "windowed_group_text": q_windowed_group_text,
     "metric_to_kafka_record": q_metric_to_kafka_record,
+    "metric_session_order": q_metric_session_order,
     "metric_feedback": q_metric_feedback,
     "metric_feedback_rejects": q_metric_feedback_rejects,
     "stream_kill_rate": q_stream_kill_rate,

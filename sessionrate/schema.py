@@ -40,19 +40,6 @@ EVENT = T.StructType([
     T.StructField("target", ACTOR),
 ])
 
-EVENT_DDL = EVENT.simpleString()
-
-# Kafka record as the Spark Kafka source exposes it after casting key/value to text.
-ENVELOPE = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("value", T.StringType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("headers", T.ArrayType(T.StructType([
-        T.StructField("key", T.StringType()),
-        T.StructField("value", T.BinaryType()),
-    ]))),
-])
-
 METRIC = T.StructType([
     T.StructField("session", T.StringType()),
     T.StructField("metric", T.StringType()),
@@ -67,7 +54,6 @@ LONG_MAX = 9223372036854775807
 INT_MAX = 2147483647
 UNKNOWN_SESSION = "UNKNOWN_SESSION"
 UNKNOWN_TYPE = "UNKNOWN_TYPE"
-UNKNOWN_METRIC = "UNKNOWN_METRIC"
 # Scale of frame time: 35 tics per second (11829 ms <-> tic 414 in the schema example).
 TICS_PER_SECOND = 35
 # "schema" profile: the JSON Schema's `default` keywords -- "" for strings, 0 for
@@ -81,8 +67,6 @@ REQUIRED_MEMBERS = {
     "target": ("type", "id"),
     "target.position": ("x", "y", "z", "angle", "subsector"),
 }
-# Size limit of the feedback transform: the record buffer is 4096 bytes.
-FEEDBACK_BUFFER_BYTES = 4096
 # ---------------------------------------------------------------------------
 
 

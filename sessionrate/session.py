@@ -13,7 +13,7 @@ load-bearing for correct results and are enforced here:
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # of a repeated member name the last one counts, in VARIANT as in from_json
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # mask SASL credentials (the JAAS line holds the password) wherever Spark prints
     # data-source options: plans, UI, logs
     "spark.sql.redaction.options.regex": "(?i)url|jaas|password|secret|token",
@@ -59,21 +61,24 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_utc(spark)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """The session settings that results depend on (for sessions not made by get_spark)."""
+    for k in ("spark.sql.session.timeZone", "spark.sql.variant.allowDuplicateKeys"):
+        spark.conf.set(k, DEFAULT_CONF[k])
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever the cluster names in ``spark.checkpoint.dir``
-    (a shared file system every executor and the driver can reach).  Only when the
-    session has none (local runs, tests) a private folder is created and set.
+    (a shared file system every executor and the driver can reach).  Only under a
+    ``local`` master (tests, one machine) a private folder is made when none is named;
+    on a cluster that is an error, as executors do not see the driver's folders.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -86,6 +91,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises in some versions
             configured = None
     if not configured:
+        if not re.match(r"local($|\[)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="sessionrate-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -96,11 +103,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme, for the few places that need a local file path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -90,17 +90,54 @@ def game_event_struct(g: DataFrame) -> Column:
         actor.alias("actor"), target.alias("target"))
 
 
-def events_to_records(events: DataFrame) -> DataFrame:
-    """``events`` -> Kafka records ``key BINARY, value BINARY, timestamp, headers``.
+def faulty_text(text: Column) -> Column:
+    """The record text with a fault in 13 of 40 event ids (by ``counter % 40``).
+
+    Rejects: 1 cut, 3 followed by text, 5 two objects, 7 an array, 9 a number as a string,
+    11 a fraction, 13 a number out of range, 15 an actor that is no object.
+    Not rejects: 17 JSON null and 19 blank (NULL events), 21 no member at all, 23 a repeated
+    name (the last one counts), 25 no session.
+    """
+    c = F.col("counter")
+    number, session = c.cast("string"), F.col("session")
+    faults = {
+        1: F.substring(text, 1, 40),
+        3: F.concat(text, F.lit(" trailing")),
+        5: F.concat(text, text),
+        7: F.concat(F.lit("["), text, F.lit("]")),
+        9: F.concat(F.lit('{"session":"'), session, F.lit('","counter":"'), number, F.lit('"}')),
+        11: F.concat(F.lit('{"session":"'), session, F.lit('","counter":'), number, F.lit(".5}")),
+        13: F.concat(F.lit('{"counter":'), number, F.lit(',"frame":{"millis":1,"tic":99999999999}}')),
+        15: F.concat(F.lit('{"session":"'), session, F.lit('","counter":'), number, F.lit(',"actor":"x"}')),
+        17: F.lit("null"),
+        19: F.lit(" "),
+        21: F.lit("{}"),
+        23: F.concat(F.lit('{"session":"first",'), text.substr(F.lit(2), F.length(text))),
+        25: F.concat(F.lit("{"), text.substr(F.instr(text, ',"counter"') + 1, F.length(text))),
+    }
+    out = text
+    for k, bad in faults.items():
+        out = F.when(c % 40 == k, bad).otherwise(out)
+    return out
+
+
+def events_to_records(events: DataFrame, faults: bool = False) -> DataFrame:
+    """``events`` -> Kafka records ``key BINARY, value BINARY, timestamp, headers,
+    partition, offset`` (one topic partition, the event id as the offset).
 
     ``to_json`` omits NULL members, so absent members are really absent in the text.
+    ``faults`` spoils the texts of some records, see :func:`faulty_text`.
     """
     g = game_columns(events)
+    text = F.to_json(game_event_struct(g))
+    if faults:
+        text = faulty_text(text)
     return g.select(
         F.encode(F.col("kafka_key"), "UTF-8").alias("key"),
-        F.encode(F.to_json(game_event_struct(g)), "UTF-8").alias("value"),
+        F.encode(text, "UTF-8").alias("value"),
         F.col("timestamp"),
         F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"),
+        F.lit(0).alias("partition"), F.col("counter").alias("offset"),
     )
 
 
@@ -112,13 +149,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
     A source with more splits is left alone: re-shuffling raw input only to go from,
     say, 5,000 to 8,000 tasks costs more than it saves, and at 100 TB a file source
-    has hundreds of thousands of splits anyway.  Streams are always spread (their
-    split count is only known per micro-batch); use it on few-file streams only.
+    has hundreds of thousands of splits anyway.  Streams are never spread (their
+    split count is only known per micro-batch and a shuffle of all raw rows in each costs more).
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming:
-        return df.repartition(want)
-    if df.rdd.getNumPartitions() * 4 <= want:
+    if not df.isStreaming and df.rdd.getNumPartitions() * 4 <= want:
         return df.repartition(want)
     return df
 
@@ -127,6 +162,6 @@ def load_events(spark, sf_dir: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
-def game_records(spark, sf_dir: str) -> DataFrame:
+def game_records(spark, sf_dir: str, faults: bool = False) -> DataFrame:
     """Kafka-shaped records for the test scale ``sf_dir``."""
-    return events_to_records(load_events(spark, sf_dir))
+    return events_to_records(load_events(spark, sf_dir), faults)

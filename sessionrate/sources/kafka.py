@@ -22,7 +22,9 @@ DEFAULT_TOPIC = "game-events"
 DEFAULT_USER = None
 DEFAULT_PASSWORD = None
 DEFAULT_MECHANISM = "PLAIN"
-OUTPUT_TOPIC = "game-feedback"
+METRICS_TOPIC = "game-metrics"
+FEEDBACK_TOPIC = "game-feedback"
+REJECTS_TOPIC = "game-rejects"
 # SASL login module per mechanism (Kafka client classes).
 LOGIN_MODULES = {
     "PLAIN": "org.apache.kafka.common.security.plain.PlainLoginModule",
@@ -56,12 +58,17 @@ def kafka_options(brokers: str = DEFAULT_BROKERS, topic: str | None = DEFAULT_TO
                   for_writer: bool = False, starting_offsets: str = "latest",
                   client_id_prefix: str | None = None,
                   min_partitions: int | None = None,
-                  group_id_prefix: str | None = None) -> dict[str, str]:
+                  group_id_prefix: str | None = None,
+                  fail_on_data_loss: bool | None = None) -> dict[str, str]:
     """Reader (``subscribe``) or writer (``topic``) options for ``format("kafka")``.
 
     The consumer group: Spark tracks offsets in the query checkpoint and gives each
     query its own group id; ``group_id_prefix`` names it (``groupIdPrefix``), so the
     group shows up under the job's name on the broker.
+
+    ``starting_offsets`` only counts on a query's first start; afterwards its checkpoint
+    tells where to go on.  Offsets that are gone by then (retention, a re-created topic)
+    fail the query, as Spark does by default; ``fail_on_data_loss=False`` skips them.
     """
     opts = {"kafka.bootstrap.servers": brokers,
             "kafka.security.protocol": security_protocol(use_tls, username)}
@@ -73,7 +80,8 @@ def kafka_options(brokers: str = DEFAULT_BROKERS, topic: str | None = DEFAULT_TO
         opts["topic" if for_writer else "subscribe"] = topic
     if not for_writer:
         opts["startingOffsets"] = starting_offsets
-        opts["failOnDataLoss"] = "false"
+        if fail_on_data_loss is not None:
+            opts["failOnDataLoss"] = str(bool(fail_on_data_loss)).lower()
         # split each topic partition's offset range over several tasks when the topic
         # has fewer partitions than the cluster has cores (the topic may have one)
         if min_partitions:
@@ -102,7 +110,8 @@ def read_kafka(spark: SparkSession, options: dict[str, str], streaming: bool = T
 
 
 def decode_envelope(records: DataFrame, event_time: str = "record") -> DataFrame:
-    """Kafka records -> ``key STRING, value STRING, timestamp, headers, event_time``.
+    """Kafka records -> ``key STRING, value STRING, timestamp, headers, [partition,
+    offset,] event_time`` (the record's place in the topic is kept where there is one).
 
     ``event_time``: ``record`` = the record's (CreateTime) timestamp, the event-time
     of every windowed job; ``processing`` = the wall clock at processing time.
@@ -114,6 +123,7 @@ def decode_envelope(records: DataFrame, event_time: str = "record") -> DataFrame
         F.col("timestamp"),
         (F.col("headers") if "headers" in cols
          else F.lit(None).cast("array<struct<key:string,value:binary>>")).alias("headers"),
+        *[F.col(c) for c in ("partition", "offset") if c in cols],
     )
     if event_time == "record":
         return out.withColumn("event_time", F.col("timestamp"))

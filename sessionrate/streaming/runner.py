@@ -3,31 +3,26 @@
 Event time is the record timestamp (``event_time``).  The watermark is
 ``max(event_time) - delay``; with ``delay = 0`` a window ``[s, e)`` is emitted once a
 row with time >= ``e`` has been seen, and a late row is dropped for every window that
-had already been closed by the previous micro-batch's watermark.
+had already been closed by the previous micro-batch's watermark.  The maximum is over
+all source partitions, so the delay must cover how far one may lag behind another.
 
-Checkpoints and file outputs go below the shared folder named by
-``spark.checkpoint.dir`` (see :func:`sessionrate.session.checkpoint_root`), so a
-restarted driver or lost executor resumes from the last committed batch; file sinks
-are exactly-once, the Kafka sink at-least-once.
+A query that keeps its result needs a ``checkpoint``: a folder of its own on shared
+storage that stays the same from start to start.  A restarted query goes on from its last
+committed batch (file sinks exactly-once, the Kafka sink at-least-once); with a new
+folder it would start over.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from sessionrate.session import scratch_path
 
-
-def with_event_time(df: DataFrame, delay: str = "0 seconds",
-                    time_col: str = "event_time") -> DataFrame:
-    """Attach the watermark; ``delay`` is how late a row may be and still count.
-
-    Attach it to the source records (see ``jobs.decoded_events(watermark=...)``):
-    Catalyst pushes filters that do not read the event time below the watermark, so a
-    watermark put after a filter would only advance with the rows that pass it.
-    """
-    return df.withWatermark(time_col, delay)
+#: sinks that keep nothing: these may run without a checkpoint of their own
+EPHEMERAL_SINKS = ("memory", "console", "noop")
 
 
 def parquet_file_stream(spark: SparkSession, folder: str, file_glob: str,
@@ -41,15 +36,24 @@ def parquet_file_stream(spark: SparkSession, folder: str, file_glob: str,
     return reader.parquet(folder)
 
 
+def _checkpoint(spark: SparkSession, checkpoint: str | None, ephemeral: bool) -> str:
+    if checkpoint:
+        return checkpoint
+    if not ephemeral:
+        raise ValueError("name a checkpoint folder: the query resumes from it after a restart")
+    return scratch_path(spark, "ckpt")
+
+
 def start_stream(df: DataFrame, sink: str = "console", output_mode: str = "append",
                  checkpoint: str | None = None, path: str | None = None,
                  options: dict | None = None, query_name: str | None = None,
                  available_now: bool = False, processing_time: str | None = None
                  ) -> StreamingQuery:
-    """Start ``df`` into one sink: console, noop, memory, parquet, json, text, kafka."""
-    spark = df.sparkSession
+    """Start ``df`` into one sink: console, noop, memory, parquet, json, text, kafka.
+
+    ``checkpoint`` is required for sinks that keep the result."""
     w = df.writeStream.outputMode(output_mode).format(sink)
-    w = w.option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt"))
+    w = w.option("checkpointLocation", _checkpoint(df.sparkSession, checkpoint, sink in EPHEMERAL_SINKS))
     if path:
         w = w.option("path", path)
     for k, v in (options or {}).items():
@@ -63,13 +67,11 @@ def start_stream(df: DataFrame, sink: str = "console", output_mode: str = "appen
     return w.start()
 
 
-def start_fan_out(df: DataFrame, writers: list, checkpoint: str | None = None,
-                  output_mode: str = "append", available_now: bool = False) -> StreamingQuery:
+def start_fan_out(df: DataFrame, writers: list, checkpoint: str, output_mode: str = "append",
+                  available_now: bool = False) -> StreamingQuery:
     """One stream, several sinks: each micro-batch is computed once (persisted) and
     handed to every ``writer(batch_df, batch_id)``; a second ``start()`` would re-run
-    the whole query per sink."""
-    spark = df.sparkSession
-
+    the whole query per sink.  After a failure a batch is given again with its id."""
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -79,28 +81,64 @@ def start_fan_out(df: DataFrame, writers: list, checkpoint: str | None = None,
             batch.unpersist()
 
     w = (df.writeStream.outputMode(output_mode).foreachBatch(each)
-           .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt")))
+           .option("checkpointLocation", _checkpoint(df.sparkSession, checkpoint, False)))
     if available_now:
         w = w.trigger(availableNow=True)
     return w.start()
 
 
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark dropped as late, summed over the query's recent progress
-    (counted per state operator input, i.e. per (row, window) after partial
-    aggregation, not per source record)."""
-    total = 0
-    for progress in query.recentProgress:
-        for op in progress.get("stateOperators", []):
-            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
-    return total
+class LateRows(StreamingQueryListener):
+    """Counts the rows each query's watermark drops as late, over its whole run.
+
+    (A query's ``recentProgress`` only holds its last batches.)  Counted per state operator
+    input, i.e. per (row, window) after partial aggregation, not per source record.
+
+        late = LateRows.attach(spark)
+        ...
+        late.total(query)
+    """
+
+    def __init__(self):
+        self._lock, self._totals, self._ended = threading.Lock(), {}, {}
+
+    @classmethod
+    def attach(cls, spark: SparkSession) -> "LateRows":
+        listener = cls()
+        spark.streams.addListener(listener)
+        return listener
+
+    def _end(self, run_id) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(str(run_id), threading.Event())
+
+    def onQueryStarted(self, event):  # noqa: N802 - Spark's name
+        pass
+
+    def onQueryProgress(self, event):  # noqa: N802
+        dropped = sum(int(op.numRowsDroppedByWatermark or 0) for op in event.progress.stateOperators)
+        with self._lock:
+            run = str(event.progress.runId)
+            self._totals[run] = self._totals.get(run, 0) + dropped
+
+    def onQueryIdle(self, event):  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        self._end(event.runId).set()
+
+    def total(self, query: StreamingQuery, timeout: float = 30.0) -> int:
+        """Rows dropped so far; for an ended query, when all its events have arrived."""
+        if not query.isActive:
+            self._end(query.runId).wait(timeout)
+        with self._lock:
+            return self._totals.get(str(query.runId), 0)
 
 
 def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append") -> str:
     """Run a stream over everything available now into a parquet folder; return it.
 
-    The folder and the checkpoint sit in the shared checkpoint folder, so the result
-    survives executor loss and can be read back as a batch table.
+    A single bounded run: folder and checkpoint are new ones in the shared checkpoint
+    folder, so the result survives executor loss and can be read back as a batch table.
     """
     spark = df.sparkSession
     out = scratch_path(spark, f"{name}-out")

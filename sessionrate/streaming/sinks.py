@@ -1,4 +1,4 @@
-"""Sinks of the jobs: Kafka, console echo, no-op, text files, and fan-out.
+"""Sinks of the jobs: Kafka, log lines, no-op, text files, and fan-out.
 
 Batch and streaming alike: every writer takes a DataFrame and either writes it (batch)
 or starts a query (streaming).  Kafka writes go through Spark's ``kafka`` sink (needs
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from sessionrate.session import scratch_path
 from sessionrate.streaming.runner import start_fan_out, start_stream
 
 
@@ -19,8 +20,10 @@ def write_kafka(records: DataFrame, options: dict[str, str], checkpoint: str | N
                 available_now: bool = False):
     """Write ``key, value[, headers]`` rows to the topic named in ``options['topic']``.
 
-    Batch: a plain write.  Stream: a started query (checkpoint in the shared folder);
-    the topic partition follows the key, so one session's records stay in order.
+    Batch: a plain write.  Stream: a started query (``checkpoint`` required).  The topic
+    partition follows the key; the order within it is that of the writer tasks: for one
+    writer per session, in window order, pass metrics through
+    :func:`sessionrate.operators.metrics.in_session_order` first (streams: in a fan-out).
     """
     cols = [c for c in ("key", "value", "headers") if c in records.columns]
     out = records.select(*cols)
@@ -36,15 +39,32 @@ def echo(df: DataFrame, prefix: str = "") -> DataFrame:
     return df.select(F.concat(F.lit(prefix), F.to_json(F.struct(*df.columns))).alias("value"))
 
 
-def to_console(df: DataFrame, prefix: str = "", truncate: bool = False,
-               checkpoint: str | None = None) -> StreamingQuery | None:
-    """Print rows (streaming: the console sink; batch: ``show``)."""
+def _print_lines(rows) -> None:
+    for row in rows:
+        print(row[0], flush=True)
+
+
+def log_lines(df: DataFrame, prefix: str = "", path: str | None = None) -> None:
+    """Log every row of a batch as one line: to text files below ``path``, else to the
+    standard output of the executors' tasks.  All rows, none through the driver."""
     lines = echo(df, prefix)
+    if path:
+        lines.write.mode("append").text(path)
+    else:
+        lines.foreachPartition(_print_lines)
+
+
+def to_log(df: DataFrame, prefix: str = "", path: str | None = None, checkpoint: str | None = None,
+           available_now: bool = False) -> StreamingQuery | None:
+    """:func:`log_lines` for batch and stream; a stream into ``path`` needs a ``checkpoint``."""
     if not df.isStreaming:
-        lines.show(truncate=truncate)
+        log_lines(df, prefix, path)
         return None
-    return start_stream(lines, sink="console", options={"truncate": str(truncate).lower()},
-                        checkpoint=checkpoint)
+    if path:
+        return write_text(echo(df, prefix), path, checkpoint, available_now)
+    return start_fan_out(df, [lambda b, i: log_lines(b, prefix)],
+                         checkpoint=checkpoint or scratch_path(df.sparkSession, "log-ckpt"),
+                         available_now=available_now)
 
 
 def to_noop(df: DataFrame, checkpoint: str | None = None) -> StreamingQuery | None:

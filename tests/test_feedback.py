@@ -6,7 +6,8 @@ import struct
 from pyspark.sql import functions as F
 
 from sessionrate.functions.formatting import fmt3
-from sessionrate.operators.metrics import feedback_checked, metric_feedback, to_kafka_record
+from sessionrate.operators.metrics import (feedback_checked, feedback_rejects, metric_feedback, metric_name,
+                                            to_kafka_record)
 
 
 def _records(spark, texts):
@@ -26,10 +27,29 @@ def test_sentences_of_fixtures(spark):
 def test_rejects(spark):
     texts = ['{"session":"a","metric":"m","value":"1.5"}', '{"session":"a","metric":"m"}',
              '{"session":5,"metric":"m","value":1}', '', '{"session":"a","metric":"m","value":null}',
-             '{"session":"a","metric":"' + "x" * 5000 + '","value":1}', 'nope']
+             '{"session":"a","metric":"m","value":1e400}', '{"session":"a","metric":"m","value":1}x',
+             '[{"session":"a","metric":"m","value":1}]', 'nope']
     checked = feedback_checked(_records(spark, texts)).collect()
     assert all(r.sentence is None and r.reject_reason for r in checked)
     assert metric_feedback(_records(spark, texts)).count() == 0
+    bad = feedback_rejects(_records(spark, texts)).collect()
+    assert sorted(r.value for r in bad) == sorted(texts)
+    reasons = {r.value: r.reject_reason for r in bad}
+    assert [reasons[t] for t in texts] == ["value", "value", "session", "empty", "value", "value",
+                                           "not an object", "not an object", "not an object"]
+
+
+def test_long_records_are_no_rejects_unless_asked(spark):
+    text = '{"session":"a","metric":"m","value":1,"note":"' + "x" * 5000 + '"}'
+    assert metric_feedback(_records(spark, [text])).first().value == b"Your m is 1.000."
+    long_name = '{"session":"a","metric":"' + "x" * 90 + '","value":1}'
+    checked = feedback_checked(_records(spark, [text, long_name]), max_bytes=100).collect()
+    assert [r.reject_reason for r in checked] == ["too big", "too big"]
+
+
+def test_metric_names_follow_the_unit():
+    assert [metric_name("killed", u) for u in (1000, 60_000, 3_600_000, 250)] == [
+        "killed per second", "killed per minute", "killed per hour", "killed per 250 ms"]
 
 
 def test_headers_and_key_copied(spark):

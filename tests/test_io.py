@@ -28,6 +28,8 @@ def test_reader_and_writer_options():
     g = kafka_options("b:9092", "events", group_id_prefix="kill-rate", client_id_prefix="kr")
     assert g["groupIdPrefix"] == "kill-rate" and g["kafka.client.id"] == "kr"
     assert "group.instance.id" not in r and "auto.offset.reset" not in r
+    assert "failOnDataLoss" not in r                       # Spark's default: lost offsets fail
+    assert kafka_options("b", "t", fail_on_data_loss=False)["failOnDataLoss"] == "false"
     w = kafka_options("b:9092", "out", None, None, for_writer=True)
     assert w == {"kafka.bootstrap.servers": "b:9092", "kafka.security.protocol": "PLAINTEXT", "topic": "out"}
     assert " required username=" in jaas_config("PLAIN", "a", "b")
@@ -41,7 +43,7 @@ def test_stream_fan_out_to_two_sinks(spark):
     a, b = tempfile.mkdtemp(prefix="fan-a-"), tempfile.mkdtemp(prefix="fan-b-")
     writers = [lambda df, i: df.write.mode("append").parquet(a),
                lambda df, i: df.select("session").write.mode("append").parquet(b)]
-    q = sinks.fan_out(metrics, writers, available_now=True)
+    q = sinks.fan_out(metrics, writers, checkpoint=tempfile.mkdtemp(prefix="fan-ckpt-"), available_now=True)
     q.awaitTermination()
     n_a = spark.read.parquet(a).count()
     assert n_a > 0 and n_a == spark.read.parquet(b).count()
@@ -69,11 +71,12 @@ def test_deploy_entry_points_on_a_file_stream(spark):
     feedback job reading the metric records the first one produced."""
     from sessionrate.operators.metrics import to_kafka_record
     from sessionrate.plans import deploy
-    from sessionrate.sources.adapter import events_to_records, spread
+    from sessionrate.sources.adapter import events_to_records
     from sessionrate.streaming.runner import parquet_file_stream
-    stream = spread(parquet_file_stream(spark, "/root/testdata/sf0.001", "events.parquet"))
+    stream = parquet_file_stream(spark, "/root/testdata/sf0.001", "events.parquet")
     out = tempfile.mkdtemp(prefix="deploy-metrics-")
-    q = deploy.start_kill_rate(spark, records=events_to_records(stream), log=False,
+    q = deploy.start_kill_rate(spark, tempfile.mkdtemp(prefix="ckpt-"), "0 seconds",
+                               records=events_to_records(stream), log=False,
                                extra_writers=[lambda b, i: to_kafka_record(b).write.mode("append").parquet(out)],
                                available_now=True)
     q.awaitTermination()
@@ -81,7 +84,7 @@ def test_deploy_entry_points_on_a_file_stream(spark):
     assert n > 0
     fb_out = tempfile.mkdtemp(prefix="deploy-feedback-")
     metric_stream = spark.readStream.schema(spark.read.parquet(out).schema).parquet(out)
-    q2 = deploy.start_feedback(spark, records=metric_stream, available_now=True,
+    q2 = deploy.start_feedback(spark, tempfile.mkdtemp(prefix="ckpt-"), records=metric_stream, available_now=True,
                                writer=lambda b, i: b.write.mode("append").parquet(fb_out))
     q2.awaitTermination()
     sentences = spark.read.parquet(fb_out)
@@ -127,19 +130,21 @@ def test_stream_group_text_sink(spark):
     from sessionrate.operators import rates as R
     g = J.grouped_job(None, *SCALED["group"], events=_stream_events(spark, "/root/testdata/sf0.001"))
     path = os.path.join(tempfile.mkdtemp(prefix="stream-groups-"), "out")
-    q = sinks.write_text(R.windowed_group_text(g), path, available_now=True)
+    with pytest.raises(ValueError, match="checkpoint"):
+        sinks.write_text(R.windowed_group_text(g), path, available_now=True)
+    q = sinks.write_text(R.windowed_group_text(g), path, tempfile.mkdtemp(prefix="ckpt-"), available_now=True)
     q.awaitTermination()
     lines = spark.read.json(path)
     assert lines.count() > 0
     row = lines.orderBy("window_start_ms").first()
-    assert row["n_parts"] == 1 and row["part"] == 0 and len(row["events"]) >= 1
+    assert row["n_parts"] == R.GROUP_PARTS and 0 <= row["part"] < R.GROUP_PARTS and len(row["events"]) >= 1
 
 
-def test_bounded_run_stops_a_console_stream(spark):
+def test_bounded_run_stops_a_log_stream(spark):
     """A stream with no end is stopped after the given seconds (bounded run)."""
     ev = _stream_events(spark, "/root/testdata/sf0.001")
     metrics = J.kill_rate_job(None, width_ms=SCALED["kill"][0], slide_ms=SCALED["kill"][1], events=ev)
-    q = sinks.to_console(metrics, prefix="kills: ")
+    q = sinks.to_log(metrics, prefix="kills: ")
     sinks.run_for(q, 3)
     assert not q.isActive
 

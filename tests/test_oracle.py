@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from sessionrate.plans.oracle import ORACLE
+from sessionrate.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,7 +29,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     cols = sorted(df.columns)
@@ -40,6 +42,10 @@ def test_query_matches_oracle(spark, con, name):
     assert got == want
 
 
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE) and set(ORACLE) <= set(E.oracle_sql())
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["session", "window_start_ms", "window_end_ms", "metric", "value"]

@@ -1,7 +1,9 @@
 """JSON parsing: the reference's deserializer tests and the malformed-input cases."""
 
-from sessionrate.operators.parse import (CORRUPT, empty_record_flags, parse_events,
-                                         schema_violations, split_rejects)
+import pytest
+
+from sessionrate.operators.parse import (CORRUPT, empty_record_flags, parse_events, schema_violations,
+                                         sentinels_to_null, split_rejects)
 from sessionrate.schema import INT_MAX, LONG_MAX
 
 MINIMAL = ('{"session":"abc123","counter":123,"type":"move","frame":{"tic":123,"millis":456},'
@@ -57,7 +59,7 @@ def test_sentinel_profile_null_versus_absent(spark):
 
 def test_reject_mode_keeps_text_of_bad_rows(spark):
     good, bad = split_rejects(parse_events(_df(spark, MALFORMED + [MINIMAL])))
-    bad_texts = sorted(r[CORRUPT] for r in bad.collect())
+    bad_texts = [r[CORRUPT] for r in bad.collect()]
     assert "{bad" in bad_texts and '{"session":5,"counter":1.5}' in bad_texts
     assert '{"counter":99999999999999999999}' in bad_texts
     assert MINIMAL not in bad_texts
@@ -66,6 +68,47 @@ def test_reject_mode_keeps_text_of_bad_rows(spark):
     assert goods[3].session == "a" and goods[3].actor is None
 
 
+# text -> rejected?  The same for every profile
+VERDICTS = {
+    MINIMAL: False, FULL: False, '{bad': True, MINIMAL + "garbage": True, MINIMAL + MINIMAL: True,
+    MINIMAL + " \n": False, MINIMAL + ",1": True, MINIMAL + '},{"x":1': True,
+    "[" + MINIMAL + "]": True, "[1]": True, "5": True, '"x"': True, "null": False, "": False, "  ": False,
+    "{}": False, '{"a":1}': False,
+    '{"counter":"12"}': True, '{"counter":1.5}': True, '{"counter":1.0}': True, '{"counter":true}': True,
+    '{"counter":99999999999999999999}': True, '{"frame":{"tic":99999999999}}': True,
+    '{"frame":{"millis":99999999999}}': False, '{"actor":"x"}': True, '{"actor":[1]}': True,
+    '{"actor":{"position":7}}': True, '{"actor":null,"session":null,"counter":null}': False,
+    '{"session":5}': False, '{"session":true}': False, "{'session':'a'}": True, '{"session":"a",}': True,
+    '{"session":"a","session":"b"}': False, '{"counter":NaN}': True,
+}
+
+
+@pytest.mark.parametrize("profile", ["none", "sentinel", "schema"])
+def test_one_error_rule_for_all_profiles(spark, profile):
+    texts = list(VERDICTS)
+    rows = {r.i: r for r in parse_events(_df(spark, texts), defaults=profile).collect()}
+    for i, text in enumerate(texts):
+        assert (rows[i][CORRUPT] == text) == VERDICTS[text], text
+        if VERDICTS[text]:
+            assert all(rows[i][c] is None for c in ("session", "counter", "frame", "actor"))
+            with pytest.raises(Exception, match="malformed event"):
+                parse_events(_df(spark, [text]), defaults=profile, on_error="fail").collect()
+    by_text = {t: rows[i] for i, t in enumerate(texts)}
+    assert by_text['{"session":"a","session":"b"}'].session == "b"
+    assert by_text['{"session":5}'].session == "5"
+    assert by_text["null"].session is None and by_text["null"].actor is None
+    quiet = parse_events(_df(spark, texts), defaults=profile, on_error="null")
+    assert quiet.where(f"{CORRUPT} is not null").count() == 0 and quiet.count() == len(texts)
+
+
+def test_cleaning_undoes_the_sentinel_fill(spark):
+    texts = [t for t, bad in VERDICTS.items() if not bad and '"session":null' not in t]
+    none = parse_events(_df(spark, texts))
+    cleaned = sentinels_to_null(parse_events(_df(spark, texts), defaults="sentinel"))
+    want = {r.i: r for r in none.collect()}
+    assert {r.i: r for r in cleaned.collect()} == want
+
+
 def test_null_mode_and_schema_profile(spark):
     rows = {r.i: r for r in parse_events(_df(spark, MALFORMED), on_error="null").collect()}
     assert rows[0].session is None and rows[0][CORRUPT] is None
@@ -77,6 +120,8 @@ def test_schema_violations(spark):
     v = {r.i: r.violations for r in schema_violations(_df(spark, MALFORMED + [MINIMAL, FULL])).collect()}
     assert v[7] == [] and v[8] == []
     assert v[0] == ["/: expected object"]
+    more = [MINIMAL + "garbage", "[" + MINIMAL + "]", "null", " "]
+    assert all(r.violations == ["/: expected object"] for r in schema_violations(_df(spark, more)).collect())
     assert "/actor: expected object" in v[3] and "/counter: required" in v[3]
     assert "/session: expected string" in v[4] and "/counter: expected integer" in v[4]
     assert "/frame/millis: required" in v[6] and "/counter: expected integer" in v[6]

@@ -33,11 +33,21 @@ def test_windowed_rates_never_shuffle_on_key_alone(spark):
             assert "window_start_ms" in keys, (name, keys)
 
 
-def test_grouped_lists_collect_bounded_parts(spark):
-    plan = _plan(QUERIES["windowed_group"](spark, SF))
-    collect_keys = [k for k in _hash_exchanges(plan) if "part" in k]
-    assert collect_keys, plan                      # the list is collected per (key, window, part)
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+def test_grouped_lists_take_one_scan_and_one_wide_shuffle(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES["windowed_group"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    ex = _hash_exchanges(plan)
+    assert len(ex) == 1 and "part" in ex[0] and "window_start_ms" in ex[0]
+    assert plan.count("from_json") == 1 and plan.count("FileScan") == 1 and "Join" not in plan
+
+
+def test_bucketed_plan_takes_one_shuffle_on_session_and_bucket(spark):
+    ex = _hash_exchanges(_plan(QUERIES["kill_rate_fine_bucketed"](spark, SF)))
+    assert len(ex) == 1 and "__bucket" in ex[0] and "window_start_ms" not in ex[0]
 
 
 def test_feedback_parses_once(spark):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sessionrate.operators import rates as R
 from sessionrate.plans import jobs as J
-from sessionrate.streaming.runner import dropped_late_rows, start_stream
+from sessionrate.streaming.runner import LateRows, start_stream
 
 T0 = dt.datetime(2024, 1, 1)
 BATCHES = [
@@ -42,11 +42,15 @@ def _run(spark, delay):
     ev = J.decoded_events(src, watermark=delay)
     rates = R.event_rate(R.filter_actor_type(ev, "player"), "killed", 3000, 500)
     name = f"late_{delay.split()[0]}"
-    q = start_stream(rates, sink="memory", query_name=name, available_now=True)
-    q.awaitTermination()
+    late = LateRows.attach(spark)
+    try:
+        q = start_stream(rates, sink="memory", query_name=name, available_now=True)
+        q.awaitTermination()
+        _run.dropped = late.total(q)
+    finally:
+        spark.streams.removeListener(late)
     rows = spark.sql(f"SELECT * FROM {name}").collect()
     base = 1704067200000
-    _run.dropped = dropped_late_rows(q)
     return {(r.session, r.window_end_ms - base): round(r.value * 3) for r in rows}
 
 
