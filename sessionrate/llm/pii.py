@@ -43,10 +43,11 @@ _STREAM = 32                                       # positions served by one dig
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 YEAR, MONTH, DAY = r"(?:1[89]|2[01])\d\d", r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])"
+# every value begins where no letter or digit stands before it; what follows is tried there only
 PATTERNS = {
     "secret": r"(?i:token|secret|api[_-]?key|access[_-]?key|password|passwd)\b['\"]?\s{0,4}[:=]\s{0,4}"
               r"(?:\"[0-9A-Za-z+/_=-]{16,256}\"|'[0-9A-Za-z+/_=-]{16,256}')",
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
+    "email": r"(?<![._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
     "ipv4": rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d)",
     "date": rf"(?<![\w./-])(?:{YEAR}(?<ds>[-/]){MONTH}\k<ds>{DAY}|{DAY}\.{MONTH}\.{YEAR})(?!\w|[./-]\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -55,7 +56,18 @@ PATTERNS = {
     "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?<cs>[ -])\d{4}\k<cs>\d{4}\k<cs>\d{4}|\d{4}(?<as>[ -])\d{6}\k<as>\d{5})(?!\w|-\d)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_DIGITS_FIRST = "|".join(PATTERNS[k] for k in ("ipv4", "date", "ssn", "phone", "card"))
+ANY = (rf"(?<![A-Za-z0-9])(?:(?=[0-9+(])(?:{_DIGITS_FIRST})|(?=[A-Za-z0-9._%+-]++@){PATTERNS['email']}"
+       rf"|(?=[A-Z]{{2}}[0-9]){PATTERNS['iban']}|(?=[TtSsAaPp]){PATTERNS['secret']})")
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it.
+
+    (An expression named twice inside a lambda is otherwise computed twice, and one named
+    in an inner lambda once per element.)
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 # ------------------------------------------------------------------ Feistel
@@ -65,38 +77,34 @@ def _digest(key: str, kind: str, r: Column, other: Column) -> Column:
 
 def _chars(half: Column, digest: Column) -> Column:
     """Every digit, lower and upper case letter of ``half`` moved within its class."""
-    def move(j):
-        c = F.substring(half, j, 1) if isinstance(j, int) else half.substr(j, F.lit(1))
-        at = F.pmod(j - 1, F.lit(_STREAM)) * 4 + 1
-        k = F.conv(digest.substr(at, F.lit(4)), 16, 10).cast("int")
-        code = F.ascii(c)
+    def move(d, c, j):
+        at = F.pmod(j, F.lit(_STREAM)) * 4 + 1
+        k = F.conv(d.substr(at, F.lit(4)), 16, 10).cast("int")
 
         def turn(first, size):
-            return F.char(F.lit(first) + F.pmod(code - first + k, F.lit(size)))
+            return F.char(F.lit(first) + F.pmod(F.ascii(c) - first + k, F.lit(size)))
 
         return (F.when(c.between("0", "9"), turn(48, 10)).when(c.between("a", "z"), turn(97, 26))
                 .when(c.between("A", "Z"), turn(65, 26)).otherwise(c))
 
-    moved = F.array_join(F.transform(F.sequence(F.lit(1), F.length(half)), move), "")
-    return F.when(F.length(half) > 0, moved).otherwise(half)
+    return let(digest, lambda d: F.array_join(F.transform(F.split(half, ""), lambda c, j: move(d, c, j)), ""))
 
 
 def permute_text(value: Column, key: str, kind: str) -> Column:
     """Format-preserving permutation of a string, class by class."""
-    n = F.length(value)
-    cut = F.floor(n / 2).cast("int")
-    start = F.struct(value.substr(F.lit(1), cut).alias("a"),
-                     value.substr(cut + 1, n).alias("b"))
-    size = F.concat(n.cast("string"), F.lit("|"))
+    def halves(v):
+        cut = F.floor(F.length(v) / 2).cast("int")
+        return F.struct(v.substr(F.lit(1), cut).alias("a"), v.substr(cut + 1, F.length(v)).alias("b"),
+                        F.concat(F.length(v).cast("string"), F.lit("|")).alias("size"))
 
     def step(s, r):
         first = r % 2 == 0
-        a = F.when(first, _chars(s["a"], _digest(key, kind, r, F.concat(size, s["b"])))).otherwise(s["a"])
-        b = F.when(first, s["b"]).otherwise(_chars(s["b"], _digest(key, kind, r, F.concat(size, s["a"]))))
-        return F.struct(a.alias("a"), b.alias("b"))
+        a = F.when(first, _chars(s["a"], _digest(key, kind, r, F.concat(s["size"], s["b"])))).otherwise(s["a"])
+        b = F.when(first, s["b"]).otherwise(_chars(s["b"], _digest(key, kind, r, F.concat(s["size"], s["a"]))))
+        return F.struct(a.alias("a"), b.alias("b"), s["size"].alias("size"))
 
     rounds = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
-    return F.aggregate(rounds, start, step, lambda s: F.concat(s["a"], s["b"]))
+    return let(value, lambda v: F.aggregate(rounds, halves(v), step, lambda s: F.concat(s["a"], s["b"])))
 
 
 def permute_pair(a: Column, b: Column, size_a: int, size_b: int, key: str, kind: str) -> Column:
@@ -122,31 +130,35 @@ def _only(value: Column, not_wanted: str) -> Column:
 
 def refill(shape: Column, filler: Column, wanted: str = "0-9") -> Column:
     """``shape`` with its characters of class ``wanted`` replaced by those of ``filler``."""
-    def put(i):
+    def put(f, i):
         c = shape.substr(i, F.lit(1))
         k = F.length(_only(shape.substr(F.lit(1), i), f"[^{wanted}]"))
-        return F.when(c.rlike(f"[{wanted}]"), filler.substr(k, F.lit(1))).otherwise(c)
+        return F.when(c.rlike(f"[{wanted}]"), f.substr(k, F.lit(1))).otherwise(c)
 
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.length(shape)), put), "")
+    places = F.sequence(F.lit(1), F.length(shape))
+    return let(filler, lambda f: F.array_join(F.transform(places, lambda i: put(f, i)), ""))
 
 
 def _luhn_sum(digits: Column, double_last: bool) -> Column:
+    """``digits``: a name (see :func:`let`), as it is read once per digit."""
     n = F.length(digits)
 
-    def value(i):
+    def add(total, i):
         d = digits.substr(i, F.lit(1)).cast("int")
         doubled = ((n - i) % 2) == (0 if double_last else 1)
-        return F.when(doubled, F.when(d > 4, d * 2 - 9).otherwise(d * 2)).otherwise(d)
+        return total + F.when(doubled, F.when(d > 4, d * 2 - 9).otherwise(d * 2)).otherwise(d)
 
-    return F.aggregate(F.transform(F.sequence(F.lit(1), n), value), F.lit(0), lambda t, x: t + x)
+    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), add)
 
 
 def _card(m: Column, key: str) -> Column:
-    digits = _only(m, "[^0-9]")
-    body = permute_text(digits.substr(F.lit(1), F.length(digits) - 1), key, "card")
-    check = F.pmod(-_luhn_sum(body, True), F.lit(10)).cast("string")
-    valid = (_luhn_sum(digits, False) % 10 == 0) & digits.rlike("[1-9]")
-    return F.when(valid, refill(m, F.concat(body, check)))
+    def new(digits):
+        body = permute_text(digits.substr(F.lit(1), F.length(digits) - 1), key, "card")
+        with_check = let(body, lambda b: F.concat(b, F.pmod(-_luhn_sum(b, True), F.lit(10)).cast("string")))
+        valid = (_luhn_sum(digits, False) % 10 == 0) & digits.rlike("[1-9]")
+        return F.when(valid, refill(m, with_check))
+
+    return let(_only(m, "[^0-9]"), new)
 
 
 def _mod97(text: Column) -> Column:
@@ -160,38 +172,53 @@ def _mod97(text: Column) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
-    flat = _only(m, " ")
-    land, account = flat.substr(1, 2), flat.substr(F.lit(5), F.length(flat))
-    new = permute_text(account, key, "iban")
-    check = F.lpad((98 - _mod97(F.concat(new, land, F.lit("00")))).cast("string"), 2, "0")
-    valid = (_mod97(F.concat(account, flat.substr(1, 4))) == 1) & F.length(flat).between(15, 34)
-    return F.when(valid, refill(m, F.concat(land, check, new), "0-9A-Z"))
+    def new(flat):
+        land, account = flat.substr(1, 2), flat.substr(F.lit(5), F.length(flat))
+
+        def whole(a):
+            check = let(F.concat(a, land, F.lit("00")),
+                        lambda t: F.lpad((98 - _mod97(t)).cast("string"), 2, "0"))
+            return F.concat(land, check, a)
+
+        valid = let(F.concat(account, flat.substr(1, 4)), lambda t: _mod97(t) == 1) & F.length(flat).between(15, 34)
+        return F.when(valid, refill(m, let(permute_text(account, key, "iban"), whole), "0-9A-Z"))
+
+    return let(_only(m, " "), new)
 
 
 def _ssn(m: Column, key: str) -> Column:
     area, group, serial = (m.substr(1, 3).cast("int"), m.substr(5, 2).cast("int"), m.substr(8, 4).cast("int"))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     place = area - F.when(area > 666, 2).otherwise(1)
+
+    def text(new):
+        a = new["a"] + F.when(new["a"] >= 665, 2).otherwise(1)
+        g, s = F.floor(new["b"] / 9999) + 1, new["b"] % 9999 + 1
+        return F.concat_ws("-", *[F.lpad(x.cast("long").cast("string"), w, "0") for x, w in ((a, 3), (g, 2), (s, 4))])
+
     new = permute_pair(place, (group - 1) * 9999 + serial - 1, SSN_AREAS, SSN_REST, key, "ssn")
-    a = new["a"] + F.when(new["a"] >= 665, 2).otherwise(1)
-    g, s = F.floor(new["b"] / 9999) + 1, new["b"] % 9999 + 1
-    text = F.concat_ws("-", *[F.lpad(x.cast("long").cast("string"), w, "0") for x, w in ((a, 3), (g, 2), (s, 4))])
-    return F.when(valid, text)
+    return F.when(valid, let(new, text))
 
 
 def _phone(m: Column, key: str) -> Column:
-    digits = _only(m, "[^0-9]")
-    n = F.length(digits)
-    new = permute_text(digits.substr(n - 9, F.lit(10)), key, "phone")
-    return F.when(n >= 10, refill(m, F.concat(digits.substr(F.lit(1), n - 10), new)))
+    def new(digits):
+        n = F.length(digits)
+        last = permute_text(digits.substr(n - 9, F.lit(10)), key, "phone")
+        return F.when(n >= 10, refill(m, F.concat(digits.substr(F.lit(1), n - 10), last)))
+
+    return let(_only(m, "[^0-9]"), new)
 
 
 def _ipv4(m: Column, key: str) -> Column:
-    o = F.split(m, r"\.")
-    octet = lambda i: F.get(o, F.lit(i)).cast("int")
-    new = permute_pair(octet(0) * 256 + octet(1), octet(2) * 256 + octet(3), 65536, 65536, key, "ipv4")
-    parts = [F.floor(new["a"] / 256), new["a"] % 256, F.floor(new["b"] / 256), new["b"] % 256]
-    return F.concat_ws(".", *[p.cast("long").cast("string") for p in parts])
+    def text(new):
+        parts = [F.floor(new["a"] / 256), new["a"] % 256, F.floor(new["b"] / 256), new["b"] % 256]
+        return F.concat_ws(".", *[p.cast("long").cast("string") for p in parts])
+
+    def new(o):
+        octet = lambda i: F.get(o, F.lit(i)).cast("int")
+        return permute_pair(octet(0) * 256 + octet(1), octet(2) * 256 + octet(3), 65536, 65536, key, "ipv4")
+
+    return let(let(F.split(m, r"\."), new), text)
 
 
 def _date(m: Column, key: str) -> Column:
@@ -201,7 +228,7 @@ def _date(m: Column, key: str) -> Column:
     day = F.to_date(F.try_to_timestamp(flat, F.lit("yyyy-MM-dd")))
     n = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
     new = permute_pair(F.floor(n / DAY_LOW), n % DAY_LOW, DAY_HIGH, DAY_LOW, key, "date")
-    moved = F.date_add(F.lit(FIRST_DAY).cast("date"), (new["a"] * DAY_LOW + new["b"]).cast("int"))
+    moved = let(new, lambda p: F.date_add(F.lit(FIRST_DAY).cast("date"), (p["a"] * DAY_LOW + p["b"]).cast("int")))
     out = F.when(~iso, F.date_format(moved, "dd.MM.yyyy")).when(
         m.contains("/"), F.date_format(moved, "yyyy/MM/dd")).otherwise(F.date_format(moved, "yyyy-MM-dd"))
     return F.when(day.isNotNull(), out)
@@ -238,7 +265,7 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
 def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     """``docs`` with validated values in ``text`` replaced, and ``n_pseudonyms``."""
     cols = [c for c in docs.columns if c.lower() not in (text.lower(), "n_pseudonyms")]
-    may = F.coalesce(F.col("_t").rlike("[0-9@]|['\"]"), F.lit(False))
+    may = F.coalesce(F.col("_t").rlike("[0-9@'\"]"), F.lit(False))
     none = F.array().cast("array<string>")
     rows = docs.select(F.struct(*cols).alias("_row") if cols else F.lit(None).alias("_row"),
                        F.col(text).alias("_t"))
