@@ -86,8 +86,47 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM v
 """
 
+OP8 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, coalesce(source, '') AS s, coalesce(CAST(doc_id AS VARCHAR), '') AS k,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens
+  FROM documents),
+src AS (SELECT s, CAST(sum(n_tokens) AS BIGINT) AS t FROM d GROUP BY s),
+tot AS (SELECT sum(t)::DOUBLE AS total, 0.99 * ln(count(*)) - 1e-12 AS want FROM src WHERE t > 0),
+p AS (SELECT t / total AS p, want FROM src, tot WHERE t > 0),
+-- 32 halvings reach the 16**-8 grid of the operator
+ent AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+  UNION ALL
+  SELECT i + 1, CASE WHEN h >= want THEN mid ELSE lo END, CASE WHEN h >= want THEN hi ELSE mid END
+  FROM (SELECT i, lo, hi, (lo + hi) / 2 AS mid FROM ent WHERE i < 32) e,
+       LATERAL (SELECT ln(sum(pow(p, mid))) - mid * sum(pow(p, mid) * ln(p)) / sum(pow(p, mid)) AS h,
+                       max(want) AS want FROM p) x),
+flat AS (SELECT CASE WHEN (SELECT -sum(p * ln(p)) >= max(want) FROM p) OR (SELECT count(*) FROM p) < 2 THEN 1.0 ELSE lo END AS a
+         FROM ent WHERE i = 32),
+most AS (SELECT max(pow(p, a - 1)) / sum(pow(p, a)) > 4 * (1 + 1e-12) AS much FROM p, flat),
+rep AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
+  UNION ALL
+  SELECT i + 1, CASE WHEN much THEN mid ELSE lo END, CASE WHEN much THEN hi ELSE mid END
+  FROM (SELECT i, lo, hi, (lo + hi) / 2 AS mid FROM rep WHERE i < 32) e,
+       LATERAL (SELECT max(pow(p, mid - 1)) / sum(pow(p, mid)) > 4 * (1 + 1e-12) AS much FROM p) x),
+e AS (SELECT round(CASE WHEN much THEN greatest(a, least(1.0, lo + pow(16.0, -8))) ELSE a END, 6) AS a
+      FROM flat, most, rep WHERE i = 32),
+z AS (SELECT a, total, sum(pow(t / total, a)) AS z FROM src, tot, e WHERE t > 0 GROUP BY a, total),
+q AS (SELECT s, t, CASE WHEN t = 0 THEN 0 ELSE CAST(round(pow(t / total, a) / z * total) AS BIGINT) END AS quota FROM src, z),
+f AS (SELECT s, CASE WHEN t = 0 THEN 1 ELSE quota // t END AS n_full, CASE WHEN t = 0 THEN 0 ELSE quota % t END AS rest FROM q),
+o AS (SELECT d.*, n_full, rest, sum(n_tokens) OVER (PARTITION BY s ORDER BY
+             CAST('0x' || substr(md5('0:' || k || chr(31) || s || chr(31) || CAST(n_full AS VARCHAR)), 1, 13) AS BIGINT), k
+             ROWS UNBOUNDED PRECEDING) AS upto
+      FROM d JOIN f USING (s))
+SELECT doc_id, source, n_tokens, CAST(n_full + CASE WHEN rest > 0 AND upto <= rest THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM o
+"""
+
 ORACLE = {
     "op3_line_first_quality": OP3,
     "op1_permutation_table_sharding": OP1,
     "op7_content_addressed_warc": OP7,
+    "op8_temperature_mixing": OP8,
 }
