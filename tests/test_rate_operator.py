@@ -23,7 +23,7 @@ def test_two_matching_events_rate_two(spark):
 
 
 def test_non_matching_type_does_not_count(spark):
-    ev = _events(spark, [(100, "session", "type", "player"), (200, "session", "CRAP", "player")])
+    ev = _events(spark, [(100, "session", "type", "player"), (200, "session", "jump", "player")])
     out = R.event_rate(ev, "type", 1000, 1000).collect()
     assert [(r.session, r.value) for r in out] == [("session", 1.0)]
 
