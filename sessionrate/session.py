@@ -72,6 +72,20 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set(k, DEFAULT_CONF[k])
 
 
+def sizing(shuffle_bytes: float, cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a run that shuffles about ``shuffle_bytes`` (at its widest) on ``cores``.
+
+    Enough shuffle partitions for ``partition_bytes`` each, at least two per core; AQE then
+    coalesces what turns out small.  Streams fix their number at the first start, so give
+    the size of their state there.  Pass to :func:`get_spark` as ``extra``.
+    """
+    n = str(max(2 * cores, -(-int(shuffle_bytes) // partition_bytes), 1))
+    return {"spark.sql.shuffle.partitions": n,
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum": n,
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+            "spark.sql.files.maxPartitionBytes": str(partition_bytes)}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

@@ -234,3 +234,9 @@ def test_no_folder_of_the_drivers_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def test_sizing():
+    from sessionrate.session import sizing
+    assert sizing(10e12, 4000)["spark.sql.shuffle.partitions"] == str(-(-int(10e12) // (128 << 20)))
+    assert sizing(0, 8)["spark.sql.shuffle.partitions"] == "16"
