@@ -16,6 +16,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 _NONE = np.int64(1 << 40)               # rank of "no piece"
+_TOP = np.uint64(64 - 20)
 _BASES = (0x100000001B3, 0x9E3779B97F4A7C15)
 
 
@@ -85,6 +86,7 @@ class PieceModel:
     keys: np.ndarray = field(default=None)
     check: np.ndarray = field(default=None)
     ids: np.ndarray = field(default=None)
+    maybe: np.ndarray = field(default=None)      # by the top bits of a hash: may it be a key
     longest: int = 0
     left: np.ndarray = field(default=None)       # last merge of each piece (BPE)
     right: np.ndarray = field(default=None)
@@ -134,6 +136,8 @@ class PieceModel:
         self.keys, self.check, self.ids = keys[order], check[order], ids[order].astype(np.int32)
         if len(np.unique(self.keys)) < len(self.keys):
             raise ValueError("two pieces share a hash")
+        self.maybe = np.zeros(1 << 20, dtype=bool)
+        self.maybe[self.keys >> _TOP] = True
         if self.kind == BPE:
             self._build_merges(normal)
 
@@ -173,8 +177,12 @@ class PieceModel:
 
     def find(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
         """Piece ids of span hashes, -1 where there is none."""
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((self.keys[at] == key) & (self.check[at] == check), self.ids[at], -1)
+        out = np.full(len(key), -1, dtype=np.int32)
+        asked = np.flatnonzero(self.maybe[key >> _TOP])       # spares most spans the search
+        k = key[asked]
+        at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
+        out[asked] = np.where((self.keys[at] == k) & (self.check[at] == check[asked]), self.ids[at], -1)
+        return out
 
     def union_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         if not len(self.pair_keys):

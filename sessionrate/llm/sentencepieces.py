@@ -27,7 +27,7 @@ documents give no rows.  One map step; the model's tables go to the tasks with t
 from __future__ import annotations
 
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -37,11 +37,11 @@ from sessionrate.llm.piece_model import (BPE, BYTE, CONTROL, SPACE, UNKNOWN, Pie
                                          hashes)
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-CACHE_WORDS = 500_000      # distinct words a Python worker keeps (about 250 bytes each)
+CACHE_WORDS = 500_000      # distinct words a Python worker keeps (about 200 bytes each)
 ROWS = 4096                # words that advance together
 CELLS = 1 << 20            # spans looked up at once, at most
 LONG = 512                 # longer words advance alone, in plain Python
-_PAIR_BITS = 20            # slots of the table of pairs already compared
+_PAIR_BITS = 22            # slots of the table of pairs already compared
 _NO_PIECE = -2             # backpointer: a character without a piece
 
 
@@ -60,10 +60,33 @@ class Encoder:
         self.unknown = next((i for i, k in enumerate(model.types) if k == UNKNOWN), 0)
         self.spaces = sorted((len(t) for t in self.of if set(t) == {SPACE}), reverse=True)
         self.raw = [self._raw(i) for i in range(len(texts))]
-        self.cache: dict[str, tuple] = {}
+        self._clear()
         self.pair_key = np.full(1 << _PAIR_BITS, -1, dtype=np.int64)
         self.pair_good = np.zeros(1 << _PAIR_BITS, dtype=bool)
 
+    def _clear(self) -> None:
+        """No words: row of each word, and per row its ids' place in one array."""
+        self.rows: dict[str, int] = {}
+        self.start, self.size = np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.int64)
+        self.flat, self.used = np.zeros(4096, dtype=np.int32), 0
+
+    def _keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Add words with their ids (one after another) and numbers of ids."""
+        first, last, end = len(self.rows), len(self.rows) + len(words), self.used + len(ids)
+        if last > len(self.start):
+            self.start, self.size = (np.resize(x, max(last, 2 * len(x))) for x in (self.start, self.size))
+        if end > len(self.flat):
+            self.flat = np.resize(self.flat, max(end, 2 * len(self.flat)))
+        self.start[first:last] = self.used + np.cumsum(sizes) - sizes
+        self.size[first:last] = sizes
+        self.flat[self.used:end] = ids
+        self.used = end
+        self.rows.update(zip(words, range(first, last)))
+
+    def _ids_of(self, word: str) -> list[int]:
+        r = self.rows[word]
+        return self.flat[self.start[r]:self.start[r] + self.size[r]].tolist()
+
     def _raw(self, i: int) -> bytes:
         kind, text = self.model.types[i], self.model.texts[i]
         if kind == BYTE:
@@ -92,8 +115,8 @@ class Encoder:
             self.pair_good[slot[new][first]] = good
         return out
 
-    def _advance(self, words: list[str]) -> list[list[int]]:
-        """Pieces of equally long words: one pass over the positions, then read back."""
+    def _advance(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of equally long words: one pass over the positions, then read back."""
         m, n, rows = self.model, len(words[0]), len(words)
         codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")
         codes = codes.reshape(rows, n).astype(np.uint64)
@@ -156,22 +179,30 @@ class Encoder:
                     better = score > best[:, j]
                     best[better, j], size[better, j], piece[better, j] = score[better], length, p[better]
 
-    def _read_back(self, words, piece, size) -> list[list[int]]:
-        out: list[list[int]] = [[] for _ in words]
-        at = np.full(len(words), len(words[0]))
+    def _read_back(self, words, piece, size) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after another, and how many each has."""
+        n = len(words[0])
+        at = np.full(len(words), n)
         live = np.arange(len(words))
+        of, begin, ids = [], [], []
         while len(live):
-            p, n = piece[live, at[live]], size[live, at[live]]
-            at[live] -= n
-            for w, i, start in zip(live.tolist(), p.tolist(), at[live].tolist()):
-                if i >= 0:
-                    out[w].append(i)
-                else:
-                    out[w] += reversed(self._no_piece(words[w][start]))
+            end = at[live]
+            ids.append(piece[live, end])
+            at[live] = end - size[live, end]
+            of.append(live)
+            begin.append(at[live])
             live = live[at[live] > 0]
-        for o in out:
-            o.reverse()
-        return out
+        of, begin, ids = map(np.concatenate, (of, begin, ids))
+        order = np.argsort(of * (n + 1) + begin)
+        of, begin, ids = of[order], begin[order], ids[order]
+        lone = np.flatnonzero(ids == _NO_PIECE)
+        if len(lone):
+            instead = [self._no_piece(words[w][i]) for w, i in zip(of[lone].tolist(), begin[lone].tolist())]
+            times = np.ones(len(ids), dtype=np.int64)
+            times[lone] = [len(x) for x in instead]
+            of, ids = np.repeat(of, times), np.repeat(ids, times)
+            ids[ids == _NO_PIECE] = [i for x in instead for i in x]
+        return ids, np.bincount(of, minlength=len(words))
 
     def _alone(self, word: str) -> list[int]:
         """The same pass over one long word, a position at a time."""
@@ -225,41 +256,52 @@ class Encoder:
         for n, words in by_length.items():
             if n > LONG:
                 for w in words:
-                    self.cache[w] = tuple(self._alone(w))
+                    ids = self._alone(w)
+                    self._keep([w], np.array(ids, dtype=np.int32), np.array([len(ids)]))
                 continue
             step = max(1, min(ROWS, CELLS // (n * self.model.longest)))
             for i in range(0, len(words), step):
-                part = words[i:i + step]
-                self.cache.update(zip(part, map(tuple, self._advance(part))))
+                self._keep(words[i:i + step], *self._advance(words[i:i + step]))
 
-    def _spaced(self, word: str) -> tuple:
+    def _spaced(self, word: str) -> list[int]:
         """A word with more than one space in front, or spaces alone."""
         text = word.lstrip(SPACE)
         n = len(word) - len(text)
         if not text:
-            return tuple(self._run_of_spaces(n))
-        own = self.cache[SPACE + text]
-        lone = self.of.get(SPACE)
-        if own[0] == lone:        # the word does not take its space
-            return tuple(self._run_of_spaces(n)) + own[1:]
-        return tuple(self._run_of_spaces(n - 1)) + own
+            return self._run_of_spaces(n)
+        own = self._ids_of(SPACE + text)
+        if own[0] == self.of.get(SPACE):       # the word does not take its space
+            return self._run_of_spaces(n) + own[1:]
+        return self._run_of_spaces(n - 1) + own
 
     # ---------------------------------------------------------------- texts
-    def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
+    def encode_flat(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and the offsets between them (a missing
+        text has none)."""
         front = SPACE if self.model.dummy_prefix else ""
-        cut = [None if t is None else self.cut.findall(front + t.replace(" ", SPACE)) if t else [] for t in texts]
-        cache = self.cache
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
-        fresh = {w for words in cut if words for w in words if w not in cache}
-        double = {w for w in fresh if w.startswith(SPACE * 2) or w == SPACE}
-        need = {SPACE + w.lstrip(SPACE) for w in double} - {SPACE}
-        self._learn(sorted(((fresh - double) | need) - cache.keys()))
-        for w in double:
-            cache[w] = self._spaced(w)
-        look = cache.__getitem__
-        return [None if words is None else
-                np.fromiter(chain.from_iterable(map(look, words)), dtype=np.int32) for words in cut]
+        cut = [self.cut.findall(front + t.replace(" ", SPACE)) if t else [] for t in texts]
+        words = list(chain.from_iterable(cut))
+        if len(self.rows) > CACHE_WORDS:
+            self._clear()
+        row = np.fromiter(map(self.rows.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            fresh = {words[i] for i in new.tolist()}
+            double = {w for w in fresh if w.startswith(SPACE * 2) or w == SPACE}
+            need = {SPACE + w.lstrip(SPACE) for w in double} - {SPACE}
+            self._learn(sorted(((fresh - double) | need) - self.rows.keys()))
+            for w in sorted(double):
+                ids = self._spaced(w)
+                self._keep([w], np.array(ids, dtype=np.int32), np.array([len(ids)]))
+            row[new] = [self.rows[words[i]] for i in new.tolist()]
+        sizes = self.size[row]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.repeat(self.start[row] - ends[:-1], sizes) + np.arange(ends[-1])]
+        return ids, ends[np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)])]
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        ids, ends = self.encode_flat(texts)
+        return [None if t is None else ids[a:b] for t, a, b in zip(texts, ends[:-1], ends[1:])]
 
     def decode(self, ids) -> str:
         raw = b"".join(map(self.raw.__getitem__, ids))
@@ -292,16 +334,14 @@ def with_ids(docs: DataFrame, data: bytes, text: str = "text", check: bool = Fal
         import pyarrow as pa
 
         enc = encoder(data)
-        ids = enc.encode(texts)
-        ends = np.cumsum([0] + [0 if x is None else len(x) for x in ids])
-        flat = [x for x in ids if x is not None]
-        values = pa.array(np.concatenate(flat) if flat else np.zeros(0, np.int32), type=pa.int32())
-        mask = pa.array([x is None for x in ids])
-        out = {"ids": pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), values, mask=mask),
-               "n_ids": [None if x is None else len(x) for x in ids]}
+        ids, ends = enc.encode_flat(texts)
+        missing = np.array([t is None for t in texts])
+        out = {"ids": pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(ids, type=pa.int32()),
+                                               mask=pa.array(missing)),
+               "n_ids": pa.array(np.diff(ends), mask=missing)}
         if check:
-            out["round_trip"] = [None if x is None else enc.decode(x.tolist()) == t.replace(SPACE, " ")
-                                 for x, t in zip(ids, texts)]
+            out["round_trip"] = [None if t is None else enc.decode(ids[a:b].tolist()) == t.replace(SPACE, " ")
+                                 for t, a, b in zip(texts, ends[:-1], ends[1:])]
         return out
 
     fields = "ids array<int>, n_ids long" + (", round_trip boolean" if check else "")
