@@ -23,8 +23,9 @@ counts); a class keeps the share of its words that occur once for words never se
 (n1 + 1 of N + n1 + 1), which are one further type, as in the base score.
 
 Scale: what is shuffled are each block's distinct words, twice, and the packed documents
-once; a frequent word is one row per block, so no word is hot; blocks are bounded.  The
-driver holds ``SEEDS`` words, their bigram counts and class tables only.
+once.  A word is one row per block however often it occurs, and the task that sums it up
+holds 20 bytes of each; blocks are bounded.  The driver holds ``SEEDS`` words, their bigram
+counts and class tables only.
 
 Defined cases: NULL and empty texts are the end alone; repeated rows get equal scores; a
 NULL id is the empty id for the held-out choice; without any training document all words
@@ -289,34 +290,43 @@ def _classify(seeds: Seeds):
 
     def step(batches, schema):
         """All rows of a word are in this task.  Gives each row its word's count and class;
-        rows of block -1 sum up the words of a class (local: words, n: tokens, n1: once)."""
+        rows of block -1 sum up the words of a class (local: words, n: tokens, n1: once).
+
+        Counts and neighbours are summed up as the rows come; of a row only its block, number
+        and word are held (20 bytes), as a frequent word has a row in every block."""
         import pyarrow as pa
-        import pyarrow.compute as pc
 
-        got = list(batches)
-        if not got:
+        number: dict[str, int] = {}
+        n, near = np.zeros(1024, dtype=np.int64), np.zeros((1024, 2 * width))
+        rows = []
+        for batch in batches:
+            col = dict(zip(batch.schema.names, batch.columns))
+            code = col["word"].dictionary_encode()
+            of_code = np.array([number.setdefault(w, len(number)) for w in code.dictionary.to_pylist()], dtype=np.int64)
+            row = of_code[code.indices.to_numpy(zero_copy_only=False)]
+            if len(number) > len(n):
+                grown = max(len(number), 2 * len(n))
+                n = np.concatenate([n, np.zeros(grown - len(n), dtype=np.int64)])
+                near = np.concatenate([near, np.zeros((grown - len(near), 2 * width))])
+            np.add.at(n, row, col["n"].to_numpy())
+            sizes = np.diff(col["features"].offsets.to_numpy())
+            at = np.repeat(row, sizes), col["features"].flatten().to_numpy()
+            np.add.at(near, at, col["counts"].flatten().to_numpy())
+            rows.append((col["block"].to_numpy(), col["local"].to_numpy(), row.astype(np.int32)))
+        if not rows:
             return
-        t = pa.Table.from_batches(got)
-        code = pc.dictionary_encode(t["word"].combine_chunks())
-        code = code.combine_chunks() if isinstance(code, pa.ChunkedArray) else code
-        row = code.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        words = code.dictionary.to_pylist()
-        n = np.bincount(row, weights=t["n"].to_numpy(), minlength=len(words)).astype(np.int64)
-        lists = t["features"].combine_chunks()
-        sizes = np.diff(lists.offsets.to_numpy())
-        cell = np.repeat(row, sizes) * (2 * width) + lists.flatten().to_numpy()
-        weights = t["counts"].combine_chunks().flatten().to_numpy()
-        near = np.bincount(cell, weights=weights, minlength=len(words) * 2 * width).reshape(-1, 2 * width)
-        value = near @ gains[:-1] + np.outer(n, gains[-1])
-        of = value.argmax(axis=1)
+        words = list(number)
+        n, near = n[:len(words)], near[:len(words)]
+        of = (near @ gains[:-1] + np.outer(n, gains[-1])).argmax(axis=1)
         seed = dict(zip(seeds.words, seeds.classes))
         for i, w in enumerate(words):
             if w in seed:
                 of[i] = seed[w]
         of[n == 0] = NONE
-        yield pa.RecordBatch.from_arrays(
-            [t["block"].combine_chunks(), t["local"].combine_chunks(), pa.array(n[row]),
-             pa.array(of[row].astype(np.int32)), pa.nulls(len(row), pa.int64())], schema=schema)
+        for block, local, row in rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block), pa.array(local), pa.array(n[row]), pa.array(of[row].astype(np.int32)),
+                 pa.nulls(len(row), pa.int64())], schema=schema)
         known = of[n > 0]
         c = np.unique(known)
         count = lambda w=None: np.bincount(known, weights=w, minlength=NONE + 1)[c].astype(np.int64)

@@ -13,8 +13,8 @@ text's word shingles.  Fingerprints within ``distance`` differing bits are linke
    part i, whatever the allocation; the histogram only decides the cost.
 4. Every entry is indexed under its value in each part and probes all values within t_i;
    index and probes meet in one join whose condition verifies the full distance.
-5. Values whose cell holds more than ``HOT`` entries are left out of that join, on both
-   sides: their entries are linked through hubs instead.  Two fingerprints differ in at
+5. Values that more than ``HOT`` entries share (counted exactly) are left out of that join, on
+   both sides: their entries are linked through hubs instead.  Two fingerprints differ in at
    most 2 bits exactly if some 64-bit value is within 1 bit of both, so each such entry
    meets its neighbours under its 65 hub values; a hub has 65 members at most.  Thus the
    work stays in proportion to the entries however large a group of near copies is, and no
@@ -162,8 +162,7 @@ class Probing:
 
     def index(self, fps: np.ndarray):
         for i, g in enumerate(self.groups):
-            values = project(fps, g)
-            yield i, values, self.counts[i][cell(values)] > HOT, np.arange(len(fps))
+            yield i, project(fps, g), np.arange(len(fps))
 
     def probes(self, fps: np.ndarray):
         m = len(self.groups)
@@ -176,9 +175,9 @@ class Probing:
         t = allocate(cost, self.distance - m + 1)
         for i in range(m):
             rows = np.flatnonzero(t[i] == 0)
-            yield i, near[i][rows, 0], load[i][rows, 0] > HOT, rows
+            yield i, near[i][rows, 0], rows
             rows = np.flatnonzero(t[i] == 1)
-            yield i, near[i][rows].ravel(), (load[i][rows] > HOT).ravel(), np.repeat(rows, near[i].shape[1])
+            yield i, near[i][rows].ravel(), np.repeat(rows, near[i].shape[1])
 
 
 def parts_for(n: int) -> int:
@@ -228,7 +227,7 @@ def _histogram(entries: DataFrame, groups: list[list[int]]) -> np.ndarray:
 
 
 def _rows(entries: DataFrame, probing: Probing, probe: bool) -> DataFrame:
-    """(part, value, fp) rows; part -1: a fingerprint that meets a hot value, once."""
+    """(part, value, fp) rows: what the entries are indexed under, or what they probe."""
     def run(batches):
         import pyarrow as pa
 
@@ -236,15 +235,10 @@ def _rows(entries: DataFrame, probing: Probing, probe: bool) -> DataFrame:
             fps = _fps(batch)
             if not len(fps):
                 continue
-            hub = np.zeros(len(fps), dtype=bool)
-            for i, values, hot, rows in (probing.probes(fps) if probe else probing.index(fps)):
-                hub[rows[hot]] = True
-                v, f = values[~hot].view(np.int64), fps[rows[~hot]].view(np.int64)
+            for i, values, rows in (probing.probes(fps) if probe else probing.index(fps)):
+                v, f = values.view(np.int64), fps[rows].view(np.int64)
                 part = np.full(len(v), i, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(v), pa.array(f)], ["part", "value", "fp"])
-            f = fps[hub].view(np.int64)
-            part = np.full(len(f), -1, dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(f), pa.array(f)], ["part", "value", "fp"])
 
     return entries.mapInArrow(run, "part int, value long, fp long")
 
@@ -262,13 +256,17 @@ def links(entries: DataFrame, n: int) -> DataFrame:
     probing = Probing(groups, _histogram(entries, groups))
     index = materialize(_rows(entries, probing, False), "simhash-index")
     probes = materialize(_rows(entries, probing, True), "simhash-probes")
-    i = index.filter("part >= 0").select("part", "value", F.col("fp").alias("b"))
-    p = probes.filter("part >= 0").select("part", "value", F.col("fp").alias("a"))
+    value = ["part", "value"]
+    hot = materialize(index.groupBy(value).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT)
+                      .select(value), "simhash-hot")
+    i = index.join(hot, value, "left_anti").select(*value, F.col("fp").alias("b"))
+    p = probes.join(hot, value, "left_anti").select(*value, F.col("fp").alias("a"))
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= DISTANCE
     pairs = p.join(i, (p["part"] == i["part"]) & (p["value"] == i["value"])
                    & (F.col("a") < F.col("b")) & close).select("a", "b")
-    hot = index.filter("part < 0").select("fp").unionByName(probes.filter("part < 0").select("fp")).distinct()
-    hubs = (hot.select("fp", F.explode(_near_values("fp")).alias("hub"))
+    met = index.join(hot, value, "left_semi").select("fp").unionByName(
+        probes.join(hot, value, "left_semi").select("fp")).distinct()
+    hubs = (met.select("fp", F.explode(_near_values("fp")).alias("hub"))
                .groupBy("hub").agg(F.sort_array(F.collect_list("fp")).alias("of"))   # 65 at most
                .filter(F.size("of") > 1))
     stars = hubs.select(F.col("of")[0].alias("a"), F.explode(F.slice("of", 2, BITS)).alias("b"))
@@ -276,8 +274,9 @@ def links(entries: DataFrame, n: int) -> DataFrame:
 
 
 def groups(fps: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``fps`` (key, fp) -> (fp, component): the smallest key reachable from the
-    fingerprint, one row per distinct fingerprint."""
+    """``fps`` (key, fp) -> (fp, root, component), one row per distinct fingerprint: the
+    smallest fingerprint and the smallest key reachable from it.  (Where rows of one key have
+    several texts, two groups may have the same smallest key, but never the same root.)"""
     entries = materialize(fps.groupBy("fp").agg(F.min(key).alias("first")), "simhash-entries")
     n = entries.count()
     star = components(links(entries.select("fp"), n), "simhash-links")
@@ -285,7 +284,7 @@ def groups(fps: DataFrame, key: str = "doc_id") -> DataFrame:
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = materialize(rooted, "simhash-roots")
     least = rooted.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("component"))
-    return rooted.join(least, F.col("root") == F.col("_root")).select("fp", "component")
+    return rooted.join(least, F.col("root") == F.col("_root")).select("fp", "root", "component")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -304,7 +303,7 @@ def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     fps = materialize(with_fingerprint(rows.select("_key", "_mark", "_text"), "_text", drop=("_text",)), "simhash-fps")
     of = groups(fps, "_key").withColumnRenamed("fp", "_fp")
     first = F.min(F.struct(F.col("_key").isNull().alias("late"), "_key", "_mark"))
-    best = (fps.join(of, F.col("fp") == F.col("_fp")).groupBy("component").agg(first.alias("b"))
+    best = (fps.join(of, F.col("fp") == F.col("_fp")).groupBy("root").agg(first.alias("b"))
                .select(F.col("b._key").alias("_k"), F.col("b._mark").alias("_m")).distinct())
     same = F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_mark") == F.col("_m"))
     return rows.join(best, same, "left_semi").dropDuplicates(["_key", "_mark"]).select("_row.*")
