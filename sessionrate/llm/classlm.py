@@ -272,9 +272,9 @@ def _blocks(seeds: Seeds):
                 docs.append((doc_id, out))
                 words.append(own)
                 tokens += len(own) + 1
-            if tokens >= BLOCK_TOKENS:
-                yield from flush()
-                docs, words, tokens, made = [], [], 0, made + 1
+                if tokens >= BLOCK_TOKENS:
+                    yield from flush()
+                    docs, words, tokens, made = [], [], 0, made + 1
         if docs:
             yield from flush()
 

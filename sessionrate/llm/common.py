@@ -12,6 +12,8 @@ from sessionrate.session import ensure_utc, scratch_path
 DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: rows per Arrow batch: bounds a Python worker's batch to about 1000 texts
 ARROW_ROWS = 1000
+#: characters that a text function is given at once (or one longer text)
+TEXT_CHARS = 4_000_000
 
 
 def prepare(spark: SparkSession) -> None:
@@ -53,11 +55,30 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _portions(batch, column: str):
+    """A batch in slices of about TEXT_CHARS bytes (or list members) of ``column``."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    if not batch.num_rows:
+        return
+    values = batch.column(column)
+    length = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+    start = total = 0
+    for i, n in enumerate(pc.fill_null(length(values), 0).to_pylist()):
+        if total and total + n > TEXT_CHARS:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    yield batch.slice(start)
+
+
 def map_text(df: DataFrame, fn, fields: str, text: str = "text", drop: tuple = ()) -> DataFrame:
     """Add columns computed from the text column, one Arrow batch at a time.
 
-    ``fn(texts)`` takes a list of ``str | None`` and returns a dict of equally long lists
-    (or Arrow arrays), one per member of ``fields`` (a DDL string).  Input columns named
+    ``fn(texts)`` takes a list of ``str | None``, of about TEXT_CHARS characters at most,
+    and returns a dict of equally long lists (or Arrow arrays), one per member of ``fields``
+    (a DDL string).  Input columns named
     like a new one (in any case) are replaced; ``drop`` names columns that are not carried.
     """
     new = T.StructType.fromDDL(fields)
@@ -71,9 +92,7 @@ def map_text(df: DataFrame, fn, fields: str, text: str = "text", drop: tuple = (
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in _portions(whole, source)):
             at = batch.schema.get_field_index(source)
             got = fn(batch.column(at).to_pylist())
             cols = [c for i, c in enumerate(batch.columns) if i != at]

@@ -35,6 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from sessionrate.llm.common import map_text, materialize
 
 K = 64
+CHUNK = 100_000          # phrases hashed at once
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _POWERS: list[np.ndarray] = []        # powers of the base and of its inverse, grown on demand
 
@@ -75,6 +76,13 @@ def _points(text: str) -> np.ndarray:
 
 def signature(points: np.ndarray, ends: np.ndarray, k: int = K) -> np.ndarray:
     """The ``k`` smallest 32-bit hashes of the phrases of a text that end at ``ends``."""
+    if len(ends) > CHUNK:                       # a long text: piece by piece, in bounded memory
+        out, begin = np.zeros(0, dtype=np.uint32), 0
+        for i in range(0, len(ends), CHUNK):
+            part = ends[i:i + CHUNK]
+            out = np.unique(np.concatenate([out, signature(points[begin:part[-1]], part - begin, k)]))[:k]
+            begin = part[-1]
+        return out
     if not len(ends):
         return np.zeros(0, dtype=np.uint32)
     up, down = _powers(len(points) + 1)

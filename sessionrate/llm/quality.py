@@ -22,6 +22,7 @@ import re
 from collections import Counter
 from operator import eq
 
+import numpy as np
 from pyspark.sql import DataFrame
 
 from sessionrate.llm.common import map_text
@@ -34,6 +35,7 @@ SYMBOL_PCT = 30           # symbol characters per 100 words of a line
 NAV_PCT = 20              # separators among the words of a line
 CAPS_PCT = 60             # words in capitals, lines of CAPS_WORDS or more
 CAPS_WORDS = 3
+LONG_TEXT = 100_000       # words; longer texts find their repeats as numbers
 STUTTER_PCT = 50          # words equal to the word before, lines of STUTTER_WORDS or more
 STUTTER_WORDS = 5
 
@@ -55,6 +57,8 @@ FIELDS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, "
 
 def repeat_words(words: list[bytes], width: int = WINDOW) -> int:
     """Words covered by ``width``-word windows that occur twice or more."""
+    if len(words) > LONG_TEXT:
+        return _repeat_words_long(words, width)
     windows = list(zip(*[words[i:] for i in range(width)]))
     if len(set(windows)) == len(windows):
         return 0
@@ -67,6 +71,22 @@ def repeat_words(words: list[bytes], width: int = WINDOW) -> int:
     return covered
 
 
+def _repeat_words_long(words: list[bytes], width: int) -> int:
+    """The same in bounded memory: windows as numbers, by joining numbers of their halves."""
+    number: dict[bytes, int] = {}
+    one = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words))
+    codes, size = one, 1
+    while size < width:
+        step = min(size, width - size)
+        pairs = codes[:len(codes) - step] * (codes.max() + 1) + codes[step:]
+        codes, size = np.unique(pairs, return_inverse=True)[1], size + step
+    again = np.flatnonzero(np.bincount(codes)[codes] > 1)
+    marks = np.zeros(len(words) + 1, dtype=np.int64)
+    np.add.at(marks, again, 1)
+    np.add.at(marks, again + width, -1)
+    return int((np.cumsum(marks)[:-1] > 0).sum())
+
+
 def line_fault(line: bytes, words: list[bytes], stock: bool) -> str | None:
     """First rule that a line (with words) breaks."""
     n = len(words)

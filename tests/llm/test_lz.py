@@ -53,6 +53,13 @@ def test_estimate_is_near_the_true_likeness():
         assert abs(lz.likeness(lz.fingerprint(a), lz.fingerprint(b)) - len(x & y) / len(x | y)) < 0.25
 
 
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    texts = [prose(i, 400) for i in range(5)]
+    want = [lz.fingerprint(t).tolist() for t in texts]
+    monkeypatch.setattr(lz, "CHUNK", 7)
+    assert [lz.fingerprint(t).tolist() for t in texts] == want
+
+
 def test_bounds():
     f = lz.fingerprint(prose(1, 4000))
     assert len(f) == lz.K and (np.diff(f.astype(np.int64)) > 0).all()

@@ -18,6 +18,8 @@ def test_repeated_words_against_plain_code(seed):
     rng = random.Random(seed)
     words = [rng.choice([b"a", b"b", b"c"][:1 + seed % 3]) for _ in range(rng.randint(0, 60))]
     assert Q.repeat_words(words) == brute_repeats(words)
+    if len(words) >= 8:
+        assert Q._repeat_words_long(words, 8) == brute_repeats(words)
 
 
 def test_base_counts():
