@@ -54,7 +54,7 @@ def filter_event_type(df: DataFrame, event_type: str, case_sensitive: bool = Fal
 def event_rate(events: DataFrame, event_type: str = KILLED, width_ms: int = KILL_WINDOW_MS,
                slide_ms: int = KILL_SLIDE_MS, unit_ms: int = 1000, key: str = "session",
                formula: str = "scaled", time_col: str = "event_time",
-               plan: str = "direct") -> DataFrame:
+               plan: str = "auto") -> DataFrame:
     """Rate of ``event_type`` events per ``unit_ms`` in each (key, window) (A1/A2).
 
     Every row of the input counts towards the window's existence, only matching rows
@@ -79,7 +79,7 @@ def event_rate(events: DataFrame, event_type: str = KILLED, width_ms: int = KILL
 
 def event_count(events: DataFrame, event_type: str = MOVE, width_ms: int = FINE_WINDOW_MS,
                 slide_ms: int = FINE_SLIDE_MS, key: str = "session",
-                time_col: str = "event_time", plan: str = "direct") -> DataFrame:
+                time_col: str = "event_time", plan: str = "auto") -> DataFrame:
     """Number of ``event_type`` events per (key, window); no zero rows (A3)."""
     matching = filter_event_type(events, event_type)
     return windowed_aggregate(matching, [key], [("count", "count", None)],
@@ -88,7 +88,7 @@ def event_count(events: DataFrame, event_type: str = MOVE, width_ms: int = FINE_
 
 def action_rate(events: DataFrame, action: str = MOVE, width_ms: int = FINE_WINDOW_MS,
                 slide_ms: int = FINE_SLIDE_MS, time_col: str = "event_time",
-                plan: str = "direct") -> DataFrame:
+                plan: str = "auto") -> DataFrame:
     """Python job's rate: exact-case type match, no actor filter, FLOAT value (A4).
 
     Output ``session, window_start_ms, window_end_ms, value FLOAT, max_timestamp, action``
@@ -109,7 +109,7 @@ def action_rate(events: DataFrame, action: str = MOVE, width_ms: int = FINE_WIND
 def session_activity(events: DataFrame, width_ms: int = FINE_WINDOW_MS,
                      slide_ms: int = FINE_SLIDE_MS, move_type: str = MOVE,
                      kill_type: str = KILLED, key: str = "session",
-                     time_col: str = "event_time", plan: str = "direct") -> DataFrame:
+                     time_col: str = "event_time", plan: str = "auto") -> DataFrame:
     """Moves and kills/s from one windowed stream, one aggregation (A9).
 
     ``move_count`` 0 marks a window that has no row in :func:`event_count`;
@@ -129,7 +129,7 @@ def session_activity(events: DataFrame, width_ms: int = FINE_WINDOW_MS,
 
 def activity_span(events: DataFrame, width_ms: int = FINE_WINDOW_MS,
                   slide_ms: int = FINE_SLIDE_MS, key: str = "session",
-                  time_col: str = "event_time", plan: str = "direct") -> DataFrame:
+                  time_col: str = "event_time", plan: str = "auto") -> DataFrame:
     """Row sum/count and earliest/latest ``frame.millis`` per (key, window) (A7, A8).
 
     The earliest value is the true minimum (no 0 start value).
@@ -145,7 +145,7 @@ def activity_span(events: DataFrame, width_ms: int = FINE_WINDOW_MS,
 
 def window_summary(events: DataFrame, width_ms: int = FINE_WINDOW_MS,
                    slide_ms: int = FINE_SLIDE_MS, key: str = "session",
-                   time_col: str = "event_time", plan: str = "direct") -> DataFrame:
+                   time_col: str = "event_time", plan: str = "auto") -> DataFrame:
     """One log line ``(key: k, sz: n, start: s, end: e)`` per (key, window) (A5)."""
     out = windowed_aggregate(events, [key], [("size", "count", None)],
                              width_ms, slide_ms, time_col, plan)

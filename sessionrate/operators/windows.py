@@ -22,7 +22,12 @@ Three plans compute the same result:
             the shuffle removes nothing and ``direct`` shuffles ``width/slide`` rows per
             row: windows are dealt to time buckets of ``BUCKET_WIDTHS`` window widths, each
             row is shuffled once (twice at a bucket's border) on ``(key, bucket)``, and the
-            fan-out happens after the shuffle.  Less shuffle, more work behind it.
+            fan-out happens after the shuffle.  No row is combined before it, so a key's
+            rows must spread over many buckets: meant for windows far shorter than the
+            time a key is active.
+``auto``    (default) ``bucketed`` for batch input with a fan-out of ``AUTO_FAN_OUT`` or more
+            and windows of ``AUTO_WIDTH_MS`` or less, else ``direct``.  The choice hangs on
+            the widths asked for, never on the data.
 
 Aggregates are declared as ``(name, kind, column)`` with ``kind`` in ``count``,
 ``count_if``, ``sum``, ``min``, ``max`` so both plans can merge partial results.
@@ -45,7 +50,9 @@ WINDOW_END = "window_end_ms"
 #: time bucket of the ``bucketed`` plan, in window widths: a row is sent twice once per bucket
 #: of this many widths, and a hot key's rows spread over as many tasks as it has buckets
 BUCKET_WIDTHS = 64
-PLANS = ("direct", "panes", "bucketed")
+PLANS = ("auto", "direct", "panes", "bucketed")
+#: ``auto``: from this fan-out on, for windows up to this wide, batch input is bucketed
+AUTO_FAN_OUT, AUTO_WIDTH_MS = 16, 10_000
 
 
 def fan_out(width_ms: int, slide_ms: int) -> int:
@@ -92,11 +99,14 @@ def _merge(kind: str, name: str) -> Column:
 
 def windowed_aggregate(df: DataFrame, keys: list[str], aggs: list[tuple[str, str, Column | None]],
                        width_ms: int, slide_ms: int, time_col: str = "event_time",
-                       plan: str = "direct") -> DataFrame:
+                       plan: str = "auto") -> DataFrame:
     """``keys + [window_start_ms, window_end_ms] + agg names`` per key and window."""
     if plan not in PLANS:
         raise ValueError(f"plan must be one of {PLANS}")
     aligned = width_ms % slide_ms == 0 and not df.isStreaming
+    if plan == "auto":
+        short = aligned and width_ms <= AUTO_WIDTH_MS and fan_out(width_ms, slide_ms) >= AUTO_FAN_OUT
+        plan = "bucketed" if short else "direct"
     if plan != "direct":
         if not aligned:
             raise ValueError(f"the {plan} plan needs a batch input and a width that is a multiple of the slide")
@@ -180,7 +190,9 @@ def _bucketed(df: DataFrame, keys, aggs, width_ms: int, slide_ms: int, time_col:
               .withColumn("__pane", ms - F.pmod(ms, F.lit(slide_ms)))
               .withColumn("__bucket", F.explode(F.when(first < bucket(pane), F.array(first, bucket(pane)))
                                                 .otherwise(F.array(bucket(pane))))))
-    # the one shuffle: both groupings below are finer than its keys
-    per_pane = (rows.repartition(*keys, "__bucket").groupBy(*keys, "__bucket", "__pane")
+    # the one shuffle: both groupings below are finer than its keys.  With a stated number of
+    # partitions, as the work behind it is the fan-out times what AQE would coalesce by size
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    per_pane = (rows.repartition(parts, *keys, "__bucket").groupBy(*keys, "__bucket", "__pane")
                     .agg(*[_partial(kind, c).alias(name) for name, kind, c in aggs]))
     return _windows_of_panes(per_pane, keys, aggs, width_ms, slide_ms, bucket(F.col(WINDOW_START)))

@@ -72,7 +72,7 @@ def rejected_records(records: DataFrame) -> DataFrame:
 def kill_rate_job(records: DataFrame | None = None, event_type: str = R.KILLED,
                   actor_type: str = R.PLAYER,
                   width_ms: int = R.KILL_WINDOW_MS, slide_ms: int = R.KILL_SLIDE_MS,
-                  unit_ms: int = 1000, plan: str = "direct", events: DataFrame | None = None
+                  unit_ms: int = 1000, plan: str = "auto", events: DataFrame | None = None
                   ) -> DataFrame:
     """Metric per (session, window): ``<event_type> per <unit>`` over players' events."""
     ev = events if events is not None else decoded_events(records)
@@ -82,7 +82,7 @@ def kill_rate_job(records: DataFrame | None = None, event_type: str = R.KILLED,
 
 
 def fine_rates_job(records: DataFrame | None = None, width_ms: int = R.FINE_WINDOW_MS,
-                   slide_ms: int = R.FINE_SLIDE_MS, plan: str = "direct",
+                   slide_ms: int = R.FINE_SLIDE_MS, plan: str = "auto",
                    events: DataFrame | None = None) -> DataFrame:
     """Kills per second and move counts from one windowed stream of players' events."""
     ev = events if events is not None else decoded_events(records)
@@ -90,7 +90,7 @@ def fine_rates_job(records: DataFrame | None = None, width_ms: int = R.FINE_WIND
 
 
 def move_rate_job(records: DataFrame | None = None, width_ms: int = R.FINE_WINDOW_MS,
-                  slide_ms: int = R.FINE_SLIDE_MS, plan: str = "direct",
+                  slide_ms: int = R.FINE_SLIDE_MS, plan: str = "auto",
                   events: DataFrame | None = None) -> DataFrame:
     ev = events if events is not None else decoded_events(records)
     return R.action_rate(ev, R.MOVE, width_ms, slide_ms, plan=plan)

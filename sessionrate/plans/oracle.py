@@ -331,6 +331,7 @@ SELECT violation, count(*) AS n_records FROM (SELECT unnest(v) AS violation FROM
     "kill_rate_per_minute": _kill_metric(3000, 500, 60_000, "minute"),
     "kill_rate_with_rejects": _kill_metric(*KILL, ctes=FAULTY, src="gf"),
     "kill_rate_fine_bucketed": _fine_kills(1000, 25),
+    "kill_rate_fine_direct": _fine_kills(1000, 25),
     "kill_rate_fine": _fine_kills(1000, 25),
     "kill_rate_fine_scaled": _fine_kills(*FINE),
     "kill_rate_fine_panes": _fine_kills(1000, 25),

@@ -161,7 +161,7 @@ def q_filter_event_type_exact(spark, sf_dir):
 # rates, counts, spans
 # ---------------------------------------------------------------------------
 
-def _kill_metrics(spark, sf_dir, width, slide, unit_ms=1000, plan="direct"):
+def _kill_metrics(spark, sf_dir, width, slide, unit_ms=1000, plan="auto"):
     ev = _events(spark, sf_dir)
     return J.kill_rate_job(None, width_ms=width, slide_ms=slide, unit_ms=unit_ms,
                            plan=plan, events=ev)
@@ -189,7 +189,7 @@ def q_kill_rate_with_rejects(spark, sf_dir):
     return J.kill_rate_job(None, width_ms=SCALED["kill"][0], slide_ms=SCALED["kill"][1], events=ev)
 
 
-def _fine_kills(spark, sf_dir, width, slide, plan="direct"):
+def _fine_kills(spark, sf_dir, width, slide, plan="auto"):
     players = R.filter_actor_type(_events(spark, sf_dir), R.PLAYER)
     return R.event_rate(players, R.KILLED, width, slide, formula="per_width", plan=plan)
 
@@ -206,6 +206,10 @@ def q_kill_rate_fine_bucketed(spark, sf_dir):
     return _fine_kills(spark, sf_dir, R.FINE_WINDOW_MS, R.FINE_SLIDE_MS, plan="bucketed")
 
 
+def q_kill_rate_fine_direct(spark, sf_dir):
+    return _fine_kills(spark, sf_dir, R.FINE_WINDOW_MS, R.FINE_SLIDE_MS, plan="direct")
+
+
 def q_kill_rate_fine_panes(spark, sf_dir):
     return _fine_kills(spark, sf_dir, R.FINE_WINDOW_MS, R.FINE_SLIDE_MS, plan="panes")
 
@@ -456,6 +460,7 @@ QUERIES = {
     "kill_rate_per_minute": q_kill_rate_per_minute,
     "kill_rate_with_rejects": q_kill_rate_with_rejects,
     "kill_rate_fine_bucketed": q_kill_rate_fine_bucketed,
+    "kill_rate_fine_direct": q_kill_rate_fine_direct,
     "kill_rate_fine": q_kill_rate_fine,
     "kill_rate_fine_scaled": q_kill_rate_fine_scaled,
     "kill_rate_fine_panes": q_kill_rate_fine_panes,

@@ -30,7 +30,13 @@ def test_windowed_rates_never_shuffle_on_key_alone(spark):
     for name in ["kill_rate_fine", "session_activity", "action_rate", "activity_span",
                  "move_count", "window_summary"]:
         for keys in _hash_exchanges(_plan(QUERIES[name](spark, SF))):
-            assert "window_start_ms" in keys, (name, keys)
+            assert "window_start_ms" in keys or "__bucket" in keys, (name, keys)
+
+
+def test_auto_plan_follows_the_widths(spark):
+    fine, direct, wide = (_hash_exchanges(_plan(QUERIES[n](spark, SF)))
+                          for n in ("kill_rate_fine", "kill_rate_fine_direct", "kill_rate_fine_scaled"))
+    assert "__bucket" in fine[0] and "window_start_ms" in direct[0] and "window_start_ms" in wide[0]
 
 
 def test_grouped_lists_take_one_scan_and_one_wide_shuffle(spark):
