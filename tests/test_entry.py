@@ -22,7 +22,7 @@ class Block:
 
 def _reload(monkeypatch, block):
     for name in list(sys.modules):
-        if name.startswith(("__spark_entry__", "corpus_pipeline", "sessionrate.llm")):
+        if name.startswith(("__spark_entry__", "corpus_pipeline", "sessionrate.llm", "xxhash")):
             monkeypatch.delitem(sys.modules, name)
     monkeypatch.setattr(sys, "meta_path", [block, *sys.meta_path])
     return importlib.import_module("__spark_entry__")
