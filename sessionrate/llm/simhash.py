@@ -294,16 +294,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return fps.join(of, F.col("fp") == F.col("_fp")).select(key, "fp", "component")
 
 
+def _name(key):
+    return F.coalesce(key.cast("string"), F.lit("no key"))
+
+
 def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group, one row that has the
     smallest key (of several rows with that key, the one of the smallest row hash)."""
     cols = [F.col(c) for c in docs.columns]
     rows = docs.select(F.struct(*cols).alias("_row"), F.col(key).alias("_key"), F.col(text).alias("_text"),
-                       F.xxhash64(*cols).alias("_mark"))
+                       _name(F.col(key)).alias("_id"), F.xxhash64(*cols).alias("_mark"))
     fps = materialize(with_fingerprint(rows.select("_key", "_mark", "_text"), "_text", drop=("_text",)), "simhash-fps")
     of = groups(fps, "_key").withColumnRenamed("fp", "_fp")
     first = F.min(F.struct(F.col("_key").isNull().alias("late"), "_key", "_mark"))
     best = (fps.join(of, F.col("fp") == F.col("_fp")).groupBy("root").agg(first.alias("b"))
-               .select(F.col("b._key").alias("_k"), F.col("b._mark").alias("_m")).distinct())
-    same = F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_mark") == F.col("_m"))
-    return rows.join(best, same, "left_semi").dropDuplicates(["_key", "_mark"]).select("_row.*")
+               .select(_name(F.col("b._key")).alias("_id"), F.col("b._mark").alias("_mark")).distinct())
+    # plain equality on both columns: the join's partitioning then serves the grouping too
+    kept = rows.select("_row", "_id", "_mark").join(best, ["_id", "_mark"], "left_semi")
+    return kept.dropDuplicates(["_id", "_mark"]).select("_row.*")
