@@ -1,0 +1,94 @@
+"""Near-duplicates by five-word Jaccard similarity, against all pairs."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+
+import corpus_pipeline as P
+from sessionrate.llm import simhash as S
+from sessionrate.llm.common import materialize, read_table
+
+from .conftest import prose
+
+
+def shingles(text, width=5):
+    words = (text or "").lower().split()
+    n = max(1, len(words) - width + 1)
+    return {tuple(words[i:i + width]) for i in range(n)} if words else set()
+
+
+def brute_kept(rows, least=0.8):
+    """Smallest id of each group of texts linked by similarity, by all pairs that share a shingle."""
+    sets = {k: shingles(t) for k, t in rows}
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    holders = defaultdict(list)
+    for k in sorted(sets):
+        for s in sets[k] or [None]:
+            holders[s].append(k)
+    for k in sorted(sets):
+        both = Counter(o for s in sets[k] or [None] for o in holders[s] if o < k)
+        for o, n in both.items():
+            if not sets[k] or n >= least * (len(sets[k]) + len(sets[o]) - n):
+                a, b = find(k), find(o)
+                root[max(a, b)] = min(a, b)
+    return {find(k) for k in sets}
+
+
+def edited(text, rng, n):
+    words = text.split()
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"w{rng.randrange(10 ** 6)}"
+    return " ".join(words)
+
+
+def planted():
+    rng, rows = random.Random(3), []
+    for seed in range(25):                       # edits on both sides of 0.8
+        base = prose(seed, 200)
+        rows += [base] + [edited(base, rng, n) for n in (1, 2, 3, 4, 5, 6)]
+    base = prose(99, 300)
+    rows += [edited(base, rng, 2) for _ in range(S.HOT + 40)]     # a group of near copies
+    chain = prose(98, 240)
+    for _ in range(8):                           # linked only through each other
+        rows.append(chain)
+        chain = edited(chain, rng, 3)
+    rows += ["", None, " \n", "a b c", "A  b c", "a b d"]
+    return list(enumerate(rows))
+
+
+def test_stage_against_all_pairs(spark, many_parts):
+    rows = planted()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = P.near_duplicate_stage(spark, docs, None).collect()
+    assert {r.doc_id for r in got} == brute_kept(rows) and len(got) == len({r.doc_id for r in got})
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_stage_on_cleaned_documents(spark, sf):
+    docs = materialize(P.quality_stage(spark, read_table(spark, f"/root/testdata/{sf}", "documents"), None), "test-clean")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = [r.doc_id for r in P.near_duplicate_stage(spark, docs, None).collect()]
+    assert set(got) == brute_kept(rows) and len(got) == len(set(got))
+
+
+@pytest.mark.parametrize("distance", [2, 8, 11])
+def test_wide_links_are_all_pairs_of_different_roots(spark, distance):
+    rng = random.Random(5)
+    fps = [rng.getrandbits(64) for _ in range(40)]
+    rows = []
+    for i, fp in enumerate(fps):
+        for _ in range(3 if i else S.HOT + 20):
+            flips = rng.sample(range(64), rng.randrange(0, 14))
+            rows.append((len(rows), S._signed(fp ^ sum(1 << b for b in flips)), i if rng.random() < 0.7 else 100 + len(rows)))
+    got = {tuple(sorted((r.a, r.b))) for r in
+           S.wide_links(spark.createDataFrame(rows, "node long, fp long, root long"), distance).collect()}
+    want = {(a, b) for a, fa, ra in rows for b, fb, rb in rows
+            if a < b and ra != rb and ((fa ^ fb) & (1 << 64) - 1).bit_count() <= distance}
+    assert got == want and want
