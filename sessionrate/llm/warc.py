@@ -101,7 +101,8 @@ def _field(name: str) -> Column:
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Rebuild the records.  Columns: page_id, record_type, refers_to, payload_bytes,
-    payload_digest (of the stored payload), record (exact bytes).
+    payload_digest (of the rebuilt record's body; of a revisit, of the payload it refers to),
+    record (exact bytes).
 
     Each payload is checked once against its SHA-256, each record against its header's
     SHA-1 and Content-Length; a mismatch fails the job.
@@ -109,9 +110,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     checked = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(
         F.raise_error(F.concat(F.lit("payload does not match its digest "), "digest")))
     store = (spark.read.parquet(f"{path}/payloads")
-             .select("digest", checked.alias("payload"))
-             .withColumns({"payload_bytes": F.octet_length("payload").cast("long"),
-                           "payload_digest": F.sha1("payload")}))
+             .select("digest", checked.alias("payload")))
     heads = spark.read.parquet(f"{path}/headers").withColumn("_head", F.col("header").cast("string"))
     heads = heads.withColumns({
         "record_type": _field("WARC-Type"),
@@ -119,17 +118,23 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         "refers_to": F.regexp_extract(_field("WARC-Refers-To"), r"<urn:x-page:(-?\d+)>", 1),
         "_sha1": F.regexp_extract(_field("WARC-Payload-Digest"), r"sha1:(\w+)", 1),
         "_length": _field("Content-Length").cast("long")})
-    out = heads.join(store, "digest", "left")
     response = F.col("record_type") == "response"
-    body = F.when(response, F.col("payload")).otherwise(F.lit(b""))
-    # from the stored payload's checked length: bytes are joined only if `record` is read
-    good = (F.col("_sha1").eqNullSafe(F.col("payload_digest"))
-            & F.when(response, F.col("payload_bytes")).otherwise(0).eqNullSafe(F.col("_length")))
     tail = F.lit((CRLF + CRLF).encode())
+    # every figure below is taken from the record's own bytes, so no reader skips rebuilding it
+    out = heads.join(store, "digest", "left").withColumn("record", F.concat(
+        "header", F.when(response, F.col("payload")).otherwise(F.lit(b"")), tail))
+    start, ends = F.octet_length("header"), len(CRLF + CRLF)
+    out = out.withColumn("_body", F.substring("record", start + 1, F.octet_length("record") - start - ends))
+    # a revisit has no body: its payload is the one referred to by its digest
+    out = out.withColumn("_payload", F.when(response, F.col("_body")).otherwise(F.col("payload")))
+    out = out.withColumns({"payload_bytes": F.octet_length("_payload").cast("long"),
+                           "payload_digest": F.sha1("_payload")})
+    good = (F.col("_sha1").eqNullSafe(F.col("payload_digest"))
+            & F.octet_length("_body").cast("long").eqNullSafe(F.col("_length")))
     number = lambda c: F.when(F.col(c) != "", F.col(c).cast("long"))
     return out.select(
         number("page_id").alias("page_id"), "payload_bytes",
         F.when(good, F.col("payload_digest")).otherwise(
             F.raise_error(F.lit("a record does not match its header"))).alias("payload_digest"),
         "record_type", number("refers_to").alias("refers_to"),
-        F.concat("header", body, tail).alias("record"))
+        "record")

@@ -68,5 +68,13 @@ def test_changed_payloads_are_noticed(spark, tmp_path):
         W.read_records(spark, str(tmp_path / "b")).collect()
 
 
+def test_figures_are_taken_from_rebuilt_records(spark, tmp_path):
+    out = archive(spark, ROWS, str(tmp_path / "a")).select("page_id", "payload_bytes", "payload_digest")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    join = plan.index("Join ")
+    # the record is put together above the join of headers and payload bytes, though not selected
+    assert "concat(header" in plan[:join] and "sha1(" in plan[:join] and "sha1(" not in plan[join:]
+
+
 def test_no_pages(spark, tmp_path):
     assert archive(spark, [], str(tmp_path / "a")).count() == 0
