@@ -55,7 +55,6 @@ BETA = 20.0
 BLOCK_TOKENS = 1_500_000
 ROWS_PER_TASK = 250_000        # vocabulary rows that meet in one task
 END = ""                       # the end token; never a word
-HEAVY = 200_000                # a block names words of at least 1/HEAVY of its tokens as seeds
 NONE = 255                     # class code of an unknown word
 
 
@@ -74,14 +73,13 @@ def _map(df: DataFrame, step, ddl: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------- seeds
-def _heavy(batches, schema):
+def _counts(batches, schema):
     import pyarrow as pa
 
     counts, tokens = Counter(), 0
 
     def flush():
-        least = max(1, tokens // HEAVY)
-        items = [(w.decode("utf-8", "surrogatepass"), n) for w, n in counts.items() if n >= least]
+        items = [(w.decode("utf-8", "surrogatepass"), n) for w, n in counts.items()]
         return pa.RecordBatch.from_arrays([pa.array([w for w, _ in items], type=pa.string()),
                                            pa.array([n for _, n in items], type=pa.int64())], schema=schema)
 
@@ -98,8 +96,8 @@ def _heavy(batches, schema):
 
 
 def seed_words(train: DataFrame, limit: int = SEEDS) -> list[str]:
-    heavy = _map(train.select("text"), _heavy, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"] for r in heavy.orderBy(F.desc("n"), "word").limit(limit).collect()]
+    counts = _map(train.select("text"), _counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(limit).collect()]
 
 
 def _seed_numbers(seeds: list[str]) -> dict[bytes, int]:

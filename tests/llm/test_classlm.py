@@ -24,6 +24,13 @@ def likelihood(bigrams, of, classes):
     return g(n) - g(n.sum(axis=1)) - g(n.sum(axis=0))
 
 
+def test_seed_words_are_counted_over_all_blocks(spark):
+    many = "a " * 400_000
+    texts = [many + "b", many + "b c c", many + "b"]           # a block each
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    assert C.seed_words(df, 2) == ["a", "b"] and C.seed_words(df, 9) == ["a", "b", "c"]
+
+
 def test_exchange_finds_planted_classes_and_a_local_optimum():
     rng = random.Random(0)
     n = np.zeros((14, 14))
