@@ -9,7 +9,8 @@ and once more up to the rest of the budget in the order of a keyed permutation.
 
 The permutation is dealt in blocks (ranges of the permuted order, about ``block_rows``
 documents each): whole blocks are taken by a running sum over block totals, only the one
-block in which a source's budget ends is ranked row by row.  So no source, however hot,
+block in which a source's budget ends is ranked by place, and of rows with equal ids only one
+range of text hashes (a 1,024th).  So no source, however hot,
 is sorted or held in one task.  What reaches the driver are sums over all sources, a fixed
 number per pass.
 
@@ -163,15 +164,31 @@ def plan(docs: DataFrame, source="source", text="text", key="doc_id",
     sources = materialize(sources.join(cut, "_source", "left"), "mix-plan")
     # the one block per source in which its budget ends, row by row
     last = with_place(_joined(light, sources, "blocks", "full", "rest", "cut_block", "before"), seed)
-    order = Window.partitionBy("_source").orderBy("_u", "_key", "_text").rowsBetween(
-        Window.unboundedPreceding, 0)
-    taken = (last.filter(F.col("_block") == F.col("cut_block"))
-             .withColumn("upto", F.col("before") + F.sum("_tokens").over(order))
-             .filter(F.col("upto") <= F.col("rest"))
-             .groupBy("_source").agg(F.max(F.struct("_u", "_key", "_text")).alias("cut_row")))
+    taken = cut_rows(last.filter(F.col("_block") == F.col("cut_block")))
     return materialize(sources.join(taken, "_source", "left"), "mix-plan")
 
 
+def cut_rows(last: DataFrame) -> DataFrame:
+    """Per source, the last place (cut_row) whose first row is still within the budget.
+
+    Rows of equal ids share ``_u``; they are summed up by ranges of the text's hash, so that only
+    the range in which the budget ends is ranked by place.  Equal rows are one place."""
+    of = ["_source", "_u", "_key", "_range"]
+    places = (last.withColumn("_range", F.shiftright("_text", 54))
+                  .groupBy(*of, "_text", "before", "rest")
+                  .agg(F.sum("_tokens").alias("n"), F.min("_tokens").alias("least")))
+    order = Window.partitionBy("_source").orderBy("_u", "_key", "_range").rowsBetween(
+        Window.unboundedPreceding, 0)
+    ranges = (places.groupBy(*of, "before", "rest").agg(F.sum("n").alias("n"))
+              .withColumn("start", F.col("before") + F.sum("n").over(order) - F.col("n"))
+              .filter("start <= rest").select(*of, "start"))
+    within = Window.partitionBy(*of).orderBy("_text").rowsBetween(Window.unboundedPreceding, 0)
+    return (places.join(ranges, of)
+            .withColumn("first", F.col("start") + F.sum("n").over(within) - F.col("n") + F.col("least"))
+            .filter("first <= rest")
+            .groupBy("_source").agg(F.max(F.struct("_u", "_key", "_text")).alias("cut_row")))
+
+
 def with_place(rows: DataFrame, seed: int) -> DataFrame:
     """Add the place of a row in its source's permuted order and its block.  The
     permutation's key holds the number of whole reads before the partial one."""

@@ -112,3 +112,21 @@ def test_awkward_rows(edge, nothing):
     assert M.mix_copies(nothing).count() == 0 and M.mixture(nothing).count() == 0
     blank = edge.filter("doc_id in (5, 6, 7)")
     assert [r.copies for r in M.mix_copies(blank).collect()] == [1, 1, 1]
+
+
+@pytest.mark.parametrize("rest", [0, 1, 700, 4_000, 10 ** 6])
+def test_cut_among_rows_of_one_id(spark, rest):
+    rows = [("s", 5, "7", (i * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63), i % 7, 3, rest)
+            for i in range(1500)]
+    rows += rows[:40] + [("s", 4, "6", -9, 2, 3, rest), ("s", 6, "", 9, 2, 3, rest), ("t", 1, "1", 1, 9, 0, 5)]
+    df = spark.createDataFrame(rows, "_source string, _u long, _key string, _text long, _tokens long, before long, rest long")
+    got = {r._source: tuple(r.cut_row) for r in M.cut_rows(df).collect()}
+    want, upto = {}, 3
+    for _, u, key, text, n, _, _ in sorted(r for r in rows if r[0] == "s"):
+        upto += n
+        if upto <= rest:
+            want["s"] = (u, key, text)
+    assert got == want
+    # no task ranks all rows of the id: rows are ranked within ranges of their texts' hashes
+    assert "windowspecdefinition(_source" in (plan := M.cut_rows(df)._jdf.queryExecution().optimizedPlan().toString())
+    assert any("windowspecdefinition(_source" in x and "_range" in x.split("_text")[0] for x in plan.split("\n"))
