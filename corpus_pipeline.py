@@ -3,9 +3,8 @@
 Five stages, each one operator of ``sessionrate.llm`` on all that its predecessor kept:
 
 1. quality: line-first cleaning; failing lines leave the texts, rejected documents go.
-2. near-duplicates: texts whose five-word shingles have a Jaccard similarity of 0.8 or more
-   are linked (SimHash finds them, the texts decide); of each group the row with the smallest
-   doc_id stays.
+2. near-duplicates: the SimHash operator with its own contract (3 words, at most 2 of 64 bits);
+   of each group the row with the smallest doc_id stays.
 3. pii: validated values become format-preserving pseudonyms.
 4. mixing: sources are weighted by temperature; the mixture reads every document at least
    once and no source more than ``MAX_REPEAT`` times as often as another, so documents of
@@ -27,9 +26,6 @@ from sessionrate.llm.common import materialize, prepare, read_table
 
 TARGET_ENTROPY = 0.99      # of the uniform entropy over sources
 MAX_REPEAT = 2.0
-SHINGLE = 5                # words
-SIMILARITY = 0.8           # Jaccard similarity of near-duplicates
-DISTANCE = 11              # bits within which every pair of fingerprints is checked
 
 #: SimHash, temperature weights and piece ids have no SQL form; see tests/llm
 ORACLE_SQL = None
@@ -54,7 +50,7 @@ def quality_stage(spark, docs, sf_dir):
 
 def near_duplicate_stage(spark, docs, sf_dir):
     prepare(spark)
-    return simhash.one_per_group(docs, width=SHINGLE, distance=DISTANCE, jaccard=SIMILARITY)
+    return simhash.one_per_group(docs)
 
 
 def pii_stage(spark, docs, sf_dir):
