@@ -21,26 +21,9 @@ text's word shingles.  Fingerprints within ``distance`` differing bits are linke
    link is lost.
 6. Links become components by alternating stars.
 
-That is the contract of the query: 3 words, 2 bits, fingerprints alone.  With ``jaccard``,
-:func:`one_per_group` instead links texts whose sets of shingles have at least that Jaccard
-similarity, each link checked on the texts themselves:
-
-a. Equal texts are one node.  Nodes that share one of ``BANDS`` pairs of smallest shingle hashes
-   are compared with the smallest of them, so large groups of near copies become one
-   component for as many comparisons as they have members.
-b. Nodes of different components whose fingerprints are within ``distance`` bits are compared,
-   all of them: of ceil((distance + 1) / 3) parts one differs in at most 2 bits, which is
-   the case exactly if some value is within 1 bit of both, so a join on the values within 1 bit
-   meets every such pair.  Under each value the rows of its largest component need not meet
-   each other; so a hot value costs its other rows times its rows.  Beyond ``distance``, all
-   nodes of different components that share a band with at most ``HOT`` nodes are compared.
-
-No link is false, and none within ``distance`` bits is lost; a pair of similar texts further
-apart is missed if it also shares no band, or only bands of over ``HOT`` nodes (README: recall).
-
 Defined cases: a text without words (NULL, empty, blanks) has fingerprint zero and is
 linked like any other; a text with fewer words than a shingle is one shingle; repeated
-rows are linked by their equal fingerprints or texts; a NULL doc_id takes part but is never the
+rows are linked by their equal fingerprints; a NULL doc_id takes part but is never the
 smallest; extra columns are ignored or, in :func:`one_per_group`, carried; an empty table
 gives an empty result.
 """
@@ -61,7 +44,6 @@ DISTANCE = 2
 BITS = 64
 CELLS = 1 << 14
 HOT = 64
-BANDS = 10             # pairs of smallest hashes by which texts first meet
 _BLOCK = 100_000       # hashes whose bits are counted at once
 
 
@@ -104,33 +86,6 @@ def with_fingerprint(docs: DataFrame, text: str = "text", drop: tuple = (), widt
                     "fp long", text, drop=drop)
 
 
-_MIX = np.random.default_rng(SEED).integers(0, 1 << 64, size=(2, 2 * BANDS), dtype=np.uint64)
-
-
-def bands(hashes: np.ndarray) -> list[int]:
-    """One value per band: two smallest hashes, each of its own permutation, as one long."""
-    if not len(hashes):
-        return [0] * BANDS
-    least = np.array([((hashes ^ x) * (y | np.uint64(1))).min() for x, y in _MIX.T], dtype="<u8")
-    return [_signed(xxhash.xxh64_intdigest(pair.tobytes(), SEED)) for pair in least.reshape(BANDS, 2)]
-
-
-def _with_sketch(docs: DataFrame, text: str, drop: tuple, width: int) -> DataFrame:
-    """Add ``fp`` and ``bands``."""
-    def sketch(texts):
-        hashes = [_hashes(t, width) for t in texts]
-        return {"fp": [_signed(_majority(h)) for h in hashes], "bands": [bands(h) for h in hashes]}
-
-    return map_text(docs, sketch, "fp long, bands array<long>", text, drop=drop)
-
-
-def similarity(a: str | None, b: str | None, width: int) -> float:
-    """Jaccard similarity of the sets of shingles; texts without words are alike."""
-    x, y = set(_shingles(a, width)), set(_shingles(b, width))
-    both = len(x & y)
-    return both / (len(x) + len(y) - both) if x or y else 1.0
-
-
 def hex_fp(col: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(col)), 16, "0"))
 
@@ -348,143 +303,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return fps.join(of, F.col("fp") == F.col("_fp")).select(key, "fp", "component")
 
 
-# ------------------------------------------------- links checked on the texts
-def _checked(nodes: DataFrame, rows: DataFrame, pairs: DataFrame, width: int, jaccard: float) -> DataFrame:
-    """The ``pairs`` (a, b of nodes) whose texts have at least that similarity.
-
-    Of a node's rows one, named by ``nodes``, gives its text, so copies cost nothing here."""
-    pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-                        "simhash-pairs")
-    need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    named = nodes.join(need, "node", "left_semi").select("_id", "_mark", "node")
-    held = materialize(rows.select("_id", "_mark", "_text").join(named, ["_id", "_mark"])
-                           .dropDuplicates(["_id", "_mark"]), "simhash-texts")
-    of = lambda c: held.select(F.col("node").alias(c), F.col("_text").alias(f"text_{c}"))
-    both = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "text_a", "text_b")
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            a, b, ta, tb = batch.columns
-            good = [similarity(x.as_py(), y.as_py(), width) >= jaccard for x, y in zip(ta, tb)]
-            keep = pa.array(good, type=pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], ["a", "b"])
-
-    return materialize(both.mapInArrow(run, "a long, b long"), "simhash-checked")
-
-
-def band_pairs(nodes: DataFrame) -> DataFrame:
-    """(a, b): every node with the smallest one that shares a band's value."""
-    rows = nodes.select("node", F.posexplode("bands").alias("band", "value"))
-    first = (rows.groupBy("band", "value").agg(F.min("node").alias("a"), F.max("node").alias("most"))
-                 .filter("a < most").select("band", "value", "a"))
-    return rows.join(first, ["band", "value"]).filter("node <> a").select("a", F.col("node").alias("b"))
-
-
-def band_links(nodes: DataFrame) -> DataFrame:
-    """(a, b, ra, rb): all nodes of different roots that share a band's value with at most HOT
-    nodes.  ``nodes``: node, root, bands."""
-    rows = nodes.select("node", "root", F.posexplode("bands").alias("band", "value"))
-    few = (rows.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"),
-                                             F.max("root").alias("high"))
-               .filter((F.col("n") <= HOT) & (F.col("low") < F.col("high"))).select("band", "value"))
-    rows = materialize(rows.join(few, ["band", "value"], "left_semi"), "simhash-bands")
-    left = rows.select("band", "value", F.col("node").alias("a"), F.col("root").alias("ra"))
-    right = rows.select("band", "value", F.col("node").alias("b"), F.col("root").alias("rb"))
-    return left.join(right, ["band", "value"]).filter("ra <> rb and a < b").select("a", "b", "ra", "rb").distinct()
-
-
-def _part_values(col: str, distance: int) -> list:
-    """Numbers that name a part and a value within 1 bit of the fingerprint's value there."""
-    parts = -(-(distance + 1) // 3)
-    cuts = [BITS * i // parts for i in range(parts + 1)]
-    out = []
-    for i, (low, high) in enumerate(zip(cuts, cuts[1:])):
-        value = F.col(col)
-        if parts > 1:                               # 32 bits at most
-            value = F.shiftrightunsigned(col, low).bitwiseAND(F.lit((1 << (high - low)) - 1))
-        for v in [value, *(value.bitwiseXOR(F.lit(_signed(1 << k))) for k in range(high - low))]:
-            out.append(v * F.lit(parts) + F.lit(i) if parts > 1 else v)
-    return out
-
-
-def wide_links(nodes: DataFrame, distance: int) -> DataFrame:
-    """(a, b, ra, rb): all nodes of different roots whose fingerprints differ in at most
-    ``distance`` bits.  ``nodes``: node, fp, root."""
-    big = nodes.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select(
-        "root", F.lit(True).alias("big"))
-    marked = nodes.join(big, "root", "left").select("node", "fp", "root", F.coalesce("big", F.lit(False)).alias("big"))
-    rows = materialize(marked.select("node", "fp", "root", "big", F.explode(
-        F.array(*_part_values("fp", distance))).alias("value")), "simhash-values")
-    share = rows.filter("big").groupBy("value", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = materialize(share.groupBy("value").agg(F.max_by("root", F.struct("n", "root")).alias("main")), "simhash-main")
-    small = rows.filter("not big").select("value", "node", "fp", "root")
-    large = rows.filter("big").join(main, "value")
-    rest = small.unionByName(large.filter("root <> main").select("value", "node", "fp", "root"))
-    held = large.filter("root = main").select("value", "node", "fp", "root")
-    left = rest.select("value", F.col("node").alias("a"), F.col("fp").alias("fa"), F.col("root").alias("ra"))
-    right = (rest.withColumn("rest", F.lit(True)).unionByName(held.withColumn("rest", F.lit(False)))
-             .select(F.col("value").alias("v"), F.col("node").alias("b"), F.col("fp").alias("fb"),
-                     F.col("root").alias("rb"), "rest"))
-    close = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= distance
-    met = left.join(right, (F.col("value") == F.col("v")) & (F.col("ra") != F.col("rb")) & close
-                    & (~F.col("rest") | (F.col("a") < F.col("b"))))
-    return met.select("a", "b", "ra", "rb").distinct()
-
-
-def _rooted(nodes: DataFrame, star: DataFrame) -> DataFrame:
-    star = star.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    return nodes.join(star, F.col("root") == F.col("_node"), "left").select(
-        "node", "fp", F.coalesce("_root", "root").alias("root"))
-
-
-def text_groups(nodes: DataFrame, rows: DataFrame, width: int, distance: int, jaccard: float) -> DataFrame:
-    """(node, fp, root): texts linked by similarity, see (a) and (b) above.
-
-    ``nodes``: node, fp, bands and the _id and _mark of one of its ``rows`` (_id, _mark, _text)."""
-    alike = _checked(nodes, rows, band_pairs(nodes), width, jaccard)
-    first = nodes.select("node", "fp", F.col("node").alias("root"))
-    first = materialize(_rooted(first, components(alike, "simhash-links")), "simhash-roots")
-    banded = band_links(first.join(nodes.select("node", "bands"), "node"))
-    wide = materialize(wide_links(first, distance).unionByName(banded).distinct(), "simhash-wide")
-    more = _checked(nodes, rows, wide.select("a", "b"), width, jaccard)
-    roots = wide.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "ra", "rb")
-    joined = components(roots.join(more, ["a", "b"], "left_semi").select("ra", "rb"), "simhash-links")
-    return materialize(_rooted(first, joined), "simhash-roots")
-
-
 def _name(key):
     return F.coalesce(key.cast("string"), F.lit("no key"))
 
 
-def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = SHINGLE,
-                  distance: int = DISTANCE, jaccard: float | None = None) -> DataFrame:
+def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group, one row that has the
-    smallest key (of several rows with that key, the one of the smallest row hash).
-
-    Without ``jaccard`` texts are linked by fingerprints alone, within DISTANCE bits; with it,
-    texts of at least that Jaccard similarity are."""
-    if jaccard is None and distance != DISTANCE:
-        raise ValueError(f"links by fingerprints alone are within {DISTANCE} bits")
+    smallest key (of several rows with that key, the one of the smallest row hash)."""
     cols = [F.col(c) for c in docs.columns]
     rows = docs.select(F.struct(*cols).alias("_row"), F.col(key).alias("_key"), F.col(text).alias("_text"),
                        _name(F.col(key)).alias("_id"), F.xxhash64(*cols).alias("_mark"))
-    if jaccard is None:
-        fps = materialize(with_fingerprint(rows.select("_key", "_mark", "_text"), "_text", drop=("_text",), width=width),
-                          "simhash-fps")
-        of = groups(fps, "_key").select(F.col("fp").alias("_of"), "root")
-        met = F.col("fp") == F.col("_of")
-    else:
-        node = F.xxhash64("_text").alias("node")
-        fps = materialize(_with_sketch(rows.select("_key", "_id", "_mark", node, "_text"), "_text", ("_text",), width),
-                          "simhash-fps")
-        one = F.min(F.struct("_id", "_mark", "fp", "bands")).alias("one")
-        nodes = materialize(fps.groupBy("node").agg(one).select("node", "one.*"), "simhash-entries")
-        of = text_groups(nodes, rows, width, distance, jaccard).select(F.col("node").alias("_of"), "root")
-        met = F.col("node") == F.col("_of")
+    fps = materialize(with_fingerprint(rows.select("_key", "_mark", "_text"), "_text", drop=("_text",)), "simhash-fps")
+    of = groups(fps, "_key").select(F.col("fp").alias("_of"), "root")
     first = F.min(F.struct(F.col("_key").isNull().alias("late"), "_key", "_mark"))
-    best = (fps.join(of, met).groupBy("root").agg(first.alias("b"))
+    best = (fps.join(of, F.col("fp") == F.col("_of")).groupBy("root").agg(first.alias("b"))
                .select(_name(F.col("b._key")).alias("_id"), F.col("b._mark").alias("_mark")).distinct())
     # plain equality on both columns: the join's partitioning then serves the grouping too
     kept = rows.select("_row", "_id", "_mark").join(best, ["_id", "_mark"], "left_semi")
