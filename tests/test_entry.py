@@ -1,6 +1,7 @@
 """The entry works without its optional part, and hides no other import error."""
 
 import importlib
+import importlib.util
 import sys
 
 import pytest
@@ -33,8 +34,22 @@ def test_without_the_corpus_part(monkeypatch):
     assert set(entry.queries()) == set(QUERIES) == set(entry.oracle_sql())
 
 
-def test_other_import_errors_are_not_hidden(monkeypatch):
-    if importlib.util.find_spec("corpus_pipeline") is None:
+def _skip_without_the_corpus_part():
+    if importlib.util.find_spec("corpus_pipeline") is None or importlib.util.find_spec("sessionrate.llm") is None:
         pytest.skip("the corpus part is not here")
-    with pytest.raises(ImportError, match="blocked xxhash"):
-        _reload(monkeypatch, Block(ModuleNotFoundError, "xxhash"))
+
+
+def test_a_library_only_the_corpus_part_needs(monkeypatch):
+    _skip_without_the_corpus_part()
+    with pytest.warns(ImportWarning, match="blocked xxhash"):
+        entry = _reload(monkeypatch, Block(ModuleNotFoundError, "xxhash"))
+    assert set(entry.queries()) == set(QUERIES) == set(entry.oracle_sql())
+
+
+def test_other_import_errors_are_not_hidden(monkeypatch):
+    _skip_without_the_corpus_part()
+    for name in list(sys.modules):
+        if name.startswith("sessionrate.session"):
+            monkeypatch.delitem(sys.modules, name)
+    with pytest.raises(ImportError, match="blocked sessionrate.session"):
+        _reload(monkeypatch, Block(ModuleNotFoundError, "sessionrate.session"))
