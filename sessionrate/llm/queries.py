@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sessionrate.llm import classlm, langid, lz, mixing, pii, quality, sentencepieces, sharding, simhash, warc, whitening
+from sessionrate.llm import (alignment, classlm, langid, lz, mixing, pii, quality, sentencepieces, sharding,
+                             simhash, warc, whitening)
 from sessionrate.llm.common import read_table, scratch_path
 
 
@@ -67,6 +68,10 @@ def q_op10(spark, sf_dir):
     return sentencepieces.with_ids(docs, sentencepieces.read_model(), check=True, drop=("text",))
 
 
+def q_op11(spark, sf_dir):
+    return alignment.score_links(read_table(spark, sf_dir, "documents"))
+
+
 def q_op13(spark, sf_dir):
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
@@ -82,5 +87,6 @@ QUERIES = {
     "op8_temperature_mixing": q_op8,
     "op9_brown_class_lm": q_op9,
     "op10_sentencepiece_viterbi": q_op10,
+    "op11_pointer_jumping_alignment": q_op11,
     "op13_feast_whitening": q_op13,
 }
