@@ -162,7 +162,9 @@ def test_groups_as_columns(spark, edge, libs):
     assert len(got) == len(edge_rows()) and all(c in got[0].asDict() for c in EXTRA)
     mine = Counter()
     for r in got:
-        n = 1 + max(r.a_groups, default=-1)
-        mine[repr([([a for a, g in zip(r.a_ids, r.a_groups) if g == k], [b for b, g in zip(r.b_ids, r.b_groups) if g == k])
-                   for k in range(n)])] += 1
+        own = [([], []) for _ in range(1 + max(r.a_groups, default=-1))]
+        for side, ids, groups in ((0, r.a_ids, r.a_groups), (1, r.b_ids, r.b_groups)):
+            for i, g in zip(ids, groups):
+                own[g][side].append(i)
+        mine[repr(own)] += 1
     assert mine == want
