@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sessionrate.llm import (alignment, classlm, langid, lz, mixing, pii, quality, sentencepieces, sharding,
-                             simhash, warc, whitening)
+from sessionrate.llm import (alignment, classlm, langid, lz, mixing, pii, quality, rotcodes, sentencepieces,
+                             sharding, simhash, warc, whitening)
 from sessionrate.llm.common import read_table, scratch_path
 
 
@@ -72,6 +72,11 @@ def q_op11(spark, sf_dir):
     return alignment.score_links(read_table(spark, sf_dir, "documents"))
 
 
+def q_op12(spark, sf_dir):
+    out = rotcodes.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+    return out.withColumnRenamed("component", "component_id")
+
+
 def q_op13(spark, sf_dir):
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
@@ -88,5 +93,6 @@ QUERIES = {
     "op9_brown_class_lm": q_op9,
     "op10_sentencepiece_viterbi": q_op10,
     "op11_pointer_jumping_alignment": q_op11,
+    "op12_rotation_code_dedup": q_op12,
     "op13_feast_whitening": q_op13,
 }
