@@ -7,8 +7,10 @@ themselves are the DataFrame functions in :mod:`sessionrate.plans.jobs`.
 Every start needs a ``checkpoint``: a folder of the job's own on shared storage, the same
 at every start.  It holds the offsets read and the open windows, so a restarted job goes
 on where it stopped (on the first start, at the source's ``startingOffsets``).  Every
-windowed job needs a ``watermark``: how late a record may be, which must cover the lag
-between topic partitions (``"0 seconds"`` only suits a single ordered one).
+windowed job needs a ``watermark``: how late a record may be.  Given the topic's
+``partitions``, it counts from the slowest of them, and ``idle`` (of event time) releases those
+without records; else it counts from the newest record of all and must cover the lag
+between partitions (``"0 seconds"`` then only suits a single ordered one).
 
 Records that parsing or the feedback checks reject are not in any job's result;
 :func:`start_rejects` and :func:`start_feedback_rejects` route them to a topic or folder.
@@ -31,6 +33,7 @@ from sessionrate.plans import jobs as J
 from sessionrate.session import ensure_utc
 from sessionrate.sources import kafka as K
 from sessionrate.streaming import sinks
+from sessionrate.streaming.watermarks import read_partitions
 
 
 def _records(spark: SparkSession, source: dict | None, records: DataFrame | None,
@@ -41,6 +44,16 @@ def _records(spark: SparkSession, source: dict | None, records: DataFrame | None
     return K.read_kafka(spark, source or K.kafka_options(), include_headers=headers)
 
 
+def _events(spark: SparkSession, source: dict | None, records: DataFrame | None, watermark: str,
+            partitions: list[int] | None, idle: str | None) -> DataFrame:
+    """Parsed events under their watermark: of the whole stream, or of its slowest partition."""
+    if partitions and records is None:
+        ensure_utc(spark)
+        branches = read_partitions(spark, source or K.kafka_options(), partitions)
+        return J.decoded_events(branches, watermark=watermark, idle=idle)
+    return J.decoded_events(_records(spark, source, records), watermark=watermark, partitions=partitions, idle=idle)
+
+
 def _sink_options(sink: dict | None, topic: str | None, default_topic: str) -> dict:
     """Writer options: those given, on top of the default brokers and topic."""
     out = K.kafka_options(topic=default_topic, for_writer=True)
@@ -67,7 +80,8 @@ def start_kill_rate(spark: SparkSession, checkpoint: str, watermark: str, source
                     event_type: str = "killed", actor_type: str = "player",
                     log: bool = True, log_path: str | None = None,
                     records: DataFrame | None = None, extra_writers: list | None = None,
-                    available_now: bool = False) -> StreamingQuery:
+                    available_now: bool = False, partitions: list[int] | None = None,
+                    idle: str | None = None) -> StreamingQuery:
     """Metrics of ``event_type`` per second per player session, every one logged and, when
     ``sink_topic`` is not blank or ``sink`` is given, written to that topic with one writer
     per session in window order (one query, fanned out).
@@ -75,9 +89,8 @@ def start_kill_rate(spark: SparkSession, checkpoint: str, watermark: str, source
     ``records`` replaces the Kafka source with any stream of Kafka-shaped records;
     ``extra_writers`` (``fn(batch_df, batch_id)``) receive every metric batch too.
     """
-    records = _records(spark, source, records)
     metrics = J.kill_rate_job(None, event_type=event_type, actor_type=actor_type,
-                              events=J.decoded_events(records, watermark=watermark))
+                              events=_events(spark, source, records, watermark, partitions, idle))
     writers = _log_writer(log, log_path)
     if sink or not is_blank_text(sink_topic):
         opts = _sink_options(sink, sink_topic, K.METRICS_TOPIC)
@@ -88,10 +101,11 @@ def start_kill_rate(spark: SparkSession, checkpoint: str, watermark: str, source
 def start_fine_rates(spark: SparkSession, checkpoint: str, watermark: str, source: dict | None = None,
                      log: bool = True, log_path: str | None = None, records: DataFrame | None = None,
                      extra_writers: list | None = None, width_ms: int = R.FINE_WINDOW_MS,
-                     slide_ms: int = R.FINE_SLIDE_MS, available_now: bool = False) -> StreamingQuery:
+                     slide_ms: int = R.FINE_SLIDE_MS, available_now: bool = False,
+                     partitions: list[int] | None = None, idle: str | None = None) -> StreamingQuery:
     """Players' kills per second and moves per session and window, logged and given to
     ``extra_writers``; computed and discarded without either."""
-    events = J.decoded_events(_records(spark, source, records), watermark=watermark)
+    events = _events(spark, source, records, watermark, partitions, idle)
     rates = J.fine_rates_job(None, width_ms, slide_ms, events=events)
     return _start(rates, _log_writer(log, log_path) + (extra_writers or []), checkpoint, available_now)
 
@@ -99,9 +113,10 @@ def start_fine_rates(spark: SparkSession, checkpoint: str, watermark: str, sourc
 def start_move_rate(spark: SparkSession, checkpoint: str, watermark: str, source: dict | None = None,
                     log: bool = True, log_path: str | None = None, records: DataFrame | None = None,
                     extra_writers: list | None = None, width_ms: int = R.FINE_WINDOW_MS,
-                    slide_ms: int = R.FINE_SLIDE_MS, available_now: bool = False) -> StreamingQuery:
+                    slide_ms: int = R.FINE_SLIDE_MS, available_now: bool = False,
+                    partitions: list[int] | None = None, idle: str | None = None) -> StreamingQuery:
     """Moves per second per session and window, logged and given to ``extra_writers``."""
-    events = J.decoded_events(_records(spark, source, records), watermark=watermark)
+    events = _events(spark, source, records, watermark, partitions, idle)
     rates = J.move_rate_job(None, width_ms, slide_ms, events=events)
     return _start(rates, _log_writer(log, log_path) + (extra_writers or []), checkpoint, available_now)
 
@@ -109,9 +124,10 @@ def start_move_rate(spark: SparkSession, checkpoint: str, watermark: str, source
 def start_groups(spark: SparkSession, path: str, checkpoint: str, watermark: str,
                  source: dict | None = None, records: DataFrame | None = None,
                  width_ms: int = R.GROUP_WINDOW_MS, slide_ms: int = R.GROUP_SLIDE_MS,
-                 parts: int = R.GROUP_PARTS, available_now: bool = False) -> StreamingQuery:
+                 parts: int = R.GROUP_PARTS, available_now: bool = False,
+                 partitions: list[int] | None = None, idle: str | None = None) -> StreamingQuery:
     """Players' events listed per Kafka key and window, as JSON lines in text files."""
-    events = J.decoded_events(_records(spark, source, records), watermark=watermark)
+    events = _events(spark, source, records, watermark, partitions, idle)
     groups = J.grouped_job(None, width_ms, slide_ms, parts=parts, events=events)
     return sinks.write_text(R.windowed_group_text(groups), path, checkpoint, available_now)
 

@@ -23,12 +23,14 @@ from sessionrate.operators import metrics as M
 from sessionrate.operators import rates as R
 from sessionrate.operators.parse import CORRUPT, parse_events, split_rejects
 from sessionrate.sources.kafka import decode_envelope
+from sessionrate.streaming.watermarks import slowest_watermark
 
 
-def decoded_events(records: DataFrame, defaults: str = "none", on_error: str = "reject",
+def decoded_events(records: DataFrame | list[DataFrame], defaults: str = "none", on_error: str = "reject",
                    event_time: str = "record", watermark: str | None = None,
                    time_member: str = "frame.millis", time_base_ms: int = 0,
-                   keep_rejects: bool = False) -> DataFrame:
+                   keep_rejects: bool = False, partitions: list[int] | None = None,
+                   idle: str | None = None) -> DataFrame:
     """Records -> parsed events (``key, timestamp, headers, event_time`` + event members).
 
     Rejected records (see :mod:`sessionrate.operators.parse`) are left out, so no rate counts
@@ -44,7 +46,18 @@ def decoded_events(records: DataFrame, defaults: str = "none", on_error: str = "
     source record, as a source-level watermark does, and no filter on event members
     (which cannot move below the parse) is evaluated before it.  For ``column`` time
     it can only follow the parse.
+
+    With ``partitions`` (of a stream with a ``partition`` column), or ``records`` as one stream
+    per topic partition, the watermark is that of the slowest partition and ``idle`` releases
+    those without records (see :mod:`sessionrate.streaming.watermarks`).
     """
+    if partitions or not isinstance(records, DataFrame):
+        if event_time == "column":
+            raise ValueError("a watermark per partition needs record time or processing time")
+        env = (decode_envelope(records, event_time) if isinstance(records, DataFrame)
+               else [decode_envelope(r, event_time) for r in records])
+        env = slowest_watermark(env, watermark or "0 seconds", idle, partitions)
+        return _good(parse_events(env, defaults=defaults, on_error=on_error), keep_rejects)
     if event_time == "column":
         env = decode_envelope(records, "record")
         ev = _good(parse_events(env, defaults=defaults, on_error=on_error), keep_rejects)

@@ -364,6 +364,13 @@ FROM ({_kill_metric(*KILL).replace(GAME, '')}) m GROUP BY 1""",
 SELECT session, 1 AS n_writers, count(*) AS n_records, 0 AS n_out_of_order
 FROM ({_kill_metric(*KILL).replace(GAME, '')}) m GROUP BY session""",
     "stream_kill_rate": _stream(_kill_metric(*KILL)),
+    "stream_kill_rate_partitions": GAME + f"""
+, parts AS (
+  SELECT counter % CASE WHEN ts < TIMESTAMP '2024-01-10' THEN 4 ELSE 3 END AS p, max(ts_ms) AS newest FROM g GROUP BY 1
+), mark AS (
+  SELECT min(greatest(newest, (SELECT max(newest) FROM parts) - {72 * HOUR})) AS ms FROM parts
+)
+SELECT * FROM ({_kill_metric(*KILL).replace(GAME, '')}) m WHERE window_end_ms <= (SELECT ms FROM mark)""",
     "stream_move_count": _stream(_move_count(*FINE)),
     "stream_action_rate": _stream(_action_rate(*FINE)),
     "stream_metric_feedback": _stream(_feedback(*KILL)),

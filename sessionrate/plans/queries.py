@@ -383,6 +383,20 @@ def _stream_events(spark, sf_dir, delay="0 seconds"):
     return J.decoded_events(events_to_records(stream), watermark=delay)
 
 
+def q_stream_kill_rate_partitions(spark, sf_dir):
+    """Records dealt to four topic partitions, of which the last falls silent on 10 January: the
+    watermark follows the slowest one and lets go of the silent one after three days."""
+    from sessionrate.sources.adapter import events_to_records
+    from sessionrate.streaming.runner import parquet_file_stream
+    ensure_utc(spark)
+    records = events_to_records(parquet_file_stream(spark, sf_dir, "events.parquet"))
+    deal = F.when(F.col("timestamp") < F.lit("2024-01-10").cast("timestamp"), 4).otherwise(3)
+    records = records.withColumn("partition", (F.col("offset") % deal).cast("int"))
+    ev = J.decoded_events(records, watermark="0 seconds", partitions=[0, 1, 2, 3], idle="3 days")
+    return _run(spark, J.kill_rate_job(None, width_ms=SCALED["kill"][0], slide_ms=SCALED["kill"][1], events=ev),
+                "stream_kill_rate_partitions")
+
+
 def _run(spark, df, name):
     from sessionrate.streaming.runner import run_to_parquet
     return spark.read.parquet(run_to_parquet(df, name))
@@ -481,6 +495,7 @@ QUERIES = {
     "metric_feedback": q_metric_feedback,
     "metric_feedback_rejects": q_metric_feedback_rejects,
     "stream_kill_rate": q_stream_kill_rate,
+    "stream_kill_rate_partitions": q_stream_kill_rate_partitions,
     "stream_move_count": q_stream_move_count,
     "stream_action_rate": q_stream_action_rate,
     "stream_metric_feedback": q_stream_metric_feedback,

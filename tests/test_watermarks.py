@@ -1,0 +1,172 @@
+"""The watermark follows the slowest partition; idle partitions are released."""
+
+import datetime as dt
+import json
+import os
+import time
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pytest
+
+from sessionrate.operators import rates as R
+from sessionrate.plans import jobs as J
+from sessionrate.sources.kafka import kafka_options
+from sessionrate.streaming import watermarks as W
+from sessionrate.streaming.runner import LateRows, start_stream
+
+T0 = dt.datetime(2024, 1, 1)
+BASE = 1704067200000
+SCHEMA = "key string, value string, timestamp timestamp, partition long, offset long"
+
+
+def write(folder, batches):
+    """``batches``: lists of (partition, ms, session); one file each."""
+    now = time.time() - 1000
+    for i, rows in enumerate(batches):
+        recs = [{"key": s, "value": json.dumps({"session": s, "counter": ms, "type": "killed", "actor": {"type": "player"}}),
+                 "timestamp": T0 + dt.timedelta(milliseconds=ms), "partition": p, "offset": ms} for p, ms, s in rows]
+        path = os.path.join(folder, f"batch-{i}.parquet")
+        pq.write_table(pa.Table.from_pylist(recs), path)
+        os.utime(path, (now + 10 * i, now + 10 * i))
+
+
+def stream(spark, folder):
+    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", "1").parquet(str(folder))
+
+
+def run(spark, records, name):
+    """{(session, window end): kills} of closed windows, and the rows dropped as late."""
+    rates = R.event_rate(J.decoded_events(records), "killed", 1000, 500)
+    late = LateRows.attach(spark)
+    try:
+        q = start_stream(rates, sink="memory", query_name=name, available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None, q.exception()
+        dropped = late.total(q)
+    finally:
+        spark.streams.removeListener(late)
+    got = {(r.session, r.window_end_ms - BASE): round(r.value) for r in spark.sql(f"SELECT * FROM {name}").collect()}
+    return got, dropped
+
+
+def expected(batches, closed):
+    out = {}
+    for rows in batches:
+        for _, ms, s in rows:
+            for k in (0, 1):
+                end = ms // 500 * 500 + 1000 - 500 * k
+                if end <= closed:
+                    out[s, end] = out.get((s, end), 0) + 1
+    return out
+
+
+# partition 1 is always 4 to 5 seconds behind partition 0, each is in order
+UNEVEN = [[(0, 5000 + 1000 * i, "a"), (0, 5400 + 1000 * i, "b"), (1, 100 + 1000 * i, "a"), (1, 900 + 1000 * i, "c")] for i in range(5)]
+
+
+def branches(spark, folder, **more):
+    """A decoded stream under the watermark, with the columns of records."""
+    whole = stream(spark, folder).withColumnRenamed("timestamp", "event_time")
+    return W.slowest_watermark(whole, **more).withColumnRenamed("event_time", "timestamp")
+
+
+def test_the_fastest_partition_makes_the_slow_one_late(spark, tmp_path):
+    write(tmp_path, UNEVEN)
+    whole = stream(spark, tmp_path).withWatermark("timestamp", "0 seconds")
+    got, dropped = run(spark, whole, "fastest")
+    assert dropped > 0 and got != expected(UNEVEN, 9400)
+
+
+def test_uneven_partitions_lose_nothing_with_delay_0(spark, tmp_path):
+    write(tmp_path, UNEVEN)
+    got, dropped = run(spark, branches(spark, tmp_path, partitions=[0, 1]), "slowest")
+    assert dropped == 0 and got == expected(UNEVEN, 4900)      # newest record of partition 1
+
+
+def test_one_stream_per_partition(spark, tmp_path):
+    parts = []
+    for p in (0, 1):
+        own = tmp_path / str(p)
+        own.mkdir()
+        write(own, [[r for r in rows if r[0] == p] for rows in UNEVEN])
+        parts.append(stream(spark, own))
+    united = W.slowest_watermark(parts, time_col="timestamp", idle="1 minute")
+    got, dropped = run(spark, united, "split")
+    assert dropped == 0 and got == expected(UNEVEN, 4900)
+
+
+IDLE = UNEVEN + [[(0, 10_000 + 4000 * i, "a")] for i in range(5)]
+
+
+@pytest.mark.parametrize("idle, closed", [(None, 4900), ("6 seconds", 26_000 - 6000), ("1 hour", 4900)])
+def test_an_idle_partition_is_released(spark, tmp_path, idle, closed):
+    write(tmp_path, IDLE)
+    got, dropped = run(spark, branches(spark, tmp_path, partitions=[0, 1], idle=idle), "idle_" + (idle or "no").replace(" ", "_"))
+    assert dropped == 0 and got == expected(IDLE, closed)
+
+
+def test_a_partition_that_never_delivers(spark, tmp_path):
+    write(tmp_path, IDLE)
+    got, _ = run(spark, branches(spark, tmp_path, partitions=[0, 1, 2], idle="6 seconds"), "empty_branch")
+    assert got == expected(IDLE, 20_000)
+    got, _ = run(spark, branches(spark, tmp_path, partitions=[0, 1, 2]), "empty_branch_held")
+    assert got == {}
+
+
+def test_a_partition_of_no_branch_fails(spark, tmp_path):
+    write(tmp_path, UNEVEN)
+    with pytest.raises(Exception, match="no branch for partition 1"):
+        run(spark, branches(spark, tmp_path, partitions=[0, 2]), "stray")
+
+
+def test_the_policy_is_checked(spark, tmp_path):
+    spark.conf.set(W.POLICY, "max")
+    try:
+        with pytest.raises(ValueError, match="must be min"):
+            W.slowest_watermark([stream_like(spark)], time_col="timestamp")
+    finally:
+        spark.conf.unset(W.POLICY)
+
+
+def stream_like(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_kafka_partitions_are_assigned(monkeypatch, spark):
+    seen = []
+    monkeypatch.setattr(W, "read_kafka", lambda s, o: seen.append(o))
+    W.read_partitions(spark, kafka_options(topic="game"), [0, 3])
+    assert [json.loads(o["assign"]) for o in seen] == [{"game": [0]}, {"game": [3]}] and all("subscribe" not in o for o in seen)
+
+
+def test_a_job_under_the_slowest_watermark(spark, tmp_path):
+    """Through the start function; restarted in the middle."""
+    from sessionrate.plans import deploy
+    write(tmp_path / "in" if (tmp_path / "in").mkdir() is None else None, IDLE[:4])
+    out = str(tmp_path / "out")
+    keep = lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}")
+
+    def go():
+        q = deploy.start_kill_rate(spark, str(tmp_path / "ckpt"), "0 seconds", records=stream(spark, tmp_path / "in"),
+                                   log=False, partitions=[0, 1], idle="6 seconds", extra_writers=[keep], available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+
+    go()
+    write(tmp_path / "in", IDLE)
+    go()
+    got = {(r.session, r.window_end_ms - BASE): round(3 * r.value) for r in spark.read.parquet(out).collect()}
+    want = {}
+    for rows in IDLE:
+        for _, ms, s in rows:
+            for k in range(6):
+                end = ms // 500 * 500 + 3000 - 500 * k
+                if end <= 20_000:
+                    want[s, end] = want.get((s, end), 0) + 1
+    assert got == want
+
+
+def test_event_time_of_a_member_has_no_branches(spark):
+    with pytest.raises(ValueError, match="record time"):
+        J.decoded_events(stream_like(spark), event_time="column", partitions=[0], watermark="0 seconds")
