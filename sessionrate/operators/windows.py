@@ -11,13 +11,18 @@ Three plans compute the same result:
             window starts in one generator when ``width % slide == 0``, else
             ``window()``), then one hash aggregate with map-side partial aggregation
             and one shuffle on ``(key, window)``.  Streams always use ``window()``:
-            the watermark is tracked through it.  The only plan for streams and for
-            widths that are no multiple of the slide; asking for another one there is
-            an error.
+            the watermark is tracked through it.  The only plan for widths that are no
+            multiple of the slide; asking for another one there is an error.
 ``panes``   ("No Pane, No Gain"): first aggregate rows into slide-wide panes per key,
             then fan each *pane* out to the windows that contain it and re-aggregate.
             The fan-out multiplies panes instead of rows; pays when many rows share
-            a pane.
+            a pane.  On a stream these are two chained aggregations, linked by
+            ``window_time``: a micro-batch updates a key's panes in the state, and only a
+            closed pane, once, the windows it lies in; pays when micro-batches are shorter
+            than the slide (else see :mod:`sessionrate.operators.accumulators`, which keeps
+            no windows in the state at all).  Closed windows are the same as with ``direct``; a late row is not: a row whose pane has closed is dropped, where
+            ``direct`` still counts it in those of its windows that are open (so give a
+            delay that covers late rows; with none, nothing differs).
 ``bucketed``  for large fan-outs with few rows per window, where partial aggregation before
             the shuffle removes nothing and ``direct`` shuffles ``width/slide`` rows per
             row: windows are dealt to time buckets of ``BUCKET_WIDTHS`` window widths, each
@@ -104,12 +109,15 @@ def windowed_aggregate(df: DataFrame, keys: list[str], aggs: list[tuple[str, str
     if plan not in PLANS:
         raise ValueError(f"plan must be one of {PLANS}")
     aligned = width_ms % slide_ms == 0 and not df.isStreaming
+    if plan == "panes" and df.isStreaming and width_ms % slide_ms == 0:
+        return _stream_panes(df, keys, aggs, width_ms, slide_ms, time_col)
     if plan == "auto":
         short = aligned and width_ms <= AUTO_WIDTH_MS and fan_out(width_ms, slide_ms) >= AUTO_FAN_OUT
         plan = "bucketed" if short else "direct"
     if plan != "direct":
         if not aligned:
-            raise ValueError(f"the {plan} plan needs a batch input and a width that is a multiple of the slide")
+            raise ValueError(f"the {plan} plan needs a width that is a multiple of the slide"
+                             + (", and a batch input" if plan == "bucketed" else ""))
         make = _panes if plan == "panes" else _bucketed
         return make(df, keys, aggs, width_ms, slide_ms, time_col)
     if aligned:
@@ -158,6 +166,16 @@ def _panes(df: DataFrame, keys, aggs, width_ms: int, slide_ms: int, time_col: st
     return _windows_of_panes(per_pane, keys, aggs, width_ms, slide_ms)
 
 
+def _stream_panes(df: DataFrame, keys, aggs, width_ms: int, slide_ms: int, time_col: str) -> DataFrame:
+    by = [F.col(k) for k in keys]
+    panes = (df.groupBy(*by, F.window(F.col(time_col), _interval(slide_ms)).alias("__pane"))
+               .agg(*[_partial(kind, c).alias(name) for name, kind, c in aggs]))
+    at = F.window_time(F.col("__pane"))                       # the pane's last instant
+    out = (panes.groupBy(*by, F.window(at, _interval(width_ms), _interval(slide_ms)).alias("window"))
+                .agg(*[_merge(kind, name).alias(name) for name, kind, _ in aggs]))
+    return out.select(*keys, *bounds_ms("window"), *[name for name, _, _ in aggs])
+
+
 def _windows_of_panes(per_pane: DataFrame, keys, aggs, width_ms: int, slide_ms: int,
                       bucket: Column | None = None) -> DataFrame:
     """Fan each pane out to its windows and merge; with ``bucket`` (of a window start) only

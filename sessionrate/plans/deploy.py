@@ -102,11 +102,13 @@ def start_fine_rates(spark: SparkSession, checkpoint: str, watermark: str, sourc
                      log: bool = True, log_path: str | None = None, records: DataFrame | None = None,
                      extra_writers: list | None = None, width_ms: int = R.FINE_WINDOW_MS,
                      slide_ms: int = R.FINE_SLIDE_MS, available_now: bool = False,
-                     partitions: list[int] | None = None, idle: str | None = None) -> StreamingQuery:
+                     partitions: list[int] | None = None, idle: str | None = None,
+                     plan: str = "auto") -> StreamingQuery:
     """Players' kills per second and moves per session and window, logged and given to
-    ``extra_writers``; computed and discarded without either."""
+    ``extra_writers``; computed and discarded without either.  ``plan="panes"`` keeps pane
+    state (see :mod:`sessionrate.operators.windows`)."""
     events = _events(spark, source, records, watermark, partitions, idle)
-    rates = J.fine_rates_job(None, width_ms, slide_ms, events=events)
+    rates = J.fine_rates_job(None, width_ms, slide_ms, plan=plan, events=events)
     return _start(rates, _log_writer(log, log_path) + (extra_writers or []), checkpoint, available_now)
 
 
@@ -114,10 +116,11 @@ def start_move_rate(spark: SparkSession, checkpoint: str, watermark: str, source
                     log: bool = True, log_path: str | None = None, records: DataFrame | None = None,
                     extra_writers: list | None = None, width_ms: int = R.FINE_WINDOW_MS,
                     slide_ms: int = R.FINE_SLIDE_MS, available_now: bool = False,
-                    partitions: list[int] | None = None, idle: str | None = None) -> StreamingQuery:
+                    partitions: list[int] | None = None, idle: str | None = None,
+                    plan: str = "auto") -> StreamingQuery:
     """Moves per second per session and window, logged and given to ``extra_writers``."""
     events = _events(spark, source, records, watermark, partitions, idle)
-    rates = J.move_rate_job(None, width_ms, slide_ms, events=events)
+    rates = J.move_rate_job(None, width_ms, slide_ms, plan=plan, events=events)
     return _start(rates, _log_writer(log, log_path) + (extra_writers or []), checkpoint, available_now)
 
 

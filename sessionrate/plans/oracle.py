@@ -377,4 +377,9 @@ SELECT * FROM ({_kill_metric(*KILL).replace(GAME, '')}) m WHERE window_end_ms <=
     "stream_windowed_group": _stream(_groups(*GROUP)),
     "stream_session_activity": _stream(_session_activity(*FINE)),
     "stream_activity_span": _stream(_activity_span(*FINE)),
+    "session_activity_merged": _session_activity(*FINE),
+    "activity_span_merged": _activity_span(*FINE),
+    "stream_session_activity_stored": _stream(_session_activity(*FINE)),
+    "stream_session_activity_panes": _stream(_session_activity(*FINE)),
+    "stream_activity_span_panes": _stream(_activity_span(*FINE)),
 }

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionrate import schema as S
+from sessionrate.operators import accumulators as A
 from sessionrate.operators import metrics as M
 from sessionrate.operators import parse as P
 from sessionrate.operators import rates as R
@@ -425,6 +426,62 @@ def q_stream_session_activity(spark, sf_dir):
                 "stream_session_activity")
 
 
+def _stored(spark, sf_dir, aggs, pane_ms):
+    """Players' accumulators of two runs, before and from a time amid a pane, each stored as a
+    table of its own."""
+    from sessionrate.session import scratch_path
+    players, out = R.filter_actor_type(_events(spark, sf_dir), R.PLAYER), []
+    border = F.lit("2024-01-15 06:30:00").cast("timestamp")
+    for i, part in enumerate((F.col("event_time") < border, F.col("event_time") >= border)):
+        path = scratch_path(spark, f"accumulators-{i}")
+        A.accumulate(players.where(part), aggs, pane_ms).write.parquet(path)
+        out.append(spark.read.parquet(path))
+    return out
+
+
+def q_session_activity_merged(spark, sf_dir):
+    """Moves and kills/s from the merged accumulators of two runs."""
+    width, slide = SCALED["fine"]
+    aggs = A.rate_aggs(R.MOVE, R.KILLED)
+    return A.activity_of(A.finish(A.merge(aggs, *_stored(spark, sf_dir, aggs, slide)), aggs, width, slide), width)
+
+
+def q_activity_span_merged(spark, sf_dir):
+    """Spans from the merged accumulators of two runs."""
+    width, slide = SCALED["fine"]
+    aggs = A.span_aggs()
+    out = A.finish(A.merge(aggs, *_stored(spark, sf_dir, aggs, slide)), aggs, width, slide)
+    return out.select("session", WINDOW_START, WINDOW_END, F.col("n_events").alias("sum"),
+                      F.col("n_events").alias("count"), "earliest_millis", "latest_millis")
+
+
+def q_stream_session_activity_stored(spark, sf_dir):
+    """A stream that keeps panes only and stores the closed ones; windows finished on reading."""
+    from sessionrate.session import scratch_path
+    from sessionrate.streaming.runner import start_stream
+    width, slide = SCALED["fine"]
+    aggs = A.rate_aggs(R.MOVE, R.KILLED)
+    panes = A.accumulate(R.filter_actor_type(_stream_events(spark, sf_dir), R.PLAYER), aggs, slide)
+    path = scratch_path(spark, "panes-out")
+    q = start_stream(panes, sink="parquet", path=path, checkpoint=scratch_path(spark, "panes-ckpt"), available_now=True)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    windows = A.finish(spark.read.schema(panes.schema).parquet(path), aggs, width, slide, A.watermark_ms(q))
+    return A.activity_of(windows, width)
+
+
+def q_stream_session_activity_panes(spark, sf_dir):
+    """The same through pane state: two chained aggregations."""
+    return _run(spark, J.fine_rates_job(None, *SCALED["fine"], plan="panes", events=_stream_events(spark, sf_dir)),
+                "stream_session_activity_panes")
+
+
+def q_stream_activity_span_panes(spark, sf_dir):
+    players = R.filter_actor_type(_stream_events(spark, sf_dir), R.PLAYER)
+    return _run(spark, R.activity_span(players, *SCALED["fine"], plan="panes"), "stream_activity_span_panes")
+
+
 def q_stream_activity_span(spark, sf_dir):
     players = R.filter_actor_type(_stream_events(spark, sf_dir), R.PLAYER)
     return _run(spark, R.activity_span(players, *SCALED["fine"]), "stream_activity_span")
@@ -502,4 +559,9 @@ QUERIES = {
     "stream_windowed_group": q_stream_windowed_group,
     "stream_session_activity": q_stream_session_activity,
     "stream_activity_span": q_stream_activity_span,
+    "session_activity_merged": q_session_activity_merged,
+    "activity_span_merged": q_activity_span_merged,
+    "stream_session_activity_stored": q_stream_session_activity_stored,
+    "stream_session_activity_panes": q_stream_session_activity_panes,
+    "stream_activity_span_panes": q_stream_activity_span_panes,
 }

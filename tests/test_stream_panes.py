@@ -1,0 +1,76 @@
+"""Chained pane aggregation on streams: the same windows as the direct plan."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from sessionrate.operators import rates as R
+from sessionrate.operators.windows import windowed_aggregate
+from sessionrate.streaming.runner import start_stream
+
+BASE = 1704067200000
+LATE = [                                                       # (ms, session, type), one batch a list
+    [(100, "a", "killed"), (600, "a", "move"), (1200, "b", "move")],
+    [(5000, "a", "killed")],
+    [(700, "a", "killed"), (4999, "b", "killed")],
+    [(20000, "z", "move")],
+]
+SCHEMA = "session string, type string, event_time timestamp"
+
+
+def write(spark, folder, batches):
+    for i, rows in enumerate(batches):
+        data = spark.createDataFrame([(ms, s, t) for ms, s, t in rows], "ms long, session string, type string")
+        data = data.select("session", "type", F.timestamp_millis(F.lit(BASE) + F.col("ms")).alias("event_time"))
+        data.coalesce(1).write.mode("append").parquet(f"{folder}/{i:03d}")
+
+
+def run(spark, folder, plan, name, width=1000, slide=25):
+    src = (spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", "1")
+           .parquet(str(folder)).withWatermark("event_time", "0 seconds"))
+    q = start_stream(R.session_activity(src, width, slide, plan=plan), sink="memory", query_name=name, available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None, q.exception()
+    rows = {(r.session, r.window_end_ms - BASE): (r.move_count, r.kill_rate) for r in spark.sql(f"SELECT * FROM {name}").collect()}
+    ops = [op for p in q.recentProgress for op in p.stateOperators]
+    return rows, sum(op.numRowsUpdated for op in ops), max(op.numRowsTotal for op in ops)
+
+
+def test_same_windows_fewer_updates(spark, tmp_path):
+    """Batches of 100 ms, panes of 600 ms: every batch updates all windows of a session, or one pane."""
+    batches = [[(100 * i + k, f"s{k % 3}", "move") for k in range(0, 100, 5)] for i in range(12)] + [[(9000, "end", "move")]]
+    write(spark, tmp_path, batches)
+    direct, updates, _ = run(spark, tmp_path, "direct", "direct_state", 3000, 600)
+    panes, fewer, _ = run(spark, tmp_path, "panes", "pane_state", 3000, 600)
+    assert panes == direct and len(panes) == 3 * 6
+    assert fewer < 0.6 * updates                               # 240 and 99
+
+
+def test_fine_windows_in_coarse_batches(spark, tmp_path):
+    """Panes of 25 ms, batches of 5 s: the same windows (and no fewer updates, as rows of one batch
+    are combined before they reach the state)."""
+    batches = [[(5000 * i + 10 * k, "a", ("move", "killed", "hit")[k % 3]) for k in range(500)] for i in range(3)]
+    write(spark, tmp_path, batches)
+    direct, _, _ = run(spark, tmp_path, "direct", "direct_fine")
+    panes, _, _ = run(spark, tmp_path, "panes", "panes_fine")
+    assert panes == direct and len(panes) > 500
+
+
+def test_late_rows_differ_as_stated(spark, tmp_path):
+    """Batch 2 brings a kill at 700 ms when windows and panes up to 1,200 are closed for late rows:
+    the direct plan counts it in its windows that end later, its pane is closed."""
+    write(spark, tmp_path, LATE)
+    direct, _, _ = run(spark, tmp_path, "direct", "direct_late", 3000, 500)
+    panes, _, _ = run(spark, tmp_path, "panes", "panes_late", 3000, 500)
+    assert set(panes) == set(direct) and panes["b", 5500] == direct["b", 5500]
+    kills = lambda x, end: round(3 * x["a", end][1])
+    assert {end: (kills(direct, end), kills(panes, end)) for end in (1000, 1500, 3000, 3500)} == {
+        1000: (1, 1), 1500: (2, 1), 3000: (2, 1), 3500: (1, 0)}
+
+
+def test_widths_that_are_no_multiple_of_the_slide(spark, tmp_path):
+    write(spark, tmp_path, LATE)
+    src = spark.readStream.schema(SCHEMA).parquet(str(tmp_path)).withWatermark("event_time", "0 seconds")
+    with pytest.raises(ValueError, match="multiple of the slide"):
+        windowed_aggregate(src, ["session"], [("n", "count", None)], 1000, 300, plan="panes")
+    with pytest.raises(ValueError, match="batch input"):
+        windowed_aggregate(src, ["session"], [("n", "count", None)], 1000, 250, plan="bucketed")
