@@ -11,12 +11,13 @@ case-insensitive compare runs once per row, not once per expanded (row, window).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionrate.functions.predicates import match_flag, type_is
 from sessionrate.operators.windows import (WINDOW_END, WINDOW_START, bounds_ms,
                                            expand_windows, window_column, windowed_aggregate)
+from sessionrate.session import stored
 
 # ---------------------------------------------------------------------------
 # Window widths / slides (ms) and names used by the jobs.
@@ -202,8 +203,120 @@ def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
         F.transform(F.sort_array("__l"), lambda x: x["__ev"]).alias("events"))
 
 
+def _event_rows(events: DataFrame, key: str, time_col: str, element: Column | None, *more: Column) -> DataFrame:
+    """key, time, what orders the list (counter, then the record's place), and the event."""
+    from sessionrate.operators.parse import event_struct  # local: avoid import cycle
+
+    place = [F.col(c) for c in ("partition", "offset") if c in events.columns]
+    order = F.struct(F.col("counter"), *place).alias("__order")
+    return events.select(F.col(key).alias(key), F.col(time_col), order,
+                         (element if element is not None else event_struct()).alias("__ev"), *more)
+
+
+#: events of a chunk, at most
+GROUP_CHUNK = 10_000
+
+
+def windowed_group_chunks(events: DataFrame, width_ms: int = GROUP_WINDOW_MS, slide_ms: int = GROUP_SLIDE_MS,
+                          key: str = "key", time_col: str = "event_time", length: int = GROUP_CHUNK,
+                          element: Column | None = None) -> DataFrame:
+    """All events of each (key, window) in chunks of at most ``length``, by position (A6, batch).
+
+    The list of a group is ordered by ``counter`` (then by the record's partition and offset);
+    chunk c holds its places ``c * length`` to ``(c + 1) * length - 1``, so every chunk but
+    the last is full and the chunks in order are the list, however hot the key and however
+    the input is split.  Output: ``key, window_start_ms, window_end_ms, chunk, n_chunks,
+    n_events`` (in the chunk), ``events``.
+
+    The projected rows are stored once in the shared folder; group sizes are counted on their
+    key and time alone.  Groups of up to ``length`` events take one shuffle.  Rows of larger
+    groups are range-partitioned and sorted by (key, window, order), so a group spreads over as
+    many tasks as its rows fill; a place in the group is the place in the task plus the rows of
+    the group in the tasks before, one number per task and group.
+    """
+    rows = stored(_event_rows(events, key, time_col, element), "group-rows")
+    return _chunks(expand_windows(rows, width_ms, slide_ms, time_col).drop(time_col), key, length)
+
+
+def _chunks(rows: DataFrame, key: str, length: int) -> DataFrame:
+    """``rows``: key, window bounds, __order, __ev; stored ones, as they are read several times."""
+    by = [key, WINDOW_START]
+    hot = stored(rows.groupBy(*by).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > length)
+                     .withColumnsRenamed({key: "__k", WINDOW_START: "__w"}), "group-sizes")
+    met = F.col(key).eqNullSafe(F.col("__k")) & (F.col(WINDOW_START) == F.col("__w"))
+    row = F.struct("__order", "__ev").alias("__row")
+
+    def lists(df: DataFrame, chunk: Column, chunks: Column) -> DataFrame:
+        g = (df.select(*by, WINDOW_END, chunk.alias("chunk"), chunks.alias("n_chunks"), row)
+               .groupBy(*by, WINDOW_END, "chunk", "n_chunks").agg(F.collect_list("__row").alias("__l")))
+        return g.select(*by, WINDOW_END, "chunk", "n_chunks", F.size("__l").cast("long").alias("n_events"),
+                        F.transform(F.sort_array("__l"), lambda x: x["__ev"]).alias("events"))
+
+    small = lists(rows.join(hot, met, "left_anti"), F.lit(0).cast("long"), F.lit(1).cast("long"))
+    if hot.isEmpty():
+        return small
+    big = rows.join(hot, met).drop("__k", "__w")
+    # the last member parts equal rows, which a range of the others could not
+    order = [*by, "__order", "__ev", "__tie"]
+    big = big.withColumn("__tie", F.monotonically_increasing_id())
+    big = stored(big.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn("__id", F.monotonically_increasing_id()), "group-sorted")
+    task = F.shiftright("__id", 33).alias("__task")
+    runs = big.groupBy(*by, task).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__m"))
+    earlier = Window.partitionBy(*by).orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)   # one row a task
+    runs = runs.select(F.col(key).alias("__k"), F.col(WINDOW_START).alias("__w"), F.col("__task").alias("__t"), "__first",
+                       F.coalesce(F.sum("__m").over(earlier), F.lit(0)).alias("__before"))
+    placed = big.withColumn("__task", F.shiftright("__id", 33)).join(
+        runs, (F.col("__task") == F.col("__t")) & met)
+    at = F.col("__before") + F.col("__id") - F.col("__first")
+    many = lists(placed, F.floor(at / F.lit(length)).cast("long"), F.ceil(F.col("__n") / F.lit(length)).cast("long"))
+    return small.unionByName(many)
+
+
+#: offsets of a topic partition that make one piece
+GROUP_BLOCK = 1000
+
+
+def windowed_group_pieces(events: DataFrame, width_ms: int = GROUP_WINDOW_MS, slide_ms: int = GROUP_SLIDE_MS,
+                          key: str = "key", time_col: str = "event_time", block: int = GROUP_BLOCK,
+                          element: Column | None = None) -> DataFrame:
+    """All events of each (key, window) in pieces of one block of offsets each (A6, streams).
+
+    A piece holds the group's events whose records lie in one block of ``block`` consecutive
+    offsets of a topic partition, so ``block`` of them at most.  On a stream a piece is a
+    state row of its own: as offsets move on new rows are added, and rows of blocks that are
+    read stay as they are, so what a micro-batch writes to the state does not grow
+    with the lists.  Output: ``key, window_start_ms, window_end_ms, part`` (the topic
+    partition), ``sequence`` (of the block), ``n_events, events``; the pieces of a group in the
+    order of (part, sequence) are its records in topic order, :func:`assemble_groups` makes
+    whole lists of them.  Records must have an ``offset``.
+    """
+    at = (F.col("partition") if "partition" in events.columns else F.lit(0)).cast("int").alias("part")
+    rows = _event_rows(events, key, time_col, element, at, F.floor(F.col("offset") / F.lit(block)).cast("long").alias("sequence"))
+    rows = rows.withColumn("__row", F.struct("__order", "__ev")).drop("__order", "__ev")
+    if events.isStreaming:
+        rows = rows.withColumn("window", window_column(time_col, width_ms, slide_ms))
+        by, bounds = ["window"], bounds_ms("window")
+    else:
+        rows = expand_windows(rows, width_ms, slide_ms, time_col)
+        by, bounds = [WINDOW_START, WINDOW_END], [WINDOW_START, WINDOW_END]
+    grouped = rows.groupBy(key, *by, "part", "sequence").agg(F.collect_list("__row").alias("__l"))
+    return grouped.select(key, *bounds, "part", "sequence", F.size("__l").cast("long").alias("n_events"),
+                          F.transform(F.sort_array("__l"), lambda x: x["__ev"]).alias("events"))
+
+
+def assemble_groups(pieces: DataFrame, key: str = "key", length: int = GROUP_CHUNK) -> DataFrame:
+    """The lists of stored pieces in chunks, as :func:`windowed_group_chunks` (ordered by the
+    events' ``counter``, then by the record's partition and place)."""
+    one = pieces.select(key, WINDOW_START, WINDOW_END, "part", "sequence", F.posexplode("events").alias("__at", "__ev"))
+    order = F.struct(F.col("__ev.counter").alias("counter"), "part", "sequence", "__at").alias("__order")
+    return _chunks(one.select(key, WINDOW_START, WINDOW_END, order, "__ev"), key, length)
+
+
 def windowed_group_text(groups: DataFrame, key: str = "key") -> DataFrame:
-    """One JSON line per group part: ``{"key":..,"window_start_ms":..,..,"events":[..]}``."""
+    """One JSON line per row of a group (part, chunk or piece):
+    ``{"key":..,"window_start_ms":..,..,"events":[..]}``."""
+    at = [c for c in ("part", "n_parts", "sequence", "chunk", "n_chunks") if c in groups.columns]
     return groups.select(F.to_json(F.struct(
-        F.col(key).alias("key"), WINDOW_START, WINDOW_END, "part", "n_parts", "events"))
+        F.col(key).alias("key"), WINDOW_START, WINDOW_END, *at, "events"))
         .alias("value"))

@@ -12,6 +12,8 @@ windowed job needs a ``watermark``: how late a record may be.  Given the topic's
 without records; else it counts from the newest record of all and must cover the lag
 between partitions (``"0 seconds"`` then only suits a single ordered one).
 
+Log files are kept per micro-batch and replaced when one is given again after a failure.
+
 Records that parsing or the feedback checks reject are not in any job's result;
 :func:`start_rejects` and :func:`start_feedback_rejects` route them to a topic or folder.
 
@@ -63,10 +65,10 @@ def _sink_options(sink: dict | None, topic: str | None, default_topic: str) -> d
     return out
 
 
-def _log_writer(log: bool, log_path: str | None, prefix: str = "") -> list:
+def _log_writer(log: bool, log_path: str | None, checkpoint: str, prefix: str = "") -> list:
     if not log and not log_path:
         return []
-    return [lambda b, i: sinks.log_lines(b, prefix, log_path)]
+    return [lambda b, i: sinks.log_lines(b, prefix, log_path, batch_id=i, run=checkpoint)]
 
 
 def _start(df: DataFrame, writers: list, checkpoint: str, available_now: bool) -> StreamingQuery:
@@ -91,7 +93,7 @@ def start_kill_rate(spark: SparkSession, checkpoint: str, watermark: str, source
     """
     metrics = J.kill_rate_job(None, event_type=event_type, actor_type=actor_type,
                               events=_events(spark, source, records, watermark, partitions, idle))
-    writers = _log_writer(log, log_path)
+    writers = _log_writer(log, log_path, checkpoint)
     if sink or not is_blank_text(sink_topic):
         opts = _sink_options(sink, sink_topic, K.METRICS_TOPIC)
         writers.append(lambda b, i: sinks.write_kafka(M.to_kafka_record(M.in_session_order(b)), opts))
@@ -109,7 +111,7 @@ def start_fine_rates(spark: SparkSession, checkpoint: str, watermark: str, sourc
     state (see :mod:`sessionrate.operators.windows`)."""
     events = _events(spark, source, records, watermark, partitions, idle)
     rates = J.fine_rates_job(None, width_ms, slide_ms, plan=plan, events=events)
-    return _start(rates, _log_writer(log, log_path) + (extra_writers or []), checkpoint, available_now)
+    return _start(rates, _log_writer(log, log_path, checkpoint) + (extra_writers or []), checkpoint, available_now)
 
 
 def start_move_rate(spark: SparkSession, checkpoint: str, watermark: str, source: dict | None = None,
@@ -121,17 +123,20 @@ def start_move_rate(spark: SparkSession, checkpoint: str, watermark: str, source
     """Moves per second per session and window, logged and given to ``extra_writers``."""
     events = _events(spark, source, records, watermark, partitions, idle)
     rates = J.move_rate_job(None, width_ms, slide_ms, plan=plan, events=events)
-    return _start(rates, _log_writer(log, log_path) + (extra_writers or []), checkpoint, available_now)
+    return _start(rates, _log_writer(log, log_path, checkpoint) + (extra_writers or []), checkpoint, available_now)
 
 
 def start_groups(spark: SparkSession, path: str, checkpoint: str, watermark: str,
                  source: dict | None = None, records: DataFrame | None = None,
                  width_ms: int = R.GROUP_WINDOW_MS, slide_ms: int = R.GROUP_SLIDE_MS,
                  parts: int = R.GROUP_PARTS, available_now: bool = False,
-                 partitions: list[int] | None = None, idle: str | None = None) -> StreamingQuery:
-    """Players' events listed per Kafka key and window, as JSON lines in text files."""
+                 partitions: list[int] | None = None, idle: str | None = None,
+                 block: int | None = None) -> StreamingQuery:
+    """Players' events listed per Kafka key and window, as JSON lines in text files: in
+    ``parts`` per group, or with ``block`` in pieces of so many offsets, whose state
+    rows do not grow with the lists (see :func:`rates.windowed_group_pieces`)."""
     events = _events(spark, source, records, watermark, partitions, idle)
-    groups = J.grouped_job(None, width_ms, slide_ms, parts=parts, events=events)
+    groups = J.grouped_job(None, width_ms, slide_ms, parts=parts, events=events, block=block)
     return sinks.write_text(R.windowed_group_text(groups), path, checkpoint, available_now)
 
 

@@ -111,10 +111,16 @@ def move_rate_job(records: DataFrame | None = None, width_ms: int = R.FINE_WINDO
 
 def grouped_job(records: DataFrame | None = None, width_ms: int = R.GROUP_WINDOW_MS,
                 slide_ms: int = R.GROUP_SLIDE_MS, parts: int = R.GROUP_PARTS,
-                events: DataFrame | None = None) -> DataFrame:
-    """Players' events (exact-case ``player``) listed per Kafka key and window."""
+                events: DataFrame | None = None, length: int | None = None,
+                block: int | None = None) -> DataFrame:
+    """Players' events (exact-case ``player``) listed per Kafka key and window: in ``parts``,
+    in chunks of ``length`` events (batch), or in pieces of ``block`` offsets."""
     ev = events if events is not None else decoded_events(records)
     players = R.filter_actor_type(ev, R.PLAYER, case_sensitive=True)
+    if length:
+        return R.windowed_group_chunks(players, width_ms, slide_ms, key="key", length=length)
+    if block:
+        return R.windowed_group_pieces(players, width_ms, slide_ms, key="key", block=block)
     return R.windowed_group(players, width_ms, slide_ms, key="key", parts=parts)
 
 

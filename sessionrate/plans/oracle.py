@@ -257,6 +257,28 @@ FROM {_win(width, slide, "actor_type = 'player'", "gj")} w
 GROUP BY kafka_key, window_start_ms, window_end_ms, counter % {PARTS}"""
 
 
+CHUNK, BLOCK = 8, 64
+
+
+def _group_chunks(width: int, slide: int) -> str:
+    return GAME + f"""
+SELECT kafka_key AS key, window_start_ms, window_end_ms, place // {CHUNK} AS chunk,
+       (n + {CHUNK - 1}) // {CHUNK} AS n_chunks, count(*) AS n_events,
+       '[' || string_agg(json, ',' ORDER BY counter) || ']' AS events_json
+FROM (SELECT *, row_number() OVER (PARTITION BY kafka_key, window_start_ms ORDER BY counter) - 1 AS place,
+             count(*) OVER (PARTITION BY kafka_key, window_start_ms) AS n
+      FROM {_win(width, slide, "actor_type = 'player'", "gj")} w) p
+GROUP BY kafka_key, window_start_ms, window_end_ms, place // {CHUNK}, n"""
+
+
+def _group_pieces(width: int, slide: int) -> str:
+    return GAME + f"""
+SELECT kafka_key AS key, window_start_ms, window_end_ms, 0 AS part, counter // {BLOCK} AS sequence, count(*) AS n_events,
+       '[' || string_agg(json, ',' ORDER BY counter) || ']' AS events_json
+FROM {_win(width, slide, "actor_type = 'player'", "gj")} w
+GROUP BY kafka_key, window_start_ms, window_end_ms, counter // {BLOCK}"""
+
+
 def _group_text(width: int, slide: int) -> str:
     return GAME + f"""
 SELECT '{{"key":"' || kafka_key || '","window_start_ms":' || CAST(window_start_ms AS VARCHAR)
@@ -351,6 +373,9 @@ FROM {_win(*FINE, "coalesce(type, '') = 'move'")} w
 GROUP BY session, window_start_ms, window_end_ms""",
     "windowed_group": _groups(1000, 250),
     "windowed_group_scaled": _groups(*GROUP),
+    "windowed_group_chunks": _group_chunks(*GROUP),
+    "stream_windowed_group_pieces": _stream(_group_pieces(*GROUP)),
+    "stream_windowed_group_assembled": _stream(_group_chunks(*GROUP)),
     "windowed_group_text": _group_text(*GROUP),
     "metric_to_kafka_record": _metric_records(*KILL),
     "metric_feedback": _feedback(*KILL),

@@ -286,6 +286,13 @@ def q_windowed_group_text(spark, sf_dir):
     return R.windowed_group_text(g)
 
 
+def q_windowed_group_chunks(spark, sf_dir):
+    """Lists in chunks of 8 by position: groups below and far above that."""
+    g = J.grouped_job(None, *SCALED["group"], events=_events(spark, sf_dir), length=8)
+    return g.select("key", WINDOW_START, WINDOW_END, "chunk", "n_chunks", "n_events",
+                    F.to_json("events").alias("events_json"))
+
+
 # ---------------------------------------------------------------------------
 # metrics, Kafka records, feedback
 # ---------------------------------------------------------------------------
@@ -495,6 +502,21 @@ def q_stream_windowed_group(spark, sf_dir):
                 "stream_windowed_group")
 
 
+def q_stream_windowed_group_pieces(spark, sf_dir):
+    """Grouped lists as a stream whose state rows do not grow: pieces of 64 offsets."""
+    g = J.grouped_job(None, *SCALED["group"], events=_stream_events(spark, sf_dir), block=64)
+    return _run(spark, g.select("key", WINDOW_START, WINDOW_END, "part", "sequence", "n_events",
+                                F.to_json("events").alias("events_json")), "stream_windowed_group_pieces")
+
+
+def q_stream_windowed_group_assembled(spark, sf_dir):
+    """The same pieces put together to lists in chunks of 8."""
+    g = J.grouped_job(None, *SCALED["group"], events=_stream_events(spark, sf_dir), block=64)
+    out = R.assemble_groups(_run(spark, g, "stream_windowed_group_assembled"), length=8)
+    return out.select("key", WINDOW_START, WINDOW_END, "chunk", "n_chunks", "n_events",
+                      F.to_json("events").alias("events_json"))
+
+
 def q_stream_metric_feedback(spark, sf_dir):
     """Kill-rate metrics and their feedback sentences chained in one streaming query."""
     ev = _stream_events(spark, sf_dir)
@@ -546,6 +568,9 @@ QUERIES = {
     "window_summary": q_window_summary,
     "windowed_group": q_windowed_group,
     "windowed_group_scaled": q_windowed_group_scaled,
+    "windowed_group_chunks": q_windowed_group_chunks,
+    "stream_windowed_group_pieces": q_stream_windowed_group_pieces,
+    "stream_windowed_group_assembled": q_stream_windowed_group_assembled,
     "windowed_group_text": q_windowed_group_text,
     "metric_to_kafka_record": q_metric_to_kafka_record,
     "metric_session_order": q_metric_session_order,

@@ -17,7 +17,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -117,3 +117,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back: later jobs start from
+    files that every executor reaches.  The folder belongs to the run; whoever set
+    ``spark.checkpoint.dir`` clears it after the last job that reads from it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,8 @@ its connector on the class path): rows with ``key``, ``value`` (and optionally
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,11 +46,35 @@ def _print_lines(rows) -> None:
         print(row[0], flush=True)
 
 
-def log_lines(df: DataFrame, prefix: str = "", path: str | None = None) -> None:
+def batch_folder(path: str, batch_id: int, run: str | None = None) -> str:
+    """The folder of one micro-batch below ``path``; ``run`` names the query (its checkpoint), so
+    that a query started over does not replace another one's batches."""
+    own = f"/run={hashlib.sha256(run.encode()).hexdigest()[:12]}" if run else ""
+    return f"{path.rstrip('/')}{own}/batch_id={int(batch_id)}"
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, run: str | None = None, fmt: str = "parquet") -> None:
+    """Write a micro-batch into its own folder, replacing what an earlier attempt left there: a
+    batch that is given again after a failure is not written twice."""
+    df.write.mode("overwrite").format(fmt).save(batch_folder(path, batch_id, run))
+
+
+def batch_writer(path: str, run: str | None = None, fmt: str = "parquet"):
+    """:func:`write_batch` as a writer ``fn(batch_df, batch_id)`` for fan-outs."""
+    return lambda batch, batch_id: write_batch(batch, path, batch_id, run, fmt)
+
+
+def log_lines(df: DataFrame, prefix: str = "", path: str | None = None, batch_id: int | None = None,
+              run: str | None = None) -> None:
     """Log every row of a batch as one line: to text files below ``path``, else to the
-    standard output of the executors' tasks.  All rows, none through the driver."""
+    standard output of the executors' tasks.  All rows, none through the driver.
+
+    With ``batch_id`` (in a fan-out) the files are those of the batch and replaced when it is
+    given again; without, they are added.  Lines on standard output are printed again."""
     lines = echo(df, prefix)
-    if path:
+    if path and batch_id is not None:
+        write_batch(lines, path, batch_id, run, "text")
+    elif path:
         lines.write.mode("append").text(path)
     else:
         lines.foreachPartition(_print_lines)
@@ -90,7 +116,10 @@ def fan_out(df: DataFrame, sinks: list, checkpoint: str | None = None,
             available_now: bool = False) -> StreamingQuery | None:
     """Hand one result to several batch writers ``fn(batch_df, batch_id)``.
 
-    Streaming: one query, each micro-batch persisted once and given to every writer.
+    Streaming: one query, each micro-batch persisted once and given to every writer.  After a
+    failure a batch is given again with its id to all of them, so each must replace what it
+    wrote for that id (:func:`batch_writer`) or, as Kafka, be read by keys that tell repeats:
+    a metric is unique per session and window, which its headers hold.
     Batch: the result is persisted once and given to every writer with id 0.
     """
     if df.isStreaming:

@@ -47,7 +47,7 @@ def run(query):
 
 
 def read_lines(path):
-    return [line for f in glob.glob(f"{path}/part-*") for line in open(f).read().splitlines()]
+    return [line for f in glob.glob(f"{path}/**/part-*", recursive=True) for line in open(f).read().splitlines()]
 
 
 FIRST = [event(i * 40, "ab"[i % 2], "killed" if i % 3 == 0 else "move") for i in range(100)]
