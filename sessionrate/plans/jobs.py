@@ -37,7 +37,8 @@ def decoded_events(records: DataFrame | list[DataFrame], defaults: str = "none",
     them; :func:`rejected_records` gives them, and ``keep_rejects`` keeps them here, told by
     ``_corrupt_record``.
 
-    event_time: ``record`` (the record timestamp), ``processing`` (wall clock), or
+    event_time: ``record`` (the record timestamp), ``processing`` (wall clock, one instant per
+    micro-batch), ``arrival`` (the clock when the record is read), or
     ``column``: ``time_base_ms + <time_member>`` milliseconds of the parsed event
     (``frame.millis`` is relative to the game session, hence the base).
 

@@ -322,7 +322,12 @@ def _stream(sql: str) -> str:
     return GAME + _closed(body)
 
 
+_VIOLATIONS = _violations() + """
+SELECT counter AS record_offset, CAST(len(v) AS INTEGER) AS n_violations, array_to_string(v, '|') AS violations
+FROM viol"""
+
 ORACLE = {
+    "schema_violations_document": _VIOLATIONS,
     "parse_events": _flat("none"),
     "parse_events_sentinel": _flat("sentinel"),
     "parse_events_schema": _flat("schema"),
@@ -338,9 +343,7 @@ FROM gt""",
     "none_rejects": _verdicts("NULL", "NULL", "NULL"),
     "sentinel_rejects": _verdicts("'UNKNOWN_SESSION'", LMAX, "'UNKNOWN_TYPE'"),
     "schema_rejects": _verdicts("''", "0", "''"),
-    "schema_violations": _violations() + """
-SELECT counter AS record_offset, CAST(len(v) AS INTEGER) AS n_violations, array_to_string(v, '|') AS violations
-FROM viol""",
+    "schema_violations": _VIOLATIONS,
     "schema_violation_counts": _violations() + """
 SELECT violation, count(*) AS n_records FROM (SELECT unnest(v) AS violation FROM viol) u GROUP BY violation""",
     "filter_actor_type": _filtered("lower(actor_type) = 'player'"),

@@ -129,6 +129,16 @@ def q_schema_violations(spark, sf_dir):
                     F.array_join("violations", "|").alias("violations"))
 
 
+def q_schema_violations_document(spark, sf_dir):
+    """The same, compiled from a JSON Schema document."""
+    from sessionrate.operators.json_schema import compile_schema, event_document
+    from sessionrate.sources.kafka import decode_envelope
+    ensure_utc(spark)
+    v = compile_schema(event_document()).violations(decode_envelope(game_records(spark, sf_dir, faults=True)))
+    return v.select(F.col("offset").alias("record_offset"), F.size("violations").alias("n_violations"),
+                    F.array_join("violations", "|").alias("violations"))
+
+
 def q_schema_violation_counts(spark, sf_dir):
     return P.schema_violation_counts(_violations(spark, sf_dir))
 
@@ -542,6 +552,7 @@ QUERIES = {
     "schema_rejects": q_schema_rejects,
     "sentinels_to_null": q_sentinels_to_null,
     "schema_violations": q_schema_violations,
+    "schema_violations_document": q_schema_violations_document,
     "schema_violation_counts": q_schema_violation_counts,
     "filter_actor_type": q_filter_actor_type,
     "filter_actor_type_exact": q_filter_actor_type_exact,

@@ -114,7 +114,10 @@ def decode_envelope(records: DataFrame, event_time: str = "record") -> DataFrame
     offset,] event_time`` (the record's place in the topic is kept where there is one).
 
     ``event_time``: ``record`` = the record's (CreateTime) timestamp, the event-time
-    of every windowed job; ``processing`` = the wall clock at processing time.
+    of every windowed job; ``processing`` = the wall clock at processing time, one instant
+    for all records of a micro-batch; ``arrival`` = the clock of the executor's JVM when it
+    reads the record, so records of one micro-batch fall into the windows in which
+    they were read (a batch that is given again after a failure gets new times).
     """
     cols = records.columns
     out = records.select(
@@ -129,4 +132,8 @@ def decode_envelope(records: DataFrame, event_time: str = "record") -> DataFrame
         return out.withColumn("event_time", F.col("timestamp"))
     if event_time == "processing":
         return out.withColumn("event_time", F.current_timestamp())
-    raise ValueError("event_time must be 'record' or 'processing'")
+    if event_time == "arrival":
+        # a nondeterministic call: made once per row, and never folded or repeated
+        clock = F.expr("reflect('java.lang.System', 'currentTimeMillis')")
+        return out.withColumn("event_time", F.timestamp_millis(clock.cast("long")))
+    raise ValueError("event_time must be 'record', 'processing' or 'arrival'")
