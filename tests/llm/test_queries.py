@@ -6,9 +6,10 @@ from collections import Counter
 
 import duckdb
 import pytest
+import sentencepiece
 
 import __spark_entry__ as E
-from sessionrate.llm import mixing
+from sessionrate.llm import mixing, sentencepieces
 from sessionrate.llm.oracle import ORACLE
 from sessionrate.llm.queries import QUERIES
 
@@ -38,9 +39,9 @@ def run(spark, number, sf=SF):
     return E.queries()[name](spark, sf)
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = E.queries()
-    assert all(sum(k.startswith(f"op{n}_") for k in names) == 1 for n in range(1, 11)) and "pipeline" in names
+    assert all(sum(k.startswith(f"op{n}_") for k in names) == 1 for n in range(1, 14)) and "pipeline" in names
     assert set(ORACLE) <= set(E.oracle_sql())
 
 
@@ -107,3 +108,5 @@ def test_op9(spark, docs):
 def test_op10(spark, docs):
     got = run(spark, 10).collect()
     assert len(got) == len(docs) and all(r.round_trip for r in got)
+    lib = sentencepiece.SentencePieceProcessor(model_file=sentencepieces.MODEL)
+    assert {r.doc_id: list(r.ids) for r in got} == {r.doc_id: lib.encode(r.text) for r in docs}
