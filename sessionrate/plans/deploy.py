@@ -35,7 +35,7 @@ from sessionrate.plans import jobs as J
 from sessionrate.session import ensure_utc
 from sessionrate.sources import kafka as K
 from sessionrate.streaming import sinks
-from sessionrate.streaming.watermarks import read_partitions
+from sessionrate.streaming.watermarks import read_partitions, with_late_records
 
 
 def _records(spark: SparkSession, source: dict | None, records: DataFrame | None,
@@ -83,16 +83,19 @@ def start_kill_rate(spark: SparkSession, checkpoint: str, watermark: str, source
                     log: bool = True, log_path: str | None = None,
                     records: DataFrame | None = None, extra_writers: list | None = None,
                     available_now: bool = False, partitions: list[int] | None = None,
-                    idle: str | None = None) -> StreamingQuery:
+                    idle: str | None = None, count_late: bool = False) -> StreamingQuery:
     """Metrics of ``event_type`` per second per player session, every one logged and, when
     ``sink_topic`` is not blank or ``sink`` is given, written to that topic with one writer
     per session in window order (one query, fanned out).
 
     ``records`` replaces the Kafka source with any stream of Kafka-shaped records;
-    ``extra_writers`` (``fn(batch_df, batch_id)``) receive every metric batch too.
+    ``extra_writers`` (``fn(batch_df, batch_id)``) receive every metric batch too.  With
+    ``count_late`` the query's late records are counted (``LateRows.records``).
     """
-    metrics = J.kill_rate_job(None, event_type=event_type, actor_type=actor_type,
-                              events=_events(spark, source, records, watermark, partitions, idle))
+    events = _events(spark, source, records, watermark, partitions, idle)
+    metrics = J.kill_rate_job(None, event_type=event_type, actor_type=actor_type, events=events)
+    if count_late:
+        metrics = with_late_records(metrics, events, R.KILL_WINDOW_MS, R.KILL_SLIDE_MS)
     writers = _log_writer(log, log_path, checkpoint)
     if sink or not is_blank_text(sink_topic):
         opts = _sink_options(sink, sink_topic, K.METRICS_TOPIC)

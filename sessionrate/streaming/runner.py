@@ -90,16 +90,21 @@ def start_fan_out(df: DataFrame, writers: list, checkpoint: str, output_mode: st
 class LateRows(StreamingQueryListener):
     """Counts the rows each query's watermark drops as late, over its whole run.
 
-    (A query's ``recentProgress`` only holds its last batches.)  Counted per state operator
-    input, i.e. per (row, window) after partial aggregation, not per source record.
+    (A query's ``recentProgress`` only holds its last batches.)  :meth:`total` counts what the
+    windowed operators drop, i.e. (row, window) pairs after partial aggregation;
+    :meth:`records` counts source records, in queries made by
+    :func:`sessionrate.streaming.watermarks.with_late_records`.
 
         late = LateRows.attach(spark)
         ...
-        late.total(query)
+        late.total(query), late.records(query)
     """
 
+    #: Spark's name of the state operator that ``with_late_records`` adds
+    RECORDS = "dedupe"
+
     def __init__(self):
-        self._lock, self._totals, self._ended = threading.Lock(), {}, {}
+        self._lock, self._totals, self._records, self._ended = threading.Lock(), {}, {}, {}
 
     @classmethod
     def attach(cls, spark: SparkSession) -> "LateRows":
@@ -115,10 +120,11 @@ class LateRows(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event):  # noqa: N802
-        dropped = sum(int(op.numRowsDroppedByWatermark or 0) for op in event.progress.stateOperators)
+        run = str(event.progress.runId)
         with self._lock:
-            run = str(event.progress.runId)
-            self._totals[run] = self._totals.get(run, 0) + dropped
+            for op in event.progress.stateOperators:
+                counts = self._records if op.operatorName == self.RECORDS else self._totals
+                counts[run] = counts.get(run, 0) + int(op.numRowsDroppedByWatermark or 0)
 
     def onQueryIdle(self, event):  # noqa: N802
         pass
@@ -128,10 +134,17 @@ class LateRows(StreamingQueryListener):
 
     def total(self, query: StreamingQuery, timeout: float = 30.0) -> int:
         """Rows dropped so far; for an ended query, when all its events have arrived."""
+        return self._read(self._totals, query, timeout)
+
+    def records(self, query: StreamingQuery, timeout: float = 30.0) -> int:
+        """Records so far that came after the last of their windows had closed."""
+        return self._read(self._records, query, timeout)
+
+    def _read(self, counts: dict, query: StreamingQuery, timeout: float) -> int:
         if not query.isActive:
             self._end(query.runId).wait(timeout)
         with self._lock:
-            return self._totals.get(str(query.runId), 0)
+            return counts.get(str(query.runId), 0)
 
 
 def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append") -> str:

@@ -28,6 +28,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sessionrate.operators.windows import window_column
 from sessionrate.sources.kafka import read_kafka
 
 POLICY = "spark.sql.streaming.multipleWatermarkPolicy"
@@ -97,3 +98,32 @@ def slowest_watermark(records: DataFrame | list[DataFrame], delay: str = "0 seco
             b = b.withWatermark(time_col, delay)
         out = b if out is None else out.unionByName(b)
     return out
+
+
+#: state rows that the count of late records keeps per open slide
+LATE_SPREAD = 16
+
+
+def with_late_records(result: DataFrame, events: DataFrame, width_ms: int, slide_ms: int,
+                      time_col: str = "event_time") -> DataFrame:
+    """``result`` (append mode), in a query that also counts its late records (T5).
+
+    A windowed aggregation drops (key, window) pairs, so Spark's own figure is that of pairs.
+    Here each record of ``events`` (what ``result`` was computed from, under its watermark)
+    also passes a deduplication by its last window; it does not combine rows before it
+    looks at the watermark, so it drops, and counts, one row per record whose windows have all
+    closed.  A record that is late for some of its windows only is not counted.  The branch adds
+    no row to the result and reads the same micro-batches under the same watermark;
+    ``LateRows.records`` gives the number.
+
+    Cost: a second read of the time (and of partition and offset, where there are any), one
+    shuffle of a few bytes per record, and at most ``LATE_SPREAD`` state rows per open slide,
+    however many records there are.
+    """
+    place = [F.col(c) for c in ("partition", "offset") if c in events.columns]
+    salt = F.pmod(F.xxhash64(F.col(time_col), *place), F.lit(LATE_SPREAD))
+    last = F.unix_micros("__last.start") + F.lit(slide_ms * 1000) > F.unix_micros(time_col)
+    seen = (events.select(time_col, salt.alias("__salt"), window_column(time_col, width_ms, slide_ms).alias("__last"))
+                  .filter(last).select("__last", "__salt").dropDuplicates(["__last", "__salt"]))
+    none = seen.filter(F.col("__salt") < 0)            # never true, which the optimizer cannot know
+    return result.unionByName(none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in result.schema]))
