@@ -170,10 +170,11 @@ def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
     """All events of each (key, window) as lists ordered by ``counter`` (A6).
 
     A group is written as up to ``parts`` rows, so no task holds more than about
-    ``1 / parts`` of a group, however hot the key: a row goes to part ``deal_by mod
-    parts``, whatever the size of its group.  ``deal_by`` is the record's ``offset`` where
-    there is one (consecutive records of a topic partition take turns, equal ones too),
-    else ``counter``.  Each part is sorted on its own (by counter, then the event); the
+    ``1 / parts`` of a group, however hot the key: a row goes to the part that a hash of its
+    place names, whatever the size of its group and however producers take turns.  The place
+    is the record's ``partition`` and ``offset`` where there are any (so equal records part too),
+    else ``counter``; ``deal_by`` names another column.  ``parts`` should follow the largest
+    group expected.  Each part is sorted on its own (by counter, then the event); the
     parts of a group together, ordered by ``counter``, are the full list; nothing is
     dropped, and ``parts=1`` gives one row per group.  Output: ``key, window_start_ms,
     window_end_ms, n_events`` (in this part), ``part, n_parts, events`` (array of structs);
@@ -186,8 +187,12 @@ def windowed_group(events: DataFrame, width_ms: int = GROUP_WINDOW_MS,
     from sessionrate.operators.parse import event_struct  # local: avoid import cycle
 
     elem = element if element is not None else event_struct()
-    deal = F.col(deal_by or ("offset" if "offset" in events.columns else "counter"))
-    part = F.pmod(F.coalesce(deal, F.lit(0)), F.lit(int(parts))).cast("int").alias("part")
+    if deal_by is not None:
+        place = [deal_by]
+    else:
+        place = [c for c in ("partition", "offset") if c in events.columns] if "offset" in events.columns else ["counter"]
+    digest = F.md5(F.concat_ws("/", *[F.col(c).cast("string") for c in place]))
+    part = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % int(parts)).cast("int").alias("part")
     rows = events.select(F.col(key).alias(key), F.col(time_col), part,
                          F.struct(F.col("counter").alias("__order"), elem.alias("__ev")).alias("__row"))
     if events.isStreaming:

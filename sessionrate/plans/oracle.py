@@ -246,15 +246,17 @@ GROUP BY session, window_start_ms, window_end_ms"""
 
 
 PARTS = 8
+# the records' place: partition 0, the counter as the offset
+PART = f"CAST('0x' || substr(md5('0/' || CAST(counter AS VARCHAR)), 1, 8) AS BIGINT) % {PARTS}"
 
 
 def _groups(width: int, slide: int) -> str:
     return GAME + f"""
 SELECT kafka_key AS key, window_start_ms, window_end_ms, count(*) AS n_events,
-       CAST(counter % {PARTS} AS INTEGER) AS part, {PARTS} AS n_parts,
+       CAST({PART} AS INTEGER) AS part, {PARTS} AS n_parts,
        '[' || string_agg(json, ',' ORDER BY counter) || ']' AS events_json
 FROM {_win(width, slide, "actor_type = 'player'", "gj")} w
-GROUP BY kafka_key, window_start_ms, window_end_ms, counter % {PARTS}"""
+GROUP BY kafka_key, window_start_ms, window_end_ms, {PART}"""
 
 
 CHUNK, BLOCK = 8, 64
@@ -283,10 +285,10 @@ def _group_text(width: int, slide: int) -> str:
     return GAME + f"""
 SELECT '{{"key":"' || kafka_key || '","window_start_ms":' || CAST(window_start_ms AS VARCHAR)
        || ',"window_end_ms":' || CAST(window_end_ms AS VARCHAR) || ',"part":'
-       || CAST(counter % {PARTS} AS VARCHAR) || ',"n_parts":{PARTS},"events":['
+       || CAST({PART} AS VARCHAR) || ',"n_parts":{PARTS},"events":['
        || string_agg(json, ',' ORDER BY counter) || ']}}' AS value
 FROM {_win(width, slide, "actor_type = 'player'", "gj")} w
-GROUP BY kafka_key, window_start_ms, window_end_ms, counter % {PARTS}"""
+GROUP BY kafka_key, window_start_ms, window_end_ms, {PART}"""
 
 
 def _metric_records(width: int, slide: int) -> str:

@@ -77,11 +77,11 @@ def test_equal_rows_and_no_offsets(spark):
 
 
 def test_producers_that_take_turns(spark):
-    """Eight producers in turn on one partition: each key's offsets are equal modulo 8, which puts
-    a key's whole group into one of eight parts; chunks and pieces stay bounded."""
+    """Eight producers in turn on one partition: each key's offsets are equal modulo 8, which a
+    hash of the place does not see; chunks and pieces stay bounded too."""
     rows = [(f"p{i % 8}", i, 10, 0, i) for i in range(4000)]
     parts = R.windowed_group(frame(spark, rows), 1000, 1000, element=element()).collect()
-    assert max(r.n_events for r in parts) == 500
+    assert max(r.n_events for r in parts) < 2 * 500 / R.GROUP_PARTS
     chunks = R.windowed_group_chunks(frame(spark, rows), 1000, 1000, length=64, element=element()).collect()
     assert max(r.n_events for r in chunks) == 64 and sum(r.n_events for r in chunks) == 4000
     pieces = R.windowed_group_pieces(frame(spark, rows), 1000, 1000, block=256, element=element()).collect()
