@@ -55,7 +55,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _portions(batch, column: str):
+def portions(batch, column: str):
     """A batch in slices of about TEXT_CHARS bytes (or list members) of ``column``."""
     import pyarrow as pa
     import pyarrow.compute as pc
@@ -92,7 +92,7 @@ def map_text(df: DataFrame, fn, fields: str, text: str = "text", drop: tuple = (
     def run(batches):
         import pyarrow as pa
 
-        for batch in (part for whole in batches for part in _portions(whole, source)):
+        for batch in (part for whole in batches for part in portions(whole, source)):
             at = batch.schema.get_field_index(source)
             got = fn(batch.column(at).to_pylist())
             cols = [c for i, c in enumerate(batch.columns) if i != at]

@@ -4,13 +4,15 @@ The network reads bytes in both directions with gated recurrent units, gives eve
 position a probability for each language, and a document's probabilities are the mean over
 all its positions.  Its context is the word: the state starts anew after each separator
 (``[\\x20\\x09-\\x0D]``; the word's last position is the separator itself; words of over
-``CHUNK`` bytes are read in pieces of that length).  So equal words have equal positions
-everywhere, and a task computes each distinct word of its batches once; every occurrence
-still counts.
+``CHUNK`` bytes are read in pieces of at most that length, cut between characters).  So
+equal words have equal positions everywhere, and a task computes each distinct word of its
+batches once; every occurrence still counts.
 
 Training (numpy, backpropagation through time, Adam) uses a bounded sample of the labelled
-rows: up to ``SAMPLE_DOCS`` documents per language, the first ``SAMPLE_CHARS`` characters of
-each; which ones, a hash of id and text decides.  Prediction reads whole texts.
+rows: up to ``SAMPLE_DOCS`` documents per language, rows equal in id and text as one, whole
+texts; a hash of id and text decides which.  Their words are counted in Spark; of a language
+with more than ``SAMPLE_PIECES`` different ones a hash of the word keeps about that many, from
+all over the texts.  Prediction reads whole texts.
 
 Defined cases: NULL text, or a text without a letter, is ``und`` with score 0; so is every
 text if nothing is labelled; ties go to the first language in order; a NULL id counts as
@@ -24,15 +26,15 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionrate.llm.common import hash01, map_text
+from sessionrate.llm.common import hash01, map_text, materialize, portions
 
 HIDDEN = 16
 CHUNK = 32
 SAMPLE_DOCS = 300          # labelled documents per language that training may use
-SAMPLE_CHARS = 20_000      # characters of each that training may use
+SAMPLE_PIECES = 100_000    # different words of theirs per language, about
 STEPS, BATCH, RATE = 600, 256, 0.02
 CACHE_WORDS = 300_000      # distinct words a task keeps (about 100 bytes each)
 UND = "und"
@@ -40,9 +42,29 @@ _GATES = 3
 
 
 def pieces(word: bytes) -> list[bytes]:
-    """The sequences a word is read in."""
+    """The sequences a word is read in: up to CHUNK bytes, whole characters."""
     whole = word + b" "
-    return [whole[i:i + CHUNK] for i in range(0, len(whole), CHUNK)]
+    if len(whole) <= CHUNK:
+        return [whole]
+    out, start = [], 0
+    while start < len(whole):
+        end = min(start + CHUNK, len(whole))
+        while start + CHUNK - 4 < end < len(whole) and whole[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(whole[start:end])
+        start = end
+    return out
+
+
+def count_pieces(pairs) -> dict[str, Counter]:
+    """Language -> how often each piece occurs in its texts, from (text, language) pairs."""
+    words: dict[str, Counter] = {}
+    for text, lang in pairs:
+        own = words.setdefault(lang, Counter())
+        for w, n in Counter(text.encode("utf-8", "surrogatepass").split()).items():
+            for piece in pieces(w):
+                own[piece] += n
+    return words
 
 
 def _sigmoid(x):
@@ -134,13 +156,13 @@ class Net:
         return loss, grads
 
 
-def train(sample: list[tuple[str, str]], steps=STEPS, batch=BATCH, rate=RATE, seed=0) -> Net | None:
+def train(sample: list[tuple[str, str]], **more) -> Net | None:
     """Network from (text, language) pairs; None without any word."""
-    words: dict[str, Counter] = {}
-    for text, lang in sample:
-        own = words.setdefault(lang, Counter())
-        for w in text.encode("utf-8", "surrogatepass").split():
-            own.update(pieces(w))
+    return fit(count_pieces(sample), **more)
+
+
+def fit(words: dict[str, Counter], steps=STEPS, batch=BATCH, rate=RATE, seed=0) -> Net | None:
+    """Network from the counted pieces of each language."""
     langs = sorted(k for k, v in words.items() if v)
     if not langs:
         return None
@@ -231,24 +253,53 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
-def training_sample(docs: DataFrame, key="doc_id", text="text", lang="lang",
-                    limit: int = SAMPLE_DOCS) -> list[tuple[str, str]]:
-    """Up to ``limit`` labelled documents per language that are not held out."""
+def _below(ends: dict[str, int], place, lang="lang"):
+    """Rows whose place is at most their language's end."""
+    table = F.create_map(*[F.lit(x) for kv in sorted(ends.items()) for x in kv])
+    return place <= table[F.col(lang)]
+
+
+def training_sample(docs: DataFrame, key="doc_id", text="text", lang="lang", limit: int = SAMPLE_DOCS) -> DataFrame:
+    """``lang, place, text`` of up to ``limit`` labelled documents per language that are not
+    held out: those with the smallest places (hashes of id and text)."""
     place = hash01(F.col(key), F.xxhash64(F.col(text)))
     rows = (docs.filter(~held_out(key) & F.col(lang).isNotNull() & F.col(text).isNotNull())
-                .select(F.col(lang).alias("lang"), place.alias("place"),
-                        F.substring(F.col(text), 1, SAMPLE_CHARS).alias("text")))
-    # thin large languages by the hash first, so no language is ranked whole in one task
-    counts = rows.groupBy("lang").count().collect()                # one row per language
-    if not counts:
-        return []
-    ends = F.create_map(*[F.lit(x) for r in counts for x in
-                          (r["lang"], int(2 ** 52 * min(1.0, (1.5 * limit + 50) / r["count"])))])
-    thin = rows.filter(F.col("place") < ends[F.col("lang")])
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))
-    picked = thin.withColumn("rank", rank).filter(F.col("rank") <= limit)
-    got = picked.select("lang", "rank", "text").collect()          # limit x languages rows
-    return [(r["text"], r["lang"]) for r in sorted(got, key=lambda r: (r["lang"], r["rank"]))]
+                .select(F.col(lang).alias("lang"), place.alias("place"), F.col(text).alias("text")))
+    # places alone find the last one of each language; copies of a row have one place
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).collect()
+    if not sizes:
+        return rows
+    thin = {r["lang"]: int(2 ** 52 * min(1.0, (1.5 * limit + 50) / r["n"])) for r in sizes}
+    found: dict[str, list[int]] = {}
+    for r in rows.filter(_below(thin, F.col("place"))).select("lang", "place").distinct().collect():
+        found.setdefault(r["lang"], []).append(r["place"])         # about 1.5 x limit a language
+    ends = {k: sorted(v)[:limit][-1] for k, v in found.items()}
+    return rows.filter(_below(ends, F.col("place"))).groupBy("lang", "place").agg(F.min("text").alias("text"))
+
+
+def training_pieces(docs: DataFrame, key="doc_id", text="text", lang="lang", limit: int = SAMPLE_DOCS,
+                    most: int = SAMPLE_PIECES) -> dict[str, Counter]:
+    """The counted pieces of the training sample's whole texts, about ``most`` per language."""
+    def count(batches):
+        import pyarrow as pa
+
+        for batch in (part for whole in batches for part in portions(whole, "text")):
+            got = count_pieces(zip(batch.column(1).to_pylist(), batch.column(0).to_pylist()))
+            rows = [(k, p, n) for k, own in got.items() for p, n in own.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()),
+                                              pa.array([r[1] for r in rows], pa.binary()),
+                                              pa.array([r[2] for r in rows], pa.int64())], ["lang", "piece", "n"])
+
+    sample = training_sample(docs, key, text, lang, limit).select("lang", "text")
+    counts = (sample.mapInArrow(count, "lang string, piece binary, n long")
+                    .groupBy("lang", "piece").agg(F.sum("n").alias("n")))
+    counts = materialize(counts.withColumn("place", hash01(F.xxhash64("piece"))), "language-pieces")
+    ends = {r["lang"]: int(2 ** 52 * min(1.0, most / r["n"])) for r in counts.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    words: dict[str, Counter] = {k: Counter() for k in ends}
+    if ends:
+        for r in counts.filter(_below(ends, F.col("place"))).collect():       # about most x languages rows
+            words[r["lang"]][bytes(r["piece"])] = r["n"]
+    return words
 
 
 def identify(docs: DataFrame, net: Net | None, text: str = "text", drop: tuple = ()) -> DataFrame:

@@ -32,7 +32,7 @@ def q_op4(spark, sf_dir):
 
 def q_op5(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
-    net = langid.train(langid.training_sample(docs))
+    net = langid.fit(langid.training_pieces(docs))
     rows = docs.select("doc_id", langid.held_out().alias("held_out"), "text")
     return langid.identify(rows, net, drop=("text",))
 

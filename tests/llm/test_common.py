@@ -7,10 +7,10 @@ def test_text_functions_get_bounded_portions(spark, monkeypatch):
     monkeypatch.setattr(C, "TEXT_CHARS", 10)
     texts = ["a" * 4, None, "b" * 5, "c" * 30, "", "d" * 10, "e"]
     batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["i", "t"])
-    got = [p.column(1).to_pylist() for p in C._portions(batch, "t")]
+    got = [p.column(1).to_pylist() for p in C.portions(batch, "t")]
     assert [t for p in got for t in p] == texts
     assert [sum(len(t or "") for t in p) for p in got] == [9, 30, 10, 1]
-    assert list(C._portions(batch.slice(0, 0), "t")) == []
+    assert list(C.portions(batch.slice(0, 0), "t")) == []
 
 
 def test_text_functions_replace_clashing_columns(spark):

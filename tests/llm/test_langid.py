@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -65,10 +66,39 @@ def test_pooling_against_plain_code(net, monkeypatch):
 def test_sample_is_bounded_and_without_held_out_rows(spark):
     rows = [(i, text_of("xx", i, 5), "xx" if i % 10 else "yy") for i in range(2000)] + [(5000, None, "xx"), (5001, "a", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
-    got = L.training_sample(df, limit=30)
-    assert sorted({k for _, k in got}) == ["xx", "yy"] and max(sum(k == x for _, k in got) for x in ("xx", "yy")) == 30
+    df = df.unionByName(df.filter("doc_id < 40"))                     # copies count once
+
+    def sampled(frame):
+        return sorted((r.lang, r.text) for r in L.training_sample(frame, limit=30).collect())
+
+    got = sampled(df)
+    assert Counter(k for k, _ in got) == {"xx": 30, "yy": 30}
     held = {t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0}
-    assert not held & {t for t, _ in got} and got == L.training_sample(df.repartition(3), limit=30)
+    assert not held & {t for _, t in got} and got == sampled(df.repartition(3))
+
+
+def test_pieces_of_whole_texts_are_counted(spark):
+    """The end of a long text trains like its beginning; counts are plain code's."""
+    long = " ".join(["ka"] * 30_000) + " zuletzt " + "日本" * 40
+    rows = [(1, long, "xx"), (2, "bre ka bre", "yy"), (3, "lon", "yy"), (4, None, "yy"), (7, "ka", None)]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = L.training_pieces(df)
+    assert got == L.count_pieces((t, k) for _, t, k in rows if t is not None and k is not None)
+    assert got["xx"][b"zuletzt "] == 1 and got["xx"][b"ka "] == 30_000
+    few = L.training_pieces(spark.createDataFrame(
+        [(1, " ".join(f"w{i}" for i in range(5000)), "xx")], "doc_id long, text string, lang string"), most=500)
+    assert 400 < len(few["xx"]) < 600 and len({w[1:2] for w in few["xx"]}) == 9
+
+
+def test_pieces_end_between_characters():
+    rng = random.Random(4)
+    for word in ["x" * 100, "日" * 50, "a" + "😀" * 30, "", "ab"] + [
+            "".join(rng.choice("aé日😀") for _ in range(rng.randint(1, 90))) for _ in range(200)]:
+        got = L.pieces(word.encode())
+        assert b"".join(got) == word.encode() + b" " and all(0 < len(p) <= L.CHUNK for p in got)
+        assert all(p.decode() for p in got)
+    assert b"".join(L.pieces(b"\x80" * 100)) == b"\x80" * 100 + b" "       # no text, but no endless loop
 
 
 def test_awkward_rows(edge, nothing, net):
@@ -82,5 +112,5 @@ def test_awkward_rows(edge, nothing, net):
         assert got[text] == {("und", 0.0)}
     assert got["x" * 3000] != {("und", 0.0)} and len(out.collect()) == len(edge_rows())
     assert L.identify(nothing, net).count() == 0
-    assert L.training_sample(nothing) == [] and L.train([]) is None and L.train([("", "a")]) is None
+    assert L.training_sample(nothing).count() == 0 and L.training_pieces(nothing) == {} and L.train([]) is None and L.train([("", "a")]) is None
     assert {r.lang_pred for r in L.identify(edge, None).collect()} == {"und"}
