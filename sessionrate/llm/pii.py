@@ -21,7 +21,8 @@ secret    quoted value assigned to token, key, password ...      value, class by
 
 A round adds a keyed SHA-2 value of the other half to one half (position by position
 modulo the size of that position's class, or modulo the half's range), so every round,
-and the whole, can be undone with the key.  Numbers that fail their check (a 16-digit
+and the whole, can be undone with the key; so the caller names one, and an empty one is an
+error.  Numbers that fail their check (a 16-digit
 number without a Luhn digit, an impossible date) are left alone.
 
 Defined cases: NULL stays NULL with 0 values; a text of any length is searched whole;
@@ -35,7 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-KEY = "pseudonym-key"
+#: for the registered query, the pipeline and tests: public, so anyone can invert what it makes
+PUBLIC_TEST_KEY = "pseudonym-key"
 DAYS, DAY_HIGH, DAY_LOW = 146_097, 189, 773        # days of 400 years = 189 * 773
 FIRST_DAY = "1800-01-01"
 SSN_AREAS, SSN_REST = 898, 99 * 9999               # 001..899 without 666; group x serial
@@ -253,7 +255,7 @@ _IS = {"secret": r"['\"]$", "email": "@", "date": r"^(?:\d{4}[-/]\d\d[-/]\d\d|\d
        "phone": r"^(?:[+(]|\d{3}[.-]\d{3}[.-]\d{4}$)", "card": r"^\d"}
 
 
-def pseudonym(m: Column, key: str = KEY) -> Column:
+def pseudonym(m: Column, key: str) -> Column:
     """Pseudonym of one match; NULL if it fails its validation."""
     out = None
     for kind, shape in _IS.items():
@@ -262,8 +264,10 @@ def pseudonym(m: Column, key: str = KEY) -> Column:
     return out
 
 
-def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with validated values in ``text`` replaced, and ``n_pseudonyms``."""
+    if not key:
+        raise ValueError("name a key: whoever has it can undo the pseudonyms")
     cols = [c for c in docs.columns if c.lower() not in (text.lower(), "n_pseudonyms")]
     may = F.coalesce(F.col("_t").rlike("[0-9@'\"]"), F.lit(False))
     none = F.array().cast("array<string>")

@@ -1,5 +1,8 @@
 import datetime as dt
+import hashlib
+import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -24,7 +27,7 @@ def mod97(iban):
 
 @pytest.fixture(scope="module")
 def run(spark):
-    def of(texts, key=pii.KEY):
+    def of(texts, key=pii.PUBLIC_TEST_KEY):
         df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
         return [(r.text, r.n_pseudonyms) for r in pii.pseudonymise(df, key=key).orderBy("doc_id").collect()]
     return of
@@ -90,8 +93,112 @@ def test_key_matters(run):
     assert run(["4111111111111111"], key="a") != run(["4111111111111111"], key="b")
 
 
+def test_a_key_is_required(edge):
+    for key in ("", None):
+        with pytest.raises(ValueError):
+            pii.pseudonymise(edge, key=key)
+    with pytest.raises(TypeError):
+        pii.pseudonymise(edge)
+
+
+# ---------------------------------------------- the network in plain code, backwards
+CLASSES = (string.digits, string.ascii_lowercase, string.ascii_uppercase)
+
+
+def digest(key, kind, r, other):
+    return hashlib.sha512(f"{key}|{kind}|{r}|{other}".encode()).hexdigest()
+
+
+def undo_text(value, key, kind):
+    cut = len(value) // 2
+    halves = [value[:cut], value[cut:]]
+    for r in range(pii.ROUNDS - 1, -1, -1):
+        at = r % 2                                        # the half that round r changed
+        d = digest(key, kind, r, f"{len(value)}|{halves[1 - at]}")
+        back = []
+        for j, c in enumerate(halves[at]):
+            own = next((k for k in CLASSES if c in k), None)
+            turn = int(d[j % 32 * 4:j % 32 * 4 + 4], 16)
+            back.append(c if own is None else own[(own.index(c) - turn) % len(own)])
+        halves[at] = "".join(back)
+    return "".join(halves)
+
+
+def undo_pair(a, b, size_a, size_b, key, kind):
+    for r in range(pii.ROUNDS - 1, -1, -1):
+        turn = int(digest(key, kind, r, a if r % 2 else b)[:13], 16)
+        a, b = (a, (b - turn) % size_b) if r % 2 else ((a - turn) % size_a, b)
+    return a, b
+
+
+def check_digit(body):
+    return next(c for c in string.digits if luhn(body + c))
+
+
+def undo(kind, new, key):
+    if kind == "card":
+        body = undo_text(new[:-1], key, kind)
+        return body + check_digit(body)
+    if kind == "iban":
+        account = undo_text(new[4:], key, kind)
+        return new[:2] + f"{98 - mod97(new[:2] + '00' + account):02d}" + account
+    if kind == "ssn":
+        a, g, s = map(int, new.split("-"))
+        place, rest = undo_pair(a - (2 if a > 666 else 1), (g - 1) * 9999 + s - 1, pii.SSN_AREAS, pii.SSN_REST, key, kind)
+        area = place + (2 if place >= 665 else 1)
+        return f"{area:03d}-{rest // 9999 + 1:02d}-{rest % 9999 + 1:04d}"
+    if kind == "phone":
+        last = undo_text(re.sub(r"\D", "", new)[-10:], key, kind)
+        return f"({last[:3]}) {last[3:6]}-{last[6:]}"
+    if kind == "ipv4":
+        o = [int(x) for x in new.split(".")]
+        a, b = undo_pair(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536, key, kind)
+        return f"{a // 256}.{a % 256}.{b // 256}.{b % 256}"
+    if kind == "date":
+        n = (dt.date.fromisoformat(new) - dt.date(1800, 1, 1)).days
+        a, b = undo_pair(n // pii.DAY_LOW, n % pii.DAY_LOW, pii.DAY_HIGH, pii.DAY_LOW, key, kind)
+        return (dt.date(1800, 1, 1) + dt.timedelta(days=a * pii.DAY_LOW + b)).isoformat()
+    if kind == "email":
+        local, at, domain = new.partition("@")
+        return undo_text(local, key, kind) + at + domain
+    return f'token="{undo_text(new[7:-1], key, kind)}"'
+
+
+def value_of(kind, rng):
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    if kind == "card":
+        body = "4" + some(string.digits, rng.choice([12, 14, 15, 17]))
+        return body + check_digit(body)
+    if kind == "iban":
+        account = some(string.ascii_uppercase, 4) + some(string.digits, 14)
+        return "GB" + f"{98 - mod97('GB00' + account):02d}" + account
+    if kind == "ssn":
+        return f"{rng.choice([1, 665, 667, 899, rng.randint(1, 600)]):03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}"
+    if kind == "phone":
+        return f"({some(string.digits, 3)}) {some(string.digits, 3)}-{some(string.digits, 4)}"
+    if kind == "ipv4":
+        return ".".join(str(rng.randint(0, 255)) for _ in range(4))
+    if kind == "date":
+        return (dt.date(1800, 1, 1) + dt.timedelta(days=rng.randrange(146_097))).isoformat()
+    if kind == "email":
+        return some(string.ascii_letters, 1) + some(string.ascii_letters + string.digits + "._-", rng.randint(0, 40)) + "x@mail.org"
+    return f'token="{some(string.ascii_letters + string.digits + "+/_=-", rng.randint(16, 80))}"'
+
+
+@pytest.mark.parametrize("kind", list(pii.PATTERNS))
+def test_pseudonyms_are_undone_with_the_key_alone(run, kind):
+    rng = random.Random(kind)
+    values = [value_of(kind, rng) for _ in range(100)]
+    out = run([f"so {v} da" for v in values], key="a secret of the test")
+    assert all(n == 1 for _, n in out)
+    new = [t[3:-3] for t, _ in out]
+    assert [undo(kind, x, "a secret of the test") for x in new] == values
+    assert sum(undo(kind, x, "another") == v for x, v in zip(new, values)) < 5
+    assert sum(x == v for x, v in zip(new, values)) < 5
+
+
 def test_awkward_rows_and_plan(edge, nothing):
-    out = pii.pseudonymise(edge)
+    out = pii.pseudonymise(edge, key="k")
     assert out.columns == [c for c in edge.columns if c != "n_pseudonyms"] + ["n_pseudonyms"]
     got = Counter((r.doc_id, r.text) for r in out.collect())
     for r in edge_rows():
@@ -99,6 +206,6 @@ def test_awkward_rows_and_plan(edge, nothing):
             assert got[r[0], r[1]] >= 1
     r = out.filter("doc_id = 12").first()
     assert r.n_pseudonyms == 1 and luhn(r.text[:16]) and r.text[16:] == " #%&" and r.fp == "fp"
-    assert pii.pseudonymise(nothing).count() == 0
+    assert pii.pseudonymise(nothing, key="k").count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
