@@ -26,6 +26,8 @@ from sessionrate.llm.common import materialize, prepare, read_table
 
 TARGET_ENTROPY = 0.99      # of the uniform entropy over sources
 MAX_REPEAT = 2.0
+#: a public one: give a key of your own where the pseudonyms must not be undone by others
+PSEUDONYM_KEY = pii.PUBLIC_TEST_KEY
 
 #: SimHash, temperature weights and piece ids have no SQL form; see tests/llm
 ORACLE_SQL = None
@@ -55,7 +57,7 @@ def near_duplicate_stage(spark, docs, sf_dir):
 
 def pii_stage(spark, docs, sf_dir):
     prepare(spark)
-    return _back(pii.pseudonymise(_apart(docs, "text")), docs, F.col("text"))
+    return _back(pii.pseudonymise(_apart(docs, "text"), key=PSEUDONYM_KEY), docs, F.col("text"))
 
 
 def mixing_stage(spark, docs, sf_dir):
