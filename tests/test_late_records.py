@@ -10,6 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from sessionrate.operators import rates as R
+from sessionrate.plans import deploy
 from sessionrate.plans import jobs as J
 from sessionrate.streaming.runner import LateRows, start_stream
 from sessionrate.streaming.watermarks import LATE_SPREAD, with_late_records
@@ -17,7 +18,7 @@ from sessionrate.streaming.watermarks import LATE_SPREAD, with_late_records
 T0 = dt.datetime(2024, 1, 1)
 
 
-def _stream(spark, folder, batches):
+def _records(spark, folder, batches):
     """One file, hence one micro-batch, per list of (milliseconds, session)."""
     now = time.time() - 1000
     for i, rows in enumerate(batches):
@@ -27,9 +28,12 @@ def _stream(spark, folder, batches):
         path = os.path.join(folder, f"batch-{i}.parquet")
         pq.write_table(pa.Table.from_pylist(recs), path)
         os.utime(path, (now + 10 * i, now + 10 * i))
-    src = (spark.readStream.schema("key string, value string, timestamp timestamp")
-           .option("maxFilesPerTrigger", "1").parquet(str(folder)))
-    return J.decoded_events(src, watermark="0 seconds")
+    return (spark.readStream.schema("key string, value string, timestamp timestamp")
+            .option("maxFilesPerTrigger", "1").parquet(str(folder)))
+
+
+def _stream(spark, folder, batches):
+    return J.decoded_events(_records(spark, folder, batches), watermark="0 seconds")
 
 
 def _run(spark, df, name):
@@ -79,3 +83,18 @@ def test_without_late_records_nothing_is_counted(spark, tmp_path):
     rates = R.event_rate(events, "killed", 1000, 250)
     (records, _), _ = _run(spark, with_late_records(rates, events, 1000, 250), "late_none")
     assert records == 0
+
+
+def test_the_kill_rate_job_counts_its_late_records(spark, tmp_path):
+    folder, rows = tmp_path / "in", []
+    folder.mkdir()
+    records = _records(spark, folder, [[(100, "a")], [(60_000, "a")], [(60_001, "a")], [(200, "a"), (300, "b")], [(90_000, "z")]])
+    late = LateRows.attach(spark)
+    try:
+        q = deploy.start_kill_rate(spark, str(tmp_path / "ckpt"), "0 seconds", records=records, log=False, available_now=True,
+                                   count_late=True, extra_writers=[lambda b, i: rows.extend(b.collect())])
+        q.awaitTermination()
+        assert q.exception() is None and late.records(q) == 2
+    finally:
+        spark.streams.removeListener(late)
+    assert rows and all(r.session is not None and r.value is not None for r in rows)
