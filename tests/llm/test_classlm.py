@@ -50,6 +50,81 @@ def test_exchange_finds_planted_classes_and_a_local_optimum():
             assert likelihood(n, other, 4) <= best + 1e-6
 
 
+def plain_bigrams(texts, seeds):
+    number = {w: i for i, w in enumerate(seeds)}
+    n = np.zeros((len(seeds) + 2, len(seeds) + 2))
+    for t in texts:
+        line = [len(seeds) + 1, *(number.get(w, len(seeds)) for w in words(t)), len(seeds) + 1]
+        for x, y in zip(line, line[1:]):
+            n[x, y] += 1
+    return n
+
+
+def plain_sweeps(bigrams, of, classes, sweeps):
+    """The sweeps by trying every class of every word on the whole table."""
+    size = len(of) - 2
+
+    def moved(of, who):
+        to = of.copy()
+        for w in who:
+            value = []
+            for c in range(classes):
+                other = of.copy()
+                other[w] = c
+                value.append(likelihood(bigrams, other[:size], classes))
+            best = int(np.argmax(value))
+            if of[w] == classes or value[best] > value[of[w]] + 1e-6:
+                to[w] = best
+        return to
+
+    of = moved(of, [w for w in range(size) if of[w] == classes])
+    for _ in range(sweeps):
+        before = of
+        for turn in (0, 1):
+            to = moved(of, range(turn, size, 2))
+            if (to == of).all():
+                continue
+            if likelihood(bigrams, to[:size], classes) <= likelihood(bigrams, of[:size], classes):
+                return of
+            of = to
+        if (of == before).all():
+            break
+    return of
+
+
+def test_sweeps_over_all_seeds_against_plain_code(spark, many_parts):
+    rows = corpus(60)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seeds = C.seed_words(df, 30)
+    near = C.seed_neighbours(df, seeds).cache()
+    bigrams = plain_bigrams([t for _, t in rows], seeds)
+    assert (C.class_bigrams(near, np.arange(32), 32) == bigrams).all()
+    of = np.array([i % 4 for i in range(10)] + [4] * 20 + [4, 5])           # ten in classes, the others in none
+    got, n = C.sweep(near, of, 4, sweeps=2)
+    assert got.tolist() == plain_sweeps(bigrams, of, 4, 2).tolist() and set(got[:30]) <= set(range(4))
+    one = np.eye(6)[got]
+    assert (n == one.T @ bigrams @ one).all()
+    placed, _ = C.sweep(near, of, 4, sweeps=0)
+    assert C.likelihood(n) > likelihood(bigrams, placed[:30], 4)
+
+
+def test_seeds_and_classes_grow_with_the_vocabulary(spark):
+    got = [C.sizes(10 ** k) for k in range(2, 11)]
+    assert got[0] == (C.MIN_SEEDS, C.MIN_CLASSES) and got == sorted(got) and got[-1][0] == 200_000
+    assert all(c < C.NONE for _, c in got)
+    found = C.cluster_seeds(spark.createDataFrame([(" ".join(f"w{i % 700}" for i in range(3000)),)], "text string"))
+    assert len(found.words) == 500 and found.counts.tolist() == [5] * 200 + [4] * 300
+
+
+def test_packed_counts_of_any_size():
+    features, counts = np.array([3, 9, 0, 1]), np.array([1, 65_535, 65_536, 200_000])
+    rows, f, n = C._unpack(C._pack(features, counts, np.array([0, 2, 2, 4])).slice(0))
+    total = Counter()
+    for r, x, k in zip(rows, f, n):
+        total[int(r), int(x)] += int(k)
+    assert total == {(0, 3): 1, (0, 9): 65_535, (2, 0): 65_536, (2, 1): 200_000}
+
+
 def corpus(n=160):
     rng = random.Random(1)
     a, b = [f"a{i}" for i in range(30)], [f"b{i}" for i in range(30)]
@@ -112,7 +187,7 @@ def brute(rows, found):
 
 def check(rows, df, **how):
     train = df.selectExpr("cast(doc_id as long) doc_id", "text").filter(~C.held_out())
-    found = C.cluster_seeds(train, how.get("seeds", C.SEEDS), how.get("classes", C.CLASSES))
+    found = C.cluster_seeds(train, how.get("seeds"), how.get("classes"))
     want = brute(rows, found)
     got = C.score(df, **how).collect()
     assert len(got) == len(rows)
