@@ -213,18 +213,31 @@ def copies() -> Column:
     return (F.col("full") + partial.cast("long")).cast("long")
 
 
-def mix_copies(docs: DataFrame, source="source", text="text", key="doc_id", seed: int = 0,
-               **how) -> DataFrame:
-    """``docs`` plus ``copies``, the number of times each document is in the mixture."""
+def _planned(docs: DataFrame, source="source", text="text", key="doc_id", seed: int = 0, **how) -> DataFrame:
+    """Every row (``_row``) with its place, its source's plan and ``_copies``."""
     spec = plan(docs, source, text, key, seed=seed, **how)
-    kept = [c for c in docs.columns if c.lower() != "copies"]
-    rows = docs.select(F.struct(*kept).alias("_row"), *_identity(source, text, key))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), *_identity(source, text, key))
     rows = with_place(_joined(rows, spec, "blocks", "full", "rest", "cut_block", "cut_row"), seed)
-    return rows.select("_row.*", copies().alias("copies"))
+    return rows.withColumn("_copies", copies())
+
+
+def _without(docs: DataFrame, *names: str) -> list[Column]:
+    return [F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in names]
+
+
+def mix_copies(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` plus ``copies``, the number of times each document is in the mixture."""
+    return _planned(docs, **how).select(*_without(docs, "copies"), F.col("_copies").alias("copies"))
 
 
 def mixture(docs: DataFrame, **how) -> DataFrame:
-    """The mixture itself: each document as often as it is read, ``epoch`` from 0."""
-    cols = [c for c in docs.columns if c.lower() not in ("copies", "epoch")]
-    rows = mix_copies(docs, **how).filter("copies > 0")
-    return rows.select(*cols, F.explode(F.sequence(F.lit(0), F.col("copies").cast("int") - 1)).alias("epoch"))
+    """The mixture itself: each document as often as it is read, ``epoch`` from 0, with the
+    ``block`` and the ``place`` of the read in its source's permuted order.
+
+    A source is read in the order (epoch, block, place); blocks are ranges of places, so a
+    reader may take blocks one by one and sort each on its own.  Every epoch but the partial
+    one, the last, is whole.  Rows of a source with one id share a place and follow each other."""
+    rows = _planned(docs, **how).filter("_copies > 0")
+    epochs = F.explode(F.sequence(F.lit(0), F.col("_copies").cast("int") - 1)).alias("epoch")
+    return rows.select(*_without(docs, "copies", "epoch", "block", "place"), epochs,
+                       F.col("_block").alias("block"), F.col("_u").alias("place"))

@@ -3,6 +3,7 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from sessionrate.llm import mixing as M
 
@@ -102,6 +103,25 @@ def test_mixture_rows(spark):
     assert got == Counter((i, e) for i, n in copies.items() for e in range(n))
 
 
+def test_reading_order_of_the_mixture(spark):
+    """Read by (epoch, block, place), the last, partial epoch of a source ends where its budget does."""
+    rows = corpus(SIZES)
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("Place", F.lit("own"))
+    out = M.mixture(df, target_entropy=0.9, max_repeat=None, block_rows=25, seed=4)
+    assert out.columns == ["doc_id", "text", "source", "epoch", "block", "place"]
+    for source, n in SIZES.items():
+        got = sorted((r.epoch, r.block, r.place, r.doc_id) for r in out.filter(F.col("source") == source).collect())
+        assert got == sorted(got, key=lambda r: (r[0], r[2]))                 # blocks are ranges of places
+        assert max(b for _, b, _, _ in got) < -(-n // 25)
+        last = got[-1][0]
+        order = [i for e, _, _, i in got if e == 0]
+        assert sorted(order) == [i for i, _, s in rows if s == source] or last == 0
+        assert order != sorted(order)
+        for e in range(1, last + 1):
+            own = [i for f, _, _, i in got if f == e]
+            assert own == order[:len(own)] and (e == last or len(own) == n)
+
+
 def test_awkward_rows(edge, nothing):
     out = M.mix_copies(edge, target_entropy=0.9, max_repeat=4.0)
     assert out.columns == [c for c in edge.columns if c != "copies"] + ["copies"]
