@@ -66,6 +66,7 @@ BETA = 20.0
 BLOCK_TOKENS = 1_500_000
 ROWS_PER_TASK = 250_000        # vocabulary rows that meet in one task
 CHUNK = 8192                   # of its words whose classes are chosen at once
+HELD = 4_000_000               # packed entries held before those of equal words are summed up
 END = ""                       # the end token; never a word
 NONE = 65535                   # class code of an unknown word
 MOST = 65535                   # largest count in one packed entry
@@ -388,10 +389,15 @@ def _pack(features: np.ndarray, counts: np.ndarray, starts: np.ndarray):
 
 def _unpack(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, feature and count of each pair of a packed column."""
-    import pyarrow.compute as pc
+    import pyarrow as pa
 
-    rows = np.repeat(np.arange(len(column)), pc.binary_length(column).to_numpy(zero_copy_only=False) // 4)
-    pairs = np.frombuffer(b"".join(column.to_pylist()), dtype="<u2").reshape(-1, 2).astype(np.int64)
+    if not len(column):
+        return (np.zeros(0, dtype=np.int64),) * 3
+    _, offsets, data = column.buffers()
+    kind = "<i8" if pa.types.is_large_binary(column.type) else "<i4"
+    at = np.frombuffer(offsets, dtype=kind)[column.offset:column.offset + len(column) + 1] // 4
+    rows = np.repeat(np.arange(len(column)), np.diff(at))
+    pairs = np.frombuffer(data or b"", dtype="<u2")[2 * at[0]:2 * at[-1]].reshape(-1, 2).astype(np.int64)
     return rows, pairs[:, 0], pairs[:, 1]
 
 
@@ -482,19 +488,22 @@ def _classify(seeds: Seeds):
             at, feature, n = _unpack(col["near"])
             held.append((row[at] * (2 * width) + feature, n))
             waiting += len(at)
-            if waiting > 1_000_000 + len(keys):
+            if waiting > HELD + len(keys):
                 keys, counts = merged()
                 held, waiting = [], 0
             rows.append((col["block"].to_numpy(), col["local"].to_numpy(), row.astype(np.int32)))
         if not rows:
             return
-        keys, counts = merged()
-        words = len(number)
+        words, cell = len(number), CHUNK * 2 * width
+        keys, counts = (np.concatenate([x, *more]) for x, more in zip((keys, counts), zip(*held) if held else ([], [])))
+        chunk = keys // cell
+        order = np.argsort(chunk.astype(np.uint16) if words < CHUNK << 16 else chunk, kind="stable")
+        keys, counts, chunk = keys[order], counts[order], chunk[order]
         n, of = np.zeros(words, dtype=np.int64), np.full(words, NONE, dtype=np.int64)
         for lo in range(0, words, CHUNK):
             hi = min(words, lo + CHUNK)
-            a, b = np.searchsorted(keys, [lo * 2 * width, hi * 2 * width])
-            near = np.bincount(keys[a:b] - lo * 2 * width, weights=counts[a:b],
+            a, b = np.searchsorted(chunk, [lo // CHUNK, lo // CHUNK + 1])
+            near = np.bincount(keys[a:b] - lo // CHUNK * cell, weights=counts[a:b],
                                minlength=(hi - lo) * 2 * width).reshape(hi - lo, 2 * width)
             n[lo:hi] = near[:, :width].sum(axis=1)             # every occurrence has one left neighbour
             of[lo:hi] = (near @ gains[:-1] + np.outer(n[lo:hi], gains[-1])).argmax(axis=1)
