@@ -141,25 +141,35 @@ def events_to_records(events: DataFrame, faults: bool = False) -> DataFrame:
     )
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` tasks (default: the cluster's cores)
-    when its source would keep at most a quarter of them busy -- e.g. one small file
-    with a single row group.  The per-row work after it (JSON, window expansion,
-    partial aggregation) then runs on every core.
-
-    A source with more splits is left alone: re-shuffling raw input only to go from,
-    say, 5,000 to 8,000 tasks costs more than it saves, and at 100 TB a file source
-    has hundreds of thousands of splits anyway.  Streams are never spread (their
-    split count is only known per micro-batch and a shuffle of all raw rows in each costs more).
+#: rows of a task, on average: in the tasks behind, a row becomes a JSON text, dozens of checks
+#: and one group for each of its windows (40 for the fine ones)
+TASK_ROWS = 50_000
+
+
+def spread(df: DataFrame, min_partitions: int | None = None, rows: int | None = None) -> DataFrame:
+    """``df`` dealt evenly over at least ``min_partitions`` tasks (default: the cluster's
+    cores) and, where the number of its ``rows`` is given, one for every ``TASK_ROWS``, when its
+    source has fewer splits.  The per-row work after it (JSON, window expansion, partial
+    aggregation) then runs on every core, and a task's share of it does not grow with the table.
+
+    Splits are cut by bytes (128 MB hold millions of small rows), and a row costs far more
+    behind them than its one shuffle here.  Rows are dealt by a hash of their place, so equal
+    ones and NULL keys part too, and without the sort of a round-robin.  A source with enough
+    splits is left alone.
+    Streams are never spread (their split count is only known per micro-batch).
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if not df.isStreaming and df.rdd.getNumPartitions() * 4 <= want:
-        return df.repartition(want)
-    return df
+    if df.isStreaming:
+        return df
+    want = max(min_partitions or df.sparkSession.sparkContext.defaultParallelism,
+               -(-(rows or 0) // TASK_ROWS))
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.withColumn("__place", F.monotonically_increasing_id()).repartition(want, "__place").drop("__place")
 
 
 def load_events(spark, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return spread(events, rows=events.count())      # of the files' footers alone
 
 
 def game_records(spark, sf_dir: str, faults: bool = False) -> DataFrame:
