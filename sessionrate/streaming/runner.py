@@ -19,7 +19,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from sessionrate.session import scratch_path
+from sessionrate.session import ensure_state_store, scratch_path
 
 #: sinks that keep nothing: these may run without a checkpoint of their own
 EPHEMERAL_SINKS = ("memory", "console", "noop")
@@ -52,6 +52,7 @@ def start_stream(df: DataFrame, sink: str = "console", output_mode: str = "appen
     """Start ``df`` into one sink: console, noop, memory, parquet, json, text, kafka.
 
     ``checkpoint`` is required for sinks that keep the result."""
+    ensure_state_store(df.sparkSession)
     w = df.writeStream.outputMode(output_mode).format(sink)
     w = w.option("checkpointLocation", _checkpoint(df.sparkSession, checkpoint, sink in EPHEMERAL_SINKS))
     if path:
@@ -80,6 +81,7 @@ def start_fan_out(df: DataFrame, writers: list, checkpoint: str, output_mode: st
         finally:
             batch.unpersist()
 
+    ensure_state_store(df.sparkSession)
     w = (df.writeStream.outputMode(output_mode).foreachBatch(each)
            .option("checkpointLocation", _checkpoint(df.sparkSession, checkpoint, False)))
     if available_now:
